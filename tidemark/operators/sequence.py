@@ -141,29 +141,29 @@ def running(
         if kind not in _KINDS:
             raise ValueError(f"unknown running kind {kind}")
         e = F.col(e) if isinstance(e, str) else e
-        d = d.withColumn(f"__v_{name}", e)
-        v = F.col(f"__v_{name}")
+        d = d.withColumn(f"_rs_v_{name}", e)
+        v = F.col(f"_rs_v_{name}")
         if kind == "sum":
-            within.append(F.sum(v).over(w).alias(f"__w_{name}"))
-            totals.append(F.sum(v).alias(f"__t_{name}"))
+            within.append(F.sum(v).over(w).alias(f"_rs_w_{name}"))
+            totals.append(F.sum(v).alias(f"_rs_t_{name}"))
             prefix.append(("sum", name))
         elif kind == "count":
-            within.append(F.count(v).over(w).alias(f"__w_{name}"))
-            totals.append(F.count(v).alias(f"__t_{name}"))
+            within.append(F.count(v).over(w).alias(f"_rs_w_{name}"))
+            totals.append(F.count(v).alias(f"_rs_t_{name}"))
             prefix.append(("sum", name))
         elif kind in ("min", "max"):
             fn = F.min if kind == "min" else F.max
-            within.append(fn(v).over(w).alias(f"__w_{name}"))
-            totals.append(fn(v).alias(f"__t_{name}"))
+            within.append(fn(v).over(w).alias(f"_rs_w_{name}"))
+            totals.append(fn(v).alias(f"_rs_t_{name}"))
             prefix.append((kind, name))
         else:  # first / last non-null in scan order
             first_in_scan = (kind == "first") != reverse
             within.append(
                 (F.first(v, ignorenulls=True) if kind == "first" else F.last(v, ignorenulls=True))
-                .over(w).alias(f"__w_{name}")
+                .over(w).alias(f"_rs_w_{name}")
             )
             pick = F.min_by if first_in_scan else F.max_by
-            totals.append(pick(v, F.when(v.isNotNull(), ordv)).alias(f"__t_{name}"))
+            totals.append(pick(v, F.when(v.isNotNull(), ordv)).alias(f"_rs_t_{name}"))
             prefix.append((kind, name))
 
     d = d.select("*", *within)
@@ -172,22 +172,22 @@ def running(
     wc = wc.rowsBetween(Window.unboundedPreceding, -1)
     psel = [F.col(c) for c in part]
     for kind, name in prefix:
-        t = F.col(f"__t_{name}")
+        t = F.col(f"_rs_t_{name}")
         if kind == "sum":
-            psel.append(F.sum(t).over(wc).alias(f"__p_{name}"))
+            psel.append(F.sum(t).over(wc).alias(f"_rs_p_{name}"))
         elif kind == "min":
-            psel.append(F.min(t).over(wc).alias(f"__p_{name}"))
+            psel.append(F.min(t).over(wc).alias(f"_rs_p_{name}"))
         elif kind == "max":
-            psel.append(F.max(t).over(wc).alias(f"__p_{name}"))
+            psel.append(F.max(t).over(wc).alias(f"_rs_p_{name}"))
         elif kind == "first":
-            psel.append(F.first(t, ignorenulls=True).over(wc).alias(f"__p_{name}"))
+            psel.append(F.first(t, ignorenulls=True).over(wc).alias(f"_rs_p_{name}"))
         else:
-            psel.append(F.last(t, ignorenulls=True).over(wc).alias(f"__p_{name}"))
+            psel.append(F.last(t, ignorenulls=True).over(wc).alias(f"_rs_p_{name}"))
     summary = summary.select(*psel)
 
     out = d.join(summary, on=part, how="left")
     for name, (kind, _) in specs.items():
-        wv, pv = F.col(f"__w_{name}"), F.col(f"__p_{name}")
+        wv, pv = F.col(f"_rs_w_{name}"), F.col(f"_rs_p_{name}")
         if kind in ("sum", "count"):
             res = F.coalesce(wv, F.lit(0)) + F.coalesce(pv, F.lit(0))
             if kind == "sum":
@@ -201,7 +201,7 @@ def running(
         else:
             res = F.coalesce(wv, pv)
         out = out.withColumn(name, res)
-    drop = [c for c in out.columns if c.startswith("__")]
+    drop = [c for c in out.columns if c.startswith("_rs_") or c == _CHUNK]
     return out.drop(*drop)
 
 
