@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.files import read_table
 
-ITEM = F.get_json_object("props", "$.k").cast("long")
+def item_col():
+    """props.k as a long: the item / ad / page of an event."""
+    return F.get_json_object("props", "$.k").cast("long")
+
 # DuckDB spelling of the same item extraction, used by the oracles
 ITEM_SQL = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 
@@ -28,7 +31,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 def behaviors(spark: SparkSession, sf: str) -> DataFrame:
     """UserBehavior view: user_id, item_id, behavior, ts (+ event_id for ordering)."""
     return events(spark, sf).select(
-        "event_id", "ts", "user_id", ITEM.alias("item_id"), F.col("event_type").alias("behavior"), "value"
+        "event_id", "ts", "user_id", item_col().alias("item_id"), F.col("event_type").alias("behavior"), "value"
     )
 
 
