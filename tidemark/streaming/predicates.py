@@ -1,0 +1,13 @@
+"""Row predicates for the streaming pattern matcher (picklable, import-light)."""
+
+
+def is_error(r) -> bool:
+    return r.event_type == "error"
+
+
+def is_signup(r) -> bool:
+    return r.event_type == "signup"
+
+
+def is_purchase(r) -> bool:
+    return r.event_type == "purchase"
