@@ -81,7 +81,15 @@ def millis_to_ts(col: Column, ntz: bool = True) -> Column:
 
 
 def bucket_of(df: DataFrame, col: str, width: str | int, offset: str | int = 0) -> Column:
-    """Epoch-aligned bucket number of width ``width`` (same alignment as F.window)."""
+    """Epoch-aligned bucket number of width ``width`` (same alignment as F.window).
+
+    For a numeric ordering column (an arrival sequence number) the bucket is
+    ``col // width`` with ``width`` a row count (a duration string means 2^20).
+    """
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, T.NumericType):
+        n = width if isinstance(width, int) else 1 << 20
+        return F.floor(F.col(col) / F.lit(n)).cast("long")
     w = duration_us(width)
     off = duration_us(offset) if offset else 0
     return F.floor((epoch_us(df, col) - F.lit(off)) / F.lit(w)).cast("long")

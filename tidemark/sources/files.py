@@ -65,7 +65,8 @@ def csv_view(spark: SparkSession, name: str, path: str, ddl: str) -> None:
 
 
 def parse_delimited(
-    df: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",", tolerant: bool = False
+    df: DataFrame, schema: T.StructType, col: str = "value", sep: str = ",", tolerant: bool = False,
+    keep: tuple = (),
 ) -> DataFrame:
     """Split a text line, trim every field and cast it to the schema.
 
@@ -73,7 +74,7 @@ def parse_delimited(
     ``tolerant=True`` turns bad fields into nulls with ``try_cast``.
     """
     parts = F.split(F.col(col), sep, -1)
-    out = []
+    out = [F.col(k) for k in keep]
     for i, f in enumerate(schema.fields):
         raw = F.trim(parts.getItem(i))
         typ = f.dataType.simpleString()
