@@ -23,6 +23,7 @@ MODULES = (
     "tidemark.plans.sensors",
     "tidemark.plans.udf_queries",
     "tidemark.plans.stream_queries",
+    "tidemark.plans.io_queries",
 )
 
 

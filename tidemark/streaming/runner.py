@@ -81,7 +81,7 @@ def run_to_parquet(stream: DataFrame, name: str, mode: str = "append",
 
 
 def run_foreach_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFrame], DataFrame],
-                      mode: str = "append", overwrite: bool = False,
+                      mode: str = "append", overwrite: bool = False, keep_batch_id: bool = False,
                       spark: SparkSession | None = None) -> DataFrame:
     """``foreachBatch`` writing ``per_batch(batch)`` to a parquet folder.
 
@@ -109,7 +109,9 @@ def run_foreach_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFra
         res = spark.read.parquet(path)
     except Exception:  # no batch produced output
         return None
-    return res.drop("batch_id") if "batch_id" in res.columns else res
+    if "batch_id" in res.columns and not keep_batch_id:
+        return res.drop("batch_id")
+    return res
 
 
 def _raise_if_failed(q) -> None:
