@@ -210,7 +210,13 @@ def q_a2(spark, sf):
 
 @query("T7_late_side_output", "SELECT event_id, user_id, 'on_time' AS tag FROM events")
 def q_t7(spark, sf):
-    s = _events(spark, sf, flush=False)
-    return run_to_parquet(S.tag_late(s, ["event_id", "user_id"], "user_id"), "t7")
+    from tidemark.session import scratch_path
+    from tidemark.streaming.late import read_tagged
+
+    s = stream_table(spark, sf, "events").select("event_id", "user_id", "ts")
+    out = scratch_path(spark, "t7")
+    q = S.tag_late(s, "ts", "1 hour", out, out + "-ckpt")
+    q.awaitTermination()
+    return read_tagged(spark, out).select("event_id", "user_id", "tag")
 
 

@@ -99,7 +99,8 @@ def pattern(stream: DataFrame, key: str, first, second, contiguity: str, within:
         proc, f"{key} {ktype}, first_ts timestamp, second_ts timestamp, matched boolean", "Append", "EventTime")
 
 
-def tag_late(stream: DataFrame, cols: list[str], key: str) -> DataFrame:
+def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):
     """Rows behind the watermark tagged ``late`` (side output) instead of dropped."""
-    schema = stream.select(*cols).schema.add("tag", "string")
-    return stream.groupBy(key).transformWithStateInPandas(P.LateTagger(cols), schema, "Append", "EventTime")
+    from tidemark.streaming.late import split_late
+
+    return split_late(stream, ts, delay, out, checkpoint)

@@ -425,29 +425,3 @@ class PatternMatcher(StatefulProcessor):
 
     def close(self) -> None:
         pass
-
-
-# --- T7: late rows to a side output ---------------------------------------------
-
-
-class LateTagger(StatefulProcessor):
-    """Tags each row ``late`` when its time is behind the current watermark
-    (the reference's side output for late data), else ``on_time``."""
-
-    def __init__(self, cols: list[str], ts: str = "ts"):
-        self.cols = cols
-        self.ts_col = ts
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        wm = timerValues.getCurrentWatermarkInMs()
-        for pdf in rows:
-            out = pdf[self.cols].copy()
-            ms = pdf[self.ts_col].map(_ms)
-            out["tag"] = ["late" if m < wm else "on_time" for m in ms]
-            yield out
-
-    def close(self) -> None:
-        pass
