@@ -95,3 +95,28 @@ def test_changelog_retract_pairs(spark):
     after = spark.createDataFrame([("a", 1), ("b", 3), ("c", 1)], "k string, n long")
     got = sorted((r.flag, r.k, r.n) for r in changelog(before, after, ["k"]).collect())
     assert got == [(False, "b", 2), (True, "b", 3), (True, "c", 1)]
+
+
+def test_login_fail_timer_doc_list(spark):
+    """fail 1, success 2, fail 3, fail 4 (seconds): the success disarms the
+    first timer, fails 3 and 4 fire one warning at 8 s."""
+    inp, out = scratch_path(spark, "lf-in"), scratch_path(spark, "lf-out")
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1, "fail", 1), (1, "success", 2), (1, "fail", 3), (1, "fail", 4)]
+    pdf = pd.DataFrame([(u, e, base + dt.timedelta(seconds=s), i) for i, (u, e, s) in enumerate(rows)],
+                       columns=["user_id", "event_type", "ts", "seq"])
+    spark.createDataFrame(pdf, "user_id long, event_type string, ts timestamp_ntz, seq long").write.parquet(inp)
+    src = spark.readStream.schema("user_id long, event_type string, ts timestamp_ntz, seq long").parquet(inp)
+    _start(spark, S.login_fail_timer(event_time(src, "ts", "0 seconds", flush=True), "5 seconds"), out,
+           out + "-ckpt")
+    got = [(r.fails, r.first_fail_time.second, r.last_fail_time.second) for r in spark.read.parquet(out).collect()]
+    assert got == [(2, 3, 4)]
+
+
+def test_processing_time_column(spark):
+    inp = scratch_path(spark, "pt-in")
+    _write(spark, inp, [(1, _t(0), 1, 1.0)])
+    src = spark.readStream.schema(SCHEMA).parquet(inp)
+    out = scratch_path(spark, "pt-out")
+    _start(spark, S.with_processing_time(src), out, out + "-ckpt")
+    assert spark.read.parquet(out).where("proc_time IS NOT NULL").count() == 1

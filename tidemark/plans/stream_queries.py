@@ -220,3 +220,14 @@ def q_t7(spark, sf):
     return read_tagged(spark, out).select("event_id", "user_id", "tag")
 
 
+
+
+@query("D9b_login_fail_timer_stream")
+def q_d9b(spark, sf):
+    """Timer form of the login check: >= 2 fails within 2 hours of the first, no success between."""
+    s = _events(spark, sf, pre=lambda d: d.select(
+        "user_id", "ts", F.col("event_id").alias("seq"),
+        F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type")))
+    out = run_to_parquet(S.login_fail_timer(s, "2 hours"), "d9b")
+    return out.select("user_id", F.col("first_fail_time").cast("timestamp_ntz").alias("first_fail_time"),
+                      F.col("last_fail_time").cast("timestamp_ntz").alias("last_fail_time"), "fails")

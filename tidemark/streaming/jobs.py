@@ -104,3 +104,22 @@ def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):
     from tidemark.streaming.late import split_late
 
     return split_late(stream, ts, delay, out, checkpoint)
+
+
+def login_fail_timer(stream: DataFrame, window: str, min_fails: int = 2) -> DataFrame:
+    """At least ``min_fails`` fails within ``window`` of the first, no success between."""
+    proc = P.LoginFailTimer(_ms(window), min_fails, order=("ts", "seq"))
+    return stream.groupBy("user_id").transformWithStateInPandas(
+        proc, "user_id long, first_fail_time timestamp, last_fail_time timestamp, fails long", "Append",
+        "EventTime")
+
+
+def with_processing_time(stream: DataFrame, col: str = "proc_time") -> DataFrame:
+    """Processing time as a column (the micro-batch's clock); windows and
+    watermarks on it give processing-time windows."""
+    return stream.withColumn(col, F.current_timestamp())
+
+
+def with_ingestion_time(stream: DataFrame, col: str = "ingest_time") -> DataFrame:
+    """T1 ingestion time: stamped once at the source, then used as event time."""
+    return stream.withColumn(col, F.current_timestamp())

@@ -299,7 +299,10 @@ class TxMatch(StatefulProcessor):
 class ContinuousRise(StatefulProcessor):
     """Warn when the temperature keeps rising (equal keeps going) for
     ``duration_ms``; a fall cancels the timer, a fired timer re-arms on the
-    next rise.  Event-time timers.  Output: sensor_id, alert_time."""
+    next rise.  Event-time timers; a timer already due when a later row of
+    the key arrives fires before that row (as a per-element watermark would),
+    so results do not depend on how rows are cut into micro-batches.
+    Output: sensor_id, alert_time."""
 
     def __init__(self, duration_ms: int, order=("ts",)):
         self.duration = duration_ms
@@ -312,8 +315,13 @@ class ContinuousRise(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _rows(rows, self.order)
         last, timer = self.state.get() if self.state.exists() else (None, 0)
+        out = []
         for r in df.itertuples(index=False):
             t, ms = float(r.temperature), _ms(r.ts)
+            if timer and timer < ms:                       # due: fires before this row
+                out.append((_key_value(key), _ts(timer)))
+                self.handle.deleteTimer(timer)
+                timer = 0
             if last is not None and t > last and timer == 0:
                 timer = ms + self.duration
                 self.handle.registerTimer(timer)
@@ -322,13 +330,15 @@ class ContinuousRise(StatefulProcessor):
                 timer = 0
             last = t
         self.state.update((last, timer))
-        return iter([])
+        if out:
+            yield pd.DataFrame(out, columns=["sensor_id", "alert_time"])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        last, _ = self.state.get()
+        last, timer = self.state.get()
+        if timer != expiredTimerInfo.getExpiryTimeInMs():
+            return
         self.state.update((last, 0))
-        yield pd.DataFrame([(_key_value(key), _ts(expiredTimerInfo.getExpiryTimeInMs()))],
-                           columns=["sensor_id", "alert_time"])
+        yield pd.DataFrame([(_key_value(key), _ts(timer))], columns=["sensor_id", "alert_time"])
 
     def close(self) -> None:
         pass
@@ -425,3 +435,64 @@ class PatternMatcher(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# --- D9b: login failures, timer form -------------------------------------------
+
+
+class LoginFailTimer(StatefulProcessor):
+    """Fails are collected in list state; the first fail arms an event-time
+    timer ``window_ms`` later; a success clears the list and the timer.
+    When the timer fires with at least ``min_fails`` collected, one warning.
+    Output: user_id, first_fail_time, last_fail_time, fails.
+    """
+
+    def __init__(self, window_ms: int, min_fails: int = 2, fail: str = "fail", order=("ts",)):
+        self.window = window_ms
+        self.min_fails = min_fails
+        self.fail = fail
+        self.order = list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.fails = handle.getListState("fails", "ts timestamp")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _fire(self, k):
+        fails = [f[0] for f in self.fails.get()] if self.fails.exists() else []
+        self.fails.clear()
+        self.timer.clear()
+        if len(fails) >= self.min_fails:
+            return [(k, min(fails), max(fails), len(fails))]
+        return []
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        df = _rows(rows, self.order)
+        k = _key_value(key)
+        out = []
+        for r in df.itertuples(index=False):
+            ms = _ms(r.ts)
+            if self.timer.exists() and self.timer.get()[0] < ms:     # due before this row
+                self.handle.deleteTimer(self.timer.get()[0])
+                out.extend(self._fire(k))
+            if r.event_type == self.fail:
+                self.fails.appendValue((r.ts,))
+                if not self.timer.exists():
+                    at = ms + self.window
+                    self.handle.registerTimer(at)
+                    self.timer.update((at,))
+            else:
+                self.fails.clear()
+                if self.timer.exists():
+                    self.handle.deleteTimer(self.timer.get()[0])
+                    self.timer.clear()
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "fails"])
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        out = self._fire(_key_value(key))
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "fails"])
+
+    def close(self) -> None:
+        pass
