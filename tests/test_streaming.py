@@ -120,3 +120,35 @@ def test_processing_time_column(spark):
     out = scratch_path(spark, "pt-out")
     _start(spark, S.with_processing_time(src), out, out + "-ckpt")
     assert spark.read.parquet(out).where("proc_time IS NOT NULL").count() == 1
+
+
+def _brute_rise(pdf, duration_s):
+    """The rising-temperature timer, one event at a time (reference semantics)."""
+    out = []
+    d = dt.timedelta(seconds=duration_s)
+    for sid, g in pdf.sort_values(["ts", "event_id"]).groupby("sensor_id"):
+        last, timer = None, None
+        for r in g.itertuples(index=False):
+            ts = r.ts.floor("ms")                       # timers have millisecond resolution
+            if timer is not None and timer < ts:
+                out.append((sid, timer))
+                timer = None
+            if last is not None and r.temperature > last and timer is None:
+                timer = ts + d
+            elif last is not None and r.temperature < last and timer is not None:
+                timer = None
+            last = r.temperature
+        if timer is not None:
+            out.append((sid, timer))
+    return sorted(out)
+
+
+def test_continuous_rise_stream_vs_brute_force(spark):
+    from conftest import SF
+    from tidemark.plans.stream_queries import q_d16s
+
+    got = sorted((r.sensor_id, r.alert_time) for r in q_d16s(spark, SF).collect())
+    ev = spark.read.parquet(f"{SF}/events.parquet").selectExpr(
+        "event_id", "ts", "user_id AS sensor_id", "value AS temperature").toPandas()
+    want = [(int(s), t.to_pydatetime()) for s, t in _brute_rise(ev, 6 * 3600)]
+    assert got == want

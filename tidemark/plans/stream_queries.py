@@ -19,9 +19,10 @@ from tidemark.streaming.predicates import is_error, is_purchase, is_signup
 from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
 
-def _events(spark, sf, delay="0 seconds", flush=True, pre=None):
-    """The events table as a stream.  Row filters and projections go in
-    ``pre``: they must run before the watermark so the flush sentinel (which
+def _events(spark, sf, delay="0 seconds", flush=False, pre=None):
+    """The events table as a stream.  ``flush`` (needed where windows close or
+    timers fire) adds the end-of-input sentinel.  Row filters and projections
+    go in ``pre``: they must run before the watermark so the sentinel (which
     has null columns) reaches the watermark operator."""
     raw = stream_table(spark, sf, "events")
     if pre is not None:
@@ -34,20 +35,21 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1
        event_type, count(*) AS count FROM events GROUP BY ALL
 """)
 def q_t3(spark, sf):
-    s = _events(spark, sf, "1 hour")
+    s = _events(spark, sf, "1 hour", flush=True)
     return run_to_parquet(S.window_counts(s, "ts", "1 hour", keys=["event_type"]), "t3")
 
 
 @query("D1s_hot_items_stream", _ORACLES["D1_hot_items"])
 def q_d1s(spark, sf):
-    s = _events(spark, sf, pre=lambda d: d.where(F.col("event_type") == "view").withColumn("item_id", item_col()))
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view").withColumn(
+        "item_id", item_col()))
     counts = S.window_counts(s, "ts", "1 hour", "5 minutes", keys=["item_id"])
     return run_foreach_batch(counts, "d1s", S.top_n_per_batch(3, "item_id"))
 
 
 @query("D4s_uv_stream", _ORACLES["D4_unique_visitors"])
 def q_d4s(spark, sf):
-    s = _events(spark, sf, pre=lambda d: d.where(F.col("event_type") == "view"))
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view"))
     pairs = S.distinct_users_per_window(s, "ts", "1 hour", "user_id")
     return run_foreach_batch(pairs, "d4s", lambda b: b.groupBy("window_start", "window_end").agg(
         F.count(F.lit(1)).alias("uv")))
@@ -90,7 +92,8 @@ SELECT user_id, ts AS first_ts, next_ts AS second_ts, TRUE AS matched
 FROM s WHERE fail AND next_fail AND next_ts - ts < INTERVAL 3 HOUR
 """)
 def q_d10s(spark, sf):
-    s = _events(spark, sf).select("user_id", "ts", F.col("event_id").alias("seq"), "event_type")
+    s = _events(spark, sf, flush=True, pre=lambda d: d.select(
+        "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
     out = S.pattern(s, "user_id", is_error, is_error, "next", "3 hours")
     res = run_to_parquet(out, "d10s")
     return res.select("user_id", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
@@ -107,7 +110,7 @@ SELECT user_id, ts AS first_ts, CASE WHEN pay_ts - ts < INTERVAL 6 HOUR THEN pay
 FROM s WHERE event_type = 'signup'
 """)
 def q_d11s(spark, sf):
-    s = _events(spark, sf, pre=lambda d: d.where(F.col("event_type").isin("signup", "purchase")).select(
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type").isin("signup", "purchase")).select(
         "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
     out = S.pattern(s, "user_id", is_signup, is_purchase, "followedBy", "6 hours", emit_timeouts=True)
     res = run_to_parquet(out, "d11s")
@@ -177,8 +180,8 @@ def q_d13s(spark, sf):
                       F.col("receipt_time").cast("timestamp_ntz").alias("receipt_time"), "tag")
 
 
-def _sensor_stream(spark, sf):
-    return _events(spark, sf).select("event_id", "ts", F.col("user_id").alias("sensor_id"),
+def _sensor_stream(spark, sf, flush=False):
+    return _events(spark, sf, flush=flush).select("event_id", "ts", F.col("user_id").alias("sensor_id"),
                                      F.col("value").alias("temperature"))
 
 
@@ -196,7 +199,7 @@ def q_d22s(spark, sf):
 
 @query("D16s_temp_rise_stream")
 def q_d16s(spark, sf):
-    out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf), "6 hours"), "d16s")
+    out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf, flush=True), "6 hours"), "d16s")
     return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
 
 
@@ -225,7 +228,7 @@ def q_t7(spark, sf):
 @query("D9b_login_fail_timer_stream")
 def q_d9b(spark, sf):
     """Timer form of the login check: >= 2 fails within 2 hours of the first, no success between."""
-    s = _events(spark, sf, pre=lambda d: d.select(
+    s = _events(spark, sf, flush=True, pre=lambda d: d.select(
         "user_id", "ts", F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type")))
     out = run_to_parquet(S.login_fail_timer(s, "2 hours"), "d9b")
