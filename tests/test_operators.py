@@ -153,3 +153,13 @@ def test_asof_latest_hot_key(ev):
     want = ev.select("event_id", "event_type", F.last(F.when(F.col("event_type") == "signup", F.col("value")), True)
                      .over(w).alias("thr")).where("event_type = 'view'")
     assert rows(got, ["event_id", "thr"]) == rows(want, ["event_id", "thr"])
+
+
+def test_sessions_chunked_equal_session_window(ev):
+    from tidemark.operators.windows import session
+
+    got = session(ev, "ts", "45 minutes", keys=["hot"], order=["ts", "event_id"], chunk="30 minutes")
+    want = ev.groupBy("hot", F.session_window("ts", "45 minutes").alias("w")).agg(F.count(F.lit(1)).alias("count"))
+    want = want.select("hot", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "count")
+    cols = ["session_start", "session_end", "count"]
+    assert rows(got, cols) == rows(want, cols)

@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import bucket_of, duration_us, epoch_us, is_ntz
-from tidemark.operators.sequence import DEFAULT_CHUNK, sequence_number
+from tidemark.functions.timefns import bucket_of, duration_us, epoch_us, interval, is_ntz
+from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, running, sequence_number
 
 # Mergeable measure kinds: partial results of panes can be combined.
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -142,14 +142,33 @@ def session(
     gap: str,
     keys: Sequence[str] = (),
     aggs: Sequence[Column] = (),
+    order: Sequence[str] | None = None,
+    chunk: str = DEFAULT_CHUNK,
 ) -> DataFrame:
-    """Session windows: a new session starts after ``gap`` without events."""
+    """Session windows: a new session starts after more than ``gap`` without events.
+
+    Batch: the break flag comes from the chunked ``lag`` and the session id
+    from the chunked running count of breaks, then one hash aggregation per
+    (key, session) -- a user with a third of all events is never gathered
+    into one task.  Streams use ``F.session_window`` (same semantics: two
+    events exactly ``gap`` apart share a session).
+    """
     aggs = list(aggs) or [F.count(F.lit(1)).alias("count")]
-    out = df.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(*aggs)
-    return out.select(
-        *keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
-        *[c for c in out.columns if c not in ("w", *keys)],
-    )
+    keys = list(keys)
+    if df.isStreaming or not keys:
+        out = df.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(*aggs)
+        return out.select(
+            *keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+            *[c for c in out.columns if c not in ("w", *keys)],
+        )
+    order = list(order or [ts])
+    n = neighbours(df, keys, order, [ts], prev=True, chunk=chunk, prefix_prev="__sp_")
+    brk = F.col(f"__sp_{ts}").isNull() | (F.col(ts) > F.col(f"__sp_{ts}") + interval(gap))
+    sid = running(n.withColumn("__brk", brk), keys, order,
+                  {"__sid": ("count", F.when(F.col("__brk"), F.lit(1)))}, chunk=chunk)
+    out = sid.groupBy(*keys, "__sid").agg(F.min(ts).alias("session_start"),
+                                          (F.max(ts) + interval(gap)).alias("session_end"), *aggs)
+    return out.drop("__sid")
 
 
 def count_window(
