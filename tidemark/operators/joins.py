@@ -42,46 +42,70 @@ def interval_join(
 
     Ends are closed unless ``lower_open``/``upper_open``.  Column names of the
     two sides must be distinct except for ``keys``.  ``how`` is inner, left,
-    right or full; the outer kinds need unique ``left_id`` / ``right_id``
-    columns to find the rows without a partner.
+    right or full.
+
+    One side keeps each row in its own time bucket; the other side is copied
+    to every bucket its interval touches, so each matching pair meets in
+    exactly one bucket.  For an outer side that side is the one kept whole,
+    which makes Spark's own outer join exact; a full join is the left join
+    plus the right rows found by an anti join.  (``left_id``/``right_id`` are
+    accepted for compatibility and not needed.)
     """
+    del left_id, right_id
     keys = list(keys)
     lo, hi = duration_us(lower), duration_us(upper)
     if hi < lo:
         raise ValueError("upper bound below lower bound")
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unsupported interval join kind {how}")
     width = duration_us(bucket) if bucket else max(hi - lo, 1_000_000)
     W = F.lit(width)
     l_us = epoch_us(left, left_ts)
     r_us = epoch_us(right, right_ts)
-    lb = left.withColumn(
-        _B,
-        F.explode(F.sequence(F.floor((l_us + F.lit(lo)) / W), F.floor((l_us + F.lit(hi)) / W))),
-    )
-    rb = right.withColumn(_B, F.floor(r_us / W))
+    rk = {k: f"__rk_{k}" for k in keys}
+    right_r = right.select(*[F.col(c).alias(rk.get(c, c)) for c in right.columns])
+
+    def home(df, us, name):
+        return df.withColumn(name, F.floor(us / W))
+
+    def copies(df, us, a, b, name):          # buckets of [us + a, us + b]
+        return df.withColumn(name, F.explode(F.sequence(F.floor((us + F.lit(a)) / W),
+                                                        F.floor((us + F.lit(b)) / W))))
+
     lts, rts = F.col(left_ts), F.col(right_ts)
     lower_t = lts + F.make_dt_interval(secs=F.lit(lo / 1_000_000))
     upper_t = lts + F.make_dt_interval(secs=F.lit(hi / 1_000_000))
-    cond_lo = rts > lower_t if lower_open else rts >= lower_t
-    cond_hi = rts < upper_t if upper_open else rts <= upper_t
-    pairs = lb.join(rb, on=keys + [_B], how="inner").where(cond_lo & cond_hi).drop(_B)
+    cond = (rts > lower_t) if lower_open else (rts >= lower_t)
+    cond = cond & ((rts < upper_t) if upper_open else (rts <= upper_t))
+    cond = cond & (F.col(_B) == F.col("__rb"))
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(rk[k]))
+
+    out_cols = left.columns + [c for c in right.columns if c not in keys]
+
+    def finish(j):
+        sel = []
+        for c in out_cols:
+            if c in rk:
+                sel.append(F.coalesce(F.col(c), F.col(rk[c])).alias(c))
+            else:
+                sel.append(F.col(c))
+        return j.select(*sel)
+
     if how == "inner":
-        return pairs
-    if how not in ("left", "right", "full"):
-        raise ValueError(f"unsupported interval join kind {how}")
-    if (how in ("left", "full") and not left_id) or (how in ("right", "full") and not right_id):
-        raise ValueError("outer interval joins need left_id/right_id")
-    parts = [pairs]
-    cols = pairs.columns
-    if how in ("left", "full"):
-        lonly = left.join(pairs.select(left_id), on=left_id, how="left_anti")
-        parts.append(_pad(lonly, cols))
-    if how in ("right", "full"):
-        ronly = right.join(pairs.select(right_id), on=right_id, how="left_anti")
-        parts.append(_pad(ronly, cols))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        j = copies(left, l_us, lo, hi, _B).join(home(right_r, r_us, "__rb"), cond, "inner")
+        return finish(j)
+    if how == "right":
+        j = copies(left, l_us, lo, hi, _B).join(home(right_r, r_us, "__rb"), cond, "right")
+        return finish(j)
+    # left / full: left rows stay in their own bucket, right rows are copied
+    j = home(left, l_us, _B).join(copies(right_r, r_us, -hi, -lo, "__rb"), cond, "left")
+    res = finish(j)
+    if how == "full":
+        ronly = home(right_r, r_us, "__rb").join(copies(left, l_us, lo, hi, _B), cond, "left_anti")
+        ronly = ronly.select(*[F.col(rk.get(c, c)).alias(c) for c in right.columns])
+        res = res.unionByName(_pad(ronly, out_cols))
+    return res
 
 
 def _pad(df: DataFrame, cols: Sequence[str]) -> DataFrame:

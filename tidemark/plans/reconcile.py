@@ -22,7 +22,8 @@ def reconcile(pays: DataFrame, receipts: DataFrame, bound: str = "5 seconds") ->
 
     Each side waits ``bound`` for the other (event time, both ends closed):
     tag ``matched`` for pairs, ``unmatched_pay`` / ``unmatched_receipt`` for
-    the rest.  tx ids are unique per side, as in the reference.
+    rows without a partner (per row, i.e. a full outer interval join; with
+    unique tx ids per side, as in the reference, that is one-to-one).
     """
     p = pays.select(F.col("tx_id").alias("pay_tx"), "pay_time", F.col("tx_id"))
     r = receipts.select(F.col("tx_id").alias("receipt_tx"), "receipt_time", F.col("tx_id"))
@@ -84,10 +85,14 @@ m AS (SELECT p.tx_id, pay_time, receipt_time FROM p JOIN r ON p.tx_id = r.tx_id
 """
 
 
-@query("D13_tx_reconcile", _TX_SQL + """
-SELECT tx_id, pay_time, receipt_time, 'matched' AS tag FROM m
-UNION ALL SELECT tx_id, pay_time, NULL, 'unmatched_pay' FROM p WHERE tx_id NOT IN (SELECT tx_id FROM m)
-UNION ALL SELECT tx_id, NULL, receipt_time, 'unmatched_receipt' FROM r WHERE tx_id NOT IN (SELECT tx_id FROM m)
+@query("D13_tx_reconcile", """
+WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_time FROM orders),
+r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_time FROM lineitem WHERE l_linenumber = 1)
+SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, pay_time, receipt_time,
+       CASE WHEN p.tx_id IS NOT NULL AND r.tx_id IS NOT NULL THEN 'matched'
+            WHEN p.tx_id IS NOT NULL THEN 'unmatched_pay' ELSE 'unmatched_receipt' END AS tag
+FROM p FULL OUTER JOIN r ON p.tx_id = r.tx_id
+ AND receipt_time BETWEEN pay_time - INTERVAL 30 DAY AND pay_time + INTERVAL 30 DAY
 """)
 def q_d13(spark, sf):
     pays, receipts = _pays_receipts(spark, sf)
