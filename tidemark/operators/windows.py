@@ -199,20 +199,33 @@ def count_window(
         return out.where(F.col("count") == size).select(
             *keys, F.col("__win").cast("long").alias("window_index"), "count", "sum", "min", "max"
         )
-    # sliding: window fired at row f*slide covers rows (f*slide-size, f*slide]
-    reps = -(-size // slide)
-    g = seq.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).withColumn(
-        "__fire", (F.floor((F.col("__seq") - 1) / slide) + 1 + F.col("__i")) * slide
-    )
-    g = g.where((F.col("__fire") - F.col("__seq") < size) & (F.col("__fire") >= F.col("__seq")))
-    out = g.groupBy(*keys, "__fire").agg(
-        F.count(F.lit(1)).alias("count"), F.sum(v).alias("sum"),
-        F.min(v).alias("min"), F.max(v).alias("max"),
-    )
-    # only windows whose firing row exists
+    # sliding: the window fired at row f (a multiple of slide) covers rows (f - size, f]
     last = seq.groupBy(*keys).agg(F.max("__seq").alias("__n"))
+    if size % slide == 0:
+        # panes of ``slide`` rows: aggregate each pane once, copy pane partials
+        # to the size/slide windows containing them (raw rows are not copied)
+        k = size // slide
+        panes = seq.groupBy(*keys, F.floor((F.col("__seq") - 1) / slide).alias("__p")).agg(
+            F.count(F.lit(1)).alias("count"), F.sum(v).alias("sum"), F.min(v).alias("min"), F.max(v).alias("max"))
+        ex = panes.withColumn("__j", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
+            "__fire", (F.col("__p") + F.col("__j") + 1) * slide)
+        out = ex.groupBy(*keys, "__fire").agg(
+            F.sum("count").alias("count"), F.sum("sum").alias("sum"), F.min("min").alias("min"),
+            F.max("max").alias("max"))
+    else:
+        reps = -(-size // slide)
+        g = seq.withColumn("__i", F.explode(F.sequence(F.lit(0), F.lit(reps - 1)))).withColumn(
+            "__fire", (F.floor((F.col("__seq") - 1) / slide) + 1 + F.col("__i")) * slide
+        )
+        g = g.where((F.col("__fire") - F.col("__seq") < size) & (F.col("__fire") >= F.col("__seq")))
+        out = g.groupBy(*keys, "__fire").agg(
+            F.count(F.lit(1)).alias("count"), F.sum(v).alias("sum"),
+            F.min(v).alias("min"), F.max(v).alias("max"),
+        )
+    # only windows whose firing row exists
     out = out.join(last, keys).where(F.col("__fire") <= F.col("__n"))
-    return out.select(*keys, F.col("__fire").cast("long").alias("fire_at_row"), "count", "sum", "min", "max")
+    return out.select(*keys, F.col("__fire").cast("long").alias("fire_at_row"),
+                      F.col("count").cast("long").alias("count"), "sum", "min", "max")
 
 
 def top_n(
