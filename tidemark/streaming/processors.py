@@ -375,10 +375,14 @@ class PatternMatcher(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _rows(rows, ["ts", "seq"])
-        for r in df.itertuples(index=False):
-            kind = ("a" if self.first(r) else "") + ("b" if self.second(r) else "")
-            self.buffer.appendValue((r.ts, int(r.seq), kind or "-"))
-            self.handle.registerTimer(_ms(r.ts))
+        if df.empty:
+            return iter([])
+        new = [(r.ts, int(r.seq), (("a" if self.first(r) else "") + ("b" if self.second(r) else "")) or "-")
+               for r in df.itertuples(index=False)]
+        self.buffer.appendList(new)                      # one state call per key and batch
+        # one timer at the latest new row: when it fires every buffered row up
+        # to the watermark is processed in event-time order
+        self.handle.registerTimer(max(_ms(t) for t, _, _ in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
