@@ -141,3 +141,21 @@ def q_t6(spark, sf):
     """Watermark = out-of-orderness (1 min) + allowed lateness (1 h)."""
     s = event_time(stream_table(spark, sf, "events"), "ts", "61 minutes", flush=True)
     return run_to_parquet(S.window_counts(s, "ts", "1 hour", keys=["event_type"]), "t6")
+
+
+@query("S8_stream_to_table_fields", """
+SELECT event_id AS eid, user_id AS uid, ts AS rowtime, value AS temperature FROM events
+""")
+def q_s8(spark, sf):
+    """All fields by position (``toDF``), then renamed and reordered by name."""
+    e = events(spark, sf).select("event_id", "ts", "user_id", "value")
+    by_position = e.toDF("eid", "rowtime", "uid", "temperature")
+    return by_position.select("eid", "uid", "rowtime", "temperature")
+
+
+@query("S10_table_by_name", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def q_s10(spark, sf):
+    from tidemark.sources.files import register_tables
+
+    register_tables(spark, sf, ["events"])
+    return spark.table("events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))

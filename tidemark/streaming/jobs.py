@@ -46,12 +46,14 @@ def distinct_users_per_window(stream: DataFrame, ts: str, size: str, user: str)
         F.col("w.end").cast("timestamp_ntz").alias("window_end"), user)
 
 
-def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | None = None) -> DataFrame:
-    """D15/D22/T11 via value state (+ clean-up timer)."""
-    proc = P.TemperatureJump(threshold, _ms(max_silence) if max_silence else None, order=("ts", "event_id"))
+def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | None = None,
+                     ttl: str | None = None) -> DataFrame:
+    """D15/D22/T11 via value state (+ event-time clean-up timer, or T14 state TTL)."""
+    proc = P.TemperatureJump(threshold, _ms(max_silence) if max_silence else None, order=("ts", "event_id"),
+                             ttl_ms=_ms(ttl) if ttl else None)
+    mode = "EventTime" if max_silence else ("ProcessingTime" if ttl else "None")
     return stream.groupBy("sensor_id").transformWithStateInPandas(
-        proc, "sensor_id long, ts timestamp, last_temp double, temperature double", "Append",
-        "EventTime" if max_silence else "None")
+        proc, "sensor_id long, ts timestamp, last_temp double, temperature double", "Append", mode)
 
 
 def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str]) -> DataFrame:

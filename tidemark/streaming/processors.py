@@ -55,14 +55,17 @@ class TemperatureJump(StatefulProcessor):
     Output: sensor_id, ts, last_temp, temperature.
     """
 
-    def __init__(self, threshold: float, max_silence_ms: int | None = None, order=("ts",)):
+    def __init__(self, threshold: float, max_silence_ms: int | None = None, order=("ts",),
+                 ttl_ms: int | None = None):
         self.threshold = threshold
         self.silence = max_silence_ms
         self.order = list(order)
+        self.ttl = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "temp double, ts long")
+        # With a TTL (processing-time mode) idle sensors' state expires by itself
+        self.last = handle.getValueState("last", "temp double, ts long", self.ttl)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _rows(rows, self.order)
