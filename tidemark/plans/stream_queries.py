@@ -67,6 +67,27 @@ def q_d8s(spark, sf):
     return run_to_parquet(out, "d8s")
 
 
+@query("D7s_ad_by_province_stream", _ORACLES["D7_ad_by_province"])
+def q_d7s(spark, sf):
+    """D8 keyed filter, then the per-province window count on its output
+    (two stateful operators chained on one watermark)."""
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "click").select(
+        "event_id", "ts", "user_id", (item_col() % 3).alias("ad_id"),
+        F.concat(F.lit("province_"), (item_col() % 10).cast("string")).alias("province")))
+    passed = S.click_fraud(s, 1, ["event_id", "ts", "user_id", "ad_id", "province"], event_time_col="ts")
+    passed = passed.where(F.col("status") == "pass")
+    return run_to_parquet(S.window_counts(passed, "ts", "1 hour", "5 minutes", keys=["province"]), "d7s")
+
+
+@query("D5s_marketing_stream", _ORACLES["D5_marketing_by_channel"])
+def q_d5s(spark, sf):
+    from tidemark.plans.marketing import _channel_of
+
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.upper("event_type") != "ERROR").select(
+        "ts", F.upper("event_type").alias("behavior"), _channel_of(item_col()).alias("channel")))
+    return run_to_parquet(S.window_counts(s, "ts", "1 hour", "10 minutes", keys=["channel", "behavior"]), "d5s")
+
+
 @query("D9s_login_fail_stream", """
 WITH l AS (SELECT event_id, ts, user_id, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type
            FROM events),

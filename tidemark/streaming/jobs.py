@@ -56,11 +56,15 @@ def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | Non
         proc, "sensor_id long, ts timestamp, last_temp double, temperature double", "Append", mode)
 
 
-def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str]) -> DataFrame:
-    """D8 via value state and a midnight timer."""
+def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None
+                ) -> DataFrame:
+    """D8 via value state and a midnight timer.  With ``event_time_col`` (one
+    of ``cols``) the output keeps the watermark, so a windowed aggregation
+    can follow (D7 after D8)."""
     proc = P.ClickFraudFilter(max_clicks, cols, order=("ts", "event_id"))
     schema = stream.select(*cols).schema.add("status", "string")
-    return stream.groupBy("user_id", "ad_id").transformWithStateInPandas(proc, schema, "Append", "EventTime")
+    return stream.groupBy("user_id", "ad_id").transformWithStateInPandas(
+        proc, schema, "Append", "EventTime", eventTimeColumnName=event_time_col or "")
 
 
 def login_fail(stream: DataFrame, gap: str) -> DataFrame:
