@@ -11,7 +11,7 @@ from tidemark import schemas
 from tidemark.session import scratch_path
 from tidemark.sinks.writers import print_sink, stream_file_sink, write_json_docs, write_text
 from tidemark.sources.files import (csv_view, from_collection, parse_delimited, read_csv, read_table,
-                                    register_tables, stream_table, stream_text)
+                                    register_tables, stream_text)
 from tidemark.sources.transforms import parse_apache_log
 
 

@@ -5,8 +5,6 @@ Each query shows one operator of the reference's API on the driver tables.
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import fahrenheit_to_celsius
@@ -15,7 +13,7 @@ from tidemark.operators import transforms as X
 from tidemark.operators.sequence import rows_frame
 from tidemark.operators.windows import count_window, session, sliding, top_n, tumbling, window_time
 from tidemark.plans.registry import query
-from tidemark.plans.tables import ITEM_SQL, behaviors, events, sensors
+from tidemark.plans.tables import ITEM_SQL, events, sensors
 from tidemark.schemas import UserBehavior
 from tidemark.sources.files import parse_delimited, read_table
 from tidemark.sources.transforms import parse_apache_log, render_apache_log, render_user_behavior_csv
@@ -531,5 +529,3 @@ def q_j8b(spark, sf):
     out = lateral_split(read_table(spark, sf, "pages"), "url", "news/", outer=True)
     return out.where(F.col("word").isNull() | (F.col("word") != "")).select("page_id", "word", "length")
 
-
-_ = (pd, Window, behaviors, epoch_us)
