@@ -88,6 +88,14 @@ def q_d5s(spark, sf):
     return run_to_parquet(S.window_counts(s, "ts", "1 hour", "10 minutes", keys=["channel", "behavior"]), "d5s")
 
 
+@query("D21s_dynamic_threshold_stream", _ORACLES["D21_dynamic_threshold"])
+def q_d21s(spark, sf):
+    kind = F.when(F.col("event_type") == "signup", "rule").otherwise("reading")
+    s = _events(spark, sf, pre=lambda d: d.select(
+        F.col("user_id").alias("sensor_id"), "ts", "event_id", kind.alias("kind"), "value"))
+    return run_to_parquet(S.dynamic_threshold(s), "d21s")
+
+
 @query("D9s_login_fail_stream", """
 WITH l AS (SELECT event_id, ts, user_id, CASE WHEN event_type = 'error' THEN 'fail' ELSE 'success' END AS event_type
            FROM events),

@@ -129,3 +129,11 @@ def with_processing_time(stream: DataFrame, col: str = "proc_time") -> DataFrame
 def with_ingestion_time(stream: DataFrame, col: str = "ingest_time") -> DataFrame:
     """T1 ingestion time: stamped once at the source, then used as event time."""
     return stream.withColumn(col, F.current_timestamp())
+
+
+def dynamic_threshold(stream: DataFrame) -> DataFrame:
+    """D21/J7 live rules: tagged union (sensor_id, ts, event_id, kind, value)
+    through one keyed state holding the threshold and the last temperature."""
+    return stream.groupBy("sensor_id").transformWithStateInPandas(
+        P.DynamicThreshold(), "sensor_id long, event_id long, temperature double, threshold double, "
+                              "temp_diff double", "Append", "None")

@@ -503,3 +503,40 @@ class LoginFailTimer(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# --- D21 / J7: thresholds from a rule stream -------------------------------------
+
+
+class DynamicThreshold(StatefulProcessor):
+    """Readings and rule updates of one sensor in one tagged union (``kind``
+    = reading | rule).  A rule sets the sensor's threshold (0.0 deletes it);
+    a reading alerts when |temp - last temp| exceeds the current threshold.
+    The last temperature starts at 0.0.  Output: sensor_id, event_id,
+    temperature, threshold, temp_diff."""
+
+    def __init__(self, order=("ts", "event_id")):
+        self.order = list(order)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("sensor", "threshold double, last double")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        df = _rows(rows, self.order)
+        thr, last = self.state.get() if self.state.exists() else (None, 0.0)
+        out = []
+        for r in df.itertuples(index=False):
+            v = float(r.value)
+            if r.kind == "rule":
+                thr = None if v == 0.0 else v
+                continue
+            diff = abs(v - last)
+            if thr is not None and diff > thr:
+                out.append((_key_value(key), int(r.event_id), v, thr, round(diff, 4)))
+            last = v
+        self.state.update((thr, last))
+        if out:
+            yield pd.DataFrame(out, columns=["sensor_id", "event_id", "temperature", "threshold", "temp_diff"])
+
+    def close(self) -> None:
+        pass
