@@ -72,12 +72,14 @@ class Accumulator:
     """U3 aggregate-function contract.
 
     ``fields``: accumulator columns; ``accumulate(values)`` -> dict of field
-    values for one key's rows inside one partition; ``merge``: Spark
-    aggregate per field combining partial accumulators; ``result``: final
-    value from the merged fields.
+    values for one key's rows of one Arrow batch; ``merge_local``: pandas
+    aggregation per field merging the batches of one partition; ``merge``:
+    Spark aggregate per field combining the partitions' accumulators;
+    ``result``: final value from the merged fields.
     """
 
     fields: Sequence[tuple[str, str]] = ()
+    merge_local: dict = {}
 
     @staticmethod
     def accumulate(values: pd.Series) -> dict:
@@ -96,6 +98,7 @@ class AvgTemp(Accumulator):
     """Average temperature: accumulator (sum, count)."""
 
     fields = (("sum", "double"), ("count", "long"))
+    merge_local = {"sum": "sum", "count": "sum"}
 
     @staticmethod
     def accumulate(values: pd.Series) -> dict:
@@ -124,7 +127,7 @@ def user_aggregate(df: DataFrame, key: str, value: str, acc: type[Accumulator],
         if parts:
             # merge accumulators of the same key across this partition's batches
             frame = pd.DataFrame(parts)
-            yield frame.groupby(key, as_index=False, dropna=False).sum()
+            yield frame.groupby(key, as_index=False, dropna=False).agg(acc.merge_local)
 
     partial = df.select(key, value).mapInPandas(per_partition, schema)
     merged = partial.groupBy(key).agg(*[acc.merge(n).alias(n) for n, _ in acc.fields])

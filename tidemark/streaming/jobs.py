@@ -21,11 +21,23 @@ def _ms(d: str) -> int:
 
 
 def window_counts(stream: DataFrame, ts: str, size: str, slide: str | None = None, keys=()) -> DataFrame:
-    """W1/W2 + T3: windowed count in append mode (emitted when the watermark closes the window)."""
-    w = F.window(ts, size, slide) if slide else F.window(ts, size)
-    out = stream.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count"))
+    """W1/W2 + T3: windowed count in append mode (emitted when the watermark closes the window).
+
+    Sliding windows whose slide divides the size are two chained window
+    aggregations: rows are counted per slide-long pane, and each closed pane
+    (at its ``window_time``) is added into the size/slide windows containing
+    it, so raw rows are never copied.
+    """
+    if slide and duration_us(size) != duration_us(slide) and duration_us(size) % duration_us(slide) == 0:
+        panes = stream.groupBy(F.window(ts, slide).alias("pw"), *keys).agg(F.count(F.lit(1)).alias("n"))
+        out = panes.groupBy(F.window(F.window_time("pw"), size, slide).alias("w"), *keys).agg(
+            F.sum("n").alias("count"))
+    else:
+        w = F.window(ts, size, slide) if slide else F.window(ts, size)
+        out = stream.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias("count"))
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys, "count")
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys,
+                      F.col("count").cast("long").alias("count"))
 
 
 def top_n_per_batch(n: int, item: str, order_col: str = "count"):
