@@ -226,7 +226,32 @@ def q_d22s(spark, sf):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query("D16s_temp_rise_stream")
+# Reference semantics walked one event at a time with a recursive CTE: state
+# (last temperature, timer); a due timer fires before the next row; the end of
+# input fires what is left.  Timers have millisecond resolution.
+_RISE_SQL = """
+WITH RECURSIVE s AS (
+  SELECT user_id AS sid, value AS t, date_trunc('millisecond', ts) AS tsm,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+walk(sid, rn, last, timer, alert) AS (
+  SELECT sid, rn, t, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.sid, s.rn, s.t,
+         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN
+                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
+              WHEN w.timer IS NULL THEN
+                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
+              ELSE CASE WHEN s.t < w.last THEN NULL ELSE w.timer END END,
+         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN w.timer END
+  FROM walk w JOIN s ON s.sid = w.sid AND s.rn = w.rn + 1),
+ends AS (SELECT sid, max(rn) AS rn FROM s GROUP BY sid)
+SELECT sid AS sensor_id, alert AS alert_time FROM walk WHERE alert IS NOT NULL
+UNION ALL
+SELECT w.sid, w.timer FROM walk w JOIN ends e ON w.sid = e.sid AND w.rn = e.rn WHERE w.timer IS NOT NULL
+"""
+
+
+@query("D16s_temp_rise_stream", _RISE_SQL)
 def q_d16s(spark, sf):
     out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf, flush=True), "6 hours"), "d16s")
     return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
@@ -254,7 +279,36 @@ def q_t7(spark, sf):
 
 
 
-@query("D9b_login_fail_timer_stream")
+_LOGIN_TIMER_SQL = """
+WITH RECURSIVE s AS (
+  SELECT user_id AS uid, event_type = 'error' AS fail, ts, date_trunc('millisecond', ts) AS tsm,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+walk(uid, rn, cnt, first_f, last_f, timer, e_first, e_last, e_cnt) AS (
+  SELECT uid, rn, CASE WHEN fail THEN 1 ELSE 0 END, CASE WHEN fail THEN ts END, CASE WHEN fail THEN ts END,
+         CASE WHEN fail THEN tsm + INTERVAL 2 HOUR END,
+         CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP), CAST(NULL AS BIGINT)
+  FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.uid, s.rn,
+         CASE WHEN NOT s.fail THEN 0 WHEN fired THEN 1 ELSE w.cnt + 1 END,
+         CASE WHEN NOT s.fail THEN NULL WHEN fired OR w.first_f IS NULL THEN s.ts ELSE w.first_f END,
+         CASE WHEN NOT s.fail THEN NULL ELSE s.ts END,
+         CASE WHEN NOT s.fail THEN NULL WHEN fired OR w.timer IS NULL THEN s.tsm + INTERVAL 2 HOUR ELSE w.timer END,
+         CASE WHEN fired AND w.cnt >= 2 THEN w.first_f END,
+         CASE WHEN fired AND w.cnt >= 2 THEN w.last_f END,
+         CASE WHEN fired AND w.cnt >= 2 THEN w.cnt END
+  FROM walk w JOIN (SELECT *, TRUE AS dummy FROM s) s ON s.uid = w.uid AND s.rn = w.rn + 1,
+       LATERAL (SELECT w.timer IS NOT NULL AND w.timer < s.tsm AS fired)),
+ends AS (SELECT uid, max(rn) AS rn FROM s GROUP BY uid)
+SELECT uid AS user_id, e_first AS first_fail_time, e_last AS last_fail_time, e_cnt AS fails
+FROM walk WHERE e_cnt IS NOT NULL
+UNION ALL
+SELECT w.uid, w.first_f, w.last_f, CAST(w.cnt AS BIGINT) FROM walk w JOIN ends e ON w.uid = e.uid AND w.rn = e.rn
+WHERE w.timer IS NOT NULL AND w.cnt >= 2
+"""
+
+
+@query("D9b_login_fail_timer_stream", _LOGIN_TIMER_SQL)
 def q_d9b(spark, sf):
     """Timer form of the login check: >= 2 fails within 2 hours of the first, no success between."""
     s = _events(spark, sf, flush=True, pre=lambda d: d.select(
