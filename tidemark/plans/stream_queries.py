@@ -47,6 +47,18 @@ def q_d1s(spark, sf):
     return run_foreach_batch(counts, "d1s", S.top_n_per_batch(3, "item_id"))
 
 
+@query("D2s_hot_urls_stream", _ORACLES["D2_hot_urls"])
+def q_d2s(spark, sf):
+    """Access-log lines parsed in the stream; watermark 1 s out-of-orderness +
+    60 s lateness as in the reference; closed windows ranked per batch."""
+    from tidemark.sources.transforms import parse_apache_log, render_apache_log
+
+    logs = parse_apache_log(render_apache_log(stream_table(spark, sf, "events")))
+    s = event_time(logs, "event_time", "61 seconds", flush=True)
+    counts = S.window_counts(s, "event_time", "6 hours", "1 hour", keys=["url"])
+    return run_foreach_batch(counts, "d2s", S.top_n_per_batch(5, "url"))
+
+
 @query("D4s_uv_stream", _ORACLES["D4_unique_visitors"])
 def q_d4s(spark, sf):
     s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view"))
