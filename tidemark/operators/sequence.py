@@ -26,8 +26,21 @@ from pyspark.sql import functions as F
 from tidemark.functions.timefns import bucket_of
 
 # Width of one time chunk.  Small enough that a hot key is spread over many
-# tasks, large enough that ordinary keys rarely straddle a border.
-DEFAULT_CHUNK = "1 hour"
+# tasks, large enough that ordinary keys rarely straddle a border.  The
+# session setting ``tidemark.chunk`` overrides it for a cluster: size it so the
+# hottest key's rows in one chunk fit one task, e.g. its time span times
+# (target rows per task / its row count).
+DEFAULT_CHUNK = "default"
+FALLBACK_CHUNK = "1 hour"
+
+
+def resolve_chunk(df: DataFrame, chunk):
+    if chunk != DEFAULT_CHUNK:
+        return chunk
+    try:
+        return df.sparkSession.conf.get("tidemark.chunk", FALLBACK_CHUNK)
+    except Exception:  # no session conf access (e.g. some remote clients)
+        return FALLBACK_CHUNK
 
 _CHUNK = "__chunk"
 
@@ -39,7 +52,7 @@ def _as_list(x) -> list:
 
 
 def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    return df.withColumn(_CHUNK, bucket_of(df, ts, chunk))
+    return df.withColumn(_CHUNK, bucket_of(df, ts, resolve_chunk(df, chunk)))
 
 
 def _order_struct(order: Sequence[str]) -> Column:

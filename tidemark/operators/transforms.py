@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import duration_us, epoch_us
-from tidemark.operators.sequence import DEFAULT_CHUNK, running
+from tidemark.operators.sequence import DEFAULT_CHUNK, resolve_chunk, running
 
 # --- P ---------------------------------------------------------------------
 
@@ -175,7 +175,7 @@ def range_frame(df: DataFrame, keys: Sequence[str], ts: str, value: str, rng: st
     """
     keys = list(keys)
     r_us = duration_us(rng)
-    c_us = max(duration_us(chunk), r_us)
+    c_us = max(duration_us(resolve_chunk(df, chunk)), r_us)
     d = df.withColumn("__us", epoch_us(df, ts)).withColumn("__c", F.floor(F.col("__us") / c_us))
     d = d.withColumn("__halo", F.lit(False))
     halo = (d.where(F.col("__us") >= (F.col("__c") + 1) * c_us - r_us)
