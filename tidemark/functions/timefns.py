@@ -52,11 +52,18 @@ def is_ntz(df: DataFrame, col: str) -> bool:
 
 
 def epoch_us(df: DataFrame, col: str) -> Column:
-    """Microseconds since the epoch, time-zone independent for NTZ columns."""
+    """Microseconds since the epoch.
+
+    For NTZ columns the value is built from the wall-clock fields (days since
+    1970-01-01, then time of day), so it does not depend on the session time
+    zone; TIMESTAMP columns use ``unix_micros``.
+    """
     if is_ntz(df, col):
-        return F.expr(
-            f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)"
-        )
+        c = F.col(col)
+        days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+        secs_of_day = (F.hour(c) * 3600 + F.minute(c) * 60).cast("long")
+        micros = (F.expr(f"EXTRACT(SECOND FROM `{col}`)") * 1_000_000).cast("long")
+        return days * 86_400_000_000 + secs_of_day * 1_000_000 + micros
     return F.unix_micros(F.col(col))
 
 
