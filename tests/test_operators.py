@@ -163,3 +163,29 @@ def test_sessions_chunked_equal_session_window(ev):
     want = want.select("hot", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "count")
     cols = ["session_start", "session_end", "count"]
     assert rows(got, cols) == rows(want, cols)
+
+
+@pytest.mark.parametrize("fn", ["neighbours", "running", "rows_frame"])
+def test_auto_chunks_split_only_hot_keys(spark, ev, fn):
+    """'auto': keys above tidemark.hotKeyRows get fine chunks, the rest stay whole."""
+    spark.conf.set("tidemark.hotKeyRows", "200")       # key -1 (a third of the rows) is hot, users are not
+    spark.conf.set("tidemark.chunkRows", "40")         # about 8 chunks for the hot key
+    try:
+        d = ev.withColumn("k", F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
+        w = Window.partitionBy("k").orderBy("ts", "event_id")
+        if fn == "neighbours":
+            got = neighbours(d, ["k"], ["ts", "event_id"], ["value"], chunk="auto")
+            want = d.select("event_id", F.lag("value").over(w).alias("prev_value"))
+            cols = ["event_id", "prev_value"]
+        elif fn == "running":
+            got = running(d, ["k"], ["ts", "event_id"], {"s": ("sum", "value")}, chunk="auto")
+            want = d.select("event_id", F.sum("value").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
+            cols = ["event_id", "s"]
+        else:
+            got = rows_frame(d, ["k"], ["ts", "event_id"], "value", 2, ("sum",), chunk="auto")
+            want = d.select("event_id", F.sum("value").over(w.rowsBetween(-2, 0)).alias("sum"))
+            cols = ["event_id", "sum"]
+        assert rows(got, cols) == rows(want, cols)
+    finally:
+        spark.conf.unset("tidemark.hotKeyRows")
+        spark.conf.unset("tidemark.chunkRows")

@@ -22,16 +22,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.timefns import bucket_of
+from tidemark.functions.timefns import bucket_of, epoch_us
 
-# Width of one time chunk.  Small enough that a hot key is spread over many
-# tasks, large enough that ordinary keys rarely straddle a border.  The
-# session setting ``tidemark.chunk`` overrides it for a cluster: size it so the
-# hottest key's rows in one chunk fit one task, e.g. its time span times
-# (target rows per task / its row count).
+# Chunking: by default ("auto") only hot keys are cut, each into chunks of
+# about ``tidemark.chunkRows`` rows (see with_chunk).  A fixed width ("1 hour")
+# cuts every key; the session setting ``tidemark.chunk`` picks the default.
 DEFAULT_CHUNK = "default"
-FALLBACK_CHUNK = "1 hour"
+FALLBACK_CHUNK = "auto"
 
 
 def resolve_chunk(df: DataFrame, chunk):
@@ -51,8 +50,50 @@ def _as_list(x) -> list:
     return [x] if isinstance(x, (str, Column)) else list(x)
 
 
-def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK) -> DataFrame:
-    return df.withColumn(_CHUNK, bucket_of(df, ts, resolve_chunk(df, chunk)))
+def _conf(df: DataFrame, key: str, default: str) -> str:
+    try:
+        return df.sparkSession.conf.get(key, default)
+    except Exception:
+        return default
+
+
+def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK, keys: Sequence[str] = ()) -> DataFrame:
+    """Add the chunk column.
+
+    A duration (or a row count for a numeric order column) cuts every key
+    into fixed-width chunks.  ``"auto"`` (the default) splits only hot keys:
+    a key with more than ``tidemark.hotKeyRows`` rows (default 2,000,000) is
+    cut into chunks holding about ``tidemark.chunkRows`` rows each (default
+    1,000,000; the width is its time span scaled by that fraction), every
+    other key stays whole in chunk 0 and needs no border work at all.  The
+    hot-key table comes from one partial-aggregated pass and is broadcast:
+    it has at most rows / hotKeyRows entries, a bound that holds by
+    construction.
+    """
+    chunk = resolve_chunk(df, chunk)
+    if chunk == "auto" and keys:
+        limit = int(_conf(df, "tidemark.hotKeyRows", "2000000"))
+        target = int(_conf(df, "tidemark.chunkRows", "1000000"))
+        pos = _position(df, ts)
+        d0 = df.withColumn("__pos", pos)
+        hot = (d0.groupBy(*keys)
+               .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
+               .where(F.col("__n") > limit)
+               .select(*keys, F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target)
+                                                           / F.col("__n"))).cast("long").alias("__width")))
+        d = d0.join(F.broadcast(hot), on=list(keys), how="left")
+        c = F.when(F.col("__width").isNotNull(), F.floor(F.col("__pos") / F.col("__width")))
+        return d.withColumn(_CHUNK, F.coalesce(c, F.lit(0)).cast("long")).drop("__pos", "__width")
+    if chunk == "auto":
+        chunk = "1 hour"
+    return df.withColumn(_CHUNK, bucket_of(df, ts, chunk))
+
+
+def _position(df: DataFrame, ts: str) -> Column:
+    """Epoch microseconds of a time column, or the value of a numeric one."""
+    if isinstance(df.schema[ts].dataType, T.NumericType):
+        return F.col(ts).cast("long")
+    return epoch_us(df, ts)
 
 
 def _order_struct(order: Sequence[str]) -> Column:
@@ -78,7 +119,7 @@ def neighbours(
     keys = _as_list(keys)
     order = list(order)
     ts = order[0]
-    d = with_chunk(df, ts, chunk)
+    d = with_chunk(df, ts, chunk, keys)
     part = keys + [_CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     payload = F.struct(*[F.col(c) for c in cols])
@@ -93,7 +134,7 @@ def neighbours(
         bounds_aggs.append(F.min_by(payload, ordv).alias("__first"))
 
     # One row per (key, chunk): the border rows of that chunk.
-    bounds = df.transform(lambda x: with_chunk(x, ts, chunk)).groupBy(*part).agg(*bounds_aggs)
+    bounds = with_chunk(df, ts, chunk, keys).groupBy(*part).agg(*bounds_aggs)
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
     sel = [F.col(c) for c in part]
     if prev:
@@ -142,7 +183,7 @@ def running(
     keys = _as_list(keys)
     order = list(order)
     ts = order[0]
-    d = with_chunk(df, ts, chunk)
+    d = with_chunk(df, ts, chunk, keys)
     part = keys + [_CHUNK]
     ocols = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
     hi = 0 if include_current else -1
@@ -253,7 +294,7 @@ def rows_frame(
     order = list(order)
     n = int(preceding)
     ts = order[0]
-    d = with_chunk(df, ts, chunk)
+    d = with_chunk(df, ts, chunk, keys)
     part = keys + [_CHUNK]
     w = Window.partitionBy(*part).orderBy(*order)
     v = F.col(value)
