@@ -175,7 +175,8 @@ def range_frame(df: DataFrame, keys: Sequence[str], ts: str, value: str, rng: st
     """
     keys = list(keys)
     r_us = duration_us(rng)
-    c_us = max(duration_us(resolve_chunk(df, chunk)), r_us)
+    width = resolve_chunk(df, chunk)
+    c_us = max(duration_us("1 hour" if width == "auto" else width), r_us)
     d = df.withColumn("__us", epoch_us(df, ts)).withColumn("__c", F.floor(F.col("__us") / c_us))
     d = d.withColumn("__halo", F.lit(False))
     halo = (d.where(F.col("__us") >= (F.col("__c") + 1) * c_us - r_us)
