@@ -189,3 +189,18 @@ def test_auto_chunks_split_only_hot_keys(spark, ev, fn):
     finally:
         spark.conf.unset("tidemark.hotKeyRows")
         spark.conf.unset("tidemark.chunkRows")
+
+
+def test_rolling_max_by_earliest_on_ties(ev):
+    from tidemark.operators.transforms import rolling_min_by
+
+    d = ev.withColumn("v", F.floor(F.col("value") / 50))          # many ties
+    got = rolling_min_by(d, "user_id", ["ts", "event_id"], "v", ["event_id"], largest=True)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    # earliest row holding the running maximum: max over (v, -position)
+    pos = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    want = d.withColumn("pos", pos).select(
+        "event_id", F.max(F.struct(F.col("v"), (-F.col("pos")).alias("np"), F.col("event_id"))).over(w).alias("m"))
+    got_rows = rows(got.select("event_id", F.col("min_rec.event_id").alias("best")), ["event_id", "best"])
+    want_rows = rows(want.select("event_id", F.col("m.event_id").alias("best")), ["event_id", "best"])
+    assert got_rows == want_rows
