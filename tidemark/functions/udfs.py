@@ -57,7 +57,7 @@ def register_functions(spark: SparkSession, factor: float = 1.23) -> None:
     spark.udtf.register("split_words", Split)
 
 
-@F.udtf(returnType="word: string, length: int")
+@F.udtf(returnType="word: string, length: int", useArrow=True)
 class Split:
     """U2 table function: one (word, length) row per piece of ``s`` split on ``sep``."""
 
