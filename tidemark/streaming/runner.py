@@ -15,6 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,16 +67,34 @@ def sentinel_stream(spark: SparkSession, like: DataFrame, ts: str) -> DataFrame:
     return spark.readStream.schema(static.schema.add(SENTINEL, "boolean")).parquet(path)
 
 
+@contextmanager
+def stream_partitions(spark: SparkSession):
+    """State partitions of the queries started inside: ``tidemark.streamPartitions``
+    if set, else the shuffle setting capped at twice the cluster's cores (every
+    state partition is a state store instance kept open per micro-batch)."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    want = spark.conf.get("tidemark.streamPartitions", None)
+    if want is None:
+        want = str(min(int(old), max(1, spark.sparkContext.defaultParallelism) * 2))
+    spark.conf.set(key, want)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_to_parquet(stream: DataFrame, name: str, mode: str = "append",
                    spark: SparkSession | None = None) -> DataFrame:
     """Run ``stream`` over all available input (availableNow) into an
     exactly-once parquet file sink; return the result as a batch DataFrame."""
     spark = spark or stream.sparkSession
     out = scratch_path(spark, f"out-{name}")
-    q = (stream.writeStream.format("parquet").outputMode(mode)
-         .option("path", out).option("checkpointLocation", out + "-ckpt")
-         .trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
-    q.awaitTermination()
+    with stream_partitions(spark):
+        q = (stream.writeStream.format("parquet").outputMode(mode)
+             .option("path", out).option("checkpointLocation", out + "-ckpt")
+             .trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
+        q.awaitTermination()
     _raise_if_failed(q)
     return spark.read.parquet(out)
 
@@ -99,10 +118,11 @@ def run_foreach_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFra
         else:
             res.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (stream.writeStream.foreachBatch(write).outputMode(mode)
-         .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True)
-         .queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
-    q.awaitTermination()
+    with stream_partitions(spark):
+        q = (stream.writeStream.foreachBatch(write).outputMode(mode)
+             .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True)
+             .queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
+        q.awaitTermination()
     _raise_if_failed(q)
     path = out + "/latest" if overwrite else out
     try:
