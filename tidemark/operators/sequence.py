@@ -42,6 +42,7 @@ def resolve_chunk(df: DataFrame, chunk):
         return FALLBACK_CHUNK
 
 _CHUNK = "__chunk"
+_HOT = "__hotk"    # row belongs to a key that is cut into several chunks
 
 
 def _as_list(x) -> list:
@@ -83,10 +84,11 @@ def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK, keys: Sequenc
                                                            / F.col("__n"))).cast("long").alias("__width")))
         d = d0.join(F.broadcast(hot), on=list(keys), how="left")
         c = F.when(F.col("__width").isNotNull(), F.floor(F.col("__pos") / F.col("__width")))
-        return d.withColumn(_CHUNK, F.coalesce(c, F.lit(0)).cast("long")).drop("__pos", "__width")
+        return (d.withColumn(_CHUNK, F.coalesce(c, F.lit(0)).cast("long"))
+                .withColumn(_HOT, F.col("__width").isNotNull()).drop("__pos", "__width"))
     if chunk == "auto":
         chunk = "1 hour"
-    return df.withColumn(_CHUNK, bucket_of(df, ts, chunk))
+    return df.withColumn(_CHUNK, bucket_of(df, ts, chunk)).withColumn(_HOT, F.lit(True))
 
 
 def _position(df: DataFrame, ts: str) -> Column:
@@ -134,7 +136,8 @@ def neighbours(
         bounds_aggs.append(F.min_by(payload, ordv).alias("__first"))
 
     # One row per (key, chunk): the border rows of that chunk.
-    bounds = with_chunk(df, ts, chunk, keys).groupBy(*part).agg(*bounds_aggs)
+    # only keys cut into several chunks have borders; whole keys need no summary
+    bounds = with_chunk(df, ts, chunk, keys).where(F.col(_HOT)).groupBy(*part).agg(*bounds_aggs)
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
     sel = [F.col(c) for c in part]
     if prev:
@@ -154,7 +157,7 @@ def neighbours(
         out = out.withColumn("__n", n)
         for c in cols:
             out = out.withColumn(prefix_next + c, F.col("__n")[c])
-    drop = [_CHUNK, "__lag", "__lead", "__prev_last", "__next_first", "__p", "__n"]
+    drop = [_CHUNK, _HOT, "__lag", "__lead", "__prev_last", "__next_first", "__p", "__n"]
     return out.drop(*[c for c in drop if c in out.columns])
 
 
@@ -221,7 +224,7 @@ def running(
             prefix.append((kind, name))
 
     d = d.select("*", *within)
-    summary = d.groupBy(*part).agg(*totals)
+    summary = d.where(F.col(_HOT)).groupBy(*part).agg(*totals)
     wc = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc())
     wc = wc.rowsBetween(Window.unboundedPreceding, -1)
     psel = [F.col(c) for c in part]
@@ -255,7 +258,7 @@ def running(
         else:
             res = F.coalesce(wv, pv)
         out = out.withColumn(name, res)
-    drop = [c for c in out.columns if c.startswith("_rs_") or c == _CHUNK]
+    drop = [c for c in out.columns if c.startswith("_rs_") or c in (_CHUNK, _HOT)]
     return out.drop(*drop)
 
 
@@ -309,7 +312,7 @@ def rows_frame(
     )
     # tail of each chunk: its last n values, oldest first
     tails = (
-        d.where(F.col("__rdesc") <= n)
+        d.where((F.col("__rdesc") <= n) & F.col(_HOT))
         .groupBy(*part)
         .agg(F.sort_array(F.collect_list(F.struct(_order_struct(order).alias("o"), v.alias("v")))).alias("__tail"))
     )
