@@ -59,6 +59,29 @@ def q_d2s(spark, sf):
     return run_foreach_batch(counts, "d2s", S.top_n_per_batch(5, "url"))
 
 
+@query("D20s_click_browse_stream", _ORACLES["D20_click_browse_join"])
+def q_d20s(spark, sf):
+    """Stream-stream interval join of clicks with the views of the hour before."""
+    clicks = _events(spark, sf, delay="1 hour", pre=lambda d: d.where(F.col("event_type") == "click").select(
+        "user_id", F.col("event_id").alias("click_id"), "ts")).withColumnRenamed("ts", "click_ts")
+    views = _events(spark, sf, delay="1 hour", pre=lambda d: d.where(F.col("event_type") == "view").select(
+        "user_id", F.col("event_id").alias("view_id"), "ts")).withColumnRenamed("ts", "view_ts")
+    out = run_to_parquet(S.interval_join_streams(clicks, views, ["user_id"], "click_ts", "view_ts",
+                                                 "-1 hour", "0 seconds"), "d20s")
+    return out.select("user_id", "click_id", "view_id",
+                      F.col("click_ts").cast("timestamp_ntz").alias("click_ts"),
+                      F.col("view_ts").cast("timestamp_ntz").alias("view_ts"))
+
+
+@query("D19s_freezing_alarm_stream", _ORACLES["D19_freezing_alarm"])
+def q_d19s(spark, sf):
+    from tidemark.operators.transforms import forward_with_alarm
+
+    s = stream_table(spark, sf, "events").select(
+        "event_id", F.col("user_id").alias("sensor_id"), F.col("value").alias("temperature"))
+    return run_to_parquet(forward_with_alarm(s, F.col("temperature") < 32.0, "freezing"), "d19s")
+
+
 @query("D4s_uv_stream", _ORACLES["D4_unique_visitors"])
 def q_d4s(spark, sf):
     s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view"))

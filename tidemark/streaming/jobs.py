@@ -149,3 +149,17 @@ def dynamic_threshold(stream: DataFrame) -> DataFrame:
     return stream.groupBy("sensor_id").transformWithStateInPandas(
         P.DynamicThreshold(), "sensor_id long, event_id long, temperature double, threshold double, "
                               "temp_diff double", "Append", "None")
+
+
+def interval_join_streams(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,
+                          lower: str, upper: str) -> DataFrame:
+    """J4/D20 between two streams: equal keys and right_ts in
+    [left_ts + lower, left_ts + upper].  Both inputs carry watermarks; the
+    time bound lets Spark drop join state once the watermark passes it."""
+    cond = [left[k] == right[k] for k in keys]
+    lo = F.expr(f"INTERVAL {duration_us(lower) // 1_000_000} SECONDS")
+    hi = F.expr(f"INTERVAL {duration_us(upper) // 1_000_000} SECONDS")
+    cond.append(right[right_ts] >= left[left_ts] + lo)
+    cond.append(right[right_ts] <= left[left_ts] + hi)
+    out = left.join(right, cond, "inner")
+    return out.drop(*[right[k] for k in keys])
