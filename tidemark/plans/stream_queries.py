@@ -82,6 +82,30 @@ def q_d19s(spark, sf):
     return run_to_parquet(forward_with_alarm(s, F.col("temperature") < 32.0, "freezing"), "d19s")
 
 
+@query("D17s_avg_celsius_stream", _ORACLES["D17_avg_temp_celsius"])
+def q_d17s(spark, sf):
+    from tidemark.functions.scalar import fahrenheit_to_celsius
+
+    s = _sensor_stream(spark, sf, flush=True).withColumn("celsius", fahrenheit_to_celsius(F.col("temperature")))
+    out = run_to_parquet(S.window_aggregate(s, "ts", "1 day", ["sensor_id"], [F.avg("celsius").alias("a")]), "d17s")
+    return out.select("window_start", "window_end", "sensor_id", F.round("a", 4).alias("avg_celsius"))
+
+
+@query("D18s_min_max_stream", _ORACLES["D18_min_max_temp"])
+def q_d18s(spark, sf):
+    s = _sensor_stream(spark, sf, flush=True)
+    return run_to_parquet(S.window_aggregate(s, "ts", "1 day", ["sensor_id"], [
+        F.min("temperature").alias("min_temp"), F.max("temperature").alias("max_temp")]), "d18s")
+
+
+@query("D6s_marketing_total_stream", _ORACLES["D6_marketing_total"])
+def q_d6s(spark, sf):
+    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.upper("event_type") != "ERROR").select("ts"))
+    out = run_to_parquet(S.window_counts(s, "ts", "1 hour", "10 minutes"), "d6s")
+    return out.select("window_start", "window_end", F.lit("app marketing").alias("channel"),
+                      F.lit("total").alias("behavior"), "count")
+
+
 @query("D4s_uv_stream", _ORACLES["D4_unique_visitors"])
 def q_d4s(spark, sf):
     s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view"))

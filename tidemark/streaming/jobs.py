@@ -163,3 +163,11 @@ def interval_join_streams(left: DataFrame, right: DataFrame, keys, left_ts: str,
     cond.append(right[right_ts] <= left[left_ts] + hi)
     out = left.join(right, cond, "inner")
     return out.drop(*[right[k] for k in keys])
+
+
+def window_aggregate(stream: DataFrame, ts: str, size: str, keys, aggs) -> DataFrame:
+    """Tumbling-window aggregates in append mode."""
+    out = stream.groupBy(F.window(ts, size).alias("w"), *keys).agg(*aggs)
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("w.end").cast("timestamp_ntz").alias("window_end"), *keys,
+                      *[c for c in out.columns if c not in ("w", *keys)])
