@@ -122,7 +122,7 @@ def q_d16(spark, sf):
 
 @query("D17_avg_temp_celsius", """
 SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
-       user_id AS sensor_id, round(avg((value - 32) * 5 / 9), 4) AS avg_celsius
+       user_id AS sensor_id, round(avg((value - 32) * 5 / 9), 4) + 0.0 AS avg_celsius
 FROM events GROUP BY ALL
 """)
 def q_d17(spark, sf):
