@@ -100,10 +100,13 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     One row per text: the one with the smallest identifier; of repeated rows one stays.
     """
     groups = exact_groups(docs, id_col, text_col, fan_in)
-    keepers = groups.where("kept").select(F.col("id").alias("k_id"), *[F.col(k).alias(f"k_{k}") for k in KEY])
+    same = ["w_id", "w_no_id", *KEY]
+    keepers = groups.where("kept").select(F.col("id").cast("string").alias("w_id"), *KEY)
     ident, text = flat_name(docs, id_col), flat_name(docs, text_col)
-    rows = flatten(docs).select("*", *digest_key(text_of(text)))
-    rows = rows.join(keepers, F.col(ident).eqNullSafe(F.col("k_id"))
-                     & (F.col("digest") == F.col("k_digest")) & (F.col("check") == F.col("k_check"))
-                     & (F.col("n_bytes") == F.col("k_n_bytes")), "left_semi")
-    return restore(rows.dropDuplicates([ident, *KEY]), docs)
+    rows = flatten(docs).select("*", F.col(ident).cast("string").alias("w_id"), *digest_key(text_of(text)))
+
+    def named(df: DataFrame) -> DataFrame:
+        return df.withColumn("w_no_id", F.col("w_id").isNull()).withColumn("w_id", F.coalesce("w_id", F.lit("")))
+
+    kept = named(rows).join(named(keepers), same, "left_semi").dropDuplicates(same)
+    return restore(kept, docs)

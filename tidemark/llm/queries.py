@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding
+from tidemark.llm import exact_dedup, sharding, simhash
 
 SHARDS = 8
 
@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """3-word shingles, links at 2 or fewer differing bits."""
+    out = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      "component_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``key``: 2 regions x 2 racks x 2 shards, grown by one shard."""
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), sharding.default_tree(SHARDS),
@@ -32,6 +39,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_simhash": op1_simhash,
         "op7_sharding": op7_sharding,
         "op9_exact_dedup": op9_exact_dedup,
     }
@@ -57,10 +65,19 @@ def _descend(regions: list[tuple[str, float]]) -> str:
 
 
 OP7_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(doc_id::VARCHAR, 'null') AS k FROM documents),
-s AS (SELECT doc_id, strlen(t)::BIGINT + 1 AS size, t, k,
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+               lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(doc_id::VARCHAR, 'null') AS k FROM documents),
+s AS (SELECT doc_id, strlen(d.t)::BIGINT + 1 AS size,
+             xor(list_reduce(list_prepend(4294967295::BIGINT,
+                   list_transform(regexp_extract_all(hex(encode(d.t)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                 lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32,
              ({_descend([])})::INTEGER AS shard,
-             ({_descend([("grown-region8", 1)])})::INTEGER AS grown_shard FROM d)
+             ({_descend([("grown-region8", 1)])})::INTEGER AS grown_shard
+      FROM d, crc)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot
+FROM s
 """
 
 OP9_SQL = r"""
@@ -73,4 +90,4 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 
 def oracles() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL}
