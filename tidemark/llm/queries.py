@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, sharding, simhash
+from tidemark.llm import exact_dedup, licenses, sharding, simhash
 
 SHARDS = 8
 
@@ -23,6 +23,13 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "component_id")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word",
+                      F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``key``: 2 regions x 2 racks x 2 shards, grown by one shard."""
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), sharding.default_tree(SHARDS),
@@ -40,6 +47,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
+        "op2_licenses": op2_licenses,
         "op7_sharding": op7_sharding,
         "op9_exact_dedup": op9_exact_dedup,
     }
@@ -80,6 +88,38 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
 FROM s
 """
 
+def _license_sql() -> str:
+    """Every block against every template, by list functions."""
+    every = licenses.PHRASES + licenses.NOTICES
+    span = max(len(t.words) for t in every)
+    rows = ", ".join(f"({i}, '{t.label}', {t.phrase}, {t.words}, {licenses.need(t)})" for i, t in enumerate(every))
+    return f"""
+WITH t(template, label, phrase, words, need) AS (VALUES {rows}),
+d AS (SELECT doc_id, row_number() OVER () AS uid,
+        regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
+                           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT uid, start, w[start + 1 : start + {2 * span}] AS block
+      FROM (SELECT uid, w, unnest(range(0, greatest(len(w), 1)::BIGINT, {span})) AS start FROM d)),
+m AS (SELECT uid, start, label, phrase,
+             len(list_intersect(list_distinct(words), list_distinct(block))) AS shared,
+             len(list_distinct(words)) AS size, need,
+             list_transform(list_filter(range({span}), lambda p: block[p + 1 : p + len(words)] = words),
+                            lambda p: start + p) AS places
+      FROM b, t),
+f AS (SELECT * FROM m WHERE shared >= need AND (NOT phrase OR len(places) > 0)),
+h AS (SELECT uid, max(shared / size) AS score,
+             coalesce(string_agg(DISTINCT label, ',' ORDER BY label), '') AS labels,
+             coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase), '') AS base_labels,
+             coalesce(sum(len(places)) FILTER (phrase), 0)::BIGINT AS n_base,
+             min(list_min(places)) FILTER (phrase) AS first_word,
+             max(list_max(places)) FILTER (phrase) AS last_word
+      FROM f GROUP BY uid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN h USING (uid)
+"""
+
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
            FROM documents)
@@ -90,4 +130,4 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 
 def oracles() -> dict[str, str]:
-    return {"op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL}
