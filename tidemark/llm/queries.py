@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, licenses, sharding, simhash
+from tidemark.llm import bpe, exact_dedup, licenses, sharding, simhash
 
 SHARDS = 8
 
@@ -30,6 +31,26 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("labels", ",").alias("labels"), "score")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer file: below $TIDEMARK_TOKENIZERS, else of the installed collection."""
+    folder = os.environ.get("TIDEMARK_TOKENIZERS")
+    return os.path.join(folder, name) if folder else public_tokenizers().path(name)
+
+
+def public_tokenizers():
+    import public_tokenizers as collection
+
+    return collection
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(tokenizer_path("byte_bpe_50k.tiktoken"))
+    out = bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, public_tokenizers().PATTERN, decoded=True)
+    return out.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(bpe.ids_text("ids"), 256).alias("ids_sha256"),
+                      F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``key``: 2 regions x 2 racks x 2 shards, grown by one shard."""
     out = sharding.assign_shards(table(spark, sf_dir, "documents"), sharding.default_tree(SHARDS),
@@ -48,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_licenses": op2_licenses,
+        "op6_bpe": op6_bpe,
         "op7_sharding": op7_sharding,
         "op9_exact_dedup": op9_exact_dedup,
     }
