@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, exact_dedup, licenses, sharding, simhash
+from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, sharding, simhash
 
 SHARDS = 8
 
@@ -65,6 +65,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they hold: 5-word shingles, containment 0.8 or more."""
+    out = decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "item_id", "shared", "containment")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -72,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_bpe": op6_bpe,
         "op7_sharding": op7_sharding,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_decontamination": op10_decontamination,
     }
 
 
@@ -150,6 +157,23 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id AS id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, least(5, len(w)) AS n,
+             unnest(list_transform(range(1, len(w) - least(5, len(w)) + 2),
+                                   lambda p: array_to_string(w[p : p + least(5, len(w)) - 1], ' '))) AS s
+      FROM b WHERE len(w) > 0),
+s AS (SELECT DISTINCT id, n, unnest(list_transform(range(1, len(w) - n + 2),
+                                     lambda p: array_to_string(w[p : p + n - 1], ' '))) AS s
+      FROM d, (SELECT DISTINCT n FROM i)),
+c AS (SELECT item_id, count(*) AS size FROM i GROUP BY item_id)
+SELECT id AS doc_id, item_id, count(*) AS shared, count(*) / any_value(size) AS containment
+FROM i JOIN s USING (n, s) JOIN c USING (item_id)
+GROUP BY id, item_id HAVING count(*) >= ceil(0.8 * any_value(size) - 1e-9)
+"""
+
 
 def oracles() -> dict[str, str]:
-    return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL,
+            "op10_decontamination": OP10_SQL}
