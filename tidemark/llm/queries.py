@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, sharding, simhash
+from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, sharding, simhash
 
 SHARDS = 8
 
@@ -31,6 +31,13 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("labels", ",").alias("labels"), "score")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    return out.select(F.col("id").alias("doc_id"), "held_out", "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def tokenizer_path(name: str) -> str:
     """A public tokenizer file: below $TIDEMARK_TOKENIZERS, else of the installed collection."""
     folder = os.environ.get("TIDEMARK_TOKENIZERS")
@@ -75,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_licenses": op2_licenses,
+        "op5_quality": op5_quality,
         "op6_bpe": op6_bpe,
         "op7_sharding": op7_sharding,
         "op9_exact_dedup": op9_exact_dedup,
