@@ -26,18 +26,18 @@ SEED = 7
 
 
 def statistics(text: Column) -> dict[str, Column]:
-    """The statistics of a text; all are 0 for an empty one."""
+    """The statistics of a text.
+
+    All are shares or rates that do not change with the length of a text of one kind.
+    """
     chars = F.greatest(F.length(text), F.lit(1))
-    tokens = F.split(F.trim(text), r"\s+")
-    words = F.size(tokens)
+    words = F.greatest(F.regexp_count(text, F.lit(r"\S+")), F.lit(1))
     lines = F.split(text, "\n")
 
     def count(pattern: str) -> Column:
         return F.regexp_count(text, F.lit(pattern))
 
     return {
-        "log_chars": F.log1p(F.length(text)),
-        "chars_per_word": F.length(text) / words,
         "upper_share": count("[A-Z]") / chars,
         "digit_share": count("[0-9]") / chars,
         "symbols_per_word": count(r"[#$%&*^~=_{}<>\\]") / words,
@@ -45,9 +45,8 @@ def statistics(text: Column) -> dict[str, Column]:
         "bars_per_word": count(r"\|") / words,
         "stops_per_word": count("[.]") / words,
         "lines_per_word": F.size(lines) / words,
-        "distinct_words": F.size(F.array_distinct(tokens)) / words,
+        "repeats_per_word": count(r"(?<!\S)(\S++)(?=\s+\1(?!\S))") / words,
         "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
-        "ends_sentence": F.rtrim(text).rlike("[.!?]$").cast("double"),
     }
 
 
@@ -88,14 +87,17 @@ class RuleModel:
 
 def grow(x: np.ndarray, y: np.ndarray, names: list[str], features: np.ndarray, depth: int,
          least: int, path: tuple = ()) -> list[tuple]:
-    """The paths to all nodes of a tree grown by Gini impurity."""
+    """The paths to all nodes of a tree grown by Gini impurity.
+
+    Cuts lie at quantiles of either label, moved to the middle of the gap above.
+    """
     paths = [path] if path else []
     if depth == 0 or len(y) < 2 * least or y.min() == y.max():
         return paths
     best = None
     for f in features:
         v = x[:, f]
-        cuts = np.unique(np.quantile(v, np.linspace(0.02, 0.98, 25), method="lower"))
+        cuts = np.unique([np.quantile(v[y == k], np.linspace(0, 1, 33), method="lower") for k in (0, 1)])
         low = v[:, None] <= cuts[None, :]
         n_low = low.sum(axis=0)
         ones_low = (low & (y[:, None] > 0)).sum(axis=0)
@@ -197,7 +199,7 @@ def score_documents(docs: DataFrame, model: RuleModel, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per input row: ``id, held_out, score``.
 
-    Null texts count as empty; empty texts are scored like any other (all statistics 0).
+    Null texts count as empty; empty texts are scored like any other (they have no repeats, symbols or capitals).
     Identifiers may be null or repeated; other columns are ignored; an empty table gives an
     empty result.
     """
