@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, sharding, simhash
+from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, sharding, simhash, warc
 
 SHARDS = 8
 
@@ -66,6 +66,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "shard", "slot", "grown_shard")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    out = warc.read_archives(warc.write_archives(pages))
+    id_type = pages.schema["page_id"].dataType
+    return out.select(F.col("page_id").cast(id_type).alias("page_id"), "payload_bytes", "payload_digest",
+                      "record_type", F.col("refers_to").cast(id_type).alias("refers_to"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
@@ -85,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_quality": op5_quality,
         "op6_bpe": op6_bpe,
         "op7_sharding": op7_sharding,
+        "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_decontamination": op10_decontamination,
     }
@@ -157,6 +166,17 @@ FROM d LEFT JOIN h USING (uid)
 """
 
 
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS best FROM p)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM r
+"""
+
 OP9_SQL = r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
            FROM documents)
@@ -183,5 +203,5 @@ GROUP BY id, item_id HAVING count(*) >= ceil(0.8 * any_value(size) - 1e-9)
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op9_exact_dedup": OP9_SQL,
+    return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op8_warc": OP8_SQL, "op9_exact_dedup": OP9_SQL,
             "op10_decontamination": OP10_SQL}
