@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, sharding, simhash, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, secret_scan, sharding, simhash, warc
 
 SHARDS = 8
 
@@ -31,6 +31,23 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.array_join("labels", ",").alias("labels"), "score")
 
 
+def span_text(spans: str, kinds: tuple[str, ...]):
+    """Spans as kind:start:end, comma-joined, in their order."""
+    names = F.array(*[F.lit(k) for k in kinds])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    out = out.withColumn("base", F.filter("spans", lambda s: s["kind"] < 3))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
+              for k, name in enumerate(secret_scan.KINDS[:3])]
+    return out.select(F.col("id").alias("doc_id"), *counts,
+                      F.sha2(span_text("base", secret_scan.KINDS), 256).alias("base_sha256"),
+                      span_text("spans", secret_scan.KINDS).alias("spans"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = quality.score_documents(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -90,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_licenses": op2_licenses,
+        "op4_secrets": op4_secrets,
         "op5_quality": op5_quality,
         "op6_bpe": op6_bpe,
         "op7_sharding": op7_sharding,
