@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, quality, secret_scan, sharding, simhash, warc
+from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, pii, quality, secret_scan, sharding, simhash, warc
 
 SHARDS = 8
 
@@ -38,6 +38,15 @@ def span_text(spans: str, kinds: tuple[str, ...]):
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.scan(table(spark, sf_dir, "documents")).withColumn("base", F.filter("spans", lambda s: s["rule"]))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as bigint)").alias(f"n_{name}")
+              for k, name in enumerate(pii.KINDS)]
+    return out.select(F.col("id").alias("doc_id"), *counts,
+                      F.sha2(span_text("base", pii.KINDS), 256).alias("base_sha256"),
+                      span_text("spans", pii.KINDS).alias("spans"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.scan(table(spark, sf_dir, "documents"))
     out = out.withColumn("base", F.filter("spans", lambda s: s["kind"] < 3))
@@ -107,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
         "op2_licenses": op2_licenses,
+        "op3_pii": op3_pii,
         "op4_secrets": op4_secrets,
         "op5_quality": op5_quality,
         "op6_bpe": op6_bpe,
