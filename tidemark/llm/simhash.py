@@ -9,7 +9,8 @@
    come from a dynamic program over the estimated candidate counts of each partition and
    threshold.
 4. A partition with threshold t is probed with one mask per choice of t of its bits to
-   leave out: fingerprints equal under a mask are candidates of that mask.
+   leave out: fingerprints equal under a mask are candidates of that mask.  The remaining
+   bits of a mask are partitioned and allocated once more in the same way.
 5. Verify without pairs: two fingerprints differ in at most 2r bits exactly if their balls
    of radius r meet, and of candidates of a mask only bits outside it can differ.  Each
    candidate puts its ball (1 + at most 64 keys for d = 2) under hash keys; the at most 65
@@ -96,8 +97,8 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
     return int(flat[-1]), flat[:-1].reshape(BITS, BITS)
 
 
-def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
-    """Bits in ``parts`` groups of near equal size, correlated bits together.
+def group_bits(n: int, both: np.ndarray, bits: list[int], parts: int) -> list[list[int]]:
+    """The given bits in ``parts`` groups of near equal size, correlated bits together.
 
     Greedy: a group starts with the strongest remaining bit and takes the bits with the
     largest absolute correlation to those it has.
@@ -107,7 +108,7 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     cov = both / max(n, 1) - np.outer(p, p)
     scale = np.sqrt(np.outer(var, var))
     corr = np.abs(np.divide(cov, scale, out=np.zeros_like(cov), where=scale > 0))
-    left, groups = set(range(BITS)), []
+    left, groups = set(bits), []
     for g in range(parts):
         size = len(left) // (parts - g)
         first = max(left, key=lambda b: (sum(corr[b, c] for c in left if c != b), -b))
@@ -154,18 +155,29 @@ def allocate_thresholds(costs: list[list[float]], probes: list[list[float]], bud
     return best[budget][1]
 
 
-def plan_masks(fps: DataFrame, distance: int, parts: int) -> list[int]:
-    """Bit masks such that fingerprints within ``distance`` bits agree under one of them."""
+def plan_masks(fps: DataFrame, distance: int, parts: int, levels: int = 2) -> list[int]:
+    """Bit masks such that fingerprints within ``distance`` bits agree under one of them.
+
+    The principle is applied again to the bits outside a mask (fingerprints that agree under
+    it differ only there): with 3 parts and 2 levels a mask has about 35 bits, so chance
+    agreements stay rare up to some 10^10 fingerprints.
+    """
     n, both = bit_counts(fps)
-    groups = group_bits(n, both, parts)
-    costs = [estimated_candidates(n, both, g, distance) for g in groups]
-    probes = [[float(n) * math.comb(len(g), t) for t in range(distance + 1)] for g in groups]
-    thresholds = allocate_thresholds(costs, probes, distance - parts + 1)
-    masks = []
-    for group, t in zip(groups, thresholds):
-        for out in itertools.combinations(group, t) if t >= 0 else ():
-            masks.append(sum(1 << b for b in group if b not in out))
-    return masks
+
+    def refine(held: int, level: int) -> list[int]:
+        if level == levels:
+            return [held]
+        groups = group_bits(n, both, [b for b in range(BITS) if not held >> b & 1], parts)
+        costs = [estimated_candidates(n, both, g, distance) for g in groups]
+        probes = [[float(n) * math.comb(len(g), t) for t in range(distance + 1)] for g in groups]
+        thresholds = allocate_thresholds(costs, probes, distance - parts + 1)
+        out = []
+        for group, t in zip(groups, thresholds):
+            for free in itertools.combinations(group, t) if t >= 0 else ():
+                out += refine(held | sum(1 << b for b in group if b not in free), level + 1)
+        return out
+
+    return sorted(set(refine(0, 0)))
 
 
 def signed(x: int) -> int:
@@ -194,6 +206,9 @@ def links(fps: DataFrame, distance: int = 2, parts: int = 3) -> DataFrame:
                   .groupBy("fp").agg(F.bit_or("free").alias("free")))
     bits = F.expr("transform(filter(sequence(0, 63), i -> getbit(free, i) = 1), i -> fp ^ shiftleft(1L, i))")
     ball = candidates.select("fp", F.explode(F.concat(F.array("fp"), bits)).alias("at"))
+    if distance == 1:  # a ball of radius 1 reaches the other fingerprint itself
+        return (ball.where("fp < at").join(fps.select(F.col("fp").alias("at")), "at", "left_semi")
+                .select(F.col("fp").alias("a"), F.col("at").alias("b")))
     before = F.lag("fp").over(Window.partitionBy("at").orderBy("fp"))
     chain = ball.select(before.alias("a"), F.col("fp").alias("b")).where("a is not null")
     return chain.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).distinct()
