@@ -8,7 +8,7 @@ only into or out of its own subtree, and a new child takes rows only into itself
 
 A shard that is added to the default layout opens a region of its own: rows move to it and
 nowhere else.  Put into an existing rack it would also raise the weights above it, and the
-rows these pull in would spread over the whole rack (``movement`` of the general tree).
+rows these pull in would spread over the whole subtree; no other subtree would change.
 
 Everything is Spark SQL: the draws are expressions, and slots come from ranks within
 (range partition, shard) cells plus a running sum of cell counts, so neither a shard nor a
