@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialize, take, text_of
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+CHAR = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+WORD = CHAR + "+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -108,14 +109,14 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES,
     table = []
     for number, t in enumerate(templates):
         tokens = sorted({rank[w] for w in t.words})
-        table += [(number, t.label, t.phrase, t.words, tokens, len(tokens), need(t), i + 1, token)
+        table += [(number, t.label, t.phrase, [rank[w] for w in t.words], tokens, len(tokens), need(t), i + 1, token)
                   for i, token in enumerate(tokens[:len(tokens) - need(t) + 1])]
     prefixes = spark.createDataFrame(
-        table, "template int, label string, phrase boolean, words array<string>, t_tokens array<int>, "
+        table, "template int, label string, phrase boolean, phrase_tokens array<int>, t_tokens array<int>, "
                "t_size int, need int, i int, token int")
     ranks = spark.createDataFrame(list(rank.items()), "w string, token int")
     rare = sorted({w for w in rank if any(r[-1] == rank[w] for r in table)})
-    holds_rare = F.col("text").rlike("(?i)" + "|".join(re.escape(w) for w in rare))
+    holds_rare = F.col("text").rlike(f"(?i)(?<!{CHAR})(?:{'|'.join(re.escape(w) for w in rare)})(?!{CHAR})")
     seen = materialize(rows.select("id", F.monotonically_increasing_id().alias("uid"),
                                    F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
                                    F.when(holds_rare, F.col("text")).alias("text")), "license-rows")
@@ -123,28 +124,31 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES,
     words = seen.where("text is not null").select("uid", words_of(F.col("text")).alias("all"))
     blocks = words.select("uid", "all", F.explode(F.expr(
         f"sequence(0, greatest(size(all) - 1, 0), {longest})")).alias("start"))
-    blocks = blocks.select("uid", "start", F.expr(f"slice(all, start + 1, {2 * longest})").alias("block"))
-    tokens = (blocks.select("uid", "start", F.explode(F.array_distinct("block")).alias("w"))
-              .join(F.broadcast(ranks), "w")
-              .groupBy("uid", "start").agg(F.sort_array(F.collect_list("token")).alias("tokens")))
+    words = blocks.select("uid", "start", F.posexplode(F.expr(f"slice(all, start + 1, {2 * longest})"))
+                          .alias("at", "w"))
+    tokens = (words.join(F.broadcast(ranks), "w").groupBy("uid", "start")
+              .agg(F.sort_array(F.collect_list(F.struct(F.expr("start + at").alias("at"), "token"))).alias("seen"))
+              .withColumn("tokens", F.expr("array_sort(array_distinct(seen.token))")))
     placed = tokens.select("uid", "start", "tokens", F.size("tokens").alias("b_size"),
                            F.posexplode("tokens").alias("j0", "token"))
     met = (placed.join(F.broadcast(prefixes), "token")
            .where("b_size >= need and j0 + 1 <= b_size - need + 1")
            .groupBy("uid", "start", "template")
            .agg(F.min("i").alias("i"), F.min(F.col("j0") + 1).alias("j"))
-           .join(F.broadcast(prefixes.select("template", "label", "phrase", "words", "t_tokens", "t_size", "need")
+           .join(F.broadcast(prefixes.select("template", "label", "phrase", "phrase_tokens", "t_tokens", "t_size", "need")
                              .distinct()), "template")
            .join(tokens, ["uid", "start"])
            .where("1 + least(t_size - i, size(tokens) - j) >= need")
            .withColumn("shared", F.size(F.array_intersect("t_tokens", "tokens")))
            .where("shared >= need"))
-    found = met.join(blocks, ["uid", "start"]).withColumn("at", F.expr(f"""
-        case when phrase then filter(sequence(0, {longest - 1}), p -> slice(block, p + 1, size(words)) = words) end"""))
-    found = found.where("not phrase or size(at) > 0")
+    found = met.withColumn("places", F.expr(f"""
+        case when phrase then transform(filter(sequence(0, size(seen) - 1), k -> seen[k].at < start + {longest}
+            and slice(seen, k + 1, size(phrase_tokens)) =
+                transform(phrase_tokens, (t, n) -> struct(seen[k].at + n as at, t as token))),
+            k -> struct(seen[k].at as word, label)) end"""))
+    found = found.where("not phrase or size(places) > 0")
     hits = found.groupBy("uid").agg(
-        F.sort_array(F.flatten(F.collect_list(F.expr(
-            "transform(at, p -> struct(start + p as word, label))")))).alias("places"),
+        F.sort_array(F.flatten(F.collect_list("places"))).alias("places"),
         F.sort_array(F.collect_set(F.when(F.col("phrase"), F.col("label")))).alias("base_labels"),
         F.sort_array(F.collect_set("label")).alias("labels"),
         F.max(F.col("shared") / F.col("t_size")).alias("score"))
