@@ -1,16 +1,20 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
 A task splits its texts with the tokenizer's pattern and gathers the words it has not seen
-yet.  Their bytes are laid out as one sequence of positions, and an inverted index maps
-every token pair (by the rank of the token it would make) to the positions where it stands.
-Merges are replayed in rank order over all words at once: a rank's positions are taken from
-left to right, each merge touches only its two neighbours, and the pairs these now form go
-into the index.  A pair that ranks below the merge being replayed is taken first, so every
-word gets the merges in the order in which it would get them alone.
-
-Encoded words are kept in a cache with a fixed number of entries per Python worker; texts
-are then put together from words, whole, one at a time.  Decoding maps ids to bytes.
-Tokenizers are not trained: ranks and pattern are parameters.
+yet.  Their bytes are laid out as one sequence of positions.  An inverted index maps every
+token pair to the positions where it stands, so a pair's rank is looked up once however
+often it occurs.  Merges are replayed over all words at once, for every word in rank order
+(lowest rank first, then leftmost), and each merge touches only its two neighbours:
+
+* Ordinary words go in waves (numpy): a wave applies the next merge of each word, then only
+  the pairs left and right of the merges are indexed and ranked anew.
+* Words of more than ``WAVE_BYTES`` bytes are replayed rank by rank: the positions of a rank
+  are taken from left to right and new pairs go into the index; a pair that ranks no higher
+  than the one being replayed is taken first.  A word of n bytes takes O(n log n).
+
+Encoded words are kept in a store with a bounded number of entries per Python worker; ids
+of whole texts and decoded bytes are gathered from it with array operations.  Tokenizers are
+not trained: ranks and pattern are parameters.
 """
 
 from __future__ import annotations
@@ -19,19 +23,23 @@ import base64
 import heapq
 import uuid
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flatten, flat_name, take, text_of
+from tidemark.llm.common import flat_name, flatten, take, text_of
 from tidemark.session import ship_package
 
-CACHE_WORDS = 200_000
-CACHE_WORD_CHARS = 64
+STORE_WORDS = 400_000
 CHUNK_CHARS = 1 << 22
+WAVE_BYTES = 256
+NO_RANK = np.int64(1) << 31
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -40,61 +48,121 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+def ragged(offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The indices offset, offset + 1, ... of every (offset, length), one after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(offsets - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class MergeReplay:
-    """Encoder of words and decoder of ids for one rank table."""
+    """Encoder of texts and decoder of ids for one rank table."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, store_words: int = STORE_WORDS):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.cache_words = cache_words
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def replay(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """The ids of every word."""
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.size = max(self.tokens) + 1
+        self.token_lengths = np.array([len(self.tokens.get(i, b"")) for i in range(self.size)], np.int64)
+        self.token_offsets = np.cumsum(self.token_lengths) - self.token_lengths
+        self.token_bytes = np.frombuffer(b"".join(self.tokens.get(i, b"") for i in range(self.size)), np.uint8)
+        self.made: dict[int, int] = {}
+        self.store_words = store_words
+        self.clear()
+
+    def clear(self) -> None:
+        self.slots: dict[str, int] = {}
+        self.ids = np.empty(0, np.int32)
+        self.offsets = np.empty(0, np.int64)
+        self.lengths = np.empty(0, np.int64)
+
+    def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair's merge: by an index from distinct pairs to their positions."""
+        pairs, places = np.unique(a * self.size + b, return_inverse=True)
+        made, ranks, tokens = self.made, self.ranks, self.tokens
+        if len(made) > 1_000_000:
+            made.clear()
+        of = []
+        for pair in pairs.tolist():
+            if pair not in made:
+                made[pair] = ranks.get(tokens[pair // self.size] + tokens[pair % self.size], int(NO_RANK))
+            of.append(made[pair])
+        return np.array(of, np.int64)[places] if of else np.empty(0, np.int64)
+
+    def replay_waves(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids per word, all ids): one merge of every unfinished word per wave."""
+        count = np.array([len(w) for w in words], np.int64)
+        out = np.zeros(len(words), np.int64)
+        done_ids: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        tok = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+        word = np.arange(len(words))
+        start = np.cumsum(count) - count
+        rank = np.full(len(tok), NO_RANK)
+        inner = np.ones(len(tok), bool)
+        inner[start + count - 1] = False
+        at = np.flatnonzero(inner)
+        rank[at] = self.pair_ranks(tok[at], tok[at + 1])
+        while len(word):
+            best = np.minimum.reduceat((rank << np.int64(31)) | np.arange(len(tok)), start)
+            live = (best >> np.int64(31)) < NO_RANK
+            if not live.all():
+                ended = ~live
+                n = count[ended]
+                out[word[ended]] = n
+                done_ids.append((word[ended], n, tok[ragged(start[ended], n)]))
+                keep = ragged(start[live], count[live])
+                back = np.full(len(tok), -1)
+                back[keep] = np.arange(len(keep))
+                tok, rank = tok[keep], rank[keep]
+                best, word, count = best[live], word[live], count[live]
+                start = np.cumsum(count) - count
+                if not len(word):
+                    break
+                i = back[best & np.int64((1 << 31) - 1)]
+            else:
+                i = best & np.int64((1 << 31) - 1)
+            tok[i] = rank[i]
+            keep = np.ones(len(tok), bool)
+            keep[i + 1] = False
+            tok, rank = tok[keep], rank[keep]
+            i = i - np.arange(len(word))
+            count = count - 1
+            start = np.cumsum(count) - count
+            right = i + 1 < start + count
+            rank[i] = NO_RANK
+            left = i > start
+            at = np.concatenate((i[right], i[left] - 1))
+            rank[at] = self.pair_ranks(tok[at], tok[at + 1])
+        offsets = np.cumsum(out) - out
+        ids = np.empty(int(out.sum()), np.int32)
+        for w, n, t in done_ids:
+            ids[ragged(offsets[w], n)] = t
+        return out, ids
+
+    def replay_ranks(self, data: bytes) -> list[int]:
+        """The ids of one long word, rank by rank."""
         ranks, tokens = self.ranks, self.tokens
-        out: list[tuple[int, ...] | None] = [None] * len(words)
-        tok: list[int] = []   # token at a position, -1 once merged into an earlier one
-        nxt: list[int] = []   # next position of the word, -1 at its end
-        prv: list[int] = []
-        first: list[tuple[int, int]] = []
-        for k, w in enumerate(words):
-            whole = ranks.get(w)
-            if whole is not None:
-                out[k] = (whole,)
-                continue
-            at, n = len(tok), len(w)
-            first.append((k, at))
-            tok.extend(ranks[w[i:i + 1]] for i in range(n))
-            nxt.extend(range(at + 1, at + n))
-            nxt.append(-1)
-            prv.append(-1)
-            prv.extend(range(at, at + n - 1))
-        made: dict[tuple[int, int], int | None] = {}
+        n = len(data)
+        tok = [ranks[data[i:i + 1]] for i in range(n)]  # -1 once merged into an earlier one
+        nxt = [*range(1, n), -1]
+        prv = [*range(-1, n - 1)]
 
         def rank(a: int, b: int) -> int | None:
-            pair = (a, b)
-            if pair not in made:
-                made[pair] = ranks.get(tokens[a] + tokens[b])
-            return made[pair]
+            return ranks.get(tokens[tok[a]] + tokens[tok[b]])
 
         index: dict[int, list[int]] = defaultdict(list)
-        for i, j in enumerate(nxt):
-            if j >= 0:
-                r = rank(tok[i], tok[j])
-                if r is not None:
-                    index[r].append(i)
+        for i in range(n - 1):
+            r = rank(i, i + 1)
+            if r is not None:
+                index[r].append(i)
         due = list(index)
         heapq.heapify(due)
         while due:
             r = heapq.heappop(due)
-            places = index.pop(r, None)
-            if places is None:
-                continue
-            places.sort()
+            places = sorted(index.pop(r, ()))
             for done, i in enumerate(places):
                 j = nxt[i] if tok[i] >= 0 else -1
-                if j < 0 or rank(tok[i], tok[j]) != r:
+                if j < 0 or rank(i, j) != r:
                     continue
                 after = nxt[j]
                 tok[i], tok[j], nxt[i] = r, -1, after
@@ -102,45 +170,67 @@ class MergeReplay:
                     prv[after] = i
                 sooner = False
                 for a, b in ((prv[i], i), (i, after)):
-                    if a >= 0 and b >= 0:
-                        new = rank(tok[a], tok[b])
-                        if new is not None:
-                            if new not in index:
-                                heapq.heappush(due, new)
-                            index[new].append(a)
-                            sooner |= new <= r
+                    new = rank(a, b) if a >= 0 and b >= 0 else None
+                    if new is not None:
+                        if new not in index:
+                            heapq.heappush(due, new)
+                        index[new].append(a)
+                        sooner |= new <= r
                 if sooner:
                     if r not in index:
                         heapq.heappush(due, r)
                     index[r].extend(places[done + 1:])
                     break
-        for k, at in first:
-            ids = []
-            while at >= 0:
-                ids.append(tok[at])
-                at = nxt[at]
-            out[k] = tuple(ids)
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of every text; the new words of all of them are replayed at once."""
+        return [t for t in tok if t >= 0]
+
+    def replay(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids per word, all ids)."""
+        data = [w.encode("utf-8") for w in words]
+        lengths = np.ones(len(data), np.int64)
+        whole = np.array([self.ranks.get(w, -1) for w in data], np.int64)
+        short = [k for k, w in enumerate(data) if whole[k] < 0 and len(w) <= WAVE_BYTES]
+        long = {k: np.array(self.replay_ranks(w), np.int32)
+                for k, w in enumerate(data) if whole[k] < 0 and len(w) > WAVE_BYTES}
+        n, waves = self.replay_waves([data[k] for k in short]) if short else (np.empty(0, np.int64), None)
+        lengths[short] = n
+        for k, ids in long.items():
+            lengths[k] = len(ids)
+        offsets = np.cumsum(lengths) - lengths
+        out = np.empty(int(lengths.sum()), np.int32)
+        known = np.flatnonzero(whole >= 0)
+        out[offsets[known]] = whole[known]
+        if short:
+            out[ragged(offsets[short], n)] = waves
+        for k, ids in long.items():
+            out[offsets[k]:offsets[k] + len(ids)] = ids
+        return lengths, out
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(end of each text in the ids, ids of all texts); all new words are replayed at once."""
         split = [self.split(t) for t in texts]
-        cache = self.cache
-        new = dict.fromkeys(w for words in split for w in words if w not in cache)
-        if len(cache) + len(new) > self.cache_words:
-            cache.clear()
-            new = dict.fromkeys(w for words in split for w in words)
-        seen = dict(zip(new, self.replay([w.encode("utf-8") for w in new])))
-        if len(cache) + len(seen) <= self.cache_words:
-            cache.update((w, ids) for w, ids in seen.items() if len(w) <= CACHE_WORD_CHARS)
-        for words in split:
-            ids: list[int] = []
-            for w in words:
-                ids.extend(seen[w] if w in seen else cache[w])
-            yield ids
-
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        new = [w for w in dict.fromkeys(chain.from_iterable(split)) if w not in self.slots]
+        if len(self.slots) + len(new) > self.store_words:
+            self.clear()
+            new = list(dict.fromkeys(chain.from_iterable(split)))
+        lengths, ids = self.replay(new)
+        self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new))))
+        self.offsets = np.concatenate((self.offsets, len(self.ids) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, ids))
+        words = np.array([len(s) for s in split], np.int64)
+        at = np.fromiter(map(self.slots.__getitem__, chain.from_iterable(split)), np.int64, int(words.sum()))
+        lengths = self.lengths[at]
+        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(words)]
+        ids = self.ids[ragged(self.offsets[at], lengths)]
+        if len(self.slots) > self.store_words or len(self.ids) > 32 * self.store_words:
+            self.clear()  # one batch, or one very long word, can be larger than the store
+        return ends, ids
+
+    def decode(self, ends: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(end of each text in the bytes, bytes of all texts)."""
+        lengths = self.token_lengths[ids]
+        at = np.concatenate(([0], np.cumsum(lengths)))[ends]
+        return at, self.token_bytes[ragged(self.token_offsets[ids], lengths)]
 
 
 _REPLAYS: dict[int, MergeReplay] = {}
@@ -186,38 +276,44 @@ def chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, decoded: bool = False,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id, ids`` (array of token ids), with ``decoded`` also the
-    ``bytes`` that the ids decode to.
+                     keep: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: ``id``, the columns to ``keep``, ``ids`` (array of token ids),
+    with ``decoded`` also the ``bytes`` that the ids decode to.
 
     Null and empty texts have no ids and decode to no bytes.  Identifiers are passed through
     (null and repeated ones too); an empty table gives an empty result; other columns are
     ignored, whatever they are called.
     """
     shared = share(docs, ranks, pattern)
-    rows = take(docs, id=id_col, text=text_col).select("id", text_of("text").alias("text"))
+    names = [f"keep{i}" for i in range(len(keep))]
+    rows = take(docs, text=text_col, id=id_col, **dict(zip(names, keep))).select(
+        text_of("text").alias("text"), "id", *names)
     extra = [F.lit(None).cast("binary").alias("bytes")] if decoded else []
-    schema = rows.select("id", F.array().cast("array<int>").alias("ids"), *extra).schema
+    schema = rows.select("id", *names, F.array().cast("array<int>").alias("ids"), *extra).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = replay_of(shared)
         for batch in batches:
-            for first, texts in chunks(batch, 1):
-                ids = [pa.array(x, pa.int32()) for x in replay.encode(texts)]
-                out = [batch.column(0).slice(first, len(texts)), lists(ids)]
+            for first, texts in chunks(batch, 0):
+                ends, ids = replay.encode(texts)
+                out = [*[c.slice(first, len(texts)) for c in batch.columns[1:]],
+                       pa.ListArray.from_arrays(offsets_of(ends), pa.array(ids, pa.int32()))]
                 if decoded:
-                    out.append(pa.array([replay.decode(x.tolist()) for x in ids], pa.binary()))
+                    out.append(binary(*replay.decode(ends, ids)))
                 yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    return out.toDF("id", *keep, *out.columns[1 + len(keep):])
+
+
+def offsets_of(ends: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate(([0], ends)).astype(np.int32))
 
 
-def lists(rows: list[pa.Array]) -> pa.Array:
-    """A list array from one array per row."""
-    ends = [0]
-    for x in rows:
-        ends.append(ends[-1] + len(x))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(rows))
+def binary(ends: np.ndarray, data: np.ndarray) -> pa.Array:
+    """A binary array from the end of each value and the bytes of all."""
+    return pa.Array.from_buffers(pa.binary(), len(ends),
+                                 [None, offsets_of(ends).buffers()[1], pa.py_buffer(data.tobytes())])
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int], pattern: str,
@@ -231,8 +327,11 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int], pattern: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay = replay_of(shared)
         for batch in batches:
-            done = pa.array([None if x is None else replay.decode(x)
-                             for x in (v.as_py() for v in batch.column(at))], pa.binary())
+            ids = batch.column(at)
+            lengths = np.array([0 if v is None else v for v in pc.list_value_length(ids).to_pylist()], np.int64)
+            flat_ids = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            done = binary(*replay.decode(np.cumsum(lengths), flat_ids))
+            done = pc.if_else(ids.is_valid(), done, pa.scalar(None, pa.binary()))
             columns = [done if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
