@@ -66,12 +66,12 @@ class Hasher:
 
     def words(self, words: list[str]) -> np.ndarray:
         cache = self.cache
-        if len(cache) > self.cache_words:
-            cache.clear()
         missing = set(words).difference(cache)
-        seen = cache if len(missing) + len(cache) <= self.cache_words else dict(cache)
-        seen.update((w, xxhash.xxh64_intdigest(w)) for w in missing)
-        return np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
+        if len(cache) + len(missing) > self.cache_words:
+            cache.clear()
+            missing = set(words)
+        cache.update((w, xxhash.xxh64_intdigest(w)) for w in missing)
+        return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
     def shingles(self, word_hashes: np.ndarray, n: int) -> np.ndarray:
         """Hash of every n-word shingle; fewer words than n have none."""
