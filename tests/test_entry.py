@@ -14,8 +14,7 @@ def test_entry_runs_on_sf0001(spark):
 def test_every_query_has_an_id_prefix_and_an_oracle():
     qs, os_ = E.queries(), E.oracle_sql()
     assert set(os_) <= set(qs)
-    for name in qs:
+    own = [n for n in qs if not re.match(r"op\d+_|pipeline$", n)]
+    for name in own:
         assert re.match(r"^[SKPRAJWDTCFU]\d+[a-z]?_", name), name
-    without = sorted(set(qs) - set(os_))
-    assert without == ["A13_per_task_counter"]          # groups are Spark task ids
-
+    assert set(own) <= set(os_)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.session import scratch_path
 from tidemark.sinks.writers import changelog, upsert_parquet
 from tidemark.streaming import jobs as S
-from tidemark.streaming.runner import event_time
+from tidemark.streaming.runner import event_time, run_to_end
 
 SCHEMA = "event_id long, ts timestamp_ntz, sensor_id long, temperature double"
 
@@ -24,10 +24,9 @@ def _t(m):
 
 
 def _start(spark, stream_df, out, ckpt):
-    q = (stream_df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).queryName(f"t_{uuid.uuid4().hex[:6]}").start())
-    q.awaitTermination()
-    assert q.exception() is None
+    run_to_end(stream_df, lambda: (
+        stream_df.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+        .trigger(availableNow=True).queryName(f"t_{uuid.uuid4().hex[:6]}").start()))
 
 
 def test_restart_resumes_without_duplicates(spark):

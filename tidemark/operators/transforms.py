@@ -99,16 +99,13 @@ def partition_custom(df: DataFrame, partition_id: Column, n: int) -> DataFrame:
     return df.repartition(n, partition_id)
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Size check before a broadcast: stops reading after ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with a side that is usually small.
 
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast the small side only when its row count is proven small;
-    otherwise a shuffle join (AQE may still broadcast after measuring it)."""
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
+    No forced broadcast: the measured size of ``small`` against
+    ``spark.sql.autoBroadcastJoinThreshold`` decides at run time (adaptive
+    execution), beyond it both sides are shuffled and hot keys are split.
+    """
     return big.join(small, on, how)
 
 
@@ -157,9 +154,14 @@ def rolling_reduce_min(df: DataFrame, key, order: Sequence[str], value: str, ts:
     return res.withColumn("ts_out", ts_out).drop("__n")
 
 
-def per_task_count_if(df: DataFrame, cond: Column) -> DataFrame:
-    """Per-task counter (operator list state): rows meeting ``cond`` per partition."""
-    return df.groupBy(F.spark_partition_id().alias("task")).agg(F.count_if(cond).alias("count"))
+def per_task_count_if(df: DataFrame, cond: Column, task: Column, tasks: int) -> DataFrame:
+    """Per-task counter (operator list state): rows meeting ``cond`` per task.
+
+    ``task`` (0 to ``tasks`` - 1) deals the rows; the counter of a task is read off the
+    partition the rows are in.
+    """
+    dealt = partition_custom(df.select(cond.alias("hit"), task.alias("task")), F.col("task"), tasks)
+    return dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_if("hit").alias("count"))
 
 
 # --- bounded RANGE frames --------------------------------------------------

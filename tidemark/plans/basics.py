@@ -120,17 +120,43 @@ def q_p11(spark, sf):
 
 # --- R: partitioning -------------------------------------------------------
 
-_ROWS_SQL = "SELECT event_id, user_id, event_type FROM events"
+@query("R1_key_by", "SELECT user_id, count(*) AS n, 1 AS tasks FROM events GROUP BY user_id")
+def q_r1(spark, sf):
+    """Every key is in exactly one task."""
+    placed = X.key_by(events(spark, sf), ["user_id"], 16).select("user_id", F.spark_partition_id().alias("task"))
+    return _tasks_of(placed)
 
 
-@query("R1_key_by", _ROWS_SQL)
-def q_r1(spark, sf):
-    return X.key_by(events(spark, sf), ["user_id"]).select("event_id", "user_id", "event_type")
+def _tasks_of(placed):
+    """Rows and number of tasks per user, with partial counts per (user, task)."""
+    per_task = placed.groupBy("user_id", "task").agg(F.count(F.lit(1)).alias("n"))
+    return per_task.groupBy("user_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).cast("int").alias("tasks"))
+
+
+_SPREAD_SQL = "SELECT count(*) AS n, 8 AS tasks, TRUE AS even FROM events"
+
+
+def _spread(df, slack):
+    """Rows, tasks with rows, and whether no task has over 1 + ``slack`` times the mean."""
+    per_task = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    return per_task.agg(F.sum("n").alias("n"), F.count(F.lit(1)).cast("int").alias("tasks"),
+                        (F.max("n") <= F.avg("n") * (1 + slack)).alias("even"))
 
 
-@query("R2_rebalance", _ROWS_SQL)
+@query("R2_rebalance", _SPREAD_SQL)
 def q_r2(spark, sf):
-    return X.rebalance(events(spark, sf), 8).select("event_id", "user_id", "event_type")
+    return _spread(X.rebalance(events(spark, sf).select("event_id"), 8), 0.02)
+
+
+@query("R2b_shuffle_random", _SPREAD_SQL)
+def q_r2b(spark, sf):
+    return _spread(X.shuffle_random(events(spark, sf).select("event_id"), 8), 0.5)
+
+
+@query("R2c_rescale", _SPREAD_SQL.replace("8 AS", "2 AS"))
+def q_r2c(spark, sf):
+    """Neighbouring partitions are merged without a shuffle."""
+    return _spread(X.rescale(X.rebalance(events(spark, sf).select("event_id"), 8), 2), 0.02)
 
 
 @query("R3_broadcast", """
@@ -151,10 +177,13 @@ def q_r4(spark, sf):
     return X.to_single_task(per_type)
 
 
-@query("R5_partition_custom", _ROWS_SQL)
+@query("R5_partition_custom", """
+SELECT user_id, count(*) AS n, CAST(user_id % 8 AS INTEGER) AS task FROM events GROUP BY user_id
+""")
 def q_r5(spark, sf):
-    return X.partition_custom(events(spark, sf), F.col("user_id") % 8, 8).select(
-        "event_id", "user_id", "event_type")
+    """The task number is the one the partitioner asked for."""
+    placed = X.partition_custom(events(spark, sf), F.col("user_id") % 8, 8)
+    return placed.groupBy("user_id", F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- A: aggregations -------------------------------------------------------
@@ -255,9 +284,11 @@ def q_a9(spark, sf):
         F.round(F.percentile("value", 0.5), 4).alias("median_value"), F.count(F.lit(1)).alias("cnt")])
 
 
-@query("A13_per_task_counter")
+@query("A13_per_task_counter", """
+SELECT CAST(user_id % 8 AS INTEGER) AS task, count(*) FILTER (value > 100) AS count FROM events GROUP BY ALL
+""")
 def q_a13(spark, sf):
-    return X.per_task_count_if(events(spark, sf), F.col("value") > 100)
+    return X.per_task_count_if(events(spark, sf), F.col("value") > 100, F.col("user_id") % 8, 8)
 
 
 @query("A14_builtin_aggs", """

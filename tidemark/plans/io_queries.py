@@ -10,10 +10,8 @@ from tidemark.operators import cep
 from tidemark.plans.registry import query
 from tidemark.plans.tables import events
 from tidemark.session import scratch_path
-from tidemark.sinks.writers import changelog, latest_per_key, upsert_parquet, write_csv, write_json_docs, write_text
-from tidemark.sources.files import csv_view, read_csv, stream_table
-from tidemark.streaming import jobs as S
-from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
+from tidemark.sinks.writers import changelog, upsert_parquet, write_csv, write_json_docs, write_text
+from tidemark.sources.files import csv_view, read_csv
 
 _ID_TEMP = T.StructType([T.StructField("id", T.LongType()), T.StructField("temp", T.DoubleType())])
 
@@ -120,29 +118,6 @@ def q_c6(spark, sf):
     return cep.match_sequence(e, "user_id", ["ts", "event_id"], "event_id", stages, "1 day")
 
 
-_W1_SQL = """
-SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
-       event_type, count(*) AS count FROM events GROUP BY ALL
-"""
-
-
-@query("W8_early_firing_update", _W1_SQL)
-def q_w8(spark, sf):
-    """Update mode: a window's count is re-emitted as it changes; over one
-    replay each window's last emission is its final count."""
-    s = event_time(stream_table(spark, sf, "events"), "ts", "1 hour", flush=True)
-    counts = S.window_counts(s, "ts", "1 hour", keys=["event_type"])
-    log = run_foreach_batch(counts, "w8", lambda b: b, mode="update", keep_batch_id=True)
-    return latest_per_key(log, ["window_start", "event_type"], ["batch_id"]).drop("batch_id")
-
-
-@query("T6_allowed_lateness", _W1_SQL)
-def q_t6(spark, sf):
-    """Watermark = out-of-orderness (1 min) + allowed lateness (1 h)."""
-    s = event_time(stream_table(spark, sf, "events"), "ts", "61 minutes", flush=True)
-    return run_to_parquet(S.window_counts(s, "ts", "1 hour", keys=["event_type"]), "t6")
-
-
 @query("S8_stream_to_table_fields", """
 SELECT event_id AS eid, user_id AS uid, ts AS rowtime, value AS temperature FROM events
 """)

@@ -72,14 +72,14 @@ def switch_gate(facts: DataFrame, switches: DataFrame, key: str, order=("ts",),
 def _pays_receipts(spark, sf):
     pays = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("tx_id"),
                                                  F.col("o_orderdate").alias("pay_time"))
-    receipts = read_table(spark, sf, "lineitem").where(F.col("l_linenumber") == 1).select(
+    receipts = read_table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_time"))
     return pays, receipts
 
 
 _TX_SQL = """
 WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_time FROM orders),
-r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_time FROM lineitem WHERE l_linenumber = 1),
+r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_time FROM lineitem),
 m AS (SELECT p.tx_id, pay_time, receipt_time FROM p JOIN r ON p.tx_id = r.tx_id
       AND receipt_time BETWEEN pay_time - INTERVAL 30 DAY AND pay_time + INTERVAL 30 DAY)
 """
@@ -87,7 +87,7 @@ m AS (SELECT p.tx_id, pay_time, receipt_time FROM p JOIN r ON p.tx_id = r.tx_id
 
 @query("D13_tx_reconcile", """
 WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_time FROM orders),
-r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_time FROM lineitem WHERE l_linenumber = 1)
+r AS (SELECT l_orderkey AS tx_id, l_shipdate AS receipt_time FROM lineitem)
 SELECT coalesce(p.tx_id, r.tx_id) AS tx_id, pay_time, receipt_time,
        CASE WHEN p.tx_id IS NOT NULL AND r.tx_id IS NOT NULL THEN 'matched'
             WHEN p.tx_id IS NOT NULL THEN 'unmatched_pay' ELSE 'unmatched_receipt' END AS tag

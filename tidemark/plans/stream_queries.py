@@ -10,21 +10,34 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import basics, detection, reconcile, sensors, traffic  # noqa: F401 (oracles)
+from tidemark.plans import basics, detection, marketing, reconcile, sensors, traffic  # noqa: F401 (oracles)
 from tidemark.plans.registry import _ORACLES, query
 from tidemark.plans.tables import ITEM_SQL, item_col
-from tidemark.sources.files import stream_table
+from tidemark.sources.files import stream_slices, stream_table
 from tidemark.streaming import jobs as S
 from tidemark.streaming.predicates import is_error, is_purchase, is_signup
 from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
 
-def _events(spark, sf, delay="0 seconds", flush=False, pre=None):
+#: Micro-batches of the rate-limited replays.
+SLICES = 5
+
+
+def _replay(spark, sf, name, ts, sliced, late=None):
+    """A table as a stream: one file, or with ``sliced`` rate-limited micro-batches in time
+    order, in which every tenth row arrives ``late``."""
+    if not sliced:
+        return stream_table(spark, sf, name)
+    key = {"events": "event_id", "orders": "o_orderkey"}[name]
+    return stream_slices(spark, sf, name, ts, SLICES, late, F.col(key) % 10 == 0)
+
+
+def _events(spark, sf, delay="0 seconds", flush=False, pre=None, sliced=False, late=None):
     """The events table as a stream.  ``flush`` (needed where windows close or
     timers fire) adds the end-of-input sentinel.  Row filters and projections
     go in ``pre``: they must run before the watermark so the sentinel (which
     has null columns) reaches the watermark operator."""
-    raw = stream_table(spark, sf, "events")
+    raw = _replay(spark, sf, "events", "ts", sliced, late)
     if pre is not None:
         raw = pre(raw)
     return event_time(raw, "ts", delay, flush=flush)
@@ -34,14 +47,14 @@ def _events(spark, sf, delay="0 seconds", flush=False, pre=None):
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(*) AS count FROM events GROUP BY ALL
 """)
-def q_t3(spark, sf):
-    s = _events(spark, sf, "1 hour", flush=True)
+def q_t3(spark, sf, sliced=False):
+    s = _events(spark, sf, "1 hour", flush=True, sliced=sliced, late="30 minutes")
     return run_to_parquet(S.window_counts(s, "ts", "1 hour", keys=["event_type"]), "t3")
 
 
 @query("D1s_hot_items_stream", _ORACLES["D1_hot_items"])
-def q_d1s(spark, sf):
-    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type") == "view").withColumn(
+def q_d1s(spark, sf, sliced=False):
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.where(F.col("event_type") == "view").withColumn(
         "item_id", item_col()))
     counts = S.window_counts(s, "ts", "1 hour", "5 minutes", keys=["item_id"])
     return run_foreach_batch(counts, "d1s", S.top_n_per_batch(3, "item_id"))
@@ -119,8 +132,8 @@ WITH c AS (SELECT event_id, ts, user_id, {ITEM_SQL} % 3 AS ad_id FROM events WHE
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n FROM c)
 SELECT event_id, user_id, ad_id, CASE WHEN n <= 1 THEN 'pass' WHEN n = 2 THEN 'warn' ELSE 'drop' END AS status FROM n
 """)
-def q_d8s(spark, sf):
-    s = _events(spark, sf, pre=lambda d: d.where(F.col("event_type") == "click").select(
+def q_d8s(spark, sf, sliced=False):
+    s = _events(spark, sf, sliced=sliced, pre=lambda d: d.where(F.col("event_type") == "click").select(
         "event_id", "ts", "user_id", (item_col() % 3).alias("ad_id")))
     out = S.click_fraud(s, 1, ["event_id", "user_id", "ad_id"])
     return run_to_parquet(out, "d8s")
@@ -139,10 +152,10 @@ def q_d7s(spark, sf):
 
 
 @query("D5s_marketing_stream", _ORACLES["D5_marketing_by_channel"])
-def q_d5s(spark, sf):
+def q_d5s(spark, sf, sliced=False):
     from tidemark.plans.marketing import _channel_of
 
-    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.upper("event_type") != "ERROR").select(
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.where(F.upper("event_type") != "ERROR").select(
         "ts", F.upper("event_type").alias("behavior"), _channel_of(item_col()).alias("channel")))
     return run_to_parquet(S.window_counts(s, "ts", "1 hour", "10 minutes", keys=["channel", "behavior"]), "d5s")
 
@@ -179,8 +192,8 @@ s AS (SELECT *, lead(fail) OVER w AS next_fail, lead(ts) OVER w AS next_ts
 SELECT user_id, ts AS first_ts, next_ts AS second_ts, TRUE AS matched
 FROM s WHERE fail AND next_fail AND next_ts - ts < INTERVAL 3 HOUR
 """)
-def q_d10s(spark, sf):
-    s = _events(spark, sf, flush=True, pre=lambda d: d.select(
+def q_d10s(spark, sf, sliced=False):
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.select(
         "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
     out = S.pattern(s, "user_id", is_error, is_error, "next", "3 hours")
     res = run_to_parquet(out, "d10s")
@@ -197,8 +210,8 @@ SELECT user_id, ts AS first_ts, CASE WHEN pay_ts - ts < INTERVAL 6 HOUR THEN pay
        coalesce(pay_ts - ts < INTERVAL 6 HOUR, FALSE) AS matched
 FROM s WHERE event_type = 'signup'
 """)
-def q_d11s(spark, sf):
-    s = _events(spark, sf, flush=True, pre=lambda d: d.where(F.col("event_type").isin("signup", "purchase")).select(
+def q_d11s(spark, sf, sliced=False):
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.where(F.col("event_type").isin("signup", "purchase")).select(
         "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
     out = S.pattern(s, "user_id", is_signup, is_purchase, "followedBy", "6 hours", emit_timeouts=True)
     res = run_to_parquet(out, "d11s")
@@ -206,16 +219,19 @@ def q_d11s(spark, sf):
                       F.col("second_ts").cast("timestamp_ntz").alias("second_ts"), "matched")
 
 
-def _orders_stream(spark, sf):
-    """Creates for orders not yet 'P', pays for orders not 'O'; the pay comes
-    (totalprice mod 50) - 10 days after the order date.  One of each per order."""
-    o = stream_table(spark, sf, "orders")
-    creates = o.where(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
-        F.lit("create").alias("event_type"), F.lit(0).alias("seq"))
-    pays = o.where(F.col("o_orderstatus") != "O").select(
-        F.col("o_orderkey").alias("order_id"), _shifted("o_orderdate", 50, 10).alias("ts"),
-        F.lit("pay").alias("event_type"), F.lit(1).alias("seq"))
+#: Every fifth payment or receipt names an unknown order, so partners are missing both ways.
+_PARTNER = F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+_PARTNER_SQL = "CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE o_orderkey END"
+
+
+def _orders_stream(spark, sf, sliced=False):
+    """A creation and a payment per order; the payment comes (totalprice mod 50) - 10 days
+    after the order date."""
+    o = _replay(spark, sf, "orders", "o_orderdate", sliced)
+    creates = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
+                       F.lit("create").alias("event_type"), F.lit(0).alias("seq"))
+    pays = o.select(_PARTNER.alias("order_id"), _shifted("o_orderdate", 50, 10).alias("ts"),
+                    F.lit("pay").alias("event_type"), F.lit(1).alias("seq"))
     return creates.unionByName(pays)
 
 
@@ -228,9 +244,8 @@ _SHIFT_SQL = "o_orderdate + to_days(CAST(floor(o_totalprice) AS BIGINT) % {mod}
 
 
 @query("D12s_order_pay_stream", f"""
-WITH c AS (SELECT o_orderkey AS order_id, o_orderdate AS create_time FROM orders WHERE o_orderstatus <> 'P'),
-p AS (SELECT o_orderkey AS order_id, {_SHIFT_SQL.format(mod=50, back=10)} AS pay_time
-      FROM orders WHERE o_orderstatus <> 'O')
+WITH c AS (SELECT o_orderkey AS order_id, o_orderdate AS create_time FROM orders),
+p AS (SELECT {_PARTNER_SQL} AS order_id, {_SHIFT_SQL.format(mod=50, back=10)} AS pay_time FROM orders)
 SELECT coalesce(c.order_id, p.order_id) AS order_id,
        CASE WHEN create_time IS NULL THEN 'already payed but not found create log'
             WHEN pay_time IS NULL THEN 'order timeout'
@@ -239,37 +254,36 @@ SELECT coalesce(c.order_id, p.order_id) AS order_id,
             ELSE 'payed but already timeout' END AS result_msg
 FROM c FULL OUTER JOIN p ON c.order_id = p.order_id
 """)
-def q_d12s(spark, sf):
-    s = event_time(_orders_stream(spark, sf), "ts", "0 seconds", flush=True)
+def q_d12s(spark, sf, sliced=False):
+    s = event_time(_orders_stream(spark, sf, sliced), "ts", "50 days", flush=True)
     return run_to_parquet(S.order_pay(s, "30 days"), "d12s")
 
 
 @query("D13s_tx_reconcile_stream", f"""
-WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_time FROM orders WHERE o_orderstatus <> 'P'),
-r AS (SELECT o_orderkey AS tx_id, {_SHIFT_SQL.format(mod=70, back=35)} AS receipt_time
-      FROM orders WHERE o_orderstatus <> 'O'),
+WITH p AS (SELECT o_orderkey AS tx_id, o_orderdate AS pay_time FROM orders),
+r AS (SELECT {_PARTNER_SQL} AS tx_id, {_SHIFT_SQL.format(mod=70, back=35)} AS receipt_time FROM orders),
 m AS (SELECT p.tx_id, pay_time, receipt_time FROM p JOIN r ON p.tx_id = r.tx_id
       AND receipt_time BETWEEN pay_time - INTERVAL 30 DAY AND pay_time + INTERVAL 30 DAY)
 SELECT tx_id, pay_time, receipt_time, 'matched' AS tag FROM m
 UNION ALL SELECT tx_id, pay_time, NULL, 'unmatched_pay' FROM p WHERE tx_id NOT IN (SELECT tx_id FROM m)
 UNION ALL SELECT tx_id, NULL, receipt_time, 'unmatched_receipt' FROM r WHERE tx_id NOT IN (SELECT tx_id FROM m)
 """)
-def q_d13s(spark, sf):
-    o = stream_table(spark, sf, "orders")
-    pays = o.where(F.col("o_orderstatus") != "P").select(
+def q_d13s(spark, sf, sliced=False):
+    o = _replay(spark, sf, "orders", "o_orderdate", sliced)
+    pays = o.select(
         F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("ts"), F.lit("pay").alias("side"),
         F.lit(0).alias("seq"))
-    receipts = o.where(F.col("o_orderstatus") != "O").select(
-        F.col("o_orderkey").alias("tx_id"), _shifted("o_orderdate", 70, 35).alias("ts"),
+    receipts = o.select(
+        _PARTNER.alias("tx_id"), _shifted("o_orderdate", 70, 35).alias("ts"),
         F.lit("receipt").alias("side"), F.lit(1).alias("seq"))
-    s = event_time(pays.unionByName(receipts), "ts", "0 seconds", flush=True)
+    s = event_time(pays.unionByName(receipts), "ts", "70 days", flush=True)
     out = run_to_parquet(S.tx_match(s, "30 days"), "d13s")
     return out.select("tx_id", F.col("pay_time").cast("timestamp_ntz").alias("pay_time"),
                       F.col("receipt_time").cast("timestamp_ntz").alias("receipt_time"), "tag")
 
 
-def _sensor_stream(spark, sf, flush=False):
-    return _events(spark, sf, flush=flush).select("event_id", "ts", F.col("user_id").alias("sensor_id"),
+def _sensor_stream(spark, sf, flush=False, sliced=False):
+    return _events(spark, sf, flush=flush, sliced=sliced).select("event_id", "ts", F.col("user_id").alias("sensor_id"),
                                      F.col("value").alias("temperature"))
 
 
@@ -311,8 +325,8 @@ SELECT w.sid, w.timer FROM walk w JOIN ends e ON w.sid = e.sid AND w.rn = e.rn W
 
 
 @query("D16s_temp_rise_stream", _RISE_SQL)
-def q_d16s(spark, sf):
-    out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf, flush=True), "6 hours"), "d16s")
+def q_d16s(spark, sf, sliced=False):
+    out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf, flush=True, sliced=sliced), "6 hours"), "d16s")
     return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))
 
 
@@ -324,18 +338,71 @@ def q_a2(spark, sf):
     return run_foreach_batch(counts, "a2", lambda b: b, mode="complete", overwrite=True)
 
 
-@query("T7_late_side_output", "SELECT event_id, user_id, 'on_time' AS tag FROM events")
+def _sliced_sql(late_hours: int) -> str:
+    """CTE ``e``: the events with the slice they arrive in, every tenth row late."""
+    return f"""
+b AS (SELECT min(epoch_us(ts)) AS lo, (max(epoch_us(ts)) - min(epoch_us(ts))) // {SLICES} + 1 AS width FROM events),
+e AS (SELECT event_id, user_id, event_type, ts, CAST(least((epoch_us(ts) - lo
+        + CASE WHEN event_id % 10 = 0 THEN {late_hours * 3_600_000_000} ELSE 0 END) // width, {SLICES - 1}) AS INTEGER) AS slice
+      FROM events, b),
+m AS (SELECT slice, max(ts) AS top FROM e GROUP BY slice),
+wm AS (SELECT slice, max(top) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+              max(top) OVER (ORDER BY slice) AS after FROM m)"""
+
+
+@query("T7_late_side_output", f"""
+WITH {_sliced_sql(6)}
+SELECT event_id, user_id, CASE WHEN ts < before - INTERVAL 1 HOUR THEN 'late' ELSE 'on_time' END AS tag
+FROM e JOIN wm USING (slice)
+""")
 def q_t7(spark, sf):
+    """Five micro-batches; every tenth row is six hours out of order, the delay is one hour."""
     from tidemark.session import scratch_path
     from tidemark.streaming.late import read_tagged
 
-    s = stream_table(spark, sf, "events").select("event_id", "user_id", "ts")
+    s = _replay(spark, sf, "events", "ts", True, "6 hours").select("event_id", "user_id", "ts")
     out = scratch_path(spark, "t7")
     q = S.tag_late(s, "ts", "1 hour", out, out + "-ckpt")
     q.awaitTermination()
     return read_tagged(spark, out).select("event_id", "user_id", "tag")
 
 
+@query("T6_allowed_lateness", f"""
+WITH {_sliced_sql(6)},
+w AS (SELECT slice, event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, before FROM e JOIN wm USING (slice)),
+k AS (SELECT slice, event_type, window_start, count(*) AS c FROM w
+      WHERE before IS NULL OR window_start + INTERVAL 4 HOUR > before - INTERVAL 10 MINUTE GROUP BY ALL),
+s AS (SELECT wm.slice, g.event_type, g.window_start, coalesce(c, 0) AS c,
+             sum(coalesce(c, 0)) OVER (PARTITION BY g.event_type, g.window_start ORDER BY wm.slice) AS total,
+             wm.slice = {SLICES - 1} OR g.window_start + INTERVAL 1 HOUR <= after - INTERVAL 10 MINUTE AS due
+      FROM wm CROSS JOIN (SELECT DISTINCT event_type, window_start FROM k) g
+      LEFT JOIN k USING (slice, event_type, window_start)),
+f AS (SELECT event_type, window_start, min(slice) AS first_slice FROM s WHERE due AND total > 0 GROUP BY ALL)
+SELECT window_start, event_type, CAST(total AS BIGINT) AS count,
+       CASE WHEN slice = first_slice THEN 'first' ELSE 'update' END AS emission
+FROM s JOIN f USING (event_type, window_start) WHERE slice = first_slice OR (slice > first_slice AND c > 0)
+""")
+def q_t6(spark, sf):
+    """Hourly counts fire when the watermark (10 minutes) passes the window's end and again
+    for rows that come within three hours after it; later rows are dropped."""
+    from tidemark.streaming.late import AllowedLateness
+
+    s = _replay(spark, sf, "events", "ts", True, "6 hours").select("event_type", "ts")
+    return AllowedLateness(spark, ["event_type"], "ts", "1 hour", "10 minutes", "3 hours").run(s).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "count", "emission")
+
+
+@query("W8_early_firing_update", f"""
+WITH {_sliced_sql(6)},
+k AS (SELECT slice, event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS c FROM e GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type,
+       CAST(sum(c) OVER (PARTITION BY event_type, window_start ORDER BY slice) AS BIGINT) AS count FROM k
+""")
+def q_w8(spark, sf):
+    """Update mode: every micro-batch that adds to a window emits its count again."""
+    s = _events(spark, sf, "1 day", sliced=True, late="6 hours")
+    counts = S.window_counts(s, "ts", "1 day", keys=["event_type"])
+    return run_foreach_batch(counts, "w8", lambda b: b, mode="update")
 
 
 _LOGIN_TIMER_SQL = """
@@ -376,3 +443,12 @@ def q_d9b(spark, sf):
     out = run_to_parquet(S.login_fail_timer(s, "2 hours"), "d9b")
     return out.select("user_id", F.col("first_fail_time").cast("timestamp_ntz").alias("first_fail_time"),
                       F.col("last_fail_time").cast("timestamp_ntz").alias("last_fail_time"), "fails")
+
+
+# --- the same jobs over several rate-limited micro-batches -------------------
+
+for _name, _job in (("T3", q_t3), ("D1s", q_d1s), ("D5s", q_d5s), ("D8s", q_d8s), ("D10s", q_d10s), ("D11s", q_d11s),
+                    ("D12s", q_d12s), ("D13s", q_d13s), ("D16s", q_d16s)):
+    _full = next(n for n in _ORACLES if n.startswith(f"{_name}_"))
+    query(f"{_full}_sliced", _ORACLES[_full])(
+        lambda spark, sf, job=_job: job(spark, sf, sliced=True))

@@ -71,11 +71,13 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster sets it; only when it is unset (tests, a laptop) a private
-    folder is created and registered.
+    The cluster sets it; only on a local master, where it may be unset (tests, a
+    laptop), a private folder is created and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext

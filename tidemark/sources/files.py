@@ -8,10 +8,13 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timefns import duration_us
+from tidemark.session import scratch_path
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -102,6 +105,28 @@ def stream_table(
     return r.parquet(sf_dir)
 
 
+def stream_slices(spark: SparkSession, sf_dir: str, name: str, ts: str, slices: int, late: str | None = None,
+                  late_rows: Column | None = None, files: int = 1) -> DataFrame:
+    """S3: a driver table replayed as ``slices`` micro-batches in time order.
+
+    The table's time span is cut into equal slices, each written to the scratch folder
+    before the next one; the stream reads one slice (``files`` files) per trigger.  Rows
+    that meet ``late_rows`` arrive as if they were ``late`` later: out of order.
+    """
+    table = read_table(spark, sf_dir, name)
+    lo, hi = table.agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))),
+                       F.max(F.unix_micros(F.col(ts).cast("timestamp")))).first()
+    width = ((hi or 0) - (lo or 0)) // slices + 1
+    us = F.unix_micros(F.col(ts).cast("timestamp")) - F.lit(lo or 0)
+    if late:
+        us = us + F.when(late_rows, F.lit(duration_us(late))).otherwise(F.lit(0))
+    number = F.least(F.floor(us / F.lit(width)), F.lit(slices - 1))
+    root = scratch_path(spark, f"slices-{name}")
+    for k in range(slices):
+        table.where(number == k).repartition(files).write.parquet(f"{root}/{k:04d}")
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/*")
+
+
 def stream_text(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """S3: continuously monitored folder of text files."""
     r = spark.readStream.format("text")

@@ -70,7 +70,7 @@ def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | Non
 
 def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None
                 ) -> DataFrame:
-    """D8 via value state and a midnight timer.  With ``event_time_col`` (one
+    """D8 via map state (clicks per day) and a timer at the end of each day.  With ``event_time_col`` (one
     of ``cols``) the output keeps the watermark, so a windowed aggregation
     can follow (D7 after D8)."""
     proc = P.ClickFraudFilter(max_clicks, cols, order=("ts", "event_id"))
@@ -86,9 +86,10 @@ def login_fail(stream: DataFrame, gap: str) -> DataFrame:
         proc, "user_id long, first_fail_time timestamp, last_fail_time timestamp", "Append", "None")
 
 
-def order_pay(stream: DataFrame, timeout: str) -> DataFrame:
-    """D12 via value state and event-time timers (input: order_id, ts, event_type)."""
-    proc = P.OrderPayMatch(_ms(timeout), order=("ts", "seq"))
+def order_pay(stream: DataFrame, timeout: str, grace: str | None = None) -> DataFrame:
+    """D12 via value state and event-time timers (input: order_id, ts, event_type);
+    ``grace`` (default: ``timeout``) is how long a partner may be out of order."""
+    proc = P.PaymentCheck(_ms(timeout), _ms(grace or timeout), order=("ts", "seq"))
     return stream.groupBy("order_id").transformWithStateInPandas(
         proc, "order_id long, result_msg string", "Append", "EventTime")
 

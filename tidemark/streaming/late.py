@@ -1,4 +1,4 @@
-"""Late rows to a side output instead of being dropped.
+"""Allowed lateness with repeated firing, and late rows to a side output.
 
 Spark drops rows behind the watermark only inside stateful operators and
 exposes no late-row output.  This ``foreachBatch`` writer keeps its own
@@ -15,7 +15,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import duration_us
+from tidemark.functions.timefns import duration_us, interval
+from tidemark.session import scratch_path
 
 
 class LateSplitter:
@@ -25,18 +26,13 @@ class LateSplitter:
         self.delay_us = duration_us(delay)
 
     def _max_until(self, spark, batch_id: int):
-        if batch_id <= 0:
+        if batch_id == 0:
             return None
-        try:
-            row = spark.read.parquet(f"{self.out}/_wm/batch_id={batch_id - 1}").first()
-        except Exception as e:
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
-            raise
-        return None if row is None else row[0]
+        return spark.read.parquet(f"{self.out}/_wm/batch_id={batch_id - 1}").first()[0]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # written and measured
         prev = self._max_until(spark, batch_id)
         us = F.unix_micros(F.col(self.ts).cast("timestamp"))
         if prev is None:
@@ -48,6 +44,7 @@ class LateSplitter:
         new = max(x for x in (prev, cur) if x is not None) if (prev is not None or cur is not None) else None
         spark.createDataFrame([(new,)], "max_us long").write.mode("overwrite").parquet(
             f"{self.out}/_wm/batch_id={batch_id}")
+        batch.unpersist()
 
 
 def split_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str, available_now: bool = True):
@@ -60,3 +57,74 @@ def split_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str
 
 def read_tagged(spark, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data").drop("batch_id")
+
+
+class AllowedLateness:
+    """Tumbling counts that fire at the watermark and again for allowed late rows.
+
+    The watermark of a micro-batch is the largest event time of the batches before it minus
+    ``delay``.  A window fires (``first``) when the watermark passes its end; a batch that
+    adds to a fired window fires it again (``update``) until ``lateness`` after its end, when
+    it is forgotten; rows of forgotten windows are dropped.  The end of the input fires the
+    windows that are left.
+
+    State is one table per batch: the open windows with their counts.  A batch reads the
+    table of the batch before it and rewrites only its own tables, so a repeated batch gives
+    the same result.
+    """
+
+    def __init__(self, spark, keys: list[str], ts: str, size: str, delay: str, lateness: str):
+        self.spark, self.keys, self.ts = spark, keys, ts
+        self.size_us, self.delay_us = duration_us(size), duration_us(delay)
+        self.lateness = interval(lateness)
+        self.out = scratch_path(spark, "lateness")
+
+    def _window(self):
+        us = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        return F.timestamp_micros(us - F.pmod(us, F.lit(self.size_us))).alias("window_start")
+
+    def _end(self):
+        return F.timestamp_micros(F.unix_micros("window_start") + F.lit(self.size_us))
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        top = batch.agg(F.max(F.unix_micros(F.col(self.ts).cast("timestamp")))).first()[0]
+        before = None
+        new = batch.groupBy(self._window(), *self.keys).agg(F.count(F.lit(1)).alias("added"))
+        if batch_id > 0:
+            before = self.spark.read.parquet(f"{self.out}/wm/batch_id={batch_id - 1}").first()[0]
+            state = self.spark.read.parquet(f"{self.out}/state/batch_id={batch_id - 1}")
+        else:
+            state = self.spark.createDataFrame([], new.drop("added").schema).select(
+                "*", F.lit(0).cast("long").alias("count"), F.lit(False).alias("fired"))
+        if before is not None:
+            new = new.where(self._end() + self.lateness > F.timestamp_micros(F.lit(before - self.delay_us)))
+        after = max((x for x in (before, top) if x is not None), default=None)
+        passed = F.timestamp_micros(F.lit(after - self.delay_us)) if after is not None else F.lit(None).cast("timestamp")
+        joined = (state.join(new, ["window_start", *self.keys], "full").select(
+            "window_start", *self.keys,
+            (F.coalesce("count", F.lit(0)) + F.coalesce("added", F.lit(0))).alias("count"),
+            F.coalesce("fired", F.lit(False)).alias("fired"), F.col("added").isNotNull().alias("changed"))
+            .withColumn("due", F.coalesce(self._end() <= passed, F.lit(False))).persist())
+        emitted = joined.where((F.col("due") & ~F.col("fired")) | (F.col("fired") & F.col("changed"))).select(
+            "window_start", *self.keys, "count", F.when(F.col("fired"), "update").otherwise("first").alias("emission"))
+        emitted.write.mode("overwrite").parquet(f"{self.out}/emitted/batch_id={batch_id}")
+        kept = joined.where(F.coalesce(self._end() + self.lateness > passed, F.lit(True)))
+        kept.select("window_start", *self.keys, "count", (F.col("fired") | F.col("due")).alias("fired")).write.mode(
+            "overwrite").parquet(f"{self.out}/state/batch_id={batch_id}")
+        self.spark.createDataFrame([(after,)], "max_us long").write.mode("overwrite").parquet(
+            f"{self.out}/wm/batch_id={batch_id}")
+        joined.unpersist()
+        batch.unpersist()
+        self.last = batch_id
+
+    def run(self, stream: DataFrame) -> DataFrame:
+        """Run to the end of the input; all emissions."""
+        q = (stream.writeStream.foreachBatch(self).option("checkpointLocation", self.out + "-ckpt")
+             .trigger(availableNow=True).queryName(f"lateness_{uuid.uuid4().hex[:8]}").start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {q.exception()}")
+        rest = (self.spark.read.parquet(f"{self.out}/state/batch_id={self.last}").where(~F.col("fired"))
+                .select("window_start", *self.keys, "count", F.lit("first").alias("emission")))
+        return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id").unionByName(rest)

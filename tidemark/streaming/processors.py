@@ -100,7 +100,9 @@ class TemperatureJump(StatefulProcessor):
 
 class ClickFraudFilter(StatefulProcessor):
     """Per (user, ad): pass the first ``max_clicks`` clicks of each UTC day,
-    warn once, drop the rest.  A timer at the next midnight clears the state.
+    warn once, drop the rest.  Counts are kept per day (map state), so a late
+    click counts on its own day; a day is forgotten when the watermark has
+    passed its end.
     Output: all input columns that are listed in ``cols`` plus ``status``.
     """
 
@@ -111,33 +113,28 @@ class ClickFraudFilter(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("count", "day long, n long, sent boolean")
+        self.clicks = handle.getMapState("clicks", "day long", "n long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _rows(rows, self.order)
         if df.empty:
             return
-        day, n, sent = self.state.get() if self.state.exists() else (-1, 0, False)
-        status = []
-        for r in df.itertuples(index=False):
-            d = _ms(r.ts) // DAY_MS
-            if d != day:
-                day, n, sent = d, 0, False
-                self.handle.registerTimer((d + 1) * DAY_MS)
-            if n >= self.max:
-                status.append("drop" if sent else "warn")
-                sent = True
-            else:
-                n += 1
-                status.append("pass")
-        self.state.update((day, n, sent))
+        day = pd.to_datetime(df["ts"]).astype("datetime64[ms]").astype("int64") // DAY_MS
+        n = day.groupby(day).cumcount() + 1
+        for d, new in day.value_counts().items():
+            before = self.clicks.getValue((int(d),))[0] if self.clicks.containsKey((int(d),)) else 0
+            if before == 0:
+                self.handle.registerTimer((int(d) + 1) * DAY_MS)
+            n[day == d] += before
+            self.clicks.updateValue((int(d),), (int(before + new),))
         out = df[self.cols].copy()
-        out["status"] = status
+        out["status"] = ["pass" if x <= self.max else "warn" if x == self.max + 1 else "drop" for x in n]
         yield out
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        if self.state.exists() and (self.state.get()[0] + 1) * DAY_MS <= expiredTimerInfo.getExpiryTimeInMs():
-            self.state.clear()
+        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1
+        if self.clicks.containsKey((day,)):
+            self.clicks.removeKey((day,))
         return iter([])
 
     def close(self) -> None:
@@ -184,54 +181,50 @@ class LoginFailState(StatefulProcessor):
 # --- D12: order pay check with timers ----------------------------------------
 
 
-class OrderPayMatch(StatefulProcessor):
-    """The reference's keyed order check with event-time timers.
+class PaymentCheck(StatefulProcessor):
+    """One order's creation and payment, judged by their own times like the
+    batch twin, in whichever order they arrive.
+
+    A lone creation is kept for ``timeout_ms`` plus ``grace_ms`` (so a payment
+    that is too late is still recognised), a lone payment for ``grace_ms``;
+    then it is reported as missing its partner.
     Output: order_id, result_msg."""
 
-    def __init__(self, timeout_ms: int, order=("ts",)):
+    def __init__(self, timeout_ms: int, grace_ms: int, order=("ts",)):
         self.timeout = timeout_ms
+        self.grace = grace_ms
         self.order = list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("order", "payed boolean, timer long")
+        self.seen = handle.getValueState("seen", "create_ms long, pay_ms long")
+
+    def _verdict(self, created: int, paid: int) -> str:
+        if paid < created:
+            return "payed"
+        return "payed successfully" if paid < created + self.timeout else "payed but already timeout"
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         df = _rows(rows, self.order)
-        payed, timer = self.state.get() if self.state.exists() else (False, 0)
-        out = []
-        k = _key_value(key)
-        for r in df.itertuples(index=False):
-            ms = _ms(r.ts)
-            if r.event_type == "create":
-                if payed:
-                    out.append((k, "payed"))
-                    self.handle.deleteTimer(timer)
-                    payed, timer = False, 0
-                else:
-                    timer = ms + self.timeout
-                    self.handle.registerTimer(timer)
-            elif r.event_type == "pay":
-                if timer > 0 and not payed:
-                    out.append((k, "payed successfully" if timer > ms else "payed but already timeout"))
-                    self.handle.deleteTimer(timer)
-                    payed, timer = False, 0
-                else:
-                    payed, timer = True, ms
-                    self.handle.registerTimer(timer)
-        if timer == 0 and not payed:
-            self.state.clear()
-        else:
-            self.state.update((payed, timer))
-        if out:
-            yield pd.DataFrame(out, columns=["order_id", "result_msg"])
+        first = df.drop_duplicates("event_type").set_index("event_type")["ts"]
+        times = dict(zip(("create", "pay"), self.seen.get())) if self.seen.exists() else {}
+        for kind in ("create", "pay"):
+            if times.get(kind) is None and kind in first.index:
+                times[kind] = _ms(first[kind])
+        created, paid = times.get("create"), times.get("pay")
+        if created is not None and paid is not None:
+            self.seen.clear()
+            yield pd.DataFrame([(_key_value(key), self._verdict(created, paid))], columns=["order_id", "result_msg"])
+        elif created is not None or paid is not None:
+            self.seen.update((created, paid))
+            self.handle.registerTimer(paid + self.grace if created is None else created + self.timeout + self.grace)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        if not self.state.exists():
+        if not self.seen.exists():  # its partner came in time
             return
-        payed, _ = self.state.get()
-        msg = "already payed but not found create log" if payed else "order timeout"
-        self.state.clear()
+        created, _ = self.seen.get()
+        self.seen.clear()
+        msg = "order timeout" if created is not None else "already payed but not found create log"
         yield pd.DataFrame([(_key_value(key), msg)], columns=["order_id", "result_msg"])
 
     def close(self) -> None:

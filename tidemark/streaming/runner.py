@@ -4,9 +4,10 @@ Outputs go to parquet folders under the cluster's checkpoint root (never a
 machine-local folder, never the driver's memory).  Query checkpoints live
 beside them, so a restarted query resumes exactly where it stopped.
 
-``flush`` appends one sentinel row far in the future to the input before the
-watermark: bounded replays then end the way the reference's bounded sources
-do (a final watermark that closes every window and fires every timer).  The
+``flush`` adds a second, at first empty file source.  When a bounded run has read all its
+input, however many micro-batches that took, one sentinel row far in the future is written
+to that source and the same query is run once more from its checkpoint: the final watermark
+closes every window and fires every timer, as the end of a bounded source does.  The
 sentinel is filtered out right after the watermark operator.
 """
 
@@ -56,28 +57,48 @@ def ensure_state_store(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
+#: Sentinel folders of streams that were built but not yet run to their end, with their row.
+_SENTINELS: dict[str, tuple] = {}
+
+
 def sentinel_stream(spark: SparkSession, like: DataFrame, ts: str) -> DataFrame:
-    """A one-row file stream with the schema of ``like``: ts = 2100-01-01."""
+    """A file stream with the schema of ``like``, empty until :func:`run_to_end` writes its row."""
     path = scratch_path(spark, "sentinel")
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in like.schema.fields])
-    row = {f.name: None for f in schema.fields}
-    row[ts] = SENTINEL_TS
-    static = spark.createDataFrame([tuple(row[f.name] for f in schema.fields)], schema)
-    static.withColumn(SENTINEL, F.lit(True)).write.mode("overwrite").parquet(path)
-    return spark.readStream.schema(static.schema.add(SENTINEL, "boolean")).parquet(path)
+    full = T.StructType([*schema.fields, T.StructField(SENTINEL, T.BooleanType(), True)])
+    spark.createDataFrame([], full).write.parquet(path)
+    _SENTINELS[path] = (full, tuple(SENTINEL_TS if f.name == ts else None for f in schema.fields) + (True,))
+    return spark.readStream.schema(full).parquet(path)
+
+
+def run_to_end(stream: DataFrame, start: Callable) -> None:
+    """Run the query that ``start()`` starts until its input is read, then flush it.
+
+    ``start`` must use the ``availableNow`` trigger and the same checkpoint each time.
+    """
+    def once() -> None:
+        q = start()
+        q.awaitTermination()
+        _raise_if_failed(q)
+
+    once()
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    pending = [p for p in _SENTINELS if p.rsplit("/", 1)[-1] in plan]
+    for path in pending:
+        schema, row = _SENTINELS.pop(path)
+        stream.sparkSession.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    if pending:
+        once()
 
 
 @contextmanager
 def stream_partitions(spark: SparkSession):
-    """State partitions of the queries started inside: ``tidemark.streamPartitions``
-    if set, else the shuffle setting capped at twice the cluster's cores (every
-    state partition is a state store instance kept open per micro-batch)."""
+    """State partitions of the queries started inside: ``tidemark.streamPartitions`` if set,
+    else the shuffle setting.  The number is fixed in a query's checkpoint for its life, so
+    set it for the final size of the state."""
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    want = spark.conf.get("tidemark.streamPartitions", None)
-    if want is None:
-        want = str(min(int(old), max(1, spark.sparkContext.defaultParallelism) * 2))
-    spark.conf.set(key, want)
+    spark.conf.set(key, spark.conf.get("tidemark.streamPartitions", None) or old)
     try:
         yield
     finally:
@@ -91,11 +112,10 @@ def run_to_parquet(stream: DataFrame, name: str, mode: str = "append",
     spark = spark or stream.sparkSession
     out = scratch_path(spark, f"out-{name}")
     with stream_partitions(spark):
-        q = (stream.writeStream.format("parquet").outputMode(mode)
-             .option("path", out).option("checkpointLocation", out + "-ckpt")
-             .trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
-        q.awaitTermination()
-    _raise_if_failed(q)
+        run_to_end(stream, lambda: (
+            stream.writeStream.format("parquet").outputMode(mode)
+            .option("path", out).option("checkpointLocation", out + "-ckpt")
+            .trigger(availableNow=True).queryName(f"{name}_{uuid.uuid4().hex[:8]}").start()))
     return spark.read.parquet(out)
 
 
@@ -119,16 +139,11 @@ def run_foreach_batch(stream: DataFrame, name: str, per_batch: Callable[[DataFra
             res.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     with stream_partitions(spark):
-        q = (stream.writeStream.foreachBatch(write).outputMode(mode)
-             .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True)
-             .queryName(f"{name}_{uuid.uuid4().hex[:8]}").start())
-        q.awaitTermination()
-    _raise_if_failed(q)
-    path = out + "/latest" if overwrite else out
-    try:
-        res = spark.read.parquet(path)
-    except Exception:  # no batch produced output
-        return None
+        run_to_end(stream, lambda: (
+            stream.writeStream.foreachBatch(write).outputMode(mode)
+            .option("checkpointLocation", out + "-ckpt").trigger(availableNow=True)
+            .queryName(f"{name}_{uuid.uuid4().hex[:8]}").start()))
+    res = spark.read.parquet(out + "/latest" if overwrite else out)
     if "batch_id" in res.columns and not keep_batch_id:
         return res.drop("batch_id")
     return res
