@@ -13,7 +13,7 @@ from samples import T0, TEXT
 from tidemark import schemas
 from tidemark.functions.scalar import java_string_hash, scaled_hash
 from tidemark.functions.timefns import seconds_to_ts
-from tidemark.functions.udfs import AvgTemp, hash_code_udf, java_hash, register_functions, top2, user_aggregate
+from tidemark.functions.udfs import AvgTemp, register_functions, top2, user_aggregate
 from tidemark.operators import transforms as X
 from tidemark.operators.joins import interval_join, lateral_split
 from tidemark.operators.sequence import rows_frame, running
@@ -75,16 +75,26 @@ def test_count_avg_top2(readings):
     assert sum(1 for r in t2 if r.sensor_id != "sensor_1") == 3
 
 
-def test_hash_udfs(spark, readings):
-    assert java_hash("sensor_1") == 1262115052
-    row = readings.select(java_string_hash(F.col("sensor_id")).alias("h"),
-                          scaled_hash(F.col("sensor_id"), 1.23).alias("s"),
-                          hash_code_udf(1.23)(F.col("sensor_id")).alias("p")).where(
-        F.col("sensor_id") == "sensor_1").first()
-    assert (row.h, row.s, row.p) == (1262115052, 1552401513, 1552401513)
+def units_hash(s):
+    """String.hashCode: h = 31 h + unit over UTF-16 units, as a signed 32-bit number."""
+    raw, h = s.encode("utf-16-be"), 0
+    for i in range(0, len(raw), 2):
+        h = (31 * h + int.from_bytes(raw[i:i + 2], "big")) % 2 ** 32
+    return h - 2 ** 32 if h >= 2 ** 31 else h
+
+
+def test_hash_functions(spark):
+    texts = ["sensor_1", "", "a", "a\U0001f600b", "été ünï", "日本語", "x" * 200]
+    register_functions(spark, 1.23)
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = {r.s: r for r in df.select("s", java_string_hash(F.col("s")).alias("h"), scaled_hash(F.col("s"), 1.23).alias("f"),
+                                     F.expr("hash_code(s)").alias("q")).collect()}
+    assert units_hash("sensor_1") == 1262115052 and got["sensor_1"].f == 1552401513
+    for t in texts:
+        want = max(min(int(units_hash(t) * 1.23), 2 ** 31 - 1), -2 ** 31)
+        assert (got[t].h, got[t].f, got[t].q) == (units_hash(t), want, want)
     # factor 10 overflows the int range and is clamped like Double.toInt
-    big = readings.select(scaled_hash(F.col("sensor_id"), 10.0).alias("s")).first().s
-    assert big == 2147483647
+    assert df.select(scaled_hash(F.col("s"), 10.0).alias("f")).first().f == 2147483647
 
 
 def test_table_function(spark, readings):

@@ -15,7 +15,9 @@ _TWO32 = 4294967296
 
 
 def _chars(s: Column) -> Column:
-    return F.transform(F.split(s, ""), lambda ch: F.ascii(ch).cast("long"))
+    """The UTF-16 units of a string; a character outside the BMP is two."""
+    units = F.regexp_extract_all(F.hex(F.encode(s, "UTF-16BE")), F.lit("(?s).{4}"), F.lit(0))
+    return F.transform(units, lambda u: F.conv(u, 16, 10).cast("long"))
 
 
 def java_string_hash(s: Column) -> Column:

@@ -1,10 +1,9 @@
 """User-defined functions of the Table API (U1-U5), Spark style.
 
-* scalar (U1): the native expression in tidemark.functions.scalar is the
-  default; :func:`hash_code_udf` is the Arrow-batched pandas twin used when a
-  function is registered for SQL (U5).
-* table function (U2): a Python UDTF ``Split(sep)`` -> (word, length); the
-  native ``explode(split(...))`` form is tidemark.operators.joins.lateral_split.
+* scalar (U1): the native expression is in tidemark.functions.scalar; registered
+  for SQL (U5) it is a SQL function over the same built-ins.
+* table function (U2): a SQL table function over ``explode(split(...))`` ->
+  (word, length); its DataFrame form is tidemark.operators.joins.lateral_split.
 * aggregate function (U3): an accumulator (create / accumulate / merge /
   get-value) run as partial aggregation: ``mapInPandas`` accumulates each
   partition per key, Spark's ``groupBy`` merges the accumulators, the result
@@ -24,48 +23,22 @@ from pyspark.sql import types as T
 from tidemark.operators.windows import top_n
 
 
-def java_hash(s: str | None) -> int | None:
-    """String.hashCode over UTF-16 code units, as a signed 32-bit int."""
-    if s is None:
-        return None
-    data = s.encode("utf-16-be")
-    h = 0
-    for i in range(0, len(data), 2):
-        h = (31 * h + (data[i] << 8 | data[i + 1])) & 0xFFFFFFFF
-    return h - (1 << 32) if h >= (1 << 31) else h
-
-
-def _to_int(x: float) -> int:
-    if x != x:
-        return 0
-    return int(max(min(x, 2**31 - 1), -(2**31)))
-
-
-def hash_code_udf(factor: float):
-    """``(s.hashCode * factor).toInt`` as a pandas UDF."""
-
-    @F.pandas_udf(T.IntegerType())
-    def hash_code(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else _to_int(java_hash(v) * factor)).astype("Int32")
-
-    return hash_code
-
-
 def register_functions(spark: SparkSession, factor: float = 1.23) -> None:
-    """U5 ``registerFunction``: make the UDFs callable from SQL."""
-    spark.udf.register("hash_code", hash_code_udf(factor))
-    spark.udtf.register("split_words", Split)
-
+    """U5 ``registerFunction``: SQL functions over built-in expressions.
 
-@F.udtf(returnType="word: string, length: int", useArrow=True)
-class Split:
-    """U2 table function: one (word, length) row per piece of ``s`` split on ``sep``."""
-
-    def eval(self, s: str, sep: str):
-        if s is None:
-            return
-        for w in s.split(sep):
-            yield w, len(w)
+    ``hash_code(s)`` is ``(s.hashCode * factor).toInt`` over UTF-16 units (U1);
+    ``split_words(s, sep)`` is the table function of U2: one (word, length) row per piece.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION hash_code(s STRING) RETURNS INT RETURN
+          int(least(greatest((CASE WHEN java_hash(s) >= 2147483648 THEN java_hash(s) - 4294967296
+                                   ELSE java_hash(s) END) * {float(factor)!r}D, -2147483648D), 2147483647D))"""
+              .replace("java_hash(s)", "aggregate(transform(regexp_extract_all(hex(encode(s, 'UTF-16BE')), '.{4}', 0), "
+                                       "u -> bigint(conv(u, 16, 10))), 0L, (h, c) -> (h * 31 + c) % 4294967296)"))
+    spark.sql(r"""
+        CREATE OR REPLACE TEMPORARY FUNCTION split_words(s STRING, sep STRING)
+          RETURNS TABLE (word STRING, length INT) RETURN
+          SELECT w, length(w) FROM explode(split(s, '\\Q' || sep || '\\E')) AS t(w)""")
 
 
 class Accumulator:

@@ -13,6 +13,7 @@ from tidemark.operators.transforms import forward_with_alarm
 from tidemark.operators.windows import tumbling
 from tidemark.plans.registry import query
 from tidemark.plans.tables import sensors
+from tidemark.session import materialize
 
 # --- library form ----------------------------------------------------------
 
@@ -35,27 +36,42 @@ def temperature_jump(readings: DataFrame, threshold: float = 10.0, key: str = "s
 
 def continuous_rise(readings: DataFrame, duration: str = "10 seconds", key: str = "sensor_id", ts: str = "ts",
                     order=("ts",)) -> DataFrame:
-    """D16 batch twin: alert when a temperature keeps rising for ``duration``.
+    """Alert when a temperature keeps rising for ``duration``; same result as the stream.
 
-    A rise (temp > previous) with no earlier rise since the last fall arms a
-    timer at ``ts + duration``; a fall (temp < previous, equal keeps going)
-    at or before that time disarms it.  One alert per rising run: the first
-    timer of the run; the streaming processor re-arms after each alert.
+    A rise (temp > previous) arms a timer at ``ts + duration`` unless one is armed; a fall
+    (temp < previous, equal keeps going) at or before that time disarms it; after an alert
+    the next rise arms again.  Times are in milliseconds, as timers are.
+
+    A run is what lies between two falls.  Each round takes the armed rise of every run,
+    reports its alert unless the run ends first, and goes on to the first rise after it:
+    one row per run, runs that ended are gone.  Rounds are as many as the alerts of the
+    longest run.
     """
     order = list(order)
     n = neighbours(readings, [key], order, ["temperature"], prev=True)
-    rise = F.col("temperature") > F.col("prev_temperature")
-    fall = F.col("temperature") < F.col("prev_temperature")
-    n = n.withColumn("__rise", F.coalesce(rise, F.lit(False))).withColumn("__fall", F.coalesce(fall, F.lit(False)))
-    s = running(n, [key], order, {
-        "__prev_mark": ("last", F.when(F.col("__rise") | F.col("__fall"), F.col("__rise"))),
-    }, include_current=False)
-    s = running(s, [key], order, {"__next_fall": ("last", F.when(F.col("__fall"), F.col(ts)))},
-                reverse=True, include_current=False)
-    first_rise = F.col("__rise") & ~F.coalesce(F.col("__prev_mark"), F.lit(False))
-    fire_at = F.col(ts) + interval(duration)
-    alive = F.col("__next_fall").isNull() | (F.col("__next_fall") > fire_at)
-    return s.where(first_rise & alive).select(key, F.col(ts).alias("rise_start"), fire_at.alias("alert_time"))
+    n = n.withColumn("__rise", F.coalesce(F.col("temperature") > F.col("prev_temperature"), F.lit(False)))
+    n = n.withColumn("__fall", F.coalesce(F.col("temperature") < F.col("prev_temperature"), F.lit(False)))
+    n = running(n, [key], order, {"__run": ("sum", F.col("__fall").cast("long"))})
+    n = materialize(n.where("__rise or __fall").select(
+        key, "__run", "__rise", F.date_trunc("millisecond", F.col(ts)).cast(readings.schema[ts].dataType).alias("__at")),
+        "rise-marks")
+    rises = n.where("__rise").select(key, "__run", "__at")
+    ends = n.where("not __rise").select(key, (F.col("__run") - 1).alias("__run"), F.col("__at").alias("__end"))
+    fire = F.col("__armed") + interval(duration)
+    armed = (rises.groupBy(key, "__run").agg(F.min("__at").alias("__armed"))
+             .join(ends, [key, "__run"], "left")
+             .where(F.col("__end").isNull() | (F.col("__end") > fire)))
+    alerts = None
+    while True:
+        armed = materialize(armed, "rise-armed")
+        if armed.isEmpty():
+            break
+        alerts = armed if alerts is None else alerts.unionByName(armed)
+        nxt = (armed.withColumn("__fired", fire).join(rises, [key, "__run"]).where(F.col("__at") > F.col("__fired"))
+               .groupBy(key, "__run").agg(F.min("__at").alias("__armed"), F.first("__end").alias("__end")))
+        armed = nxt.where(F.col("__end").isNull() | (F.col("__end") > fire))
+    alerts = armed if alerts is None else alerts
+    return alerts.select(key, F.col("__armed").alias("rise_start"), fire.alias("alert_time"))
 
 
 def average_celsius(readings: DataFrame, size: str = "5 seconds", key: str = "sensor_id", ts: str = "ts"
@@ -103,21 +119,34 @@ def q_d22(spark, sf):
     return temperature_jump(sensors(spark, sf), 50.0, order=("ts", "event_id"), max_silence="12 hours")
 
 
-@query("D16_temp_rise", f"""
-WITH s AS ({_SENSOR}),
-l AS (SELECT *, lag(temperature) OVER (PARTITION BY sensor_id ORDER BY ts, event_id) AS pt FROM s),
-f AS (SELECT *, coalesce(temperature > pt, FALSE) AS rise, coalesce(temperature < pt, FALSE) AS fall FROM l),
-m AS (SELECT *,
-        last_value(CASE WHEN rise OR fall THEN rise END IGNORE NULLS) OVER (
-            PARTITION BY sensor_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_mark,
-        first_value(CASE WHEN fall THEN ts END IGNORE NULLS) OVER (
-            PARTITION BY sensor_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_fall
-      FROM f)
-SELECT sensor_id, ts AS rise_start, ts + INTERVAL 6 HOUR AS alert_time FROM m
-WHERE rise AND NOT coalesce(prev_mark, FALSE) AND (next_fall IS NULL OR next_fall > ts + INTERVAL 6 HOUR)
-""")
+# Reference semantics walked one event at a time with a recursive CTE: state
+# (last temperature, timer); a due timer fires before the next row; the end of
+# input fires what is left.  Timers have millisecond resolution.
+RISE_SQL = """
+WITH RECURSIVE s AS (
+  SELECT user_id AS sid, value AS t, date_trunc('millisecond', ts) AS tsm,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+walk(sid, rn, last, timer, alert) AS (
+  SELECT sid, rn, t, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM s WHERE rn = 1
+  UNION ALL
+  SELECT s.sid, s.rn, s.t,
+         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN
+                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
+              WHEN w.timer IS NULL THEN
+                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
+              ELSE CASE WHEN s.t < w.last THEN NULL ELSE w.timer END END,
+         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN w.timer END
+  FROM walk w JOIN s ON s.sid = w.sid AND s.rn = w.rn + 1),
+ends AS (SELECT sid, max(rn) AS rn FROM s GROUP BY sid)
+SELECT sid AS sensor_id, alert AS alert_time FROM walk WHERE alert IS NOT NULL
+UNION ALL
+SELECT w.sid, w.timer FROM walk w JOIN ends e ON w.sid = e.sid AND w.rn = e.rn WHERE w.timer IS NOT NULL
+"""
+
+
+@query("D16_temp_rise", RISE_SQL)
 def q_d16(spark, sf):
-    return continuous_rise(sensors(spark, sf), "6 hours", order=("ts", "event_id"))
+    return continuous_rise(sensors(spark, sf), "6 hours", order=("ts", "event_id")).select("sensor_id", "alert_time")
 
 
 @query("D17_avg_temp_celsius", """

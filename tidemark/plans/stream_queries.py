@@ -299,32 +299,7 @@ def q_d22s(spark, sf):
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-# Reference semantics walked one event at a time with a recursive CTE: state
-# (last temperature, timer); a due timer fires before the next row; the end of
-# input fires what is left.  Timers have millisecond resolution.
-_RISE_SQL = """
-WITH RECURSIVE s AS (
-  SELECT user_id AS sid, value AS t, date_trunc('millisecond', ts) AS tsm,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
-walk(sid, rn, last, timer, alert) AS (
-  SELECT sid, rn, t, CAST(NULL AS TIMESTAMP), CAST(NULL AS TIMESTAMP) FROM s WHERE rn = 1
-  UNION ALL
-  SELECT s.sid, s.rn, s.t,
-         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN
-                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
-              WHEN w.timer IS NULL THEN
-                CASE WHEN s.t > w.last THEN s.tsm + INTERVAL 6 HOUR END
-              ELSE CASE WHEN s.t < w.last THEN NULL ELSE w.timer END END,
-         CASE WHEN w.timer IS NOT NULL AND w.timer < s.tsm THEN w.timer END
-  FROM walk w JOIN s ON s.sid = w.sid AND s.rn = w.rn + 1),
-ends AS (SELECT sid, max(rn) AS rn FROM s GROUP BY sid)
-SELECT sid AS sensor_id, alert AS alert_time FROM walk WHERE alert IS NOT NULL
-UNION ALL
-SELECT w.sid, w.timer FROM walk w JOIN ends e ON w.sid = e.sid AND w.rn = e.rn WHERE w.timer IS NOT NULL
-"""
-
-
-@query("D16s_temp_rise_stream", _RISE_SQL)
+@query("D16s_temp_rise_stream", sensors.RISE_SQL)
 def q_d16s(spark, sf, sliced=False):
     out = run_to_parquet(S.continuous_rise(_sensor_stream(spark, sf, flush=True, sliced=sliced), "6 hours"), "d16s")
     return out.withColumn("alert_time", F.col("alert_time").cast("timestamp_ntz"))

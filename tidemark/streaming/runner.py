@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import ROCKSDB_PROVIDER, ensure_utc, scratch_path
+from tidemark.session import ROCKSDB_PROVIDER, ensure_utc, scratch_path, ship_package
 
 SENTINEL_TS = dt.datetime(2100, 1, 1)
 SENTINEL = "__sentinel"
@@ -76,6 +76,8 @@ def run_to_end(stream: DataFrame, start: Callable) -> None:
 
     ``start`` must use the ``availableNow`` trigger and the same checkpoint each time.
     """
+    ship_package(stream.sparkSession)
+
     def once() -> None:
         q = start()
         q.awaitTermination()
