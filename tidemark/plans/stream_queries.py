@@ -219,8 +219,11 @@ def q_d11s(spark, sf, sliced=False):
                       F.col("second_ts").cast("timestamp_ntz").alias("second_ts"), "matched")
 
 
-#: Every fifth payment or receipt names an unknown order, so partners are missing both ways.
-_PARTNER = F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+def _partner():
+    """Every fifth payment or receipt names an unknown order: partners are missing both ways."""
+    return F.when(F.col("o_orderkey") % 5 == 0, -F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
+
+
 _PARTNER_SQL = "CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE o_orderkey END"
 
 
@@ -230,7 +233,7 @@ def _orders_stream(spark, sf, sliced=False):
     o = _replay(spark, sf, "orders", "o_orderdate", sliced)
     creates = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
                        F.lit("create").alias("event_type"), F.lit(0).alias("seq"))
-    pays = o.select(_PARTNER.alias("order_id"), _shifted("o_orderdate", 50, 10).alias("ts"),
+    pays = o.select(_partner().alias("order_id"), _shifted("o_orderdate", 50, 10).alias("ts"),
                     F.lit("pay").alias("event_type"), F.lit(1).alias("seq"))
     return creates.unionByName(pays)
 
@@ -274,7 +277,7 @@ def q_d13s(spark, sf, sliced=False):
         F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("ts"), F.lit("pay").alias("side"),
         F.lit(0).alias("seq"))
     receipts = o.select(
-        _PARTNER.alias("tx_id"), _shifted("o_orderdate", 70, 35).alias("ts"),
+        _partner().alias("tx_id"), _shifted("o_orderdate", 70, 35).alias("ts"),
         F.lit("receipt").alias("side"), F.lit(1).alias("seq"))
     s = event_time(pays.unionByName(receipts), "ts", "70 days", flush=True)
     out = run_to_parquet(S.tx_match(s, "30 days"), "d13s")
