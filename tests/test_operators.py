@@ -204,3 +204,23 @@ def test_rolling_max_by_earliest_on_ties(ev):
     got_rows = rows(got.select("event_id", F.col("min_rec.event_id").alias("best")), ["event_id", "best"])
     want_rows = rows(want.select("event_id", F.col("m.event_id").alias("best")), ["event_id", "best"])
     assert got_rows == want_rows
+
+
+def test_numbered_ranked_and_median_match_windows(spark):
+    """One key holds half of the rows; ties and repeated rows included."""
+    import statistics
+
+    from tidemark.operators.ranking import exact_median, numbered, ranked
+
+    rows = [("hot" if i % 2 else f"k{i % 5}", i % 37, i) for i in range(400)] + [("hot", 5, 5)] * 3 + [("one", 1, 1)]
+    df = spark.createDataFrame(rows, "k string, v long, id long")
+    got = numbered(df, ["k"], ["v", "id"], ["v"]).collect()
+    for k in {r[0] for r in rows}:
+        mine = sorted((r.row_num, -r.v, r.id) for r in got if r.k == k)
+        assert [m[0] for m in mine] == list(range(1, len(mine) + 1))
+        assert [m[1:] for m in mine] == sorted((-v, i) for kk, v, i in rows if kk == k)
+    for r in ranked(df, ["k"], "v", ["id"]).collect():
+        assert r.rnk == 1 + sum(1 for k, v, _ in rows if k == r.k and v > r.v)
+    for r in exact_median(df, ["k"], "v").collect():
+        values = [v for k, v, _ in rows if k == r.k]
+        assert (r["min"], r["max"], r["median"], r["cnt"]) == (min(values), max(values), statistics.median(values), len(values))

@@ -167,3 +167,28 @@ def test_state_ttl_mode_runs(spark):
     finally:
         q.stop()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_late_click_counts_on_its_own_day(spark):
+    """Two clicks on day 2, a late one of day 1, a third of day 2: only the third is over the limit."""
+    inp, out = scratch_path(spark, "cf-in"), scratch_path(spark, "cf-out")
+    schema = "event_id long, ts timestamp_ntz, user_id long, ad_id long"
+    day = dt.datetime(2024, 1, 2)
+
+    def write(rows):
+        spark.createDataFrame(pd.DataFrame([(i, t, 1, 1) for i, t in rows],
+                                           columns=["event_id", "ts", "user_id", "ad_id"]), schema).coalesce(
+            1).write.mode("append").parquet(inp)
+
+    def run():
+        src = event_time(spark.readStream.schema(schema).parquet(inp), "ts", "1 hour")
+        _start(spark, S.click_fraud(src, 2, ["event_id"]), out, out + "-ckpt")
+
+    write([(1, day + dt.timedelta(minutes=1)), (2, day + dt.timedelta(minutes=2))])
+    run()
+    write([(3, day - dt.timedelta(minutes=1))])
+    run()
+    write([(4, day + dt.timedelta(minutes=3)), (5, day + dt.timedelta(minutes=4))])
+    run()
+    got = {r.event_id: r.status for r in spark.read.parquet(out).collect()}
+    assert got == {1: "pass", 2: "pass", 3: "pass", 4: "warn", 5: "drop"}

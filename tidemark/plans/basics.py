@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalar import fahrenheit_to_celsius
 from tidemark.functions.timefns import epoch_us
 from tidemark.operators import transforms as X
+from tidemark.operators.ranking import exact_median
 from tidemark.operators.sequence import rows_frame
 from tidemark.operators.windows import count_window, session, sliding, top_n, tumbling, window_time
 from tidemark.plans.registry import query
@@ -279,9 +280,11 @@ SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 D
 FROM events GROUP BY ALL
 """)
 def q_a9(spark, sf):
-    return tumbling(events(spark, sf), "ts", "1 day", keys=["event_type"], aggs=[
-        F.min("value").alias("min_value"), F.max("value").alias("max_value"),
-        F.round(F.percentile("value", 0.5), 4).alias("median_value"), F.count(F.lit(1)).alias("cnt")])
+    e = events(spark, sf).select(F.window("ts", "1 day").alias("w"), "event_type", "value")
+    out = exact_median(e.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                                "event_type", "value"), ["window_start", "window_end", "event_type"], "value")
+    return out.select("window_start", "window_end", "event_type", F.col("min").alias("min_value"),
+                      F.col("max").alias("max_value"), F.round("median", 4).alias("median_value"), "cnt")
 
 
 @query("A13_per_task_counter", """

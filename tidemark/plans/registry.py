@@ -24,6 +24,7 @@ MODULES = (
     "tidemark.plans.udf_queries",
     "tidemark.plans.stream_queries",
     "tidemark.plans.io_queries",
+    "tidemark.plans.table_queries",
 )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import bitmap_slot
+from tidemark.operators.ranking import ranked
 from tidemark.operators.windows import sliding, sliding_distinct, top_n, tumbling
 from tidemark.plans.registry import query
 from tidemark.plans.tables import ITEM_SQL, behaviors, events
@@ -188,12 +189,7 @@ FROM t
 """)
 def q_w14(spark, sf):
     t = events(spark, sf).groupBy("event_type", "user_id").agg(F.round(F.sum("value"), 4).alias("total"))
-    w = Window.partitionBy("event_type").orderBy(F.col("total").desc())
-    return t.select(
-        "event_type", "user_id", "total",
-        F.rank().over(w).cast("long").alias("rnk"),
-        F.row_number().over(w.orderBy(F.col("total").desc(), "user_id")).cast("long").alias("row_num"),
-    )
+    return ranked(t, ["event_type"], "total", ["user_id"]).select("event_type", "user_id", "total", "rnk", "row_num")
 
 
 @query("W15_topn_per_window", """

@@ -58,13 +58,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     )
 
 
-def csv_view(spark: SparkSession, name: str, path: str, ddl: str) -> None:
-    """``CREATE TEMP VIEW ... USING csv`` with a DDL schema."""
+def csv_view(spark: SparkSession, name: str, path: str, ddl: str, computed: dict[str, str] | None = None) -> None:
+    """``CREATE TEMP VIEW ... USING csv`` with a DDL schema.
+
+    ``computed`` adds columns by SQL expression, such as a row time
+    ``{"rt": "to_timestamp(from_unixtime(ts))"}``.
+    """
+    base = f"{name}__source" if computed else name
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY VIEW {name} ({ddl}) USING csv "
+        f"CREATE OR REPLACE TEMPORARY VIEW {base} ({ddl}) USING csv "
         f"OPTIONS (path '{path}', header 'false', ignoreLeadingWhiteSpace 'true', "
         f"ignoreTrailingWhiteSpace 'true')"
     )
+    if computed:
+        more = ", ".join(f"{e} AS {c}" for c, e in computed.items())
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT *, {more} FROM {base}")
 
 
 def parse_delimited(

@@ -68,6 +68,13 @@ def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | Non
         proc, "sensor_id long, ts timestamp, last_temp double, temperature double", "Append", mode)
 
 
+def running_statistics(stream: DataFrame) -> DataFrame:
+    """Minimum, count, sum and mean so far per sensor, one row per reading."""
+    return stream.groupBy("sensor_id").transformWithStateInPandas(
+        P.RunningStatistics(), "event_id long, sensor_id long, min_temp double, n long, total double, avg_temp double",
+        "Append", "None")
+
+
 def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None
                 ) -> DataFrame:
     """D8 via map state (clicks per day) and a timer at the end of each day.  With ``event_time_col`` (one

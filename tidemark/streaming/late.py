@@ -128,3 +128,41 @@ class AllowedLateness:
         rest = (self.spark.read.parquet(f"{self.out}/state/batch_id={self.last}").where(~F.col("fired"))
                 .select("window_start", *self.keys, "count", F.lit("first").alias("emission")))
         return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id").unionByName(rest)
+
+
+class RetractStream:
+    """A running count per key as (flag, key, count) pairs.
+
+    Every micro-batch takes back (false) the old count of each key it adds to and emits (true)
+    the new one.  The counts of a batch are one table, read by the next batch; a repeated
+    batch rewrites its own tables only.
+    """
+
+    def __init__(self, spark, keys: list[str], name: str):
+        self.spark, self.keys, self.name = spark, keys, name
+        self.out = scratch_path(spark, "retract")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        new = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__added"))
+        if batch_id > 0:
+            old = self.spark.read.parquet(f"{self.out}/state/batch_id={batch_id - 1}")
+        else:
+            old = self.spark.createDataFrame([], new.schema).withColumnRenamed("__added", self.name)
+        state = old.join(new, self.keys, "full").select(
+            *self.keys, F.col(self.name).alias("__old"), F.col("__added").isNotNull().alias("__changed"),
+            (F.coalesce(self.name, F.lit(0)) + F.coalesce("__added", F.lit(0))).alias(self.name)).persist()
+        changed = state.where("__changed")
+        added = changed.select(F.lit(True).alias("flag"), *self.keys, self.name)
+        taken = changed.where(F.col("__old").isNotNull()).select(
+            F.lit(False).alias("flag"), *self.keys, F.col("__old").alias(self.name))
+        added.unionByName(taken).write.mode("overwrite").parquet(f"{self.out}/emitted/batch_id={batch_id}")
+        state.select(*self.keys, self.name).write.mode("overwrite").parquet(f"{self.out}/state/batch_id={batch_id}")
+        state.unpersist()
+
+    def run(self, stream: DataFrame) -> DataFrame:
+        q = (stream.writeStream.foreachBatch(self).option("checkpointLocation", self.out + "-ckpt")
+             .trigger(availableNow=True).queryName(f"retract_{uuid.uuid4().hex[:8]}").start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {q.exception()}")
+        return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id")
