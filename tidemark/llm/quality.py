@@ -50,6 +50,21 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
+def with_statistics(rows: DataFrame, text: Column, name: str = "stats") -> DataFrame:
+    """``rows`` plus a struct of the statistics, computed once per row.
+
+    They come from a generator with one output row: the optimizer cannot move a filter on a
+    score below it, which would put the statistics into every rule of the filter.
+    """
+    stats = [c.cast("double").alias(k) for k, c in statistics(text).items()]
+    rows = rows.select("*", F.struct(*stats).alias(f"{name}_once"))
+    return rows.select("*", F.explode(F.array(f"{name}_once")).alias(name)).drop(f"{name}_once")
+
+
+def fields(name: str = "stats") -> dict[str, Column]:
+    return {k: F.col(f"{name}.{k}") for k in statistics(F.lit(""))}
+
+
 @dataclass(frozen=True)
 class Rule:
     """A conjunction of (statistic, at most?, threshold) with its weight."""
@@ -203,17 +218,11 @@ def score_documents(docs: DataFrame, model: RuleModel, id_col: str = "doc_id",
     Identifiers may be null or repeated; other columns are ignored; an empty table gives an
     empty result.
     """
-    rows = take(docs, id=id_col, text=text_col).select("id", text_of("text").alias("text"))
-    stats = statistics(F.col("text"))
-    rows = rows.select("id", *[c.cast("double").alias(k) for k, c in stats.items()])
-    return rows.select("id", held_out(F.col("id")).alias("held_out"),
-                       model.score({k: F.col(k) for k in stats}).alias("score"))
+    rows = with_statistics(take(docs, id=id_col, text=text_col), text_of("text"))
+    return rows.select("id", held_out(F.col("id")).alias("held_out"), model.score(fields()).alias("score"))
 
 
 def drop_low_quality(docs: DataFrame, model: RuleModel, least: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a score of at least ``least``, with all their columns."""
-    flat = flatten(docs)
-    text = text_of(flat_name(docs, text_col))
-    stats = statistics(text)
-    rows = flat.select("*", *[c.cast("double").alias(k) for k, c in stats.items()])
-    return restore(rows.where(model.score({k: F.col(k) for k in stats}) >= least), docs)
+    rows = with_statistics(flatten(docs), text_of(flat_name(docs, text_col)))
+    return restore(rows.where(model.score(fields()) >= least), docs)
