@@ -62,3 +62,9 @@ def test_copies_add_no_weight(make_docs):
 
 def test_empty(empty_docs):
     assert P.scan(empty_docs).count() == 0
+
+
+def test_a_text_full_of_findings(make_docs):
+    text = "1.2.3.4 x12 " * 5000
+    spans = P.scan(make_docs([(1, text)])).collect()[0]["spans"]
+    assert [(s["kind"], s["start"], s["end"]) for s in spans if s["rule"]] == brute(text)

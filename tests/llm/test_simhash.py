@@ -73,7 +73,7 @@ def test_masks_cover_every_pair_of_flips(spark):
 
 
 def test_thresholds_by_dynamic_program():
-    assert S.allocate_thresholds([[1, 5, 9], [100, 200, 300], [1, 2, 3]], [[0] * 3] * 3, 0) == [0, -1, 1]
+    assert S.allocate_thresholds([[1, 5, 9], [100, 200, 300], [1, 2, 9]], [[0] * 3] * 3, 0) == [0, -1, 1]
     assert sum(S.allocate_thresholds([[1, 1, 1]] * 3, [[0] * 3] * 3, 0)) == 0
 
 

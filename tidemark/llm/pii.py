@@ -102,9 +102,12 @@ def occurrences(seen: DataFrame) -> DataFrame:
         F.when(token, F.regexp_replace("value", r"^[^0-9A-Za-z+(@]+|[^0-9A-Za-z]+$", ""))
         .otherwise(F.col("value")).alias("value"), "ctx").where("start < end")
     rule = ~(F.col("kind") == TOKEN)
-    order = Window.partitionBy("uid").orderBy("start", "kind")
-    before = F.max(F.when(rule, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(rule, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    # both directions as running frames: a frame that shrinks towards the end is computed anew for every row
+    earlier = Window.partitionBy("uid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    later = (Window.partitionBy("uid").orderBy(F.desc("start"), F.desc("kind"))
+             .rowsBetween(Window.unboundedPreceding, -1))
+    before = F.max(F.when(rule, F.col("end"))).over(earlier)
+    after = F.min(F.when(rule, F.col("start"))).over(later)
     rows = rows.withColumn("before", before).withColumn("after", after)
     return rows.where(rule | (F.coalesce(F.col("before") <= F.col("start"), F.lit(True))
                               & F.coalesce(F.col("after") >= F.col("end"), F.lit(True)))).drop("before", "after")
