@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import scratch_path
+from tidemark import session
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -33,13 +33,8 @@ def restore(flat: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table below the shared checkpoint folder and read it back.
-
-    Cuts the lineage: a lost executor costs at most the tasks since this table.
-    """
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` through a table in the shared checkpoint folder (see :func:`tidemark.session.materialize`)."""
+    return session.materialize(df, f"llm-{name}")
 
 
 def text_of(col: str) -> Column:
