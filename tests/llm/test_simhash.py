@@ -106,6 +106,17 @@ def test_one_of_each_group_stays(make_docs):
     assert ids.count(None) == 2
 
 
+def test_rows_with_one_id_are_decided_each_for_itself(make_docs):
+    words = [f"w{i}" for i in range(400)]
+    base, other = " ".join(words), " ".join(reversed(words))
+    near = " ".join(["changed"] + words[1:])
+    assert (brute_fingerprint(base) ^ brute_fingerprint(near)).bit_count() <= 2
+    lone = "a clean text of its own under a repeated name"
+    docs = make_docs([(15, base), (15, lone), (16, near), (17, other), (15, other), (20, base), (None, near)])
+    got = sorted((r["doc_id"], r["text"]) for r in S.drop_near_copies(docs).collect())
+    assert got == sorted([(15, base), (15, lone), (15, other)])
+
+
 def test_empty(empty_docs):
     assert S.near_groups(empty_docs).count() == 0
     assert S.drop_near_copies(empty_docs).count() == 0

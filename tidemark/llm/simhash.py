@@ -244,6 +244,16 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+def named_components(rows: DataFrame, distance: int, parts: int) -> DataFrame:
+    """``fp, component_id`` for every fingerprint of ``rows`` (id, fp): the smallest ``id`` of its component."""
+    reps = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "representatives")
+    label = components(links(reps.select("fp"), distance, parts))
+    labelled = (reps.join(label.withColumnRenamed("node", "fp"), "fp", "left")
+                .select("fp", "least", F.coalesce("label", "fp").alias("label")))
+    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
+    return labelled.join(named, "label").select("fp", "component_id")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int = 3,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id, fp, component_id``.
@@ -255,25 +265,25 @@ def near_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int
     gives an empty result; other columns are ignored, whatever they are called.
     """
     rows = fingerprints(docs, shingle, id_col, text_col)
-    reps = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "representatives")
-    label = components(links(reps.select("fp"), distance, parts))
-    labelled = (reps.join(label.withColumnRenamed("node", "fp"), "fp", "left")
-                .select("fp", "least", F.coalesce("label", "fp").alias("label")))
-    named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    per_fp = labelled.join(named, "label").select("fp", "component_id")
-    return rows.join(per_fp, "fp").select("id", "fp", "component_id")
+    return rows.join(named_components(rows, distance, parts), "fp").select("id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int = 3,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each component.
 
-    The row whose identifier names the component stays; if several rows have that
-    identifier, one of them.  Rows without an identifier cannot be named; they all stay.
+    The rows are numbered in a written table first, so that repeated identifiers do not
+    matter: of each component the row with the smallest identifier stays, and of several
+    rows with it the first by number.  A row without an identifier goes if its component
+    has a row with one; rows of components without any identifier all stay.
     """
-    groups = near_groups(docs, shingle, distance, parts, id_col, text_col)
-    keep = groups.where("id = component_id").select("id").distinct()
     ident = flat_name(docs, id_col)
-    rows = flatten(docs)
-    kept = rows.join(keep, F.col(ident) == F.col("id"), "left_semi").dropDuplicates([ident])
-    return restore(kept.unionByName(rows.where(F.col(ident).isNull())), docs)
+    numbered = materialize(flatten(docs).withColumn("uid", F.monotonically_increasing_id()), "near-copies")
+    order = F.struct(F.col(ident).isNull().alias("unnamed"), F.col(ident).alias("id"), F.col("uid"))
+    rows = fingerprints(numbered.select(order.alias("id"), F.col(flat_name(docs, text_col)).alias("text")),
+                        shingle, "id", "text")
+    first = materialize(named_components(rows, distance, parts), "near-first")
+    named = first.where("not component_id.unnamed").select("component_id.uid").distinct()
+    unnamed = (rows.where("id.unnamed").join(first.where("component_id.unnamed"), "fp", "left_semi")
+               .select("id.uid"))
+    return restore(numbered.join(named.unionByName(unnamed), "uid", "left_semi"), docs)
