@@ -58,6 +58,14 @@ def test_matches_brute_force(spark, make_docs):
     assert got == want
 
 
+def test_no_short_item_is_missed():
+    filler = " ".join(f"f{i}" for i in range(40))
+    texts = [" ".join(f"t{k}w{i}" for i in range(1 + k % 8)) for k in range(12_000)]
+    index, hasher = D.ItemIndex(list(enumerate(texts)), 5, 0.8, 128), D.Hasher()
+    missed = [k for k, t in enumerate(texts) if not any(i == k for i, _, _ in index.matches(f"{t} {filler}", hasher))]
+    assert missed == []
+
+
 def test_contaminated_rows_go(spark, make_docs):
     docs, items = fixture(5)
     keyed = spark.createDataFrame(items, "item_id long, text string")

@@ -1,7 +1,7 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
-Items are grouped by size into classes of shingle counts up to 8, 16, 32, ...  For a class
-of size u, every document is covered by windows of 2u shingles, one every u shingles, so an
+Items of more than 4 shingles are grouped by size into classes of shingle counts up to 8,
+16, 32, ...  For a class of size u, every document is covered by windows of 2u shingles, one every u shingles, so an
 item's passage lies whole in a window: the search compares sets of like size, however long
 the document is.  An item with q shingles, u/2 < q <= u, that a window holds at containment
 c has Jaccard similarity of at least c q / (2u + (1 - c) q) with it, at least 0.19 for
@@ -9,6 +9,9 @@ c = 0.8.  With one row per band, ``permutations`` = 128 independent minima miss
 window with probability below (1 - 0.19) ** 128 = 2e-12.  Minima of windows are built from
 minima of 4-shingle cells shared by all classes.
 
+Items of 1 to 4 shingles are too few beside a window's for that bound: a document that holds
+any of their shingle hashes is a candidate directly, so none is missed.
+
 A window that holds no shingle of any item has no minimum in common with one either, so
 signatures are only made for the stretches around shingles whose hash is that of an
 item's shingle (a bit table is asked first); this changes no result.
@@ -87,7 +90,7 @@ class Hasher:
 
 
 class ItemIndex:
-    """The items of a block: by shingle length and size class, their minima and shingles."""
+    """The items of a block: by shingle length, minima of each size class, hashes of short items."""
 
     def __init__(self, items: list[tuple[object, str]], shingle: int, threshold: float, permutations: int):
         self.threshold = threshold
@@ -97,6 +100,7 @@ class ItemIndex:
         grouped: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
         self.known: dict[int, np.ndarray] = {}
         exact: dict[int, list[np.ndarray]] = {}
+        short: dict[int, list[tuple[int, np.ndarray]]] = {}
         for ident, text in items:
             words = words_of(text)
             if not words:
@@ -110,9 +114,12 @@ class ItemIndex:
             if n not in self.known:
                 self.known[n] = np.zeros(1 << FILTER_BITS, bool)
             self.known[n][hashes >> np.uint64(64 - FILTER_BITS)] = True
-            grouped.setdefault((n, size), []).append((len(self.items), self.permuted(hashes).min(axis=1)))
+            if 2 * len(shingles) <= SMALLEST:
+                short.setdefault(n, []).append((len(self.items), hashes))
+            else:
+                grouped.setdefault((n, size), []).append((len(self.items), self.permuted(hashes).min(axis=1)))
+                exact.setdefault(n, []).append(hashes)
             self.items.append((ident, n, shingles))
-            exact.setdefault(n, []).append(hashes)
         self.exact = {n: np.unique(np.concatenate(h)) for n, h in exact.items()}
         #: by shingle length: size class, sorted (permutation, minimum) keys and their items
         self.classes: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {n: [] for n in self.known}
@@ -121,6 +128,13 @@ class ItemIndex:
             owner = np.repeat([k for k, _ in members], len(self.a))
             order = np.argsort(keys, kind="stable")
             self.classes[n].append((size, keys[order], owner[order]))
+        #: by shingle length: sorted shingle hashes of the items of at most 4 shingles, and their items
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n, members in short.items():
+            keys = np.concatenate([h for _, h in members])
+            owner = np.repeat([k for k, _ in members], [len(h) for _, h in members])
+            order = np.argsort(keys, kind="stable")
+            self.short[n] = keys[order], owner[order]
 
     def row(self, first: int, last: int) -> np.ndarray:
         """The number of each permutation, in the high half of a key."""
@@ -131,11 +145,16 @@ class ItemIndex:
         a, b = self.a[first:last, None], self.b[first:last, None]
         return (hashes * a + b) >> np.uint64(32)
 
-    def stretches(self, hashes: np.ndarray, n: int) -> Iterator[np.ndarray]:
-        """The runs of shingles that reach twice the largest class around a known one."""
-        hits = np.flatnonzero(self.known[n][hashes >> np.uint64(64 - FILTER_BITS)])
-        hits = hits[self.exact[n][np.minimum(np.searchsorted(self.exact[n], hashes[hits]), len(self.exact[n]) - 1)]
-                    == hashes[hits]]
+    def possible(self, hashes: np.ndarray, n: int) -> np.ndarray:
+        """Positions of the shingles that the bit table does not rule out."""
+        return np.flatnonzero(self.known[n][hashes >> np.uint64(64 - FILTER_BITS)])
+
+    def stretches(self, hashes: np.ndarray, at: np.ndarray, n: int) -> Iterator[np.ndarray]:
+        """The runs of shingles that reach twice the largest class around a known one, of those ``at``."""
+        if n not in self.exact:
+            return
+        hits = at[self.exact[n][np.minimum(np.searchsorted(self.exact[n], hashes[at]), len(self.exact[n]) - 1)]
+                  == hashes[at]]
         if not len(hits):
             return
         reach = 2 * self.classes[n][-1][0]
@@ -143,11 +162,23 @@ class ItemIndex:
         for run in np.split(hits, breaks):
             yield hashes[max(0, run[0] - reach):run[-1] + reach + 1]
 
+    def held(self, hashes: np.ndarray, n: int) -> set[int]:
+        """The short items that have one of the hashes."""
+        if n not in self.short:
+            return set()
+        keys, owners = self.short[n]
+        hashes = np.unique(hashes)
+        lo, hi = np.searchsorted(keys, hashes), np.searchsorted(keys, hashes, "right")
+        return {k for i in np.flatnonzero(hi > lo) for k in owners[lo[i]:hi[i]].tolist()}
+
     def candidates(self, word_hashes: np.ndarray, hasher: Hasher) -> set[int]:
-        """Items with a minimum in common with a window of the document."""
+        """Short items with a shingle in the document, others with a minimum in common with a window of it."""
         found: set[int] = set()
         for n, classes in self.classes.items():
-            for part in self.stretches(hasher.shingles(word_hashes, n), n):
+            hashes = hasher.shingles(word_hashes, n)
+            at = self.possible(hashes, n)
+            found |= self.held(hashes[at], n)
+            for part in self.stretches(hashes, at, n):
                 step = max(1, CELLS_AT_ONCE // len(part))
                 for first in range(0, len(self.a), step):
                     last = min(first + step, len(self.a))
