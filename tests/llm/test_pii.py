@@ -54,6 +54,26 @@ def test_context_discovers_unseen_identifiers(make_docs):
     assert got[103] == [(3, 6, 16)]  # the discovered value, wherever it stands
 
 
+def discovered(make_docs, seeds, texts):
+    """Per text, the values found by patterns of the seeds."""
+    pairs = [(1000 + i, t) for i, t in enumerate(seeds)] + list(enumerate(texts))
+    got = {r["id"]: r["spans"] for r in P.scan(make_docs(pairs)).collect()}
+    return [[t[s["start"]:s["end"]] for s in got[i] if not s["rule"]] for i, t in enumerate(texts)]
+
+
+def test_a_candidate_before_is_the_context(make_docs):
+    phones = [f"{i} +1 555 {1000 + i} {2000 + i} and more" for i in range(30)]
+    assert discovered(make_docs, phones, ["1 5551234567", "x 2: 5559876543"]) == [["5551234567"], []]
+    mails = [f"a{i}@b.co name{i}@host{i}.org end" for i in range(30)]
+    assert discovered(make_docs, mails, ["a@b.co bob@localhost", "to bob2@localhost"]) == [["bob@localhost"], []]
+
+
+def test_a_label_within_the_token_is_the_context(make_docs):
+    phones = [f"see Phone2:+1 555 {1000 + i} {2000 + i} and a=x:+2 555 {1000 + i} {2000 + i}" for i in range(30)]
+    texts = ["call phone7:5551234567, now", "id9 \u00e9 a=x:5559876543", "see 5552223334", "x:5552223335", "ph:5552223336"]
+    assert discovered(make_docs, phones, texts) == [["5551234567"], ["5559876543"], [], [], []]
+
+
 def test_copies_add_no_weight(make_docs):
     pairs = [(i, "see ref: +1 555 1234 567 now") for i in range(50)] + [(90, "see ref: 5559876543 now")]
     got = {r["id"]: r["spans"] for r in P.scan(make_docs(pairs)).collect()}

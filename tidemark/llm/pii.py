@@ -5,8 +5,11 @@ Everything is Spark SQL.
 1. One scan of the texts collects, per kind, the matches of the rule and the text between
    them; offsets are running sums over these pieces (a window per text and kind).  Rules:
    email, ip (parts at most 255), card (16 to 19 digits that pass Luhn), phone (8 to 15
-   digits).  The same scan collects candidates: tokens with a digit or an at sign.
-2. Rule findings are the seed entities.  The word before an entity is its lexical pattern;
+   digits).  The same scan collects candidates: tokens with a digit or an at sign, and the
+   parts of them after a colon or an equals sign that have the form of a kind.
+2. Rule findings are the seed entities.  The word that ends before an entity, in the text
+   itself and for seeds and candidates alike, is its lexical pattern (the label within a
+   token, otherwise the word before the token, whether that is a candidate or not);
    patterns and distinct values form a bipartite graph (copies of a text add no weight).
 3. Rounds: a pattern's confidence for a kind is the summed score of its values of that kind
    over the number of its values plus ``SMOOTH``; an unknown value of fitting form scores
@@ -39,21 +42,28 @@ PATTERNS = (
 )
 #: What a text must hold for a match to be possible.
 GUARDS = ("@", r"[0-9][.][0-9]", "[0-9][- ]?[0-9]", r"[+][0-9]", "[0-9@]")
+#: What the gap before a token is stripped of at its end.
+BLANK = " \t\n\x0b\f\r"
+#: Parts of a token after a separator.  A value of a kind other than email has at most 7 more of
+#: them; an email's part starts at the last one before its at sign.
+PARTS = (*(rf"[:=]([^:=]*(?:[:=][^:=]*){{{k}}})$" for k in range(8)), r"[:=]([^@:=]+@[^@]+)$")
+LEAD = r"^[^0-9A-Za-z+(@]*"
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CONTEXT = 48
 SMOOTH = 2.0
 
 
 def pieces(text: str, kind: int) -> Column:
-    """Array of (kind, gap, value, ctx): every match with the length and end of the text since
-    the previous one."""
+    """Array of (kind, gap, value, ctx): every match with the length of the text since the
+    previous one and, for tokens, the end of that text without blanks."""
     regex = PATTERNS[kind]
     hits = F.regexp_extract_all(text, F.lit(regex), F.lit(0))
     empty = F.array().cast("array<struct<kind:int,gap:int,value:string,ctx:string>>")
     return F.when(F.col(text).rlike(GUARDS[kind]), F.zip_with(
         F.slice(F.split(text, regex, -1), 1, F.size(hits)), hits,
         lambda p, h: F.struct(F.lit(kind).alias("kind"), F.length(p).alias("gap"), h.alias("value"),
-                              F.right(p, F.lit(CONTEXT)).alias("ctx")))).otherwise(empty)
+                              (F.right(F.rtrim(p, F.lit(BLANK)), F.lit(CONTEXT)) if kind == TOKEN else F.lit(None))
+                              .cast("string").alias("ctx")))).otherwise(empty)
 
 
 def digits(value: Column) -> Column:
@@ -86,21 +96,54 @@ def fits(kind: int, value: Column) -> Column:
             number & n.between(13, 19), number & n.between(7, 15))[kind]
 
 
+def candidates(start: Column, value: Column, word: Column) -> Column:
+    """Array of (start, end, value, ctx): a token and its parts that have the form of a kind, trimmed.
+
+    ``word`` is the word before the token, ``ctx`` the one that ends where the value starts.
+    """
+    def trimmed(part: Column) -> Column:
+        first = F.length(value) - F.length(part) + F.length(F.regexp_extract(part, LEAD, 0))
+        last = F.length(value) - F.length(F.regexp_extract(value, r"[^0-9A-Za-z]*$", 0))
+        return F.struct(
+            (start + first).alias("start"), (start + last).alias("end"),
+            F.substring(value, first + 1, last - first).alias("value"),
+            F.when(first > 0, F.right(F.substring(value, F.lit(1), first), F.lit(CONTEXT))).otherwise(word).alias("ctx"))
+
+    def formed(c: Column) -> Column:
+        out = F.lit(False)
+        for k in range(len(KINDS)):
+            out = out | fits(k, c["value"])
+        return out
+
+    whole = F.array(trimmed(value))
+    parts = F.transform(F.array(*[F.regexp_extract(value, p, 1) for p in PARTS]), trimmed)
+    return F.when(value.rlike("[:=]"), F.array_distinct(F.concat(whole, F.filter(parts, formed)))).otherwise(whole)
+
+
 def occurrences(seen: DataFrame) -> DataFrame:
-    """``uid, kind, start, end, value, ctx`` of rule findings and of tokens that touch none."""
+    """``uid, kind, start, end, value, ctx`` of rule findings and of candidates that touch none."""
     rows = seen.select("uid", F.posexplode("found").alias("pos", "f")).select("uid", "pos", "f.*")
-    so_far = Window.partitionBy("uid", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("uid", "kind").orderBy("pos")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(so_far).cast("int")
     rows = rows.withColumn("end", end).withColumn("start", F.col("end") - F.length("value"))
-    rows = rows.where(valid(F.col("kind"), F.col("value")))
-    lead = F.length(F.regexp_extract("value", r"^[^0-9A-Za-z+(@]*", 0))
-    tail = F.length(F.regexp_extract("value", r"[^0-9A-Za-z]*$", 0))
     token = F.col("kind") == TOKEN
-    rows = rows.select(
-        "uid", "kind", F.when(token, F.col("start") + lead).otherwise(F.col("start")).alias("start"),
-        F.when(token, F.col("end") - tail).otherwise(F.col("end")).alias("end"),
-        F.when(token, F.regexp_replace("value", r"^[^0-9A-Za-z+(@]+|[^0-9A-Za-z]+$", ""))
-        .otherwise(F.col("value")).alias("value"), "ctx").where("start < end")
+    # the word before a token: the last of the gap, or the token before it if the gap is blank
+    last = F.right(F.lag("value").over(order), F.lit(CONTEXT))
+    rows = rows.withColumn("ctx", F.when(token, F.coalesce(
+        F.when(F.col("ctx") != "", F.regexp_extract("ctx", r"(\S+)$", 1)), last, F.lit(""))))
+    rows = rows.where(valid(F.col("kind"), F.col("value")))
+    # a rule finding starts within a token, which has the text to the left of it
+    upto = (Window.partitionBy("uid").orderBy("start", F.desc("kind"))
+            .rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("host", F.last(F.when(token, F.struct("start", "value", "ctx")), True).over(upto))
+    inner = F.substring(F.col("host.value"), F.lit(1), F.col("start") - F.col("host.start"))
+    rows = rows.withColumn("ctx", F.when(F.col("start") > F.col("host.start"), F.right(inner, F.lit(CONTEXT)))
+                           .otherwise(F.col("host.ctx"))).drop("host")
+    same = F.array(F.struct("start", "end", "value", "ctx"))
+    rows = rows.select("uid", "kind", F.explode(F.when(token, candidates(
+        F.col("start"), F.col("value"), F.col("ctx"))).otherwise(same)).alias("c"))
+    rows = rows.select("uid", "kind", "c.*").where("start < end")
     rule = ~(F.col("kind") == TOKEN)
     # both directions as running frames: a frame that shrinks towards the end is computed anew for every row
     earlier = Window.partitionBy("uid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
@@ -114,8 +157,8 @@ def occurrences(seen: DataFrame) -> DataFrame:
 
 
 def left_word(ctx: Column) -> Column:
-    """The word before an entity, lower-cased; numbers and addresses by their kind."""
-    word = F.lower(F.regexp_extract(ctx, r"(\S+)\s*$", 1))
+    """The word that ends before an entity, lower-cased; numbers and addresses by their kind."""
+    word = F.lower(ctx)
     return F.when(word == "", "^").when(word.contains("@"), "<mail>").otherwise(F.regexp_replace(word, "[0-9]+", "0"))
 
 
