@@ -41,6 +41,22 @@ def test_held_out_accuracy(fitted):
     assert 0 < len(model.rules) < 200
 
 
+def test_rows_of_one_labelled_id_are_cut_on_the_cluster(spark, make_docs, monkeypatch):
+    docs, _ = corpus(300)
+    ident = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2)
+    df = make_docs([(ident, t) for _, t in docs])
+    taken, collect = [], type(df).collect
+
+    def spy(self):
+        out = collect(self)
+        taken.append(len(out))
+        return out
+
+    monkeypatch.setattr(type(df), "collect", spy)
+    Q.train(df, spark.createDataFrame([(ident, 1)], "doc_id long, quality int"), sample_rows=10)
+    assert max(taken) == 20
+
+
 def test_held_out_labels_do_not_matter(spark, fitted):
     docs, labels, df, _, model = fitted
     flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 4 == 2 else q) for i, q in labels.items()]

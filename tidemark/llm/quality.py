@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import flat_name, flatten, restore, take, text_of
+from tidemark.llm.common import flat_name, flatten, materialize, restore, take, text_of
 
 SAMPLE_ROWS = 20_000
 SEED = 7
@@ -190,7 +190,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
     """Fit on at most about ``sample_rows`` labelled documents that are not held out.
 
     The sample is the labelled identifiers with the smallest hashes; several labels of one
-    identifier are averaged, null labels and identifiers are left out.
+    identifier are averaged, null labels and identifiers are left out.  Of their rows, equal
+    ones count once, and at most ``2 * sample_rows`` with the smallest hashes leave the cluster.
     """
     known = (take(labels, id=label_id, label=label_col).where("id is not null and label is not null")
              .where(~held_out(F.col("id"))).groupBy("id").agg(F.avg("label").alias("label")))
@@ -203,9 +204,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, id
     stats = statistics(F.col("text"))
     names = list(stats)
     order = F.xxhash64("id", "text")
-    got = rows.select("label", order.alias("h"), *[c.cast("double").alias(k) for k, c in stats.items()]).collect()
-    got.sort(key=lambda r: (r["h"], r["label"]))
-    got = got[:2 * sample_rows]  # repeated rows of a sampled identifier
+    rows = rows.select("id", "label", order.alias("h"), *[c.cast("double").alias(k) for k, c in stats.items()])
+    rows = rows.dropDuplicates(["id", "h"]).orderBy("h", "label", "id").limit(2 * sample_rows)
+    got = materialize(rows, "quality-sample").collect()  # written first, so the limit is taken on the cluster
+    got.sort(key=lambda r: (r["h"], r["label"], r["id"]))
     x = np.array([[r[k] for k in names] for r in got], float).reshape(len(got), len(names))
     return fit(x, np.array([r["label"] >= 0.5 for r in got], float), names)
 
