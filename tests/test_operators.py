@@ -224,3 +224,12 @@ def test_numbered_ranked_and_median_match_windows(spark):
     for r in exact_median(df, ["k"], "v").collect():
         values = [v for k, v, _ in rows if k == r.k]
         assert (r["min"], r["max"], r["median"], r["cnt"]) == (min(values), max(values), statistics.median(values), len(values))
+
+
+def test_flat_select_gives_none_one_or_more_rows_per_match(spark):
+    from tidemark.operators import cep
+
+    matches = spark.createDataFrame([(1, []), (2, [5]), (3, [6, 7])], "k int, xs array<int>")
+    rows = F.transform("xs", lambda x: F.struct(x.alias("x"), (x * 2).alias("twice")))
+    got = cep.flat_select(matches, rows, ["k"]).collect()
+    assert sorted(map(tuple, got)) == [(2, 5, 10), (3, 6, 12), (3, 7, 14)]

@@ -113,3 +113,8 @@ def match_sequence(df: DataFrame, key: str, order: Sequence[str], id_col: str,
         last = stages[-1][0]
         m = m.where(F.col(f"{last}_ts") < F.col(f"{name0}_ts") + interval(within))
     return m
+
+
+def flat_select(matches: DataFrame, rows: Column, keep: Sequence[str]) -> DataFrame:
+    """0..n rows per match (C6 ``flatSelect``): the structs of the array ``rows``, beside the columns ``keep``."""
+    return matches.select(*keep, F.explode(rows).alias("__row")).select(*keep, "__row.*")

@@ -118,6 +118,31 @@ def q_c6(spark, sf):
     return cep.match_sequence(e, "user_id", ["ts", "event_id"], "event_id", stages, "1 day")
 
 
+@query("C6b_flat_select", """
+WITH nx AS (
+  SELECT user_id, event_id, ts, event_type,
+    first_value(CASE WHEN event_type = 'click' THEN {'id': event_id, 'ts': ts} END IGNORE NULLS) OVER w AS nclick,
+    first_value(CASE WHEN event_type = 'purchase' THEN {'id': event_id, 'ts': ts} END IGNORE NULLS) OVER w AS nbuy
+  FROM events
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+m AS (
+  SELECT v.user_id, v.event_id AS view_id, v.ts AS view_ts, v.nclick.ts AS click_ts, c.nbuy.ts AS buy_ts
+  FROM nx v JOIN nx c ON c.event_id = v.nclick.id
+  WHERE v.event_type = 'view' AND c.nbuy IS NOT NULL AND c.nbuy.ts - v.ts < INTERVAL 1 DAY)
+SELECT user_id, view_id, 'view-click' AS step, view_ts AS from_ts, click_ts AS to_ts
+FROM m WHERE click_ts - view_ts < INTERVAL 4 HOUR
+UNION ALL
+SELECT user_id, view_id, 'click-buy' AS step, click_ts AS from_ts, buy_ts AS to_ts
+FROM m WHERE buy_ts - click_ts < INTERVAL 4 HOUR
+""")
+def q_c6b(spark, sf):
+    """The quick steps of each match: none, one or both."""
+    steps = F.array(*[F.struct(F.lit(f"{a}-{b}").alias("step"), F.col(f"{a}_ts").alias("from_ts"),
+                               F.col(f"{b}_ts").alias("to_ts")) for a, b in (("view", "click"), ("click", "buy"))])
+    quick = F.filter(steps, lambda s: s["to_ts"] < s["from_ts"] + F.expr("interval 4 hours"))
+    return cep.flat_select(q_c6(spark, sf), quick, ["user_id", "view_id"])
+
+
 @query("S8_stream_to_table_fields", """
 SELECT event_id AS eid, user_id AS uid, ts AS rowtime, value AS temperature FROM events
 """)
