@@ -56,7 +56,7 @@ def test_stages_take_odd_rows(spark, request, frame):
 
 def test_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)

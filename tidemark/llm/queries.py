@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, licenses, pii, quality, secret_scan, sharding, simhash, warc
+from tidemark.llm import (bpe, decontaminate, exact_dedup, licenses, periodic, pii, quality, resampling, secret_scan,
+                          sharding, simhash, toxicity, warc)
 
 SHARDS = 8
 
@@ -112,6 +113,50 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "item_id", "shared", "containment")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents with 20 words or more, drawn towards the benchmark texts."""
+    out = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The contract's input: ``doc_id, text``, where one text in ten ends in a repeated stretch.
+
+    With n words, h the CRC-32 of the identifier, g = h div 10, a = g % n and
+    p = 1 + (n - a) div (3 + g % 8), word i >= a becomes word a + (i - a) % p if h % 10 = 0.
+    Rows without words or identifier stay as they are.
+    """
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    marked = rows.where("h % 10 = 0").select("doc_id", "text", F.expr("h div 10").alias("g"), F.filter(
+        F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
+    marked = marked.withColumn("n", F.coalesce(F.size("w"), F.lit(0)).cast("long"))
+    marked = marked.withColumn("a", F.expr("g % greatest(n, 1)"))
+    marked = marked.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    changed = F.expr("array_join(concat(slice(w, 1, int(a)), slice(flatten(array_repeat("
+                     "slice(w, int(a) + 1, int(p)), int((n - a) div p) + 1)), 1, int(n - a))), ' ')")
+    marked = marked.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+    return rows.where("h is null or h % 10 <> 0").select("doc_id", "text").unionByName(marked)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.periodic_runs(with_repeats(table(spark, sf_dir, "documents")))
+    top = F.get(F.sort_array(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    out = out.withColumn("top", top)
+    return out.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "top.start",
+                      (-F.col("top.shorter")).alias("length"), "top.period",
+                      F.expr("1000 * -top.shorter div top.period").alias("exponent_milli"),
+                      F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select(F.col("id").alias("doc_id"), "held_out", "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -124,6 +169,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": op8_warc,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_decontamination": op10_decontamination,
+        "op11_resampling": op11_resampling,
+        "op12_periodic_runs": op12_periodic_runs,
+        "op13_toxicity": op13_toxicity,
     }
 
 
