@@ -278,6 +278,37 @@ GROUP BY id, item_id HAVING count(*) >= ceil(0.8 * any_value(size) - 1e-9)
 """
 
 
+OP11_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+               lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, row_number() OVER () AS uid, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT uid, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+bf AS (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM b),
+names AS MATERIALIZED (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT,
+                 list_transform(regexp_extract_all(hex(encode(f)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                 lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+          FROM (SELECT f FROM df UNION SELECT f FROM bf), crc),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN names USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN names USING (f) GROUP BY bucket),
+n AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS ns, (SELECT count(*) FROM bf)::DOUBLE AS nt),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (ns + 10000) / ((coalesce(s, 0) + 1.0::DOUBLE) * (nt + 10000))))::BIGINT AS gain
+      FROM s FULL JOIN t USING (bucket), n),
+w AS (SELECT uid, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+      FROM df JOIN names USING (f) JOIN g USING (bucket) GROUP BY uid),
+h AS (SELECT doc_id, uid, len(w) AS n_words,
+             (('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS u FROM d),
+r AS (SELECT doc_id, uid, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln(u)))::BIGINT AS score FROM h LEFT JOIN w USING (uid)),
+o AS (SELECT uid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, uid) AS rank, count(*) OVER () AS n
+      FROM r WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM r LEFT JOIN o USING (uid)
+"""
+
+
 def oracles() -> dict[str, str]:
     return {"op2_licenses": _license_sql(), "op7_sharding": OP7_SQL, "op8_warc": OP8_SQL, "op9_exact_dedup": OP9_SQL,
-            "op10_decontamination": OP10_SQL}
+            "op10_decontamination": OP10_SQL, "op11_resampling": OP11_SQL}

@@ -55,24 +55,34 @@ def fold(ident: Column) -> Column:
     return F.crc32(F.coalesce(ident.cast("string"), F.lit("")).cast("binary")) % 5
 
 
-def pack(words: list[bytes], bags: list[Counter]) -> bytes:
-    """A block: its distinct words, the number of distinct words of each document, and their
-    numbers and counts, as a compressed Arrow stream of one row."""
-    number = {w: i for i, w in enumerate(words)}
-    columns = [pa.array([words], pa.list_(pa.binary())), pa.array([[len(b) for b in bags]], pa.list_(pa.int32())),
-               pa.array([[number[w] for b in bags for w in b]], pa.list_(pa.int32())),
-               pa.array([[n for b in bags for n in b.values()]], pa.list_(pa.int32()))]
+def pack(words: list[bytes], word: list[np.ndarray], n: list[np.ndarray]) -> bytes:
+    """A block as a compressed Arrow stream of one row: its distinct words, the more documents
+    hold one the earlier; how many each document has; their numbers, ascending within a
+    document and stored as steps; and their counts."""
+    distinct = np.array([len(w) for w in word], np.int32)
+    flat = np.concatenate(word)
+    rank = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+    number = np.empty(len(words), np.int32)
+    number[rank] = np.arange(len(words), dtype=np.int32)
+    flat = number[flat]
+    by = np.lexsort((flat, np.repeat(np.arange(len(word)), distinct)))
+    flat, counts = flat[by], np.concatenate(n)[by]
+    every = [pa.array([words[i] for i in rank], pa.binary())]
+    every += [pa.array(x) for x in (distinct, np.diff(flat, prepend=np.int32(0)), counts)]
+    columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in every]
     sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays(columns, names=["words", "distinct", "word", "n"])
+    batch = pa.RecordBatch.from_arrays(columns, names=["words", "distinct", "step", "n"])
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
 def unpack(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """Words, distinct words per document, word numbers and counts."""
     batch = pa.ipc.open_stream(data).read_next_batch()
-    words, *numbers = (c.values for c in batch.columns)
-    return words.to_pylist(), *(x.to_numpy().astype(np.int64) for x in numbers)
+    words, distinct, step, n = (c.values for c in batch.columns)
+    return (words.to_pylist(), distinct.to_numpy().astype(np.int64),
+            np.cumsum(step.to_numpy(), dtype=np.int64), n.to_numpy().astype(np.int64))
 
 
 def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,14 +95,13 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         ids: list[pa.Array] = []
-        bags: list[Counter] = []
+        word: list[np.ndarray] = []
+        n: list[np.ndarray] = []
+        number: dict[bytes, int] = {}
         size = 0
 
         def flush() -> pa.RecordBatch:
-            total: Counter = Counter()
-            for b in bags:
-                total.update(b.keys())
-            packed = pack([w for w, _ in total.most_common()], bags)
+            packed = pack(list(number), word, n)
             values = pa.concat_arrays(ids)
             return pa.RecordBatch.from_arrays(
                 [pa.array([block]), pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values),
@@ -102,12 +111,14 @@ def blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             for i in range(batch.num_rows):
                 raw = (batch.column(1)[i].as_py() or "").encode("utf-8", "surrogatepass")
                 ids.append(batch.column(0).slice(i, 1))
-                bags.append(Counter(raw.translate(FOLD).split()))
+                bag = Counter(raw.translate(FOLD).split())
+                word.append(np.fromiter((number.setdefault(w, len(number)) for w in bag), np.int32, len(bag)))
+                n.append(np.fromiter(bag.values(), np.int32, len(bag)))
                 size += len(raw)
-                if size >= BLOCK_BYTES or len(bags) >= BLOCK_DOCS:
+                if size >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
                     yield flush()
-                    ids, bags, size, block = [], [], 0, block + 1
-        if bags:
+                    ids, word, n, number, size, block = [], [], [], {}, 0, block + 1
+        if ids:
             yield flush()
 
     return materialize(rows.select("id", text_of("text").alias("text")).mapInArrow(run, schema), "toxicity-blocks")
