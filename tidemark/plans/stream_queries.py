@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import basics, detection, marketing, reconcile, sensors, traffic  # noqa: F401 (oracles)
+from tidemark.plans import basics, detection, io_queries, marketing, reconcile, sensors, traffic  # noqa: F401 (oracles)
 from tidemark.plans.registry import _ORACLES, query
 from tidemark.plans.tables import ITEM_SQL, item_col
 from tidemark.sources.files import stream_slices, stream_table
 from tidemark.streaming import jobs as S
-from tidemark.streaming.predicates import is_error, is_purchase, is_signup
 from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
 
@@ -133,9 +132,10 @@ n AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, CAST(ts AS DATE)
 SELECT event_id, user_id, ad_id, CASE WHEN n <= 1 THEN 'pass' WHEN n = 2 THEN 'warn' ELSE 'drop' END AS status FROM n
 """)
 def q_d8s(spark, sf, sliced=False):
-    s = _events(spark, sf, sliced=sliced, pre=lambda d: d.where(F.col("event_type") == "click").select(
-        "event_id", "ts", "user_id", (item_col() % 3).alias("ad_id")))
-    out = S.click_fraud(s, 1, ["event_id", "user_id", "ad_id"])
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes",
+                pre=lambda d: d.where(F.col("event_type") == "click").select(
+                    "event_id", "ts", "user_id", (item_col() % 3).alias("ad_id")))
+    out = S.click_fraud(s, 1, ["event_id", "user_id", "ad_id"], hold=True)
     return run_to_parquet(out, "d8s")
 
 
@@ -161,9 +161,9 @@ def q_d5s(spark, sf, sliced=False):
 
 
 @query("D21s_dynamic_threshold_stream", _ORACLES["D21_dynamic_threshold"])
-def q_d21s(spark, sf):
+def q_d21s(spark, sf, sliced=False):
     kind = F.when(F.col("event_type") == "signup", "rule").otherwise("reading")
-    s = _events(spark, sf, pre=lambda d: d.select(
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.select(
         F.col("user_id").alias("sensor_id"), "ts", "event_id", kind.alias("kind"), "value"))
     return run_to_parquet(S.dynamic_threshold(s), "d21s")
 
@@ -176,8 +176,8 @@ s AS (SELECT *, lag(event_type) OVER w AS prev_type, lag(ts) OVER w AS prev_ts
 SELECT user_id, prev_ts AS first_fail_time, ts AS last_fail_time
 FROM s WHERE event_type = 'fail' AND prev_type = 'fail' AND ts < prev_ts + INTERVAL 2 HOUR
 """)
-def q_d9s(spark, sf):
-    s = _events(spark, sf).select(
+def q_d9s(spark, sf, sliced=False):
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes").select(
         "event_id", "ts", "user_id",
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type"))
     out = run_to_parquet(S.login_fail(s, "2 hours"), "d9s")
@@ -195,7 +195,7 @@ FROM s WHERE fail AND next_fail AND next_ts - ts < INTERVAL 3 HOUR
 def q_d10s(spark, sf, sliced=False):
     s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.select(
         "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
-    out = S.pattern(s, "user_id", is_error, is_error, "next", "3 hours")
+    out = S.pattern(s, "user_id", F.col("event_type") == "error", F.col("event_type") == "error", "next", "3 hours")
     res = run_to_parquet(out, "d10s")
     return res.select("user_id", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
                       F.col("second_ts").cast("timestamp_ntz").alias("second_ts"), "matched")
@@ -213,7 +213,8 @@ FROM s WHERE event_type = 'signup'
 def q_d11s(spark, sf, sliced=False):
     s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.where(F.col("event_type").isin("signup", "purchase")).select(
         "user_id", "ts", F.col("event_id").alias("seq"), "event_type"))
-    out = S.pattern(s, "user_id", is_signup, is_purchase, "followedBy", "6 hours", emit_timeouts=True)
+    out = S.pattern(s, "user_id", F.col("event_type") == "signup", F.col("event_type") == "purchase", "followedBy",
+                    "6 hours", emit_timeouts=True)
     res = run_to_parquet(out, "d11s")
     return res.select("user_id", F.col("first_ts").cast("timestamp_ntz").alias("first_ts"),
                       F.col("second_ts").cast("timestamp_ntz").alias("second_ts"), "matched")
@@ -230,7 +231,7 @@ _PARTNER_SQL = "CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey ELSE o_orderkey EN
 def _orders_stream(spark, sf, sliced=False):
     """A creation and a payment per order; the payment comes (totalprice mod 50) - 10 days
     after the order date."""
-    o = _replay(spark, sf, "orders", "o_orderdate", sliced)
+    o = _replay(spark, sf, "orders", "o_orderdate", sliced, "20 days")
     creates = o.select(F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
                        F.lit("create").alias("event_type"), F.lit(0).alias("seq"))
     pays = o.select(_partner().alias("order_id"), _shifted("o_orderdate", 50, 10).alias("ts"),
@@ -272,7 +273,7 @@ UNION ALL SELECT tx_id, pay_time, NULL, 'unmatched_pay' FROM p WHERE tx_id NOT I
 UNION ALL SELECT tx_id, NULL, receipt_time, 'unmatched_receipt' FROM r WHERE tx_id NOT IN (SELECT tx_id FROM m)
 """)
 def q_d13s(spark, sf, sliced=False):
-    o = _replay(spark, sf, "orders", "o_orderdate", sliced)
+    o = _replay(spark, sf, "orders", "o_orderdate", sliced, "20 days")
     pays = o.select(
         F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("ts"), F.lit("pay").alias("side"),
         F.lit(0).alias("seq"))
@@ -285,20 +286,35 @@ def q_d13s(spark, sf, sliced=False):
                       F.col("receipt_time").cast("timestamp_ntz").alias("receipt_time"), "tag")
 
 
-def _sensor_stream(spark, sf, flush=False, sliced=False):
-    return _events(spark, sf, flush=flush, sliced=sliced).select("event_id", "ts", F.col("user_id").alias("sensor_id"),
+def _sensor_stream(spark, sf, flush=True, sliced=False):
+    return _events(spark, sf, "30 minutes", flush=flush, sliced=sliced, late="30 minutes").select("event_id", "ts", F.col("user_id").alias("sensor_id"),
                                      F.col("value").alias("temperature"))
 
 
 @query("D15s_temp_jump_stream", _ORACLES["D15_temp_jump"])
-def q_d15s(spark, sf):
-    out = run_to_parquet(S.temperature_jump(_sensor_stream(spark, sf), 100.0), "d15s")
+def q_d15s(spark, sf, sliced=False):
+    out = run_to_parquet(S.temperature_jump(_sensor_stream(spark, sf, sliced=sliced), 100.0, hold=True), "d15s")
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("D13r_tx_reconcile_repeated_stream", _ORACLES["D13_tx_reconcile"])
+def q_d13r(spark, sf):
+    """An id has one payment and several receipts, both over three micro-batches."""
+    pays = stream_slices(spark, sf, "orders", "o_orderdate", 3, "20 days", F.col("o_orderkey") % 10 == 0)
+    receipts = stream_slices(spark, sf, "lineitem", "l_shipdate", 3, "20 days", F.col("l_orderkey") % 7 == 0)
+    s = pays.select(F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").alias("ts"), F.lit("pay").alias("side"),
+                    F.lit(0).cast("long").alias("seq")).unionByName(receipts.select(
+                        F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").alias("ts"),
+                        F.lit("receipt").alias("side"), F.col("l_linenumber").cast("long").alias("seq")))
+    out = run_to_parquet(S.tx_match(event_time(s, "ts", "400 days", flush=True), "30 days"), "d13r")
+    return out.select("tx_id", F.col("pay_time").cast("timestamp_ntz").alias("pay_time"),
+                      F.col("receipt_time").cast("timestamp_ntz").alias("receipt_time"), "tag")
+
+
 @query("D22s_self_cleaning_stream", _ORACLES["D22_self_cleaning_jump"])
-def q_d22s(spark, sf):
-    out = run_to_parquet(S.temperature_jump(_sensor_stream(spark, sf), 50.0, "12 hours"), "d22s")
+def q_d22s(spark, sf, sliced=False):
+    out = run_to_parquet(S.temperature_jump(_sensor_stream(spark, sf, sliced=sliced), 50.0, "12 hours", hold=True),
+                         "d22s")
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -413,9 +429,9 @@ WHERE w.timer IS NOT NULL AND w.cnt >= 2
 
 
 @query("D9b_login_fail_timer_stream", _LOGIN_TIMER_SQL)
-def q_d9b(spark, sf):
+def q_d9b(spark, sf, sliced=False):
     """Timer form of the login check: >= 2 fails within 2 hours of the first, no success between."""
-    s = _events(spark, sf, flush=True, pre=lambda d: d.select(
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=sliced, late="30 minutes", pre=lambda d: d.select(
         "user_id", "ts", F.col("event_id").alias("seq"),
         F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("event_type")))
     out = run_to_parquet(S.login_fail_timer(s, "2 hours"), "d9b")
@@ -423,10 +439,75 @@ def q_d9b(spark, sf):
                       F.col("last_fail_time").cast("timestamp_ntz").alias("last_fail_time"), "fails")
 
 
+@query("C6s_three_stage_stream", _ORACLES["C6_three_stage_followed_by"])
+def q_c6s(spark, sf):
+    """View, click, purchase (each followed by the next) over five micro-batches with late rows."""
+    return _sequence(spark, sf, "c6s", "1 day", [("view", F.col("event_type") == "view", ""),
+                                                 ("click", F.col("event_type") == "click", "followedBy"),
+                                                 ("buy", F.col("event_type") == "purchase", "followedBy")])
+
+
+@query("C5s_pattern_or_next_stream", _ORACLES["C5_pattern_or_next"])
+def q_c5s(spark, sf):
+    """An error or a signup with a purchase right behind it."""
+    return _sequence(spark, sf, "c5s", "6 hours", [
+        ("start", (F.col("event_type") == "error") | (F.col("event_type") == "signup"), ""),
+        ("buy", F.col("event_type") == "purchase", "next")])
+
+
+_MIXED = [("view", "event_type = 'view'", ""), ("click", "event_type = 'click'", "next"),
+          ("sign", "event_type = 'signup'", "followedBy"), ("buy", "event_type = 'purchase'", "followedBy")]
+
+
+@query("C8b_mixed_stages_timeouts_stream", """
+WITH s AS (SELECT user_id, event_id, ts, event_type, lead(event_type) OVER w AS n_type, lead(event_id) OVER w AS n_id,
+             lead(ts) OVER w AS n_ts,
+             first_value(CASE WHEN event_type = 'signup' THEN {'id': event_id, 'ts': ts} END IGNORE NULLS) OVER f AS sign,
+             first_value(CASE WHEN event_type = 'purchase' THEN {'id': event_id, 'ts': ts} END IGNORE NULLS) OVER f AS buy
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id),
+             f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+m AS (SELECT v.user_id, v.event_id AS view_id, v.ts AS view_ts, v.ts + INTERVAL 2 DAY AS until,
+             v.n_type, v.n_id, v.n_ts, c.sign, b.buy
+      FROM s v LEFT JOIN s c ON c.event_id = v.n_id LEFT JOIN s b ON b.event_id = c.sign.id WHERE v.event_type = 'view'),
+k AS (SELECT *, n_ts < until AS has_click, coalesce(n_ts < until AND sign.ts < until, FALSE) AS has_sign,
+             coalesce(n_ts < until AND sign.ts < until AND buy.ts < until, FALSE) AS has_buy
+      FROM m WHERE n_type IS NULL OR n_type = 'click' OR n_ts >= until)
+SELECT user_id, view_id, view_ts,
+       CASE WHEN has_click THEN n_id END AS click_id, CASE WHEN has_click THEN n_ts END AS click_ts,
+       CASE WHEN has_sign THEN sign.id END AS sign_id, CASE WHEN has_sign THEN sign.ts END AS sign_ts,
+       CASE WHEN has_buy THEN buy.id END AS buy_id, CASE WHEN has_buy THEN buy.ts END AS buy_ts, has_buy AS matched
+FROM k
+""")
+def q_c8b(spark, sf):
+    """Four stages, strict and relaxed contiguity mixed, and every partial match that ran out of time."""
+    stages = [(n, F.expr(c), k) for n, c, k in _MIXED]
+    return _sequence(spark, sf, "c8b", "2 days", stages, emit_timeouts=True)
+
+
+def _sequence(spark, sf, name, within, stages, emit_timeouts=False):
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=True, late="30 minutes")
+    out = run_to_parquet(S.match_sequence(s, "user_id", "event_id", stages, within, emit_timeouts), name)
+    columns = [F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_ts") else F.col(c) for c in out.columns]
+    return out.select(*columns) if emit_timeouts else out.select(*columns).drop("matched")
+
+
+@query("J3s_switch_gate_stream", _ORACLES["J3_switch_gate"])
+def q_j3s(spark, sf):
+    """The gate's clock is the event time, so the replay is exact; it runs on the processing clock alike."""
+    kind = F.when(F.col("event_type") == "signup", "switch").otherwise("fact")
+    s = _events(spark, sf, "30 minutes", flush=True, sliced=True, late="30 minutes",
+                pre=lambda d: d.where(F.col("event_type").isin("signup", "view")).select(
+                    "event_id", "user_id", "ts", kind.alias("kind")))
+    out = run_to_parquet(S.switch_gate(s, "1 day"), "j3s")
+    return out.select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                      F.col("opened_at").cast("timestamp_ntz").alias("opened_at"))
+
+
 # --- the same jobs over several rate-limited micro-batches -------------------
 
-for _name, _job in (("T3", q_t3), ("D1s", q_d1s), ("D5s", q_d5s), ("D8s", q_d8s), ("D10s", q_d10s), ("D11s", q_d11s),
-                    ("D12s", q_d12s), ("D13s", q_d13s), ("D16s", q_d16s)):
+for _name, _job in (("T3", q_t3), ("D1s", q_d1s), ("D5s", q_d5s), ("D8s", q_d8s), ("D9s", q_d9s), ("D9b", q_d9b),
+                    ("D10s", q_d10s), ("D11s", q_d11s), ("D12s", q_d12s), ("D13s", q_d13s), ("D15s", q_d15s),
+                    ("D16s", q_d16s), ("D21s", q_d21s), ("D22s", q_d22s)):
     _full = next(n for n in _ORACLES if n.startswith(f"{_name}_"))
     query(f"{_full}_sliced", _ORACLES[_full])(
         lambda spark, sf, job=_job: job(spark, sf, sliced=True))

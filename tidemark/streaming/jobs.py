@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.timefns import duration_us
 from tidemark.operators.windows import top_n
 from tidemark.streaming import processors as P
+from tidemark.streaming.keyed import run_keyed
+
+
+def _us(d: str) -> int:
+    return duration_us(d)
 
 
 def _ms(d: str) -> int:
@@ -59,13 +64,15 @@ def distinct_users_per_window(stream: DataFrame, ts: str, size: str, user: str)
 
 
 def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | None = None,
-                     ttl: str | None = None) -> DataFrame:
-    """D15/D22/T11 via value state (+ event-time clean-up timer, or T14 state TTL)."""
-    proc = P.TemperatureJump(threshold, _ms(max_silence) if max_silence else None, order=("ts", "event_id"),
-                             ttl_ms=_ms(ttl) if ttl else None)
-    mode = "EventTime" if max_silence else ("ProcessingTime" if ttl else "None")
-    return stream.groupBy("sensor_id").transformWithStateInPandas(
-        proc, "sensor_id long, ts timestamp, last_temp double, temperature double", "Append", mode)
+                     ttl: str | None = None, hold: bool = False) -> DataFrame:
+    """D15/D22/T11 via value state (+ clean-up timer, or T14 state TTL on the processing clock).
+
+    ``hold`` orders the readings behind the watermark; without it they count as they arrive."""
+    clock = {"hold": False, "clock": "processing"} if ttl else {"hold": hold}
+    proc = P.TemperatureJump(threshold, _us(max_silence) if max_silence else None,
+                             ttl_ms=_ms(ttl) if ttl else None, **clock)
+    return run_keyed(stream.withColumn("at", F.unix_micros("ts")), ["sensor_id"], proc,
+                     "sensor_id long, ts timestamp, last_temp double, temperature double")
 
 
 def running_statistics(stream: DataFrame) -> DataFrame:
@@ -75,22 +82,21 @@ def running_statistics(stream: DataFrame) -> DataFrame:
         "Append", "None")
 
 
-def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None
-                ) -> DataFrame:
+def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None,
+                hold: bool = False) -> DataFrame:
     """D8 via map state (clicks per day) and a timer at the end of each day.  With ``event_time_col`` (one
     of ``cols``) the output keeps the watermark, so a windowed aggregation
-    can follow (D7 after D8)."""
-    proc = P.ClickFraudFilter(max_clicks, cols, order=("ts", "event_id"))
+    can follow (D7 after D8).  ``hold`` orders the clicks behind the watermark."""
+    types = {f.name: f.dataType.simpleString() for f in stream.select(*cols).schema.fields}
     schema = stream.select(*cols).schema.add("status", "string")
-    return stream.groupBy("user_id", "ad_id").transformWithStateInPandas(
-        proc, schema, "Append", "EventTime", eventTimeColumnName=event_time_col or "")
+    return run_keyed(stream, ["user_id", "ad_id"], P.ClickFraudFilter(max_clicks, types, hold=hold), schema,
+                     event_time_col or "")
 
 
 def login_fail(stream: DataFrame, gap: str) -> DataFrame:
-    """D9 via value state."""
-    proc = P.LoginFailState(_ms(gap), order=("ts", "event_id"))
-    return stream.groupBy("user_id").transformWithStateInPandas(
-        proc, "user_id long, first_fail_time timestamp, last_fail_time timestamp", "Append", "None")
+    """D9 via value state, rows in event-time order."""
+    return run_keyed(stream, ["user_id"], P.LoginFailState(_us(gap)),
+                     "user_id long, first_fail_time timestamp, last_fail_time timestamp")
 
 
 def order_pay(stream: DataFrame, timeout: str, grace: str | None = None) -> DataFrame:
@@ -103,26 +109,57 @@ def order_pay(stream: DataFrame, timeout: str, grace: str | None = None) -> Data
 
 def tx_match(stream: DataFrame, bound: str) -> DataFrame:
     """Tagged union (tx_id, ts, side, seq) through a two-sided keyed state."""
-    proc = P.TxMatch(_ms(bound), order=("ts", "seq"))
-    return stream.groupBy("tx_id").transformWithStateInPandas(
-        proc, "tx_id long, pay_time timestamp, receipt_time timestamp, tag string", "Append", "EventTime")
+    return run_keyed(stream, ["tx_id"], P.TxMatch(_us(bound)),
+                     "tx_id long, pay_time timestamp, receipt_time timestamp, tag string")
 
 
 def continuous_rise(stream: DataFrame, duration: str) -> DataFrame:
     """D16 with event-time timers (re-arms after each alert, as the reference)."""
-    proc = P.ContinuousRise(_ms(duration), order=("ts", "event_id"))
-    return stream.groupBy("sensor_id").transformWithStateInPandas(
-        proc, "sensor_id long, alert_time timestamp", "Append", "EventTime")
+    return run_keyed(stream, ["sensor_id"], P.ContinuousRise(_ms(duration)), "sensor_id long, alert_time timestamp")
+
+
+def match_sequence(stream: DataFrame, key: str, ident: str, stages, within: str | None = None,
+                   emit_timeouts: bool = False) -> DataFrame:
+    """A pattern of any number of stages, the twin of :func:`tidemark.operators.cep.match_sequence`.
+
+    ``stages`` = [(name, condition, contiguity)].  One row per match: ``key``, ``<name>_id``
+    and ``<name>_ts`` per stage and ``matched`` (false for time-outs).  Ties of time go by
+    ``ident``.  Conditions are columns: rows are reduced to one bit per stage before they
+    are grouped, and rows that meet none are dropped unless a ``next`` stage needs them.
+    """
+    bits = [F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, cond, _) in enumerate(stages)]
+    meets = bits[0]
+    for b in bits[1:]:
+        meets = meets.bitwiseOR(b)
+    rows = stream.select(key, "ts", F.col(ident).alias("ident"), meets.cast("long").alias("meets"))
+    if not any(c == "next" for _, _, c in stages[1:]):
+        # mentions the event time, or Catalyst would drop rows below the watermark operator,
+        # which they move on
+        rows = rows.where(F.when(F.col("meets") != 0, F.col("ts")).isNotNull())
+    ktype, itype = (stream.schema[c].dataType.simpleString() for c in (key, ident))
+    names = [n for n, _, _ in stages]
+    proc = P.PatternMatcher(names, [c for _, _, c in stages], _us(within) if within else None, key, itype,
+                            emit_timeouts)
+    columns = ", ".join(f"{n}_id {itype}, {n}_ts timestamp" for n in names)
+    return run_keyed(rows, [key], proc, f"{key} {ktype}, {columns}, matched boolean")
 
 
 def pattern(stream: DataFrame, key: str, first, second, contiguity: str, within: str | None,
             emit_timeouts: bool = False) -> DataFrame:
-    """Two-stage pattern, events sorted by event time behind the watermark.
-    Input needs ``ts`` and a ``seq`` tie-break column."""
-    proc = P.PatternMatcher(first, second, contiguity, _ms(within) if within else None, key, emit_timeouts)
-    ktype = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).transformWithStateInPandas(
-        proc, f"{key} {ktype}, first_ts timestamp, second_ts timestamp, matched boolean", "Append", "EventTime")
+    """Two stages of :func:`match_sequence` over rows with a ``seq`` tie-break column."""
+    out = match_sequence(stream, key, "seq", [("first", first, ""), ("second", second, contiguity)], within,
+                         emit_timeouts)
+    return out.select(key, "first_ts", "second_ts", "matched")
+
+
+def switch_gate(stream: DataFrame, duration: str, clock: str = "event") -> DataFrame:
+    """J3 (and T10): facts of a key are forwarded while its latest switch is less than
+    ``duration`` old; tagged union (user_id, ts, event_id, kind in {switch, fact}).
+
+    ``clock="processing"``: rows happen when they arrive and a processing-time timer closes
+    the gate.  ``clock="event"``: the same processor over event time."""
+    proc = P.SwitchGate(_us(duration), hold=clock == "event", clock=clock)
+    return run_keyed(stream, ["user_id"], proc, "event_id long, user_id long, ts timestamp, opened_at timestamp")
 
 
 def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):
@@ -134,10 +171,8 @@ def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):
 
 def login_fail_timer(stream: DataFrame, window: str, min_fails: int = 2) -> DataFrame:
     """At least ``min_fails`` fails within ``window`` of the first, no success between."""
-    proc = P.LoginFailTimer(_ms(window), min_fails, order=("ts", "seq"))
-    return stream.groupBy("user_id").transformWithStateInPandas(
-        proc, "user_id long, first_fail_time timestamp, last_fail_time timestamp, fails long", "Append",
-        "EventTime")
+    return run_keyed(stream, ["user_id"], P.LoginFailTimer(_ms(window), min_fails),
+                     "user_id long, first_fail_time timestamp, last_fail_time timestamp, fails long")
 
 
 def with_processing_time(stream: DataFrame, col: str = "proc_time") -> DataFrame:
@@ -152,11 +187,10 @@ def with_ingestion_time(stream: DataFrame, col: str = "ingest_time") -> DataFram
 
 
 def dynamic_threshold(stream: DataFrame) -> DataFrame:
-    """D21/J7 live rules: tagged union (sensor_id, ts, event_id, kind, value)
-    through one keyed state holding the threshold and the last temperature."""
-    return stream.groupBy("sensor_id").transformWithStateInPandas(
-        P.DynamicThreshold(), "sensor_id long, event_id long, temperature double, threshold double, "
-                              "temp_diff double", "Append", "None")
+    """D21/J7 live rules: tagged union (sensor_id, ts, event_id, kind, value) in event-time
+    order through one keyed state holding the threshold and the last temperature."""
+    return run_keyed(stream, ["sensor_id"], P.DynamicThreshold(),
+                     "sensor_id long, event_id long, temperature double, threshold double, temp_diff double")
 
 
 def interval_join_streams(left: DataFrame, right: DataFrame, keys, left_ts: str, right_ts: str,

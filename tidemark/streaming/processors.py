@@ -1,19 +1,15 @@
-"""Keyed stateful processors for Structured Streaming.
+"""Keyed stateful processors for Structured Streaming.
 
-Each processor is a ``StatefulProcessor`` for
-``groupBy(key).transformWithStateInPandas`` (Arrow batches in and out, state
-in the RocksDB state store, event-time timers).  Rows of one key may arrive
-unsorted inside a micro-batch, so every handler sorts its rows by
-(ts, tie-break) before stepping the state machine.
-
-Times inside state and timers are epoch milliseconds; event-time timers fire
-once the watermark passes them.
+All but two are :class:`tidemark.streaming.keyed.KeyedSequence`: their ``advance`` gets a
+key's rows in event-time order and works on whole columns where the rule allows it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import deque
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo,
@@ -22,17 +18,15 @@ from pyspark.sql.streaming.stateful_processor import (
     TimerValues,
 )
 
-DAY_MS = 86_400_000
+from tidemark.streaming.keyed import KeyedSequence, from_micros
+
+DAY = 86_400_000_000
 
 
 def _ms(ts) -> int:
     return int(pd.Timestamp(ts).value // 1_000_000)
 
 
-def _ts(ms: int) -> pd.Timestamp:
-    return pd.Timestamp(ms, unit="ms")
-
-
 def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     frames = [b for b in batches if len(b)]
     if not frames:
@@ -44,55 +38,184 @@ def _key_value(key):
     return key[0] if isinstance(key, tuple) and len(key) == 1 else key
 
 
-# --- D15 / D22 / T11: temperature jump --------------------------------------
+def _before(values: pd.Series, first) -> pd.Series:
+    """The value of the row before, ``first`` for the first row."""
+    out = values.shift(1)
+    if len(out):
+        out.iloc[0] = first
+    return out
+
 
+# --- D15 / D22 / T11 / T14: temperature jump ------------------------------------
 
-class TemperatureJump(StatefulProcessor):
+
+class TemperatureJump(KeyedSequence):
     """Alert when |temp - last temp| > threshold; first reading never alerts.
 
-    With ``max_silence_ms`` an event-time timer drops the state after that
-    long without readings (D22, state clean-up).
+    With ``max_silence`` (us) a reading after a longer silence counts as the first one, and
+    the state is dropped when the clock has passed that silence (D22, state clean-up).  With
+    ``ttl_ms`` idle state expires by itself (T14; needs the processing clock).
     Output: sensor_id, ts, last_temp, temperature.
     """
 
-    def __init__(self, threshold: float, max_silence_ms: int | None = None, order=("ts",),
-                 ttl_ms: int | None = None):
-        self.threshold = threshold
-        self.silence = max_silence_ms
-        self.order = list(order)
-        self.ttl = ttl_ms
+    def __init__(self, threshold: float, max_silence: int | None = None, order=("event_id",),
+                 ttl_ms: int | None = None, **clock):
+        super().__init__({"temperature": "double", **{c: "long" for c in order}, "at": "long"}, order, **clock)
+        self.threshold, self.silence, self.ttl = threshold, max_silence, ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        # With a TTL (processing-time mode) idle sensors' state expires by itself
-        self.last = handle.getValueState("last", "temp double, ts long", self.ttl)
+    def open(self, handle):
+        self.last = handle.getValueState("last", "temp double, us long", self.ttl)
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        out = []
-        last = self.last.get() if self.last.exists() else None
-        for r in df.itertuples(index=False):
-            t, ms = float(r.temperature), _ms(r.ts)
-            if last is not None and self.silence is not None and ms > last[1] + self.silence:
-                last = None
-            if last is not None and abs(t - last[0]) > self.threshold:
-                out.append((_key_value(key), r.ts, last[0], t))
+    def advance(self, key, rows, now):
+        last, last_us = self.last.get() if self.last.exists() else (np.nan, None)
+        out = None
+        if len(rows):
+            prev = _before(rows["temperature"], last)
+            hit = (rows["temperature"] - prev).abs() > self.threshold  # false where there is none before
             if self.silence is not None:
-                if last is not None:
-                    self.handle.deleteTimer(last[1] + self.silence + 1)
-                self.handle.registerTimer(ms + self.silence + 1)
-            last = (t, ms)
-        if last is not None:
-            self.last.update(last)
-        if out:
-            yield pd.DataFrame(out, columns=["sensor_id", "ts", "last_temp", "temperature"])
+                prev_us = _before(rows["at"].astype("float64"), np.nan if last_us is None else last_us)
+                hit &= rows["at"] <= prev_us + self.silence
+            last, last_us = float(rows["temperature"].iloc[-1]), int(rows["at"].iloc[-1])
+            self.last.update((last, last_us))
+            out = pd.DataFrame({"sensor_id": key, "ts": from_micros(rows["at"][hit].values), "last_temp":
+                                prev[hit].values, "temperature": rows["temperature"][hit].values})
+        if self.silence is None or last_us is None:
+            return out, None
+        if now > last_us + self.silence:
+            self.last.clear()
+            return out, None
+        return out, last_us + self.silence + 1
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        self.last.clear()
-        return iter([])
 
-    def close(self) -> None:
-        pass
+# --- D8: click-fraud filter ---------------------------------------------------
+
+
+class ClickFraudFilter(KeyedSequence):
+    """Per (user, ad): pass the first ``max_clicks`` clicks of each UTC day, warn once, drop the
+    rest.  Counts are kept per day (map state), so without holding rows a late click still
+    counts on its own day; a day is forgotten when the watermark has passed its end.
+    Output: the columns ``cols`` (a time column among them is ``ts``) plus ``status``.
+    """
+
+    def __init__(self, max_clicks: int, cols: dict[str, str], order=("event_id",), **clock):
+        fields = {c: t for c, t in cols.items() if c != "ts"} | {c: "long" for c in order}
+        super().__init__(fields, order, **clock)
+        self.max, self.cols = max_clicks, list(cols)
+
+    def open(self, handle):
+        self.clicks = handle.getMapState("clicks", "day long", "n long")
+
+    def advance(self, key, rows, now):
+        out = None
+        if len(rows):
+            day = rows["us"] // DAY
+            n = day.groupby(day).cumcount() + 1
+            for d, new in day.value_counts().items():
+                before = self.clicks.getValue((int(d),))[0] if self.clicks.containsKey((int(d),)) else 0
+                n[day == d] += before
+                self.clicks.updateValue((int(d),), (int(before + new),))
+            out = pd.DataFrame({c: from_micros(rows["us"].values) if c == "ts" else rows[c].values for c in self.cols})
+            out["status"] = np.select([n <= self.max, n == self.max + 1], ["pass", "warn"], "drop")
+        days = [d for (d,) in self.clicks.keys()]
+        for d in days:
+            if (d + 1) * DAY <= now:
+                self.clicks.removeKey((d,))
+        return out, min(((d + 1) * DAY for d in days if (d + 1) * DAY > now), default=None)
+
+
+# --- D9: login failures -------------------------------------------------------
+
+
+class LoginFailState(KeyedSequence):
+    """A fail less than ``gap`` (us) after the row before it warns if that was a fail too.
+    Output: user_id, first_fail_time, last_fail_time."""
+
+    def __init__(self, gap: int, fail: str = "fail", order=("event_id",), **clock):
+        super().__init__({"event_type": "string", **{c: "long" for c in order}}, order, **clock)
+        self.gap, self.fail = gap, fail
+
+    def open(self, handle):
+        self.last = handle.getValueState("last_fail", "us long")
+
+    def advance(self, key, rows, now):
+        if not len(rows):
+            return None, None
+        fails = rows["us"].where(rows["event_type"] == self.fail).astype("float64")
+        first = _before(fails, self.last.get()[0] if self.last.exists() else np.nan)
+        hit = fails < first + self.gap  # false where either is no fail
+        if np.isnan(fails.iloc[-1]):
+            self.last.clear()
+        else:
+            self.last.update((int(rows["us"].iloc[-1]),))
+        return pd.DataFrame({"user_id": key, "first_fail_time": from_micros(first[hit].astype("int64").values),
+                             "last_fail_time": from_micros(rows["us"][hit].values)}), None
+
+
+# --- D21 / J7: thresholds from a rule stream -------------------------------------
+
+
+class DynamicThreshold(KeyedSequence):
+    """Readings and rule updates of one sensor in one tagged union (``kind`` = reading | rule).
+    A rule sets the sensor's threshold (0.0 deletes it); a reading alerts when |temp - last
+    temp| exceeds it.  The last temperature starts at 0.0.
+    Output: sensor_id, event_id, temperature, threshold, temp_diff."""
+
+    def __init__(self, order=("event_id",), **clock):
+        super().__init__({"kind": "string", "value": "double", **{c: "long" for c in order}}, order, **clock)
+
+    def open(self, handle):
+        self.state = handle.getValueState("sensor", "threshold double, last double")
+
+    def advance(self, key, rows, now):
+        if not len(rows):
+            return None, None
+        threshold, last = self.state.get() if self.state.exists() else (0.0, 0.0)
+        rule = rows["kind"] == "rule"
+        limit = rows["value"].where(rule).ffill().fillna(threshold)
+        reading = rows[~rule]
+        diff = (reading["value"] - _before(reading["value"], last)).abs()
+        self.state.update((float(limit.iloc[-1]), float(reading["value"].iloc[-1]) if len(reading) else last))
+        limit = limit[~rule]
+        hit = (limit != 0.0) & (diff > limit)
+        return pd.DataFrame({"sensor_id": key, "event_id": reading["event_id"][hit].values,
+                             "temperature": reading["value"][hit].values, "threshold": limit[hit].values,
+                             "temp_diff": diff[hit].round(4).values}), None
+
+
+# --- J3: switch gate (event or processing clock) ----------------------------------
+
+
+class SwitchGate(KeyedSequence):
+    """Forwards a key's facts while its latest switch row is less than ``duration`` (us) old.
+
+    A deadline closes the gate: an event-time timer, or a processing-time timer when the
+    processing clock drives it.  Output: the fact's id, key, time and the opening time."""
+
+    def __init__(self, duration: int, order=("event_id",), **clock):
+        super().__init__({"kind": "string", **{c: "long" for c in order}}, order, **clock)
+        self.duration = duration
+
+    def open(self, handle):
+        self.opened = handle.getValueState("opened", "us long")
+
+    def advance(self, key, rows, now):
+        opened = self.opened.get()[0] if self.opened.exists() else np.nan
+        out = None
+        if len(rows):
+            switch = rows["kind"] == "switch"
+            since = rows["us"].where(switch).astype("float64").ffill().fillna(opened)
+            hit = ~switch & (rows["us"] < since + self.duration)
+            out = pd.DataFrame({"event_id": rows["event_id"][hit].values, "user_id": key,
+                                "ts": from_micros(rows["us"][hit].values),
+                                "opened_at": from_micros(since[hit].astype("int64").values)})
+            opened = since.iloc[-1]
+        if np.isnan(opened):
+            return out, None
+        if now >= opened + self.duration:
+            self.opened.clear()
+            return out, None
+        self.opened.update((int(opened),))
+        return out, int(opened) + self.duration
 
 
 # --- T9: reducing and aggregating state ---------------------------------------
@@ -130,89 +253,6 @@ class RunningStatistics(StatefulProcessor):
         pass
 
 
-# --- D8: click-fraud filter ---------------------------------------------------
-
-
-class ClickFraudFilter(StatefulProcessor):
-    """Per (user, ad): pass the first ``max_clicks`` clicks of each UTC day,
-    warn once, drop the rest.  Counts are kept per day (map state), so a late
-    click counts on its own day; a day is forgotten when the watermark has
-    passed its end.
-    Output: all input columns that are listed in ``cols`` plus ``status``.
-    """
-
-    def __init__(self, max_clicks: int, cols: list[str], order=("ts",)):
-        self.max = max_clicks
-        self.cols = cols
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.clicks = handle.getMapState("clicks", "day long", "n long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        if df.empty:
-            return
-        day = pd.to_datetime(df["ts"]).astype("datetime64[ms]").astype("int64") // DAY_MS
-        n = day.groupby(day).cumcount() + 1
-        for d, new in day.value_counts().items():
-            before = self.clicks.getValue((int(d),))[0] if self.clicks.containsKey((int(d),)) else 0
-            if before == 0:
-                self.handle.registerTimer((int(d) + 1) * DAY_MS)
-            n[day == d] += before
-            self.clicks.updateValue((int(d),), (int(before + new),))
-        out = df[self.cols].copy()
-        out["status"] = ["pass" if x <= self.max else "warn" if x == self.max + 1 else "drop" for x in n]
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        day = expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - 1
-        if self.clicks.containsKey((day,)):
-            self.clicks.removeKey((day,))
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
-# --- D9: login failures -------------------------------------------------------
-
-
-class LoginFailState(StatefulProcessor):
-    """A fail less than ``gap_ms`` after the previous stored fail warns; a
-    success clears.  Output: user_id, first_fail_time, last_fail_time."""
-
-    def __init__(self, gap_ms: int, fail: str = "fail", order=("ts",)):
-        self.gap = gap_ms
-        self.fail = fail
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_fail", "ts timestamp")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for r in df.itertuples(index=False):
-            if r.event_type == self.fail:
-                if last is not None and _ms(r.ts) < _ms(last) + self.gap:
-                    out.append((_key_value(key), last, r.ts))
-                last = r.ts
-            else:
-                last = None
-        if last is None:
-            self.last.clear()
-        else:
-            self.last.update((last,))
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time"])
-
-    def close(self) -> None:
-        pass
-
-
 # --- D12: order pay check with timers ----------------------------------------
 
 
@@ -269,302 +309,300 @@ class PaymentCheck(StatefulProcessor):
 # --- D13 / J2: two-input reconciliation ---------------------------------------
 
 
-class TxMatch(StatefulProcessor):
-    """Pays and receipts of one tx id (tagged union, ``side`` in {pay, receipt}).
+class TxMatch(KeyedSequence):
+    """Payments and receipts of one transaction (tagged union, ``side`` in {pay, receipt}).
 
-    A partner within ``bound_ms`` (either order, closed) matches; otherwise
-    the waiting side is reported unmatched when its timer (ts + bound) fires.
-    Output: tx_id, pay_time, receipt_time, tag.
+    Every payment and receipt at most ``bound`` (us) apart match, whichever comes first and
+    however often an id repeats: the interval join's result.  Each row is kept until the
+    watermark has passed its own time plus ``bound``; if nothing matched it by then, it is
+    reported unmatched.  Output: tx_id, pay_time, receipt_time, tag.
     """
 
-    def __init__(self, bound_ms: int, order=("ts",)):
-        self.bound = bound_ms
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.pay = handle.getValueState("pay", "ts timestamp")
-        self.receipt = handle.getValueState("receipt", "ts timestamp")
-
-    def _emit(self, k, p, r, tag):
-        return (k, p, r, tag)
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        k = _key_value(key)
-        out = []
-        for r in df.itertuples(index=False):
-            mine, other = (self.pay, self.receipt) if r.side == "pay" else (self.receipt, self.pay)
-            if other.exists():
-                o = other.get()[0]
-                if abs(_ms(r.ts) - _ms(o)) <= self.bound:
-                    p, q = (r.ts, o) if r.side == "pay" else (o, r.ts)
-                    out.append((k, p, q, "matched"))
-                    self.handle.deleteTimer(_ms(o) + self.bound + 1)
-                    other.clear()
-                    continue
-            mine.update((r.ts,))
-            self.handle.registerTimer(_ms(r.ts) + self.bound + 1)
-        if out:
-            yield pd.DataFrame(out, columns=["tx_id", "pay_time", "receipt_time", "tag"])
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        k = _key_value(key)
-        out = []
-        if self.pay.exists():
-            out.append((k, self.pay.get()[0], None, "unmatched_pay"))
-        if self.receipt.exists():
-            out.append((k, None, self.receipt.get()[0], "unmatched_receipt"))
-        self.pay.clear()
-        self.receipt.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["tx_id", "pay_time", "receipt_time", "tag"])
-
-    def close(self) -> None:
-        pass
+    SIDES = ("pay", "receipt")
+
+    def __init__(self, bound: int, order=("seq",)):
+        super().__init__({"side": "string", **{c: "long" for c in order}}, order, hold=False)
+        self.bound = bound
+
+    def open(self, handle):
+        self.kept = {s: handle.getListState(s, "us long, matched boolean") for s in self.SIDES}
+
+    def _load(self, side: str) -> tuple[np.ndarray, np.ndarray]:
+        rows = sorted(self.kept[side].get()) if self.kept[side].exists() else []
+        return np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], bool)
+
+    def _pairs(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes of all pairs at most ``bound`` apart; ``two`` is ascending."""
+        lo = np.searchsorted(two, one - self.bound)
+        n = np.searchsorted(two, one + self.bound, side="right") - lo
+        i = np.repeat(np.arange(len(one)), n)
+        return i, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+
+    def advance(self, key, rows, now):
+        old = {s: self._load(s) for s in self.SIDES}
+        new = {s: rows["us"][rows["side"] == s].to_numpy(np.int64) for s in self.SIDES}
+        hit = {s: [old[s][1], np.zeros(len(new[s]), bool)] for s in self.SIDES}
+        times = {s: (old[s][0], new[s]) for s in self.SIDES}
+        out: list[pd.DataFrame] = []
+
+        def add(pay, receipt, tag: str) -> None:
+            n = max(len(pay), len(receipt))
+            out.append(pd.DataFrame({"tx_id": [key] * n, "pay_time": from_micros(pay if len(pay) else [None] * n),
+                                     "receipt_time": from_micros(receipt if len(receipt) else [None] * n),
+                                     "tag": [tag] * n}))
+
+        for p, r in ((1, 0), (0, 1), (1, 1)):  # every pair with a new row, once
+            i, j = self._pairs(times["pay"][p], times["receipt"][r])
+            if len(i):
+                hit["pay"][p][i] = True
+                hit["receipt"][r][j] = True
+                add(times["pay"][p][i], times["receipt"][r][j], "matched")
+        first = None
+        for side in self.SIDES:
+            us, matched = np.concatenate(times[side]), np.concatenate(hit[side])
+            done = us + self.bound <= now
+            lost = us[done & ~matched]
+            if len(lost):
+                add(*((lost, ()) if side == "pay" else ((), lost)), f"unmatched_{side}")
+            self.kept[side].clear()
+            if not done.all():
+                self.kept[side].put(list(zip(us[~done].tolist(), matched[~done].tolist())))
+                end = int(us[~done].min()) + self.bound
+                first = end if first is None else min(first, end)
+        return (pd.concat(out, ignore_index=True) if out else None), first
 
 
 # --- D16: continuous rise with timers ----------------------------------------
 
 
-class ContinuousRise(StatefulProcessor):
-    """Warn when the temperature keeps rising (equal keeps going) for
-    ``duration_ms``; a fall cancels the timer, a fired timer re-arms on the
-    next rise.  Event-time timers; a timer already due when a later row of
-    the key arrives fires before that row (as a per-element watermark would),
-    so results do not depend on how rows are cut into micro-batches.
+class ContinuousRise(KeyedSequence):
+    """Warn when the temperature keeps rising (equal keeps going) for ``duration_ms``; a fall
+    cancels the timer, a fired timer re-arms on the next rise.  A timer that is due fires
+    before the next row of the key.  Times are milliseconds, as timers are.
     Output: sensor_id, alert_time."""
 
-    def __init__(self, duration_ms: int, order=("ts",)):
+    def __init__(self, duration_ms: int, order=("event_id",), **clock):
+        super().__init__({"temperature": "double", **{c: "long" for c in order}}, order, **clock)
         self.duration = duration_ms
-        self.order = list(order)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle):
         self.state = handle.getValueState("rise", "last double, timer long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
+    def advance(self, key, rows, now):
         last, timer = self.state.get() if self.state.exists() else (None, 0)
-        out = []
-        for r in df.itertuples(index=False):
-            t, ms = float(r.temperature), _ms(r.ts)
-            if timer and timer < ms:                       # due: fires before this row
-                out.append((_key_value(key), _ts(timer)))
-                self.handle.deleteTimer(timer)
+        alerts = []
+        for us, t in zip(rows["us"].tolist(), rows["temperature"].tolist()):
+            ms = us // 1000
+            if timer and timer < ms:
+                alerts.append(timer)
                 timer = 0
-            if last is not None and t > last and timer == 0:
+            if last is not None and t > last and not timer:
                 timer = ms + self.duration
-                self.handle.registerTimer(timer)
-            elif last is not None and t < last and timer:
-                self.handle.deleteTimer(timer)
+            elif last is not None and t < last:
                 timer = 0
             last = t
+        if timer and (timer + 1) * 1000 <= now:
+            alerts.append(timer)
+            timer = 0
         self.state.update((last, timer))
-        if out:
-            yield pd.DataFrame(out, columns=["sensor_id", "alert_time"])
+        out = pd.DataFrame({"sensor_id": key, "alert_time": pd.to_datetime(pd.Series(alerts, dtype="int64"), unit="ms")})
+        return out, (timer + 1) * 1000 if timer else None
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        last, timer = self.state.get()
-        if timer != expiredTimerInfo.getExpiryTimeInMs():
-            return
-        self.state.update((last, 0))
-        yield pd.DataFrame([(_key_value(key), _ts(timer))], columns=["sensor_id", "alert_time"])
 
-    def close(self) -> None:
-        pass
+# --- C8: event-time patterns of any number of stages -------------------------------
 
 
-# --- C8: event-time pattern matcher --------------------------------------------
+class _Part:
+    """An event that plays one stage; ``then`` is the event that took the next stage."""
 
+    __slots__ = ("stage", "us", "ident", "then", "earlier", "live")
 
-class PatternMatcher(StatefulProcessor):
-    """Two-stage pattern in event-time order, for streams.
+    def __init__(self, stage: int, us: int, ident):
+        self.stage, self.us, self.ident = stage, us, ident
+        self.then: _Part | None = None
+        self.earlier: list[_Part] = []
+        self.live = True
 
-    Rows are buffered in list state and only processed once the watermark
-    has passed them (a timer at each row's time), so late-arriving earlier
-    rows are still matched in order.  ``contiguity`` is ``next`` or
-    ``followedBy``; ``within_ms`` bounds second - first (strict).
-    ``first``/``second`` are predicates on a row (namedtuple).
-    Output: key, first_ts, second_ts (null for time-outs), matched.
-    """
+    def top(self) -> "_Part":
+        p = self
+        while p.then is not None:
+            p = p.then
+        return p
 
-    def __init__(self, first: Callable, second: Callable, contiguity: str, within_ms: int | None,
-                 key_name: str, emit_timeouts: bool = False):
-        self.first, self.second = first, second
-        self.contiguity = contiguity
-        self.within = within_ms
-        self.key_name = key_name
-        self.emit_timeouts = emit_timeouts
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.buffer = handle.getListState("buffer", "ts timestamp, seq long, kind string")
-        # open partial matches (start times) and, for next, whether the last row was a start
-        self.partial = handle.getListState("partial", "start timestamp")
-        self.prev = handle.getValueState("prev_start", "start timestamp")
+class PatternMatcher(KeyedSequence):
+    """``begin(s0).{next|followedBy}(s1)...[.within(d)]`` over rows in event-time order.
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, ["ts", "seq"])
-        if df.empty:
-            return iter([])
-        new = [(r.ts, int(r.seq), (("a" if self.first(r) else "") + ("b" if self.second(r) else "")) or "-")
-               for r in df.itertuples(index=False)]
-        self.buffer.appendList(new)                      # one state call per key and batch
-        # one timer at the latest new row: when it fires every buffered row up
-        # to the watermark is processed in event-time order
-        self.handle.registerTimer(max(_ms(t) for t, _, _ in new))
-        return iter([])
+    One automaton per key.  Per stage it keeps the partial matches that wait for it; the
+    first row that meets a ``followedBy`` stage takes it for all of them, a ``next`` stage
+    must be met by the very next row or its partial matches are gone.  Partial matches that
+    share an event share it as one node, with the matches that led to it below it, so state
+    grows with the events and not with the combinations.  A match must end less than
+    ``within`` (us) after its start; a partial match still waiting then is reported once
+    (``emit_timeouts``) with what it has.
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        wm = timerValues.getCurrentWatermarkInMs()
-        rows = list(self.buffer.get()) if self.buffer.exists() else []
-        ready = sorted([r for r in rows if _ms(r[0]) <= wm], key=lambda r: (r[0], r[1]))
-        rest = [r for r in rows if _ms(r[0]) > wm]
-        self.buffer.clear()
-        if rest:
-            self.buffer.put(rest)
-        k = _key_value(key)
-        out = []
-        partial = [p[0] for p in self.partial.get()] if self.partial.exists() else []
-        prev = self.prev.get()[0] if self.prev.exists() else None
-        for ts, _, kind in ready:
-            if self.contiguity == "next":
-                if prev is not None and "b" in kind and (self.within is None or _ms(ts) - _ms(prev) < self.within):
-                    out.append((k, prev, ts, True))
-                prev = ts if "a" in kind else None
+    ``meets`` holds one bit per stage, computed by Spark before the rows are grouped.
+    Output: key, (<stage>_id, <stage>_ts) per stage, matched.
+    """
+
+    def __init__(self, names: list[str], contiguity: list[str], within: int | None, key_name: str,
+                 id_type: str = "long", emit_timeouts: bool = False, **clock):
+        super().__init__({"meets": "long", "ident": id_type}, ("ident",), **clock)
+        if any(c not in ("next", "followedBy") for c in contiguity[1:]):
+            raise ValueError(f"unknown contiguity in {contiguity}")
+        self.names, self.contiguity, self.within = names, contiguity, within
+        self.key_name, self.emit_timeouts, self.id_type = key_name, emit_timeouts, id_type
+
+    def open(self, handle):
+        self.parts = handle.getListState("parts", f"node long, then long, stage int, us long, ident {self.id_type}")
+
+    def _load(self) -> tuple[deque, list[dict[int, _Part]]]:
+        """Starts by time, and per stage the events whose partial matches wait for it."""
+        rows = list(self.parts.get()) if self.parts.exists() else []
+        nodes = {n: _Part(stage, us, ident) for n, _, stage, us, ident in rows}
+        waiting: list[dict[int, _Part]] = [{} for _ in range(len(self.names) + 1)]
+        for n, then, stage, _, _ in rows:
+            if then >= 0:
+                nodes[n].then = nodes[then]
+                nodes[then].earlier.append(nodes[n])
             else:
-                keep = []
-                for s in partial:
-                    if self.within is not None and _ms(ts) - _ms(s) >= self.within:
-                        if self.emit_timeouts:
-                            out.append((k, s, None, False))
-                    elif "b" in kind:
-                        out.append((k, s, ts, True))
+                waiting[stage + 1][id(nodes[n])] = nodes[n]
+        starts = sorted((p for p in nodes.values() if p.stage == 0), key=lambda p: p.us)
+        return deque(starts), waiting
+
+    def _save(self, waiting: list[dict[int, _Part]]) -> None:
+        rows = []
+
+        def walk(p: _Part, then: int) -> None:
+            n = len(rows)
+            rows.append((n, then, p.stage, p.us, p.ident))
+            for e in p.earlier:
+                if e.live:
+                    walk(e, n)
+
+        for group in waiting:
+            for p in group.values():
+                walk(p, -1)
+        self.parts.clear()
+        if rows:
+            self.parts.put(rows)
+
+    def _chains(self, p: _Part) -> Iterator[list[_Part]]:
+        if p.stage == 0:
+            if p.live:
+                yield [p]
+        else:
+            for e in p.earlier:
+                for chain in self._chains(e):
+                    yield [*chain, p]
+
+    def advance(self, key, rows, now):
+        starts, waiting = self._load()
+        found: list[tuple[list[_Part], bool]] = []
+        last = len(self.names) - 1
+
+        def waits(p: _Part) -> bool:
+            top = p.top()
+            return id(top) in waiting[top.stage + 1]
+
+        def expire(time: int) -> None:
+            while self.within is not None and starts and starts[0].us + self.within <= time:
+                p = starts.popleft()
+                if not waits(p):
+                    continue
+                chain = [p]
+                while chain[-1].then is not None:
+                    chain.append(chain[-1].then)
+                if self.emit_timeouts:
+                    found.append((chain, False))
+                p.live = False
+                for later in chain[1:]:
+                    later.live = any(e.live for e in later.earlier)
+                if not chain[-1].live:
+                    del waiting[chain[-1].stage + 1][id(chain[-1])]
+
+        for us, meets, ident in zip(rows["us"].tolist(), rows["meets"].tolist(), rows["ident"].tolist()):
+            expire(us)
+            for stage in range(last, 0, -1):
+                group = waiting[stage]
+                if not group:
+                    continue
+                if meets >> stage & 1:
+                    node = _Part(stage, us, ident)
+                    node.earlier = list(group.values())
+                    for p in node.earlier:
+                        p.then = node
+                    waiting[stage] = {}
+                    if stage == last:
+                        found += [(chain, True) for chain in self._chains(node)]
                     else:
-                        keep.append(s)
-                partial = keep
-                if "a" in kind:
-                    partial.append(ts)
-                    if self.within is not None:
-                        self.handle.registerTimer(_ms(ts) + self.within)
-        # partial matches whose window closed by the watermark time out
-        if self.contiguity != "next" and self.within is not None:
-            keep = []
-            for s in partial:
-                if _ms(s) + self.within <= wm:
-                    if self.emit_timeouts:
-                        out.append((k, s, None, False))
+                        waiting[stage + 1][id(node)] = node
+                elif self.contiguity[stage] == "next":
+                    waiting[stage] = {}
+            if meets & 1:
+                start = _Part(0, us, ident)
+                starts.append(start)
+                if last:
+                    waiting[1][id(start)] = start
                 else:
-                    keep.append(s)
-            partial = keep
-        self.partial.clear()
-        if partial:
-            self.partial.put([(s,) for s in partial])
-        if prev is None:
-            self.prev.clear()
-        else:
-            self.prev.update((prev,))
-        if out:
-            yield pd.DataFrame(out, columns=[self.key_name, "first_ts", "second_ts", "matched"])
-
-    def close(self) -> None:
-        pass
+                    found.append(([start], True))
+        expire(now)
+        self._save(waiting)
+        out: dict[str, list] = {self.key_name: [key] * len(found)}
+        for i, name in enumerate(self.names):
+            out[f"{name}_id"] = [c[i].ident if i < len(c) else None for c, _ in found]
+            out[f"{name}_ts"] = from_micros([c[i].us if i < len(c) else None for c, _ in found])
+        out["matched"] = [m for _, m in found]
+        while starts and not waits(starts[0]):
+            starts.popleft()
+        if self.within is None or not starts:
+            return pd.DataFrame(out), None
+        return pd.DataFrame(out), starts[0].us + self.within
 
 
 # --- D9b: login failures, timer form -------------------------------------------
 
 
-class LoginFailTimer(StatefulProcessor):
-    """Fails are collected in list state; the first fail arms an event-time
-    timer ``window_ms`` later; a success clears the list and the timer.
-    When the timer fires with at least ``min_fails`` collected, one warning.
+class LoginFailTimer(KeyedSequence):
+    """Fails are collected; the first one arms a timer ``window_ms`` later; a success clears
+    both.  When the timer fires with at least ``min_fails`` collected, one warning.  A timer
+    that is due fires before the next row of the key.
     Output: user_id, first_fail_time, last_fail_time, fails.
     """
 
-    def __init__(self, window_ms: int, min_fails: int = 2, fail: str = "fail", order=("ts",)):
-        self.window = window_ms
-        self.min_fails = min_fails
-        self.fail = fail
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.fails = handle.getListState("fails", "ts timestamp")
-        self.timer = handle.getValueState("timer", "at long")
+    def __init__(self, window_ms: int, min_fails: int = 2, fail: str = "fail", order=("seq",), **clock):
+        super().__init__({"event_type": "string", **{c: "long" for c in order}}, order, **clock)
+        self.window, self.min_fails, self.fail = window_ms, min_fails, fail
 
-    def _fire(self, k):
-        fails = [f[0] for f in self.fails.get()] if self.fails.exists() else []
-        self.fails.clear()
-        self.timer.clear()
-        if len(fails) >= self.min_fails:
-            return [(k, min(fails), max(fails), len(fails))]
-        return []
+    def open(self, handle):
+        self.fails = handle.getValueState("fails", "first long, last long, n long, timer long")
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        k = _key_value(key)
+    def advance(self, key, rows, now):
+        first, last, n, timer = self.fails.get() if self.fails.exists() else (0, 0, 0, 0)
         out = []
-        for r in df.itertuples(index=False):
-            ms = _ms(r.ts)
-            if self.timer.exists() and self.timer.get()[0] < ms:     # due before this row
-                self.handle.deleteTimer(self.timer.get()[0])
-                out.extend(self._fire(k))
-            if r.event_type == self.fail:
-                self.fails.appendValue((r.ts,))
-                if not self.timer.exists():
-                    at = ms + self.window
-                    self.handle.registerTimer(at)
-                    self.timer.update((at,))
-            else:
-                self.fails.clear()
-                if self.timer.exists():
-                    self.handle.deleteTimer(self.timer.get()[0])
-                    self.timer.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "fails"])
-
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        out = self._fire(_key_value(key))
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "fails"])
-
-    def close(self) -> None:
-        pass
 
-
-# --- D21 / J7: thresholds from a rule stream -------------------------------------
-
-
-class DynamicThreshold(StatefulProcessor):
-    """Readings and rule updates of one sensor in one tagged union (``kind``
-    = reading | rule).  A rule sets the sensor's threshold (0.0 deletes it);
-    a reading alerts when |temp - last temp| exceeds the current threshold.
-    The last temperature starts at 0.0.  Output: sensor_id, event_id,
-    temperature, threshold, temp_diff."""
-
-    def __init__(self, order=("ts", "event_id")):
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sensor", "threshold double, last double")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues):
-        df = _rows(rows, self.order)
-        thr, last = self.state.get() if self.state.exists() else (None, 0.0)
-        out = []
-        for r in df.itertuples(index=False):
-            v = float(r.value)
-            if r.kind == "rule":
-                thr = None if v == 0.0 else v
-                continue
-            diff = abs(v - last)
-            if thr is not None and diff > thr:
-                out.append((_key_value(key), int(r.event_id), v, thr, round(diff, 4)))
-            last = v
-        self.state.update((thr, last))
-        if out:
-            yield pd.DataFrame(out, columns=["sensor_id", "event_id", "temperature", "threshold", "temp_diff"])
-
-    def close(self) -> None:
-        pass
+        def fire() -> None:
+            if n >= self.min_fails:
+                out.append((key, first, last, n))
+
+        for us, kind in zip(rows["us"].tolist(), rows["event_type"].tolist()):
+            if n and timer < us // 1000:
+                fire()
+                n = 0
+            if kind != self.fail:
+                n = 0
+            elif n:
+                last, n = us, n + 1
+            else:
+                first, last, n, timer = us, us, 1, us // 1000 + self.window
+        if n and (timer + 1) * 1000 <= now:
+            fire()
+            n = 0
+        if n:
+            self.fails.update((first, last, n, timer))
+        else:
+            self.fails.clear()
+        df = pd.DataFrame(out, columns=["user_id", "first_fail_time", "last_fail_time", "fails"])
+        for c in ("first_fail_time", "last_fail_time"):
+            df[c] = from_micros(df[c].values)
+        return df, (timer + 1) * 1000 if n else None
