@@ -14,8 +14,7 @@ scan:
 
 Both scans use the chunked primitives of tidemark.operators.sequence, so no
 key is ever gathered into one task, and no candidate pairs are formed.
-Longer patterns chain stages by joining each partial match to the next
-stage's lookup on the unique row id (:func:`match_sequence`).
+Longer patterns nest the lookups, last stage first (:func:`match_sequence`).
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import interval
-from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, running
+from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, plan_chunks, running
 
 
 def next_pattern(df: DataFrame, key: str, order: Sequence[str], first: Column, second: Column,
@@ -75,43 +74,39 @@ def match_sequence(df: DataFrame, key: str, order: Sequence[str], id_col: str,
 
     ``stages`` = [(name, condition, contiguity)], contiguity of the first
     stage ignored.  Returns one row per complete match with ``<name>_<id>``
-    and ``<name>_<ts>`` for every stage (C6 ``select``).  For each stage the
-    lookup "next row / first later row meeting the condition" is computed
-    for every row by a chunked scan; matches are chained by joining on the
-    row id, one stage at a time.
+    and ``<name>_<ts>`` for every stage (C6 ``select``).
+
+    The stages are looked up from the last to the first: each row learns the next row (or the
+    first later row) that meets a stage, together with what that row has learned already.
+    All lookups run over one ordering of the input; nothing is joined.
     """
     ts = order[0]
-    base = df
-    for i, (_, cond, _) in enumerate(stages):
-        base = base.withColumn(f"__s{i}", cond)
-    rec = F.struct(F.col(id_col).alias("id"), F.col(ts).alias("ts"))
-    look = base
-    for i, (_, _, contig) in enumerate(stages[1:], start=1):
-        if contig == "next":
-            look = neighbours(look.withColumn(f"__r{i}", F.when(F.col(f"__s{i}"), rec)), [key], order,
-                              [f"__r{i}"], prev=False, nxt=True, chunk=chunk).withColumnRenamed(
-                f"next___r{i}", f"__l{i}").drop(f"__r{i}")
-        elif contig == "followedBy":
-            look = running(look, [key], order, {f"__l{i}": ("last", F.when(F.col(f"__s{i}"), rec))},
-                           reverse=True, include_current=False, chunk=chunk)
-        else:
-            raise ValueError(f"unknown contiguity {contig}")
-    name0 = stages[0][0]
-    m = look.where(F.col("__s0")).select(
-        key, F.col(id_col).alias(f"{name0}_id"), F.col(ts).alias(f"{name0}_ts"),
-        F.col("__l1").alias("__cur"))
-    m = m.where(F.col("__cur").isNotNull())
-    for i in range(1, len(stages)):
-        name = stages[i][0]
-        m = m.withColumn(f"{name}_id", F.col("__cur.id")).withColumn(f"{name}_ts", F.col("__cur.ts"))
+    names = [n for n, _, _ in stages]
+    look = df.withColumns({f"__s{i}": cond for i, (_, cond, _) in enumerate(stages)})
+    chunks = plan_chunks(df, [key], ts, chunk)
+    for i in range(len(stages) - 1, 0, -1):
+        here = [F.col(id_col).alias("id"), F.col(ts).alias("ts")]
         if i + 1 < len(stages):
-            nxt = look.select(F.col(id_col).alias(f"{name}_id"), F.col(f"__l{i + 1}").alias("__n"))
-            m = m.drop("__cur").join(nxt, on=f"{name}_id").withColumnRenamed("__n", "__cur")
-            m = m.where(F.col("__cur").isNotNull())
-    m = m.drop("__cur")
+            here.append(F.col(f"__l{i + 1}").alias("then"))
+        hit = F.when(F.col(f"__s{i}"), F.struct(*here))
+        if i + 1 < len(stages):
+            hit = F.when(F.col(f"__l{i + 1}").isNotNull() | F.lit(stages[i][2] == "followedBy"), hit)
+        if stages[i][2] == "next":
+            look = neighbours(look.withColumn(f"__r{i}", hit), [key], order, [f"__r{i}"], prev=False, nxt=True,
+                              chunk=chunks).withColumnRenamed(f"next___r{i}", f"__l{i}").drop(f"__r{i}")
+        elif stages[i][2] == "followedBy":
+            look = running(look, [key], order, {f"__l{i}": ("last", hit)}, reverse=True, include_current=False,
+                           chunk=chunks)
+        else:
+            raise ValueError(f"unknown contiguity {stages[i][2]}")
+    picked = [F.col(key), F.col(id_col).alias(f"{names[0]}_id"), F.col(ts).alias(f"{names[0]}_ts")]
+    at = "__l1"
+    for name in names[1:]:
+        picked += [F.col(f"{at}.id").alias(f"{name}_id"), F.col(f"{at}.ts").alias(f"{name}_ts")]
+        at += ".then"
+    m = look.where("__s0").select(*picked).where(F.col(f"{names[-1]}_ts").isNotNull())
     if within:
-        last = stages[-1][0]
-        m = m.where(F.col(f"{last}_ts") < F.col(f"{name0}_ts") + interval(within))
+        m = m.where(F.col(f"{names[-1]}_ts") < F.col(f"{names[0]}_ts") + interval(within))
     return m
 
 

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import join_keys
 from tidemark.session import materialize
 
 
@@ -31,7 +32,7 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], descendin
     ahead = (cells.groupBy(*keys, "__cell").agg(F.count(F.lit(1)).alias("__n"))
              .select(*keys, "__cell", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__ahead")))
     within = F.row_number().over(Window.partitionBy("__cell", *keys).orderBy(*cols, "__tie"))
-    return (cells.withColumn("__rn", within).join(ahead, ["__cell", *keys])
+    return (join_keys(cells.withColumn("__rn", within), ahead, ["__cell", *keys])
             .withColumn(name, F.col("__ahead") + F.col("__rn")).drop("__cell", "__rn", "__ahead", "__tie"))
 
 
@@ -39,7 +40,7 @@ def ranked(df: DataFrame, keys: Sequence[str], by: str, ties: Sequence[str], des
     """``rnk`` (equal values share the first number) and ``row_num`` per key by the value ``by``."""
     n = numbered(df, keys, [by, *ties], [by] if descending else [])
     first = n.groupBy(*keys, by).agg(F.min("row_num").alias("rnk"))
-    return n.join(first, [*keys, by])
+    return join_keys(n, first, [*keys, by])
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -48,7 +49,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     n = numbered(df.select(*keys, value), keys, [value])
     whole = n.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"),
                                  F.count(F.lit(1)).alias("cnt"))
-    middle = (n.join(whole.select(*keys, "cnt"), list(keys))
+    middle = (join_keys(n, whole.select(*keys, "cnt"), keys)
               .where("row_num = (cnt + 1) div 2 or row_num = (cnt + 2) div 2")
               .groupBy(*keys).agg(F.avg(value).alias("median")))
-    return whole.join(middle, list(keys))
+    return join_keys(whole, middle, keys)

@@ -19,15 +19,18 @@ the summary's real size).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.timefns import bucket_of, epoch_us
+from tidemark.functions.timefns import duration_us, epoch_us
+from tidemark.operators.keys import join_keys
+from tidemark.session import materialize
 
 # Chunking: by default ("auto") only hot keys are cut, each into chunks of
-# about ``tidemark.chunkRows`` rows (see with_chunk).  A fixed width ("1 hour")
+# about ``tidemark.chunkRows`` rows (see plan_chunks).  A fixed width ("1 hour")
 # cuts every key; the session setting ``tidemark.chunk`` picks the default.
 DEFAULT_CHUNK = "default"
 FALLBACK_CHUNK = "auto"
@@ -36,13 +39,10 @@ FALLBACK_CHUNK = "auto"
 def resolve_chunk(df: DataFrame, chunk):
     if chunk != DEFAULT_CHUNK:
         return chunk
-    try:
-        return df.sparkSession.conf.get("tidemark.chunk", FALLBACK_CHUNK)
-    except Exception:  # no session conf access (e.g. some remote clients)
-        return FALLBACK_CHUNK
+    return _conf(df, "tidemark.chunk", FALLBACK_CHUNK)
+
 
 _CHUNK = "__chunk"
-_HOT = "__hotk"    # row belongs to a key that is cut into several chunks
 
 
 def _as_list(x) -> list:
@@ -54,41 +54,77 @@ def _as_list(x) -> list:
 def _conf(df: DataFrame, key: str, default: str) -> str:
     try:
         return df.sparkSession.conf.get(key, default)
-    except Exception:
+    except Exception:  # no session conf access (e.g. some remote clients)
         return default
 
 
-def with_chunk(df: DataFrame, ts: str, chunk: str = DEFAULT_CHUNK, keys: Sequence[str] = ()) -> DataFrame:
-    """Add the chunk column.
+@dataclass(frozen=True)
+class Chunks:
+    """How the keys of one input are cut along their order column.
 
-    A duration (or a row count for a numeric order column) cuts every key
-    into fixed-width chunks.  ``"auto"`` (the default) splits only hot keys:
-    a key with more than ``tidemark.hotKeyRows`` rows (default 2,000,000) is
-    cut into chunks holding about ``tidemark.chunkRows`` rows each (default
-    1,000,000; the width is its time span scaled by that fraction), every
-    other key stays whole in chunk 0 and needs no border work at all.  The
-    hot-key table comes from one partial-aggregated pass and is broadcast:
-    it has at most rows / hotKeyRows entries, a bound that holds by
-    construction.
+    ``width``: every key, into chunks of that width.  ``hot``: a table of the keys that are
+    cut, each with its own width.  Neither: no key is cut and no border exists.
     """
+
+    keys: tuple[str, ...]
+    order: str
+    width: str | int | None = None
+    hot: DataFrame | None = None
+
+    @property
+    def split(self) -> bool:
+        return self.width is not None or self.hot is not None
+
+    def add(self, df: DataFrame, least: int = 0, keep_width: bool = False) -> DataFrame:
+        """``df`` with the chunk of each row, 0 for a key that is whole.
+
+        ``least``: no chunk is narrower; ``keep_width`` leaves the width of the row's chunks
+        (null for a whole key) in ``__width``."""
+        if self.width is not None:
+            number = isinstance(df.schema[self.order].dataType, T.NumericType)
+            rows = self.width if isinstance(self.width, int) else 1 << 20
+            d = df.withColumn("__width", F.lit(rows if number else duration_us(self.width)).cast("long"))
+        elif self.hot is None:
+            d = df.withColumn("__width", F.lit(None).cast("long"))
+        elif self.keys:
+            d = join_keys(df, self.hot, self.keys, "left")
+        else:  # all rows are one key: one width
+            d = df.withColumn("__width", F.lit(self.hot.first()["__width"]).cast("long"))
+        d = d.withColumn("__width", F.greatest("__width", F.when(F.col("__width").isNotNull(), F.lit(least).cast("long"))))
+        chunk = F.floor(_position(df, self.order) / F.col("__width"))
+        d = d.withColumn(_CHUNK, F.coalesce(chunk, F.lit(0)).cast("long"))
+        return d if keep_width else d.drop("__width")
+
+
+def plan_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk: str | Chunks = DEFAULT_CHUNK) -> Chunks:
+    """Decide how ``df`` is cut.
+
+    A duration (or a row count for a numeric order column) cuts every key into chunks of
+    that width.  ``"auto"`` (the default) cuts only hot keys: a first pass counts the rows of
+    each key with partial aggregation; a key, null included, with more than
+    ``tidemark.hotKeyRows`` rows (default 2,000,000) is cut into chunks of about
+    ``tidemark.chunkRows`` rows (default 1,000,000; its span scaled by that fraction).
+    ``"auto:limit:rows"`` names both.  Without a hot key, as measured, the scan is the plain
+    window plan.  Without keys all rows are one key.  The table of hot keys has at most
+    rows / limit entries and is joined, not broadcast by force.
+    """
+    if isinstance(chunk, Chunks):
+        return chunk
     chunk = resolve_chunk(df, chunk)
-    if chunk == "auto" and keys:
-        limit = int(_conf(df, "tidemark.hotKeyRows", "2000000"))
-        target = int(_conf(df, "tidemark.chunkRows", "1000000"))
-        pos = _position(df, ts)
-        d0 = df.withColumn("__pos", pos)
-        hot = (d0.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
-               .where(F.col("__n") > limit)
-               .select(*keys, F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(target)
-                                                           / F.col("__n"))).cast("long").alias("__width")))
-        d = d0.join(F.broadcast(hot), on=list(keys), how="left")
-        c = F.when(F.col("__width").isNotNull(), F.floor(F.col("__pos") / F.col("__width")))
-        return (d.withColumn(_CHUNK, F.coalesce(c, F.lit(0)).cast("long"))
-                .withColumn(_HOT, F.col("__width").isNotNull()).drop("__pos", "__width"))
-    if chunk == "auto":
-        chunk = "1 hour"
-    return df.withColumn(_CHUNK, bucket_of(df, ts, chunk)).withColumn(_HOT, F.lit(True))
+    keys = tuple(_as_list(keys))
+    if not str(chunk).startswith("auto"):
+        return Chunks(keys, ts, width=chunk)
+    limit, rows = int(_conf(df, "tidemark.hotKeyRows", "2000000")), int(_conf(df, "tidemark.chunkRows", "1000000"))
+    if ":" in chunk:
+        limit, rows = (int(x) for x in chunk.split(":")[1:])
+    hot = (df.select(*keys, _position(df, ts).alias("__pos")).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__lo"), F.max("__pos").alias("__hi"))
+           .where(F.col("__n") > limit)
+           .select(*keys, F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) * F.lit(rows)
+                                                      / F.col("__n"))).cast("long").alias("__width")))
+    if hot.isEmpty():
+        return Chunks(keys, ts)
+    return Chunks(keys, ts, hot=materialize(hot, "hot-keys"))
 
 
 def _position(df: DataFrame, ts: str) -> Column:
@@ -118,47 +154,29 @@ def neighbours(
     Adds ``prev_<c>`` / ``next_<c>`` for each of ``cols``; null at the ends of
     a key.  Equal to ``lag(c).over(partitionBy(keys).orderBy(order))``.
     """
-    keys = _as_list(keys)
-    order = list(order)
-    ts = order[0]
-    d = with_chunk(df, ts, chunk, keys)
-    part = keys + [_CHUNK]
+    keys, order = _as_list(keys), list(order)
+    chunks = plan_chunks(df, keys, order[0], chunk)
+    part = keys + [_CHUNK] if chunks.split else keys
     w = Window.partitionBy(*part).orderBy(*order)
-    payload = F.struct(*[F.col(c) for c in cols])
-    ordv = _order_struct(order)
-
-    bounds_aggs = []
-    if prev:
-        d = d.withColumn("__lag", F.lag(payload).over(w))
-        bounds_aggs.append(F.max_by(payload, ordv).alias("__last"))
-    if nxt:
-        d = d.withColumn("__lead", F.lead(payload).over(w))
-        bounds_aggs.append(F.min_by(payload, ordv).alias("__first"))
-
-    # One row per (key, chunk): the border rows of that chunk.
-    # only keys cut into several chunks have borders; whole keys need no summary
-    bounds = with_chunk(df, ts, chunk, keys).where(F.col(_HOT)).groupBy(*part).agg(*bounds_aggs)
+    payload, ordv = F.struct(*[F.col(c) for c in cols]), _order_struct(order)
+    d, borders, across = chunks.add(df) if chunks.split else df, [], []
     wc = Window.partitionBy(*keys).orderBy(_CHUNK)
-    sel = [F.col(c) for c in part]
-    if prev:
-        sel.append(F.lag("__last").over(wc).alias("__prev_last"))
-    if nxt:
-        sel.append(F.lead("__first").over(wc).alias("__next_first"))
-    bounds = bounds.select(*sel)
-
-    out = d.join(bounds, on=part, how="left")
-    if prev:
-        p = F.coalesce(F.col("__lag"), F.col("__prev_last"))
-        out = out.withColumn("__p", p)
-        for c in cols:
-            out = out.withColumn(prefix_prev + c, F.col("__p")[c])
-    if nxt:
-        n = F.coalesce(F.col("__lead"), F.col("__next_first"))
-        out = out.withColumn("__n", n)
-        for c in cols:
-            out = out.withColumn(prefix_next + c, F.col("__n")[c])
-    drop = [_CHUNK, _HOT, "__lag", "__lead", "__prev_last", "__next_first", "__p", "__n"]
-    return out.drop(*[c for c in drop if c in out.columns])
+    found = {}
+    for side, wanted, prefix, shift, border in (("prev", prev, prefix_prev, F.lag, F.max_by),
+                                                ("next", nxt, prefix_next, F.lead, F.min_by)):
+        if wanted:
+            d = d.withColumn(f"__{side}", shift(payload).over(w))
+            borders.append(border(payload, ordv).alias(f"__edge_{side}"))
+            across.append(shift(f"__edge_{side}").over(wc).alias(f"__far_{side}"))
+            found[prefix] = [f"__{side}"] + ([f"__far_{side}"] if chunks.split else [])
+    if chunks.split:
+        # one row per (key, chunk) with its last or first row, looked up by the chunk behind or before
+        d = materialize(d, "neighbours")
+        far = d.groupBy(*part).agg(*borders).select(*part, *across)
+        d = join_keys(d, far, part, "left")
+    out = d.withColumns({f"__found_{i}": F.coalesce(*names) for i, names in enumerate(found.values())})
+    out = out.withColumns({prefix + c: F.col(f"__found_{i}")[c] for i, prefix in enumerate(found) for c in cols})
+    return out.drop(*[c for c in out.columns if c.startswith(("__found_", "__far_"))], "__prev", "__next", _CHUNK)
 
 
 # --- running (prefix) aggregates -----------------------------------------
@@ -183,11 +201,10 @@ def running(
     strictly-after when ``reverse``) scan.  ``min``/``max`` accept struct
     expressions, which gives ``min_by``/``max_by`` with a tie-break.
     """
-    keys = _as_list(keys)
-    order = list(order)
-    ts = order[0]
-    d = with_chunk(df, ts, chunk, keys)
-    part = keys + [_CHUNK]
+    keys, order = _as_list(keys), list(order)
+    chunks = plan_chunks(df, keys, order[0], chunk)
+    d = chunks.add(df) if chunks.split else df
+    part = keys + [_CHUNK] if chunks.split else keys
     ocols = [F.col(c).desc() if reverse else F.col(c).asc() for c in order]
     hi = 0 if include_current else -1
     w = Window.partitionBy(*part).orderBy(*ocols).rowsBetween(Window.unboundedPreceding, hi)
@@ -224,31 +241,25 @@ def running(
             prefix.append((kind, name))
 
     d = d.select("*", *within)
-    summary = d.where(F.col(_HOT)).groupBy(*part).agg(*totals)
-    wc = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc())
-    wc = wc.rowsBetween(Window.unboundedPreceding, -1)
-    psel = [F.col(c) for c in part]
-    for kind, name in prefix:
-        t = F.col(f"_rs_t_{name}")
-        if kind == "sum":
-            psel.append(F.sum(t).over(wc).alias(f"_rs_p_{name}"))
-        elif kind == "min":
-            psel.append(F.min(t).over(wc).alias(f"_rs_p_{name}"))
-        elif kind == "max":
-            psel.append(F.max(t).over(wc).alias(f"_rs_p_{name}"))
-        elif kind == "first":
-            psel.append(F.first(t, ignorenulls=True).over(wc).alias(f"_rs_p_{name}"))
-        else:
-            psel.append(F.last(t, ignorenulls=True).over(wc).alias(f"_rs_p_{name}"))
-    summary = summary.select(*psel)
-
-    out = d.join(summary, on=part, how="left")
+    if chunks.split:
+        d = materialize(d, "running")
+        summary = d.groupBy(*part).agg(*totals)
+        wc = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc() if reverse else F.col(_CHUNK).asc())
+        wc = wc.rowsBetween(Window.unboundedPreceding, -1)
+        over = {"sum": F.sum, "min": F.min, "max": F.max, "first": lambda c: F.first(c, ignorenulls=True),
+                "last": lambda c: F.last(c, ignorenulls=True)}
+        carried = [over[kind](F.col(f"_rs_t_{name}")).over(wc).alias(f"_rs_p_{name}") for kind, name in prefix]
+        d = join_keys(d, summary.select(*part, *carried), part, "left")
+    out = d
     for name, (kind, _) in specs.items():
-        wv, pv = F.col(f"_rs_w_{name}"), F.col(f"_rs_p_{name}")
+        wv = F.col(f"_rs_w_{name}")
+        pv = F.col(f"_rs_p_{name}") if chunks.split else F.lit(None)
         if kind in ("sum", "count"):
             res = F.coalesce(wv, F.lit(0)) + F.coalesce(pv, F.lit(0))
             if kind == "sum":
                 res = F.when(wv.isNull() & pv.isNull(), F.lit(None)).otherwise(res)
+        elif not chunks.split:
+            res = wv
         elif kind == "min":
             res = F.least(wv, pv)
         elif kind == "max":
@@ -258,8 +269,7 @@ def running(
         else:
             res = F.coalesce(wv, pv)
         out = out.withColumn(name, res)
-    drop = [c for c in out.columns if c.startswith("_rs_") or c in (_CHUNK, _HOT)]
-    return out.drop(*drop)
+    return out.drop(*[c for c in out.columns if c.startswith("_rs_") or c == _CHUNK])
 
 
 def sequence_number(
@@ -293,57 +303,54 @@ def rows_frame(
     "tail" array (at most ``preceding`` values per chunk) carried forward
     over the chunk summary table.
     """
-    keys = _as_list(keys)
-    order = list(order)
-    n = int(preceding)
-    ts = order[0]
-    d = with_chunk(df, ts, chunk, keys)
-    part = keys + [_CHUNK]
+    keys, order, n = _as_list(keys), list(order), int(preceding)
+    chunks = plan_chunks(df, keys, order[0], chunk)
+    d = chunks.add(df) if chunks.split else df
+    part = keys + [_CHUNK] if chunks.split else keys
     w = Window.partitionBy(*part).orderBy(*order)
-    v = F.col(value)
-    d = (
-        d.withColumn("__pos", F.row_number().over(w))
-        .withColumn("__cnt_in", F.count(v).over(w.rowsBetween(-n, 0)))
-        .withColumn("__sum_in", F.sum(v).over(w.rowsBetween(-n, 0)))
-        .withColumn("__min_in", F.min(v).over(w.rowsBetween(-n, 0)))
-        .withColumn("__max_in", F.max(v).over(w.rowsBetween(-n, 0)))
-        .withColumn("__rdesc", F.row_number().over(Window.partitionBy(*part).orderBy(
-            *[F.col(c).desc() for c in order])))
-    )
-    # tail of each chunk: its last n values, oldest first
-    tails = (
-        d.where((F.col("__rdesc") <= n) & F.col(_HOT))
-        .groupBy(*part)
-        .agg(F.sort_array(F.collect_list(F.struct(_order_struct(order).alias("o"), v.alias("v")))).alias("__tail"))
-    )
-    wc = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-n, -1)
-    halo = tails.select(
-        *part,
-        F.collect_list("__tail").over(wc).alias("__prev_tails"),
-    ).select(
-        *part,
-        F.transform(F.flatten("__prev_tails"), lambda s: s["v"]).alias("__halo"),
-    )
-    out = d.join(halo, on=part, how="left")
-    # rows at position p < n+1 need the last (n + 1 - p) halo values
-    need = F.greatest(F.lit(0), F.lit(n + 1) - F.col("__pos"))
-    h = F.coalesce(F.col("__halo"), F.array().cast("array<double>"))
-    take = F.least(need, F.size(h))
-    hs = F.when(take > 0, F.slice(h, F.size(h) - take + 1, take)).otherwise(F.array().cast("array<double>"))
-    hvals = F.filter(hs, lambda x: x.isNotNull())
-    out = out.withColumn("__h", hvals)
-    cnt = F.col("__cnt_in") + F.size("__h")
-    s = F.coalesce(F.col("__sum_in"), F.lit(0.0)) + F.aggregate("__h", F.lit(0.0), lambda a, x: a + x)
+    frame, v = w.rowsBetween(-n, 0), F.col(value)
+    asked = set(aggs) | ({"sum", "count"} if "avg" in aggs else set()) | ({"count"} if "sum" in aggs else set())
+    d = d.withColumns({f"__{a}_in": {"count": F.count, "sum": F.sum, "min": F.min, "max": F.max}[a](v).over(frame)
+                       for a in sorted(asked - {"avg"})})
+    got = {a: F.col(f"__{a}_in") for a in asked - {"avg"}}
+    if chunks.split:
+        # the rows before a chunk: its predecessor's last n values, and where that is shorter, those before it
+        d = materialize(d.withColumn("__pos", F.row_number().over(w)), "rows-frame")
+        earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        sizes = d.groupBy(*part).agg(F.count(F.lit(1)).alias("__size")).withColumn(
+            "__start", F.coalesce(F.sum("__size").over(earlier), F.lit(0)))
+        # the last n rows of each chunk by their number in the key, fetched by the chunks that need them
+        tails = (join_keys(d.select(*part, "__pos", v.alias("__v")), sizes, part)
+                 .where(F.col("__pos") > F.col("__size") - n)
+                 .select(*keys, (F.col("__start") + F.col("__pos")).alias("__num"), "__v"))
+        wanted = sizes.where("__start > 0").select(*part, F.explode(F.sequence(
+            F.greatest(F.lit(1), F.col("__start") - n + 1), F.col("__start"))).alias("__num"))
+        halo = (join_keys(wanted, tails, [*keys, "__num"]).groupBy(*part)
+                .agg(F.array_sort(F.collect_list(F.struct("__num", "__v"))).alias("__halo"))
+                .select(*part, F.transform("__halo", lambda s: s["__v"]).alias("__halo")))
+        d = join_keys(d, halo.select(*part, "__halo"), part, "left")
+        need = F.greatest(F.lit(0), F.lit(n + 1) - F.col("__pos"))
+        h = F.coalesce("__halo", F.array().cast("array<double>"))
+        take = F.least(need, F.size(h))
+        d = d.withColumn("__h", F.filter(F.when(take > 0, F.slice(h, F.size(h) - take + 1, take)).otherwise(
+            F.array().cast("array<double>")), lambda x: x.isNotNull()))
+        if "count" in got:
+            got["count"] = got["count"] + F.size("__h")
+        if "sum" in got:
+            got["sum"] = F.coalesce(got["sum"], F.lit(0.0)) + F.aggregate("__h", F.lit(0.0), lambda a, x: a + x)
+        if "min" in got:
+            got["min"] = F.least(got["min"], F.array_min("__h"))
+        if "max" in got:
+            got["max"] = F.greatest(got["max"], F.array_max("__h"))
     res = {}
-    if "count" in aggs:
-        res[prefix + "count"] = cnt.cast("long")
-    if "sum" in aggs:
-        res[prefix + "sum"] = F.when(cnt > 0, s)
-    if "avg" in aggs:
-        res[prefix + "avg"] = F.when(cnt > 0, s / cnt)
-    if "min" in aggs:
-        res[prefix + "min"] = F.least(F.col("__min_in"), F.array_min("__h"))
-    if "max" in aggs:
-        res[prefix + "max"] = F.greatest(F.col("__max_in"), F.array_max("__h"))
-    out = out.withColumns(res)
+    for a in aggs:
+        if a == "count":
+            res[prefix + a] = got["count"].cast("long")
+        elif a == "sum":
+            res[prefix + a] = F.when(got["count"] > 0, got["sum"])
+        elif a == "avg":
+            res[prefix + a] = F.when(got["count"] > 0, got["sum"] / got["count"])
+        else:
+            res[prefix + a] = got[a]
+    out = d.withColumns(res)
     return out.drop(*[c for c in out.columns if c.startswith("__")])

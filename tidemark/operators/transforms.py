@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import duration_us, epoch_us
 from tidemark.session import ship_package
-from tidemark.operators.sequence import DEFAULT_CHUNK, resolve_chunk, running
+from tidemark.operators.sequence import DEFAULT_CHUNK, plan_chunks, running
 
 # --- P ---------------------------------------------------------------------
 
@@ -173,19 +173,22 @@ def range_frame(df: DataFrame, keys: Sequence[str], ts: str, value: str, rng: st
                 chunk: str = DEFAULT_CHUNK) -> DataFrame:
     """W13 ``RANGE BETWEEN rng PRECEDING AND CURRENT ROW``: count and sum.
 
-    Time chunks at least ``rng`` wide; the rows within ``rng`` of a chunk's
-    start are copied into it as read-only "halo" rows, so every frame lies
-    inside one (key, chunk) partition.  Copy factor <= 1 + rng / chunk.
+    Keys are cut where their rows are dense (:func:`plan_chunks`): each hot key into ranges of
+    time that hold about as many rows each, at least ``rng`` wide; other keys stay whole.
+    The rows within ``rng`` of a range's end are copied into the next one as read-only
+    "halo" rows, so every frame lies inside one (key, range) partition and a row has at most
+    one copy.
     """
-    keys = list(keys)
-    r_us = duration_us(rng)
-    width = resolve_chunk(df, chunk)
-    c_us = max(duration_us("1 hour" if width == "auto" else width), r_us)
-    d = df.withColumn("__us", epoch_us(df, ts)).withColumn("__c", F.floor(F.col("__us") / c_us))
-    d = d.withColumn("__halo", F.lit(False))
-    halo = (d.where(F.col("__us") >= (F.col("__c") + 1) * c_us - r_us)
-            .withColumn("__c", F.col("__c") + 1).withColumn("__halo", F.lit(True)))
-    u = d.unionByName(halo)
-    w = Window.partitionBy(*keys, "__c").orderBy("__us").rangeBetween(-r_us, 0)
-    out = u.withColumn("count", F.count(F.lit(1)).over(w)).withColumn("sum", F.sum(value).over(w))
-    return out.where(~F.col("__halo")).drop("__us", "__c", "__halo")
+    keys, r_us = list(keys), duration_us(rng)
+    chunks = plan_chunks(df, keys, ts, chunk)
+    d = chunks.add(df, least=r_us, keep_width=True).withColumn("__us", epoch_us(df, ts))
+    part = keys
+    if chunks.split:
+        part = [*keys, "__chunk"]
+        d = d.withColumn("__halo", F.lit(False))
+        end = (F.col("__chunk") + 1) * F.col("__width")
+        d = d.unionByName(d.where(F.col("__us") >= end - r_us).withColumn("__chunk", F.col("__chunk") + 1)
+                          .withColumn("__halo", F.lit(True)))
+    w = Window.partitionBy(*part).orderBy("__us").rangeBetween(-r_us, 0)
+    out = d.withColumn("count", F.count(F.lit(1)).over(w)).withColumn("sum", F.sum(value).over(w))
+    return (out.where(~F.col("__halo")).drop("__halo") if chunks.split else out).drop("__us", "__chunk", "__width")

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import bucket_of, duration_us, epoch_us, interval, is_ntz
-from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, running, sequence_number
+from tidemark.operators.keys import join_keys
+from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, plan_chunks, running, sequence_number
 
 # Mergeable measure kinds: partial results of panes can be combined.
 _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
@@ -155,17 +156,18 @@ def session(
     """
     aggs = list(aggs) or [F.count(F.lit(1)).alias("count")]
     keys = list(keys)
-    if df.isStreaming or not keys:
+    if df.isStreaming:
         out = df.groupBy(*keys, F.session_window(ts, gap).alias("w")).agg(*aggs)
         return out.select(
             *keys, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
             *[c for c in out.columns if c not in ("w", *keys)],
         )
     order = list(order or [ts])
-    n = neighbours(df, keys, order, [ts], prev=True, chunk=chunk, prefix_prev="__sp_")
+    chunks = plan_chunks(df, keys, ts, chunk)  # both scans cut the keys alike
+    n = neighbours(df, keys, order, [ts], prev=True, chunk=chunks, prefix_prev="__sp_")
     brk = F.col(f"__sp_{ts}").isNull() | (F.col(ts) > F.col(f"__sp_{ts}") + interval(gap))
     sid = running(n.withColumn("__brk", brk), keys, order,
-                  {"__sid": ("count", F.when(F.col("__brk"), F.lit(1)))}, chunk=chunk)
+                  {"__sid": ("count", F.when(F.col("__brk"), F.lit(1)))}, chunk=chunks)
     out = sid.groupBy(*keys, "__sid").agg(F.min(ts).alias("session_start"),
                                           (F.max(ts) + interval(gap)).alias("session_end"), *aggs)
     return out.drop("__sid")
@@ -223,7 +225,8 @@ def count_window(
             F.min(v).alias("min"), F.max(v).alias("max"),
         )
     # only windows whose firing row exists
-    out = out.join(last, keys).where(F.col("__fire") <= F.col("__n"))
+    out = join_keys(out, last, keys) if keys else out.crossJoin(last)  # one row without keys
+    out = out.where(F.col("__fire") <= F.col("__n"))
     return out.select(*keys, F.col("__fire").cast("long").alias("fire_at_row"),
                       F.col("count").cast("long").alias("count"), "sum", "min", "max")
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import interval
 from tidemark.operators import cep
-from tidemark.operators.sequence import neighbours
+from tidemark.operators.scan import greedy_windows
+from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, plan_chunks, running
 from tidemark.plans.registry import query
 from tidemark.plans.tables import events
 from tidemark.sources.files import read_table
@@ -36,6 +37,31 @@ def login_fail_state(logins: DataFrame, gap: str = "2 seconds", key: str = "user
         F.lit(f"login fail in {gap}.").alias("warning_msg"))
 
 
+def login_fail_timer(logins: DataFrame, window: str = "5 seconds", min_fails: int = 2, key: str = "user_id",
+                     ts: str = "ts", order=("ts",), fail: str = "fail", chunk: str = DEFAULT_CHUNK) -> DataFrame:
+    """Fails are collected from a first one on for ``window``; a success in that time
+    clears them; otherwise ``min_fails`` or more give one warning.  The stream's result.
+
+    First fails are the anchors of greedy windows with successes as resets.
+    """
+    order = list(order)
+    chunks = plan_chunks(logins, [key], ts, chunk)
+    failed = F.col("event_type") == fail
+    a = greedy_windows(logins.select(key, *order, "event_type"), [key], order, failed, ~failed, window, "__first", chunks)
+    a = running(a, [key], order, {"__end": ("last", F.when(~failed, F.col(ts)))}, reverse=True,
+                include_current=False, chunk=chunks)
+    opened = F.struct(*[F.col(c) for c in order], "__end")
+    a = running(a, [key], order, {"__open": ("last", F.when(F.col("__first"), opened))}, chunk=chunks)
+    out = a.where(failed).groupBy(key, "__open").agg(F.min(ts).alias("first_fail_time"), F.max(ts).alias("last_fail_time"),
+                                                     F.count(F.lit(1)).alias("fails"))
+
+    def ms(c: str):
+        return F.date_trunc("millisecond", F.col(c))
+
+    kept = F.col("__open.__end").isNull() | (ms("__open.__end") > ms(f"__open.{ts}") + interval(window))
+    return out.where((F.col("fails") >= min_fails) & kept).drop("__open")
+
+
 def login_fail_pattern(logins: DataFrame, within: str = "3 seconds", key: str = "user_id", ts: str = "ts",
                        order=("ts",), fail: str = "fail") -> DataFrame:
     """Pattern ``begin(fail).next(fail).within(d)``; matches may overlap."""

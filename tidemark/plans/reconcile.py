@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import interval
 from tidemark.operators.joins import asof_latest, connect, interval_join, window_join
-from tidemark.operators.sequence import neighbours
+from tidemark.operators.sequence import neighbours, plan_chunks
 from tidemark.operators.windows import tumbling
 from tidemark.plans.registry import query
 from tidemark.plans.tables import events
@@ -49,9 +49,12 @@ def dynamic_threshold_alerts(readings: DataFrame, rules: DataFrame, key: str = "
     Both per-key scans are chunked; rules are joined as-of, not broadcast,
     since the rule stream grows with the data.
     """
-    r = neighbours(readings, [key], list(order), ["temperature"], prev=True)
+    order = list(order)
+    # one decision for both scans: the keys that are hot in either input
+    chunks = plan_chunks(readings.select(key, order[0]).unionByName(rules.select(key, order[0])), [key], order[0])
+    r = neighbours(readings, [key], order, ["temperature"], prev=True, chunk=chunks)
     r = r.withColumn("last_temp", F.coalesce(F.col("prev_temperature"), F.lit(0.0))).drop("prev_temperature")
-    a = asof_latest(r, rules, [key], order[0], list(order), ["threshold"])
+    a = asof_latest(r, rules, [key], order[0], order, ["threshold"], chunk=chunks)
     diff = F.abs(F.col("temperature") - F.col("last_temp"))
     hit = F.col("threshold").isNotNull() & (F.col("threshold") != 0.0) & (diff > F.col("threshold"))
     return a.where(hit).withColumn("temp_diff", diff)

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import fahrenheit_to_celsius
 from tidemark.functions.timefns import interval
-from tidemark.operators.sequence import neighbours, running
+from tidemark.operators.scan import greedy_windows
+from tidemark.operators.sequence import DEFAULT_CHUNK, neighbours, plan_chunks, running
 from tidemark.operators.transforms import forward_with_alarm
 from tidemark.operators.windows import tumbling
 from tidemark.plans.registry import query
 from tidemark.plans.tables import sensors
-from tidemark.session import materialize
 
 # --- library form ----------------------------------------------------------
 
@@ -35,43 +35,29 @@ def temperature_jump(readings: DataFrame, threshold: float = 10.0, key: str = "s
 
 
 def continuous_rise(readings: DataFrame, duration: str = "10 seconds", key: str = "sensor_id", ts: str = "ts",
-                    order=("ts",)) -> DataFrame:
+                    order=("ts",), chunk: str = DEFAULT_CHUNK) -> DataFrame:
     """Alert when a temperature keeps rising for ``duration``; same result as the stream.
 
     A rise (temp > previous) arms a timer at ``ts + duration`` unless one is armed; a fall
     (temp < previous, equal keeps going) at or before that time disarms it; after an alert
     the next rise arms again.  Times are in milliseconds, as timers are.
 
-    A run is what lies between two falls.  Each round takes the armed rise of every run,
-    reports its alert unless the run ends first, and goes on to the first rise after it:
-    one row per run, runs that ended are gone.  Rounds are as many as the alerts of the
-    longest run.
+    The rises that arm are the anchors of :func:`tidemark.operators.scan.greedy_windows` with
+    falls as resets; each alerts unless the next fall comes in time.
     """
     order = list(order)
-    n = neighbours(readings, [key], order, ["temperature"], prev=True)
-    n = n.withColumn("__rise", F.coalesce(F.col("temperature") > F.col("prev_temperature"), F.lit(False)))
-    n = n.withColumn("__fall", F.coalesce(F.col("temperature") < F.col("prev_temperature"), F.lit(False)))
-    n = running(n, [key], order, {"__run": ("sum", F.col("__fall").cast("long"))})
-    n = materialize(n.where("__rise or __fall").select(
-        key, "__run", "__rise", F.date_trunc("millisecond", F.col(ts)).cast(readings.schema[ts].dataType).alias("__at")),
-        "rise-marks")
-    rises = n.where("__rise").select(key, "__run", "__at")
-    ends = n.where("not __rise").select(key, (F.col("__run") - 1).alias("__run"), F.col("__at").alias("__end"))
-    fire = F.col("__armed") + interval(duration)
-    armed = (rises.groupBy(key, "__run").agg(F.min("__at").alias("__armed"))
-             .join(ends, [key, "__run"], "left")
-             .where(F.col("__end").isNull() | (F.col("__end") > fire)))
-    alerts = None
-    while True:
-        armed = materialize(armed, "rise-armed")
-        if armed.isEmpty():
-            break
-        alerts = armed if alerts is None else alerts.unionByName(armed)
-        nxt = (armed.withColumn("__fired", fire).join(rises, [key, "__run"]).where(F.col("__at") > F.col("__fired"))
-               .groupBy(key, "__run").agg(F.min("__at").alias("__armed"), F.first("__end").alias("__end")))
-        armed = nxt.where(F.col("__end").isNull() | (F.col("__end") > fire))
-    alerts = armed if alerts is None else alerts
-    return alerts.select(key, F.col("__armed").alias("rise_start"), fire.alias("alert_time"))
+    chunks = plan_chunks(readings, [key], ts, chunk)
+    n = neighbours(readings.select(key, *order, "temperature"), [key], order, ["temperature"], prev=True, chunk=chunks)
+    n = n.select(key, *order, F.coalesce(F.col("temperature") > F.col("prev_temperature"), F.lit(False)).alias("__rise"),
+                 F.coalesce(F.col("temperature") < F.col("prev_temperature"), F.lit(False)).alias("__fall"))
+    n = n.where("__rise or __fall")
+    at = F.date_trunc("millisecond", F.col(ts)).cast(readings.schema[ts].dataType)
+    a = greedy_windows(n, [key], order, F.col("__rise"), F.col("__fall"), duration, "__armed", chunks)
+    a = running(a, [key], order, {"__end": ("last", F.when(F.col("__fall"), at))}, reverse=True,
+                include_current=False, chunk=chunks)
+    fire = at + interval(duration)
+    return a.where(F.col("__armed") & (F.col("__end").isNull() | (F.col("__end") > fire))).select(
+        key, at.alias("rise_start"), fire.alias("alert_time"))
 
 
 def average_celsius(readings: DataFrame, size: str = "5 seconds", key: str = "sensor_id", ts: str = "ts"
@@ -149,6 +135,15 @@ def q_d16(spark, sf):
     return continuous_rise(sensors(spark, sf), "6 hours", order=("ts", "event_id")).select("sensor_id", "alert_time")
 
 
+@query("D16h_temp_rise_hot_key", RISE_SQL.replace("user_id AS sid", "user_id % 3 AS sid").replace(
+    "PARTITION BY user_id", "PARTITION BY user_id % 3"))
+def q_d16h(spark, sf):
+    """Three sensors, each cut into chunks of some 200 rows."""
+    r = sensors(spark, sf).withColumn("sensor_id", F.col("sensor_id") % 3)
+    return continuous_rise(r, "6 hours", order=("ts", "event_id"), chunk="auto:300:200").select(
+        "sensor_id", "alert_time")
+
+
 @query("D17_avg_temp_celsius", """
 SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
        user_id AS sensor_id, round(avg((value - 32) * 5 / 9), 4) + 0.0 AS avg_celsius

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import basics, detection, io_queries, marketing, reconcile, sensors, traffic  # noqa: F401 (oracles)
 from tidemark.plans.registry import _ORACLES, query
 from tidemark.plans.tables import ITEM_SQL, item_col
-from tidemark.sources.files import stream_slices, stream_table
+from tidemark.sources.files import read_table, stream_slices, stream_table
 from tidemark.streaming import jobs as S
 from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
@@ -428,6 +428,25 @@ WHERE w.timer IS NOT NULL AND w.cnt >= 2
 """
 
 
+def _logins(spark, sf):
+    kind = F.when(F.col("event_type") == "error", "fail").otherwise("success")
+    return read_table(spark, sf, "events").select("user_id", "ts", "event_id", kind.alias("event_type"))
+
+
+@query("D9c_login_fail_timer", _LOGIN_TIMER_SQL)
+def q_d9c(spark, sf):
+    """The timer form in batch."""
+    return detection.login_fail_timer(_logins(spark, sf), "2 hours", order=("ts", "event_id"))
+
+
+@query("D9h_login_fail_timer_hot_key", _LOGIN_TIMER_SQL.replace("user_id AS uid", "user_id % 2 AS uid").replace(
+    "PARTITION BY user_id", "PARTITION BY user_id % 2"))
+def q_d9h(spark, sf):
+    """Two users, each cut into chunks of some 200 rows."""
+    logins = _logins(spark, sf).withColumn("user_id", F.col("user_id") % 2)
+    return detection.login_fail_timer(logins, "2 hours", order=("ts", "event_id"), chunk="auto:300:200")
+
+
 @query("D9b_login_fail_timer_stream", _LOGIN_TIMER_SQL)
 def q_d9b(spark, sf, sliced=False):
     """Timer form of the login check: >= 2 fails within 2 hours of the first, no success between."""
