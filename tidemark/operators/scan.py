@@ -17,11 +17,12 @@ turn, and the chunks run in parallel with the state they are entered with.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,24 +91,39 @@ def summarise(at: np.ndarray, point: np.ndarray, reset: np.ndarray, duration: in
     return Summary(False, CLOSED, at[first][:n], last[:n])
 
 
-def anchors(at: np.ndarray, point: np.ndarray, reset: np.ndarray, duration: int, end: int) -> np.ndarray:
-    """Which rows open a window, entered with a window open until ``end``."""
-    segment = np.cumsum(reset)
-    where, nxt = following(at, point, segment, duration)
+def mark_rows(at: np.ndarray, point: np.ndarray, reset: np.ndarray, fresh: np.ndarray, entered: np.ndarray,
+              duration: int, end: int) -> tuple[np.ndarray, int]:
+    """Which rows open a window, for the rows of many keys in turn, and the end left behind.
+
+    ``fresh`` marks the first row of a key's chunk, entered with a window open until
+    ``entered``; rows before the first such row go on with one open until ``end``.
+    """
+    # times made ascending over all keys, farther apart than a window between two keys
+    key = np.cumsum(fresh)
+    low, step = int(at.min()), int(at.max() - at.min()) + duration + 2
+    t = at - low + key * step
+    cut = reset | fresh
+    segment = np.cumsum(cut)
+    starts = np.flatnonzero(np.r_[True, cut[1:]])
+    entry = np.where(reset[starts], CLOSED, np.where(fresh[starts], entered[starts], end))
+    where, nxt = following(t, point, segment, duration)
+    opens = np.searchsorted(t[where], np.clip(entry - low, -1, step - 2) + key[starts] * step, side="right")
+    live = np.maximum(opens, np.searchsorted(where, starts))
+    inside = live < len(where)
+    inside[inside] = segment[where[live[inside]]] == segment[starts[inside]]
+    live = live[inside]
     out = np.zeros(len(at), bool)
-    if not len(where):
-        return out
-    heads = np.flatnonzero(np.r_[True, segment[where[1:]] != segment[where[:-1]]])
-    if segment[where[heads[0]]] == 0:
-        i = int(np.searchsorted(at[where], end, side="right"))
-        inside = i < len(where) and segment[where[i]] == 0
-        heads = np.r_[i, heads[1:]] if inside else heads[1:]
-    live = heads
     while len(live):  # one step of every segment's chain at a time
         out[where[live]] = True
         live = nxt[live]
         live = live[live >= 0]
-    return out
+    last = starts[-1] + np.flatnonzero(out[starts[-1]:])
+    return out, int(at[last[-1]]) + duration if len(last) else int(entry[-1])
+
+
+def anchors(at: np.ndarray, point: np.ndarray, reset: np.ndarray, duration: int, end: int) -> np.ndarray:
+    """:func:`mark_rows` for the rows of one chunk, entered with a window open until ``end``."""
+    return mark_rows(at, point, reset, np.zeros(len(at), bool), np.zeros(len(at), np.int64), duration, end)[0]
 
 
 def greedy_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], point: Column, reset: Column,
@@ -115,7 +131,7 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], poi
     """``df`` plus a boolean: does the row open a window?  Times count in milliseconds, as
     timers do; a row that is both point and reset resets first.
 
-    Rows are shuffled once, by (key, chunk), as a window function over the chunks would.
+    Rows are shuffled once, by (key, chunk); a task runs over its keys batch by batch.
     """
     ship_package(df.sparkSession)
     keys, order, ms = list(keys), list(order), duration_us(duration) // 1000
@@ -154,11 +170,26 @@ def greedy_windows(df: DataFrame, keys: Sequence[str], order: Sequence[str], poi
         d = join_keys(d, ends, part, "left").withColumn("__end", F.coalesce("__end", F.lit(CLOSED)))
     else:
         d = d.withColumn("__end", F.lit(CLOSED))
-    schema, columns = T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]), [*df.columns, name]
-
-    def mark(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        pdf[name] = anchors(*(pdf[c].to_numpy() for c in ("__at", "__point", "__reset")), ms, int(pdf["__end"].iloc[0]))
-        return pdf[columns]
-
-    return d.groupBy(*part).applyInPandas(mark, schema)
+    schema, columns = T.StructType([*df.schema.fields, T.StructField(name, T.BooleanType())]), list(df.columns)
+    part = part if chunks.split else keys
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end, before = CLOSED, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = batch.select(part).to_pandas()
+            fresh = np.zeros(len(group), bool)
+            for c in part:
+                v = group[c]
+                fresh[1:] |= ((v != v.shift()) & ~(v.isna() & v.shift().isna())).to_numpy()[1:]
+            first = [x.as_py() for x in (batch.column(c)[0] for c in part)]
+            fresh[0] = before is None or first != before
+            at, point, reset, entered = (batch.column(c).to_numpy(zero_copy_only=False)
+                                         for c in ("__at", "__point", "__reset", "__end"))
+            out, end = mark_rows(at, point.astype(bool), reset.astype(bool), fresh, entered, ms, end)
+            before = [x.as_py() for x in (batch.column(c)[batch.num_rows - 1] for c in part)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(out)], names=[*columns, name])
+
+    dealt = d.repartition(*part) if part else d.repartition(1)
+    return dealt.sortWithinPartitions(*part, *order).mapInArrow(mark, schema)

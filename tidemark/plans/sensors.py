@@ -136,11 +136,11 @@ def q_d16(spark, sf):
 
 
 @query("D16h_temp_rise_hot_key", RISE_SQL.replace("user_id AS sid", "user_id % 3 AS sid").replace(
-    "PARTITION BY user_id", "PARTITION BY user_id % 3"))
+    "PARTITION BY user_id", "PARTITION BY user_id % 3").replace("6 HOUR", "20 MINUTE"))
 def q_d16h(spark, sf):
     """Three sensors, each cut into chunks of some 200 rows."""
     r = sensors(spark, sf).withColumn("sensor_id", F.col("sensor_id") % 3)
-    return continuous_rise(r, "6 hours", order=("ts", "event_id"), chunk="auto:300:200").select(
+    return continuous_rise(r, "20 minutes", order=("ts", "event_id"), chunk="auto:300:200").select(
         "sensor_id", "alert_time")
 
 

@@ -440,11 +440,11 @@ def q_d9c(spark, sf):
 
 
 @query("D9h_login_fail_timer_hot_key", _LOGIN_TIMER_SQL.replace("user_id AS uid", "user_id % 2 AS uid").replace(
-    "PARTITION BY user_id", "PARTITION BY user_id % 2"))
+    "PARTITION BY user_id", "PARTITION BY user_id % 2").replace("2 HOUR", "6 MINUTE"))
 def q_d9h(spark, sf):
     """Two users, each cut into chunks of some 200 rows."""
     logins = _logins(spark, sf).withColumn("user_id", F.col("user_id") % 2)
-    return detection.login_fail_timer(logins, "2 hours", order=("ts", "event_id"), chunk="auto:300:200")
+    return detection.login_fail_timer(logins, "6 minutes", order=("ts", "event_id"), chunk="auto:300:200")
 
 
 @query("D9b_login_fail_timer_stream", _LOGIN_TIMER_SQL)
