@@ -58,6 +58,19 @@ def test_matches_brute_force(spark, make_docs):
     assert got == want
 
 
+def test_blocks_are_bounded_by_bytes_and_written(spark, make_docs, monkeypatch):
+    docs, items = fixture(6)
+    keyed = spark.createDataFrame(items, "item_id long, text string")
+    sizes = [[len(t or "") for _, t in b] for b in D.blocks(D.take(keyed, id="item_id", text="text").select(
+        "id", D.text_of("text").alias("text")), 1000, 1500)]
+    assert sum(map(len, sizes)) == len(items) and all(sum(b) <= 1500 or len(b) == 1 for b in sizes)
+    settled, settle = [], D.settle
+    monkeypatch.setattr(D, "settle", lambda *a: settled.append(1) or settle(*a))
+    found = D.contained_items(make_docs(docs), keyed, block_bytes=1500)
+    assert Counter((r["id"], r["item_id"], r["shared"]) for r in found.collect()) == brute(docs, items)
+    assert len(settled) == len(sizes) > 3
+
+
 def test_no_short_item_is_missed():
     filler = " ".join(f"f{i}" for i in range(40))
     texts = [" ".join(f"t{k}w{i}" for i in range(1 + k % 8)) for k in range(12_000)]

@@ -47,3 +47,16 @@ def test_drop_copies_keeps_columns(odd_docs, odd_rows):
 def test_empty(empty_docs):
     assert X.exact_groups(empty_docs).count() == 0
     assert X.drop_exact_copies(empty_docs).count() == 0
+
+
+def test_the_row_that_stays_is_defined(spark, odd_docs):
+    """Of rows with one identifier whose texts are equal up to white space, the first read stays,
+    with its own columns; rows without an identifier only among themselves."""
+    def row(i, text, source):
+        return (i, text, "l" + source, source, None, None, None, None, None)
+
+    rows = [row(4, "a  b", "p"), row(4, "a b", "q"), row(4, "a\tb", "r"), row(9, "a b", "s"), row(None, "a b", "t"),
+            row(None, "c", "u"), row(None, "c ", "v"), row(None, "c  ", "w")]
+    docs = spark.createDataFrame(rows, odd_docs.schema).coalesce(1)
+    got = sorted((r["text"], r["source"], r["lang"]) for r in X.drop_exact_copies(docs).collect())
+    assert got == [("a  b", "p", "lp"), ("c", "u", "lu"), ("c ", "v", "lv")]

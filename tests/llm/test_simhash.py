@@ -117,6 +117,17 @@ def test_rows_with_one_id_are_decided_each_for_itself(make_docs):
     assert got == sorted([(15, base), (15, lone), (15, other)])
 
 
+def test_copies_without_an_identifier(make_docs):
+    words = [f"w{i}" for i in range(400)]
+    base, near, other = " ".join(words), " ".join(["changed"] + words[1:]), " ".join(reversed(words))
+    docs = make_docs([(None, base), (None, base), (None, near), (None, other), (5, other), (None, "alone")])
+    got = sorted((r["doc_id"] or -1, r["text"]) for r in S.drop_near_copies(docs, unnamed="drop").collect())
+    assert len(got) == 3 and (5, other) in got and (-1, "alone") in got
+    assert S.drop_near_copies(docs).count() == 5
+    with pytest.raises(ValueError):
+        S.drop_near_copies(docs, unnamed="?")
+
+
 def test_empty(empty_docs):
     assert S.near_groups(empty_docs).count() == 0
     assert S.drop_near_copies(empty_docs).count() == 0

@@ -36,8 +36,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import flat_name, flatten, take, text_of
 from tidemark.session import ship_package
 
-STORE_WORDS = 400_000
-CHUNK_CHARS = 1 << 22
+#: Bounds of a worker's memory, none of the results: words and pairs it remembers, and the
+#: characters it works on at once.
+STORE_WORDS = 200_000
+STORE_PAIRS = 300_000
+CHUNK_CHARS = 1 << 21
 WAVE_BYTES = 256
 NO_RANK = np.int64(1) << 31
 
@@ -80,7 +83,7 @@ class MergeReplay:
         """The rank of each pair's merge: by an index from distinct pairs to their positions."""
         pairs, places = np.unique(a * self.size + b, return_inverse=True)
         made, ranks, tokens = self.made, self.ranks, self.tokens
-        if len(made) > 1_000_000:
+        if len(made) > STORE_PAIRS:
             made.clear()
         of = []
         for pair in pairs.tolist():

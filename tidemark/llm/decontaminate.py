@@ -215,21 +215,24 @@ class ItemIndex:
                 yield ident, shared, shared / len(shingles)
 
 
-def blocks(items: DataFrame, block_items: int) -> Iterator[list[tuple[object, str]]]:
-    """The items in blocks of at most ``block_items``, one at a time on the driver."""
+def blocks(items: DataFrame, block_items: int, block_bytes: int) -> Iterator[list[tuple[object, str]]]:
+    """The items in blocks, one at a time on the driver: at most ``block_items`` items and,
+    unless one item is longer, ``block_bytes`` characters of text."""
     block: list[tuple[object, str]] = []
+    size = 0
     for row in items.toLocalIterator():
-        block.append((row["id"], row["text"]))
-        if len(block) == block_items:
+        if block and (len(block) == block_items or size + len(row["text"]) > block_bytes):
             yield block
-            block = []
+            block, size = [], 0
+        block.append((row["id"], row["text"]))
+        size += len(row["text"])
     if block:
         yield block
 
 
 def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8,
-                    permutations: int = 128, block_items: int = 20_000, id_col: str = "doc_id",
-                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                    permutations: int = 128, block_items: int = 20_000, block_bytes: int = 16 << 20,
+                    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document row and item it holds: ``id, item_id, shared, containment``.
 
     A document holds an item if at least ``threshold`` of the item's distinct ``shingle``-word
@@ -237,6 +240,9 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, thresho
     words is one shingle of all its words).  Items without a word, null texts included, are in
     no document.  Repeated rows and items are reported each for themselves; identifiers may be
     null.  Without items or documents the result is empty.  Other columns are ignored.
+
+    Items reach the tasks in blocks of bounded size; with more than one block, the hits of a
+    block are written before the next one is read, and its broadcast is given back.
     """
     ship_package(docs.sparkSession)
     rows = take(docs, id=id_col, text=text_col).select("id", text_of("text").alias("text"))
@@ -244,8 +250,10 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, thresho
     schema = (rows.select("id").join(queries.select(F.col("id").alias("item_id")))
               .select("id", "item_id", F.lit(0).cast("long").alias("shared"), F.lit(0.0).alias("containment")).schema)
     types = [pa_type(rows, "id"), pa_type(queries, "id"), pa.int64(), pa.float64()]
-    found = []
-    for block in blocks(queries, block_items):
+    found, pending = [], None
+    for block in blocks(queries, block_items, block_bytes):
+        if pending is not None:
+            found.append(settle(*pending))
         key = uuid.uuid4().hex
         shared = docs.sparkSession.sparkContext.broadcast((block, shingle, threshold, permutations))
 
@@ -260,10 +268,19 @@ def contained_items(docs: DataFrame, items: DataFrame, shingle: int = 5, thresho
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, types)], names=schema.names)
 
-        found.append(rows.mapInArrow(run, schema))
-    if not found:
+        pending = rows.mapInArrow(run, schema), shared
+    if pending is None:
         return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionAll, found)
+    if found:
+        return reduce(DataFrame.unionAll, [*found, settle(*pending)])
+    return pending[0]
+
+
+def settle(hits: DataFrame, shared) -> DataFrame:
+    """The hits of one block from a written table; the block is forgotten."""
+    out = materialize(hits, "block-hits")
+    shared.destroy()
+    return out
 
 
 def pa_type(df: DataFrame, col: str) -> pa.DataType:

@@ -48,11 +48,14 @@ def tree_rounds(partitions: int, fan_in: int) -> int:
     return rounds
 
 
-def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id, uid, digest, check, n_bytes``, written to the shared folder."""
-    rows = take(docs, id=id_col, text=text_col)
-    return materialize(rows.select("id", F.monotonically_increasing_id().alias("uid"),
-                                   *digest_key(text_of("text"))), "digests")
+def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                uid_col: str | None = None) -> DataFrame:
+    """One row per input row: ``id, uid, digest, check, n_bytes``, written to the shared folder.
+
+    ``uid`` is the row number, or the column ``uid_col`` if the rows have one."""
+    rows = take(docs, id=id_col, text=text_col, **({"uid": uid_col} if uid_col else {}))
+    uid = F.col("uid") if uid_col else F.monotonically_increasing_id().alias("uid")
+    return materialize(rows.select("id", uid, *digest_key(text_of("text"))), "digests")
 
 
 def merge_tree(runs: DataFrame, fan_in: int = 8) -> DataFrame:
@@ -97,16 +100,12 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                       fan_in: int = 8) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    One row per text: the one with the smallest identifier; of repeated rows one stays.
+    One row per text: the one with the smallest identifier, rows without one last; of several
+    rows with that identifier the first in the order in which ``docs`` was read.  The rows are
+    numbered in a written table first, so the row that stays, other columns included, is the
+    one whose number won the merge, and a text that many rows share is no join key.
     """
-    groups = exact_groups(docs, id_col, text_col, fan_in)
-    same = ["w_id", "w_no_id", *KEY]
-    keepers = groups.where("kept").select(F.col("id").cast("string").alias("w_id"), *KEY)
-    ident, text = flat_name(docs, id_col), flat_name(docs, text_col)
-    rows = flatten(docs).select("*", F.col(ident).cast("string").alias("w_id"), *digest_key(text_of(text)))
-
-    def named(df: DataFrame) -> DataFrame:
-        return df.withColumn("w_no_id", F.col("w_id").isNull()).withColumn("w_id", F.coalesce("w_id", F.lit("")))
-
-    kept = named(rows).join(named(keepers), same, "left_semi").dropDuplicates(same)
-    return restore(kept, docs)
+    numbered = materialize(flatten(docs).withColumn("uid", F.monotonically_increasing_id()), "exact-copies")
+    runs = merge_tree(digest_runs(numbered, flat_name(docs, id_col), flat_name(docs, text_col), "uid"), fan_in)
+    gone = runs.where(F.col("uid") != F.col("keep.uid")).select("uid")
+    return restore(numbered.join(gone, "uid", "left_anti"), docs)

@@ -55,7 +55,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
               for k, name in enumerate(secret_scan.KINDS[:3])]
     return out.select(F.col("id").alias("doc_id"), *counts,
                       F.sha2(span_text("base", secret_scan.KINDS), 256).alias("base_sha256"),
-                      span_text("spans", secret_scan.KINDS).alias("spans"))
+                      span_text("spans", secret_scan.KINDS).alias("spans"), "model")
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,21 +269,27 @@ def near_groups(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 2, parts: int = 3,
-                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                     id_col: str = "doc_id", text_col: str = "text", unnamed: str = "keep") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one of each component.
 
     The rows are numbered in a written table first, so that repeated identifiers do not
     matter: of each component the row with the smallest identifier stays, and of several
     rows with it the first by number.  A row without an identifier goes if its component
-    has a row with one; rows of components without any identifier all stay.
+    has a row with one.  ``unnamed`` says what happens to components without any identifier:
+    ``"keep"`` leaves all their rows, ``"drop"`` leaves the first of each by number.
     """
+    if unnamed not in ("keep", "drop"):
+        raise ValueError("unnamed is 'keep' or 'drop'")
     ident = flat_name(docs, id_col)
     numbered = materialize(flatten(docs).withColumn("uid", F.monotonically_increasing_id()), "near-copies")
     order = F.struct(F.col(ident).isNull().alias("unnamed"), F.col(ident).alias("id"), F.col("uid"))
     rows = fingerprints(numbered.select(order.alias("id"), F.col(flat_name(docs, text_col)).alias("text")),
                         shingle, "id", "text")
     first = materialize(named_components(rows, distance, parts), "near-first")
-    named = first.where("not component_id.unnamed").select("component_id.uid").distinct()
-    unnamed = (rows.where("id.unnamed").join(first.where("component_id.unnamed"), "fp", "left_semi")
-               .select("id.uid"))
-    return restore(numbered.join(named.unionByName(unnamed), "uid", "left_semi"), docs)
+    if unnamed == "drop":
+        stay = first.select("component_id.uid").distinct()
+    else:
+        named = first.where("not component_id.unnamed").select("component_id.uid").distinct()
+        stay = named.unionByName(rows.where("id.unnamed").join(
+            first.where("component_id.unnamed"), "fp", "left_semi").select("id.uid"))
+    return restore(numbered.join(stay, "uid", "left_semi"), docs)
