@@ -27,7 +27,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays (3-word shingles, 2 bits)."""
-    return simhash.drop_near_copies(docs, shingle=3, distance=2)
+    return simhash.drop_near_copies(docs, shingle=3, distance=2, unnamed="drop")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
