@@ -10,7 +10,8 @@ from tidemark.operators import cep
 from tidemark.plans.registry import query
 from tidemark.plans.tables import events
 from tidemark.session import scratch_path
-from tidemark.sinks.writers import changelog, upsert_parquet, write_csv, write_json_docs, write_text
+from tidemark.sinks.writers import (changelog, read_buckets, upsert_buckets, write_csv, write_json_docs,
+                                    write_text)
 from tidemark.sources.files import csv_view, read_csv
 
 _ID_TEMP = T.StructType([T.StructField("id", T.LongType()), T.StructField("temp", T.DoubleType())])
@@ -61,9 +62,9 @@ def q_k6(spark, sf):
                                  F.col("value").alias("last_value"), "ts")
     path = scratch_path(spark, "k6-upsert")
     cut = F.lit("2024-01-15").cast("timestamp_ntz")
-    upsert_parquet(e.where(F.col("ts") < cut), path, 0, ["user_id"], ["ts", "last_event_id"])
-    out = upsert_parquet(e.where(F.col("ts") >= cut), path, 1, ["user_id"], ["ts", "last_event_id"])
-    return spark.read.parquet(out).drop("ts")
+    upsert_buckets(e.where(F.col("ts") < cut), path, 0, ["user_id"], ["ts", "last_event_id"], buckets=8)
+    upsert_buckets(e.where(F.col("ts") >= cut), path, 1, ["user_id"], ["ts", "last_event_id"], buckets=8)
+    return read_buckets(spark, path, 1).drop("ts")
 
 
 @query("T13_retract_stream", """

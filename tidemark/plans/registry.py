@@ -25,6 +25,7 @@ MODULES = (
     "tidemark.plans.stream_queries",
     "tidemark.plans.io_queries",
     "tidemark.plans.table_queries",
+    "tidemark.plans.null_queries",
 )
 
 

@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.keys import join_keys
+from tidemark.session import materialize
+
 
 def print_sink(df: DataFrame, label: str | None = None, n: int = 20):
     """K1 ``print([label])``: ``show`` for batches, the console sink for streams."""
@@ -55,34 +59,83 @@ def write_json_docs(df: DataFrame, path: str, id_col: str) -> None:
 
 
 def latest_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key of one batch (what an UPDATE-then-INSERT loop leaves behind)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return batch.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """The last row per key of one batch (what an UPDATE-then-INSERT loop leaves behind).
+
+    An aggregate, so a key with many rows is reduced before the shuffle; a null key is a key."""
+    row, last = F.struct(*batch.columns), F.struct(*order)
+    return batch.groupBy(*keys).agg(F.max_by(row, last).alias("__row")).select("__row.*")
 
 
 def upsert_parquet(batch: DataFrame, table_path: str, version: int, keys: Sequence[str],
                    order: Sequence[str]) -> str:
-    """K6/K8 keyed upsert, re-aimed to files: version ``v`` of the table is
+    """K6/K8 keyed upsert, re-aimed to files, whole versions: version ``v`` of the table is
     version ``v-1`` without the batch's keys plus the batch's latest rows.
 
     Every version is a new folder, so a replayed batch rewrites the same
     version (idempotent) and readers never see a half-written table.
-    Returns the folder of the new version.
+    Returns the folder of the new version.  For large tables see :func:`upsert_buckets`.
     """
     spark = batch.sparkSession
     new = latest_per_key(batch, keys, order)
     out = f"{table_path}/v={version:010d}"
     if version > 0:
-        try:
-            cur = spark.read.parquet(f"{table_path}/v={version - 1:010d}")
-            new = cur.join(new.select(*keys), on=list(keys), how="left_anti").unionByName(new)
-        except Exception as e:  # no previous version yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-                raise
+        cur = _read_if_there(spark, f"{table_path}/v={version - 1:010d}")
+        if cur is not None:
+            new = join_keys(cur, new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new)
     new.write.mode("overwrite").parquet(out)
     return out
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def upsert_buckets(batch: DataFrame, table_path: str, version: int, keys: Sequence[str], order: Sequence[str],
+                   buckets: int = 64) -> None:
+    """K6/K8 keyed upsert that rewrites only what a batch touches.
+
+    Keys are hashed into ``buckets`` (fixed for the table's life; choose it so that a bucket
+    is a few files).  A version writes the buckets that its batch has keys of, merged with
+    their rows of before, and a manifest: for each bucket, the version that wrote it last.
+    Other buckets keep their files.  Data comes before the manifest, so a reader of a version
+    never sees half of it, and a repeated batch writes the same folders again.
+    """
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = materialize(latest_per_key(batch, keys, order).withColumn("__bucket", bucket), "upsert")
+    touched = {r[0] for r in new.select("__bucket").distinct().collect()}  # at most ``buckets`` numbers
+    before = _manifest(spark, table_path, version - 1) if version > 0 else {}
+    paths = [_bucket_path(table_path, before[b], b) for b in sorted(touched & set(before))]
+    merged = new
+    if paths:
+        old = spark.read.parquet(*paths).withColumn("__bucket", bucket)
+        merged = join_keys(old, new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new)
+    merged.write.mode("overwrite").partitionBy("__bucket").parquet(f"{table_path}/data/v={version:010d}")
+    rows = sorted((before | dict.fromkeys(touched, version)).items())
+    spark.createDataFrame(rows, "bucket int, version long").coalesce(1).write.mode("overwrite").parquet(
+        f"{table_path}/manifest/v={version:010d}")
+
+
+def _bucket_path(table_path: str, version: int, bucket: int) -> str:
+    return f"{table_path}/data/v={version:010d}/__bucket={bucket}"
+
+
+def _manifest(spark: SparkSession, table_path: str, version: int) -> dict[int, int]:
+    rows = _read_if_there(spark, f"{table_path}/manifest/v={version:010d}")
+    return {} if rows is None else {r["bucket"]: r["version"] for r in rows.collect()}  # one row per bucket
+
+
+def read_buckets(spark: SparkSession, table_path: str, version: int) -> DataFrame:
+    """A version of a table that :func:`upsert_buckets` wrote."""
+    return spark.read.parquet(*[_bucket_path(table_path, v, b)
+                                for b, v in sorted(_manifest(spark, table_path, version).items())])
+
+
 def jdbc_upsert_batch(batch: DataFrame, url: str, table: str, keys: Sequence[str], order: Sequence[str],
                       properties: dict) -> None:
     """K6 JDBC upsert: latest row per key into a staging table with
@@ -99,7 +152,7 @@ def changelog(previous: DataFrame, current: DataFrame, keys: Sequence[str]) -> D
     vals = [c for c in current.columns if c not in keys]
     p = previous.select(*keys, F.struct(*vals).alias("__old"))
     c = current.select(*keys, F.struct(*vals).alias("__new"))
-    j = p.join(c, keys, "full")
+    j = join_keys(p, c, keys, "full")
     changed = j.where(~F.col("__old").eqNullSafe(F.col("__new")))
     retract = changed.where(F.col("__old").isNotNull()).select(
         F.lit(False).alias("flag"), *keys, *[F.col(f"__old.{v}").alias(v) for v in vals])

@@ -18,9 +18,11 @@ Times are microseconds since 1970 (column ``us``); timers have millisecond resol
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo,
@@ -30,6 +32,11 @@ from pyspark.sql.streaming.stateful_processor import (
 )
 
 
+# Processors travel by value: Spark first loads one in a worker of the driver's, which sees
+# neither files added to the session nor the folder that this package was imported from.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def to_micros(times: pd.Series) -> pd.Series:
     return pd.to_datetime(times).astype("datetime64[us]").astype("int64")
 

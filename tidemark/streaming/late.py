@@ -15,8 +15,10 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.timefns import duration_us, interval
+from tidemark.functions.timefns import duration_us
 from tidemark.session import scratch_path
+from tidemark.streaming.processors import RunningCount
+from tidemark.streaming.runner import ensure_state_store, run_to_parquet
 
 
 class LateSplitter:
@@ -68,54 +70,69 @@ class AllowedLateness:
     it is forgotten; rows of forgotten windows are dropped.  The end of the input fires the
     windows that are left.
 
-    State is one table per batch: the open windows with their counts.  A batch reads the
-    table of the batch before it and rewrites only its own tables, so a repeated batch gives
-    the same result.
+    State is increments: a batch writes the counts it adds, and nothing is ever rewritten.
+    A window's count is the sum of its increments, and whether it has fired follows from the
+    watermarks; increments of forgotten windows are not read again.  A batch reads the
+    windows it adds to or that fall due.  A repeated batch rewrites its own increments only,
+    so it gives the same result.  A null key is a key.
     """
 
     def __init__(self, spark, keys: list[str], ts: str, size: str, delay: str, lateness: str):
         self.spark, self.keys, self.ts = spark, keys, ts
-        self.size_us, self.delay_us = duration_us(size), duration_us(delay)
-        self.lateness = interval(lateness)
+        self.size_us, self.delay_us, self.late_us = duration_us(size), duration_us(delay), duration_us(lateness)
         self.out = scratch_path(spark, "lateness")
-
-    def _window(self):
-        us = F.unix_micros(F.col(self.ts).cast("timestamp"))
-        return F.timestamp_micros(us - F.pmod(us, F.lit(self.size_us))).alias("window_start")
-
-    def _end(self):
-        return F.timestamp_micros(F.unix_micros("window_start") + F.lit(self.size_us))
+        self.added = None
+
+    def _marks(self, batch_id: int) -> list[tuple[int, int | None, int | None]]:
+        """(batch, largest event time up to it, end of its latest window) of the batches that a
+        batch found open, itself last: what it wrote."""
+        if batch_id < 0:
+            return []
+        rows = self.spark.read.parquet(f"{self.out}/wm/batch_id={batch_id}").collect()  # one row per open batch
+        return sorted((r["batch"], r["top"], r["last"]) for r in rows)
+
+    def _counts(self, marks: list, batch_id: int, alive: int | None) -> DataFrame:
+        """Per open window and key: ``before`` (counts of the batches before) and ``now``."""
+        read = [b for b, _, last in marks if last is not None and (alive is None or last > alive)]
+        rows = self.spark.createDataFrame([], self.added)
+        if read:
+            rows = self.spark.read.schema(self.added).parquet(*[f"{self.out}/added/batch_id={b}" for b in read])
+        if alive is not None:
+            rows = rows.where(F.col("end_us") > alive)
+        return rows.groupBy("end_us", *self.keys).agg(
+            F.coalesce(F.sum(F.when(F.col("batch") < batch_id, F.col("added"))), F.lit(0)).alias("before"),
+            F.coalesce(F.sum(F.when(F.col("batch") == batch_id, F.col("added"))), F.lit(0)).alias("now"))
+
+    def _emit(self, counts: DataFrame, emission) -> DataFrame:
+        return counts.select(F.timestamp_micros(F.col("end_us") - self.size_us).alias("window_start"), *self.keys,
+                             (F.col("before") + F.col("now")).alias("count"), emission.alias("emission"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        top = batch.agg(F.max(F.unix_micros(F.col(self.ts).cast("timestamp")))).first()[0]
-        before = None
-        new = batch.groupBy(self._window(), *self.keys).agg(F.count(F.lit(1)).alias("added"))
-        if batch_id > 0:
-            before = self.spark.read.parquet(f"{self.out}/wm/batch_id={batch_id - 1}").first()[0]
-            state = self.spark.read.parquet(f"{self.out}/state/batch_id={batch_id - 1}")
-        else:
-            state = self.spark.createDataFrame([], new.drop("added").schema).select(
-                "*", F.lit(0).cast("long").alias("count"), F.lit(False).alias("fired"))
-        if before is not None:
-            new = new.where(self._end() + self.lateness > F.timestamp_micros(F.lit(before - self.delay_us)))
-        after = max((x for x in (before, top) if x is not None), default=None)
-        passed = F.timestamp_micros(F.lit(after - self.delay_us)) if after is not None else F.lit(None).cast("timestamp")
-        joined = (state.join(new, ["window_start", *self.keys], "full").select(
-            "window_start", *self.keys,
-            (F.coalesce("count", F.lit(0)) + F.coalesce("added", F.lit(0))).alias("count"),
-            F.coalesce("fired", F.lit(False)).alias("fired"), F.col("added").isNotNull().alias("changed"))
-            .withColumn("due", F.coalesce(self._end() <= passed, F.lit(False))).persist())
-        emitted = joined.where((F.col("due") & ~F.col("fired")) | (F.col("fired") & F.col("changed"))).select(
-            "window_start", *self.keys, "count", F.when(F.col("fired"), "update").otherwise("first").alias("emission"))
-        emitted.write.mode("overwrite").parquet(f"{self.out}/emitted/batch_id={batch_id}")
-        kept = joined.where(F.coalesce(self._end() + self.lateness > passed, F.lit(True)))
-        kept.select("window_start", *self.keys, "count", (F.col("fired") | F.col("due")).alias("fired")).write.mode(
-            "overwrite").parquet(f"{self.out}/state/batch_id={batch_id}")
-        self.spark.createDataFrame([(after,)], "max_us long").write.mode("overwrite").parquet(
-            f"{self.out}/wm/batch_id={batch_id}")
-        joined.unpersist()
-        batch.unpersist()
+        marks = self._marks(batch_id - 1)
+        top = marks[-1][1] if marks else None
+        passed = None if top is None else top - self.delay_us
+        us = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        end = us - F.pmod(us, F.lit(self.size_us)) + self.size_us
+        rows = batch.groupBy(end.alias("end_us"), *self.keys).agg(
+            F.count(F.lit(1)).alias("added"), F.max(us).alias("__top"))
+        rows = rows.withColumn("batch", F.lit(batch_id).cast("long")).persist()
+        alive = None if passed is None else passed - self.late_us
+        kept = rows if alive is None else rows.where(F.col("end_us") > alive)
+        kept = kept.drop("__top")
+        self.added = kept.schema
+        kept.write.mode("overwrite").parquet(f"{self.out}/added/batch_id={batch_id}")
+        seen, last = rows.agg(F.max("__top"), F.max("end_us")).first()
+        rows.unpersist()
+        top = max((t for t in (top, seen) if t is not None), default=None)
+        marks = [m for m in marks if m[2] is not None and (alive is None or m[2] > alive)] + [(batch_id, top, last)]
+        self.spark.createDataFrame(marks, "batch long, top long, last long").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.out}/wm/batch_id={batch_id}")
+        due = F.lit(False) if top is None else F.col("end_us") <= top - self.delay_us
+        was = F.lit(False) if passed is None else (F.col("end_us") <= passed) & (F.col("before") > 0)
+        counts = self._counts(marks, batch_id, alive)
+        fire = counts.where(due & (~was | (F.col("now") > 0)))
+        self._emit(fire, F.when(was, "update").otherwise("first")).write.mode("overwrite").parquet(
+            f"{self.out}/emitted/batch_id={batch_id}")
         self.last = batch_id
 
     def run(self, stream: DataFrame) -> DataFrame:
@@ -125,44 +142,28 @@ class AllowedLateness:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(f"streaming query failed: {q.exception()}")
-        rest = (self.spark.read.parquet(f"{self.out}/state/batch_id={self.last}").where(~F.col("fired"))
-                .select("window_start", *self.keys, "count", F.lit("first").alias("emission")))
-        return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id").unionByName(rest)
+        marks = self._marks(self.last)
+        passed = marks[-1][1] - self.delay_us if marks[-1][1] is not None else None
+        rest = self._counts(marks, self.last, passed)  # what the last watermark has not passed
+        return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id").unionByName(
+            self._emit(rest, F.lit("first")))
 
 
 class RetractStream:
     """A running count per key as (flag, key, count) pairs.
 
     Every micro-batch takes back (false) the old count of each key it adds to and emits (true)
-    the new one.  The counts of a batch are one table, read by the next batch; a repeated
-    batch rewrites its own tables only.
+    the new one.  The count is keyed state, so a batch touches the keys it has rows of and no
+    others.  A null key is a key.
     """
 
     def __init__(self, spark, keys: list[str], name: str):
         self.spark, self.keys, self.name = spark, keys, name
-        self.out = scratch_path(spark, "retract")
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        new = batch.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("__added"))
-        if batch_id > 0:
-            old = self.spark.read.parquet(f"{self.out}/state/batch_id={batch_id - 1}")
-        else:
-            old = self.spark.createDataFrame([], new.schema).withColumnRenamed("__added", self.name)
-        state = old.join(new, self.keys, "full").select(
-            *self.keys, F.col(self.name).alias("__old"), F.col("__added").isNotNull().alias("__changed"),
-            (F.coalesce(self.name, F.lit(0)) + F.coalesce("__added", F.lit(0))).alias(self.name)).persist()
-        changed = state.where("__changed")
-        added = changed.select(F.lit(True).alias("flag"), *self.keys, self.name)
-        taken = changed.where(F.col("__old").isNotNull()).select(
-            F.lit(False).alias("flag"), *self.keys, F.col("__old").alias(self.name))
-        added.unionByName(taken).write.mode("overwrite").parquet(f"{self.out}/emitted/batch_id={batch_id}")
-        state.select(*self.keys, self.name).write.mode("overwrite").parquet(f"{self.out}/state/batch_id={batch_id}")
-        state.unpersist()
 
     def run(self, stream: DataFrame) -> DataFrame:
-        q = (stream.writeStream.foreachBatch(self).option("checkpointLocation", self.out + "-ckpt")
-             .trigger(availableNow=True).queryName(f"retract_{uuid.uuid4().hex[:8]}").start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query failed: {q.exception()}")
-        return self.spark.read.parquet(f"{self.out}/emitted").drop("batch_id")
+        types = [f"{f.name} {f.dataType.simpleString()}" for f in stream.select(*self.keys).schema.fields]
+        ensure_state_store(self.spark)
+        out = stream.select(*self.keys).groupBy(*self.keys).transformWithStateInPandas(
+            RunningCount(self.keys, self.name), ", ".join(["flag boolean", *types, f"{self.name} long"]),
+            "Append", "None")
+        return run_to_parquet(out, "retract", spark=self.spark)
