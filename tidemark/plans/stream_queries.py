@@ -15,6 +15,7 @@ from tidemark.plans.registry import _ORACLES, query
 from tidemark.plans.tables import ITEM_SQL, item_col
 from tidemark.sources.files import read_table, stream_slices, stream_table
 from tidemark.streaming import jobs as S
+from tidemark.streaming import processors as P
 from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
 
@@ -522,6 +523,67 @@ def q_j3s(spark, sf):
                       F.col("opened_at").cast("timestamp_ntz").alias("opened_at"))
 
 
+def _late_events(spark, sf, pre=None):
+    return _events(spark, sf, "30 minutes", flush=True, sliced=True, late="30 minutes", pre=pre)
+
+
+@query("W5s_count_window_slide_stream", _ORACLES["W5b_count_window_slide"])
+def q_w5s(spark, sf):
+    """Sliding count windows over five micro-batches with late rows."""
+    out = run_to_parquet(S.count_window(_late_events(spark, sf), "user_id", "value", 10, 2), "w5s")
+    return out.withColumn("sum", F.round("sum", 4))
+
+
+@query("W8b_fire_and_purge", """
+WITH r AS (SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, value,
+             (row_number() OVER (PARTITION BY event_type, time_bucket(INTERVAL 1 DAY, ts) ORDER BY ts, event_id) - 1) // 7 AS g
+           FROM events)
+SELECT event_type, window_start, g + 1 AS firing, count(*) AS count, round(sum(value), 4) AS sum FROM r GROUP BY ALL
+""")
+def q_w8b(spark, sf):
+    """Every seventh row of a (type, day) fires and purges; the end of the day fires the rest."""
+    out = run_to_parquet(S.triggered_window(_late_events(spark, sf), "event_type", "value", "1 day",
+                                            P.CountTrigger(7, purge=True)), "w8b")
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "firing", "count",
+                      F.round("sum", 4).alias("sum"))
+
+
+@query("W8c_fire_without_purge", """
+WITH r AS (SELECT event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, value,
+             row_number() OVER w AS rn, count(*) OVER (PARTITION BY event_type, time_bucket(INTERVAL 1 DAY, ts)) AS n,
+             sum(value) OVER (w ROWS UNBOUNDED PRECEDING) AS s
+           FROM events WINDOW w AS (PARTITION BY event_type, time_bucket(INTERVAL 1 DAY, ts) ORDER BY ts, event_id))
+SELECT event_type, window_start, (rn + 6) // 7 AS firing, rn AS count, round(s, 4) AS sum FROM r WHERE rn % 7 = 0 OR rn = n
+""")
+def q_w8c(spark, sf):
+    """The same trigger without purging: every firing is the window so far."""
+    out = run_to_parquet(S.triggered_window(_late_events(spark, sf), "event_type", "value", "1 day",
+                                            P.CountTrigger(7, purge=False)), "w8c")
+    return out.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "firing", "count",
+                      F.round("sum", 4).alias("sum"))
+
+
+def _two_sides(spark, sf, pairs, names):
+    e = _late_events(spark, sf, lambda d: d.where(F.col("event_type").isin("click", "view")).select(
+        "user_id", "ts", F.col("event_id").alias("ident"), "event_type"))
+    sides = [e.where(F.when(F.col("event_type") == t, F.col("ts")).isNotNull()) for t in ("click", "view")]
+    out = run_to_parquet(S.window_sides(*sides, "user_id", "1 day", pairs, names), "j56s")
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("J5s_window_join_stream", _ORACLES["J5_window_join"])
+def q_j5s(spark, sf):
+    """Clicks with the views of the same user and day, over five micro-batches."""
+    return _two_sides(spark, sf, True, ("click_id", "view_id"))
+
+
+@query("J6s_cogroup_stream", _ORACLES["J6_cogroup"])
+def q_j6s(spark, sf):
+    """Both sides of a (user, day), either may be empty."""
+    out = _two_sides(spark, sf, False, ("clicks", "views"))
+    return out.select("user_id", "window_start", *[F.size(c).cast("long").alias(c) for c in ("clicks", "views")])
+
+
 # --- the same jobs over several rate-limited micro-batches -------------------
 
 for _name, _job in (("T3", q_t3), ("D1s", q_d1s), ("D5s", q_d5s), ("D8s", q_d8s), ("D9s", q_d9s), ("D9b", q_d9b),

@@ -162,6 +162,38 @@ def switch_gate(stream: DataFrame, duration: str, clock: str = "event") -> DataF
     return run_keyed(stream, ["user_id"], proc, "event_id long, user_id long, ts timestamp, opened_at timestamp")
 
 
+def count_window(stream: DataFrame, key: str, value: str, size: int, slide: int) -> DataFrame:
+    """Count windows per key in event-time order (ties by ``event_id``)."""
+    ktype = stream.schema[key].dataType.simpleString()
+    rows = stream.select(key, "ts", "event_id", F.col(value).cast("double").alias("value"))
+    return run_keyed(rows, [key], P.CountWindow(size, slide, key),
+                     f"{key} {ktype}, fire_at_row long, count long, sum double, min double, max double")
+
+
+def triggered_window(stream: DataFrame, key: str, value: str, size: str, trigger: P.CountTrigger) -> DataFrame:
+    """Tumbling windows with a trigger per element."""
+    ktype = stream.schema[key].dataType.simpleString()
+    rows = stream.select(key, F.window("ts", size)["start"].alias("window_start"), "ts", "event_id",
+                         F.col(value).cast("double").alias("value"))
+    return run_keyed(rows, [key, "window_start"], P.TriggeredWindow(_us(size), trigger, key),
+                     f"{key} {ktype}, window_start timestamp, firing long, count long, sum double")
+
+
+def window_sides(left: DataFrame, right: DataFrame, key: str, size: str, pairs: bool, names=("left_id", "right_id")
+                 ) -> DataFrame:
+    """J5/J6 between two streams (each ``key``, ``ts``, ``ident``) that share one watermark:
+    their union is grouped by (key, window)."""
+    ktype = left.schema[key].dataType.simpleString()
+    both = left.select(key, "ts", "ident", F.lit("left").alias("side")).unionByName(
+        right.select(key, "ts", "ident", F.lit("right").alias("side")))
+    rows = both.select(key, F.window("ts", size)["start"].alias("window_start"), "ts", "ident", "side")
+    id_type = "long" if pairs else "array<long>"
+    columns = [key, "window_start", "window_end", *names]
+    return run_keyed(rows, [key, "window_start"], P.WindowSides(_us(size), pairs, columns),
+                     f"{key} {ktype}, window_start timestamp, window_end timestamp, "
+                     + ", ".join(f"{n} {id_type}" for n in names))
+
+
 def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):
     """Rows behind the watermark tagged ``late`` (side output) instead of dropped."""
     from tidemark.streaming.late import split_late
