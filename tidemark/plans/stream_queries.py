@@ -387,6 +387,39 @@ def q_t6(spark, sf):
         F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "count", "emission")
 
 
+@query("D2r_hot_urls_every_ranking", f"""
+WITH {_sliced_sql(6)},
+r AS (SELECT slice, {traffic._URL_SQL.replace("event_type", "x.event_type")} AS url,
+             epoch_us(date_trunc('second', x.ts)) // 3600000000 AS pane FROM e JOIN events x USING (event_id)),
+t AS (SELECT slice, epoch_us(date_trunc('second', before)) - 600000000 AS passed,
+             epoch_us(date_trunc('second', after)) - 600000000 AS due FROM wm),
+a AS (SELECT slice, url, (pane + 1 + j) * 3600000000 AS end_us, count(*) AS c FROM r, range(6) g(j) GROUP BY ALL),
+k AS (SELECT a.* FROM a JOIN t USING (slice) WHERE passed IS NULL OR end_us > passed - 10800000000),
+s AS (SELECT t.slice, t.passed, t.due, u.url, u.end_us,
+             sum(coalesce(c, 0)) OVER (PARTITION BY u.url, u.end_us ORDER BY t.slice) AS total
+      FROM t CROSS JOIN (SELECT DISTINCT url, end_us FROM k) u LEFT JOIN k USING (slice, url, end_us)),
+o AS (SELECT * FROM s WHERE total > 0 AND (passed IS NULL OR end_us > passed - 10800000000)),
+n AS (SELECT slice, end_us, url, total, end_us <= due AS fired,
+             row_number() OVER (PARTITION BY slice, end_us ORDER BY total DESC, url) AS rank FROM o),
+l AS (SELECT slice, end_us, fired, list({{'rank': rank, 'url': url, 'count': CAST(total AS BIGINT)}} ORDER BY rank) AS now
+      FROM n WHERE rank <= 5 AND (fired OR slice = {SLICES - 1}) GROUP BY ALL),
+c AS (SELECT end_us, now, lag(now) OVER (PARTITION BY end_us ORDER BY slice) AS was FROM l),
+f AS (SELECT end_us, unnest(now) AS x, CASE WHEN was IS NULL THEN 'first' ELSE 'update' END AS emission
+      FROM c WHERE was IS NULL OR was <> now)
+SELECT make_timestamp(end_us) AS window_end, x.url AS url, x.count AS count, x.rank AS rank, emission FROM f
+""")
+def q_d2r(spark, sf):
+    """Every ranking of a window of log lines: at the watermark (10 minutes) and again for each
+    micro-batch whose late rows, up to three hours after its end, change the first five."""
+    from tidemark.sources.transforms import parse_apache_log, render_apache_log
+    from tidemark.streaming.late import LateRanking
+
+    logs = parse_apache_log(render_apache_log(_replay(spark, sf, "events", "ts", True, "6 hours")))
+    out = LateRanking(spark, ["url"], "event_time", "6 hours", "10 minutes", "3 hours", 5, "1 hour").run(
+        logs.select("url", "event_time"))
+    return out.withColumn("window_end", F.col("window_end").cast("timestamp_ntz"))
+
+
 @query("W8_early_firing_update", f"""
 WITH {_sliced_sql(6)},
 k AS (SELECT slice, event_type, time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS c FROM e GROUP BY ALL)
