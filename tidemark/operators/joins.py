@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import duration_us, epoch_us
-from tidemark.operators.sequence import DEFAULT_CHUNK, running
+from tidemark.operators.keys import join_keys
+from tidemark.operators.sequence import DEFAULT_CHUNK, running, sequence_number
 
 _B = "__ijb"
 
@@ -132,6 +133,25 @@ def window_join(
     return l2.join(r2, on=list(keys) + ["window_start", "window_end"], how="inner")
 
 
+def cogroup_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], order: Sequence[str],
+                 chunk: str = DEFAULT_CHUNK) -> DataFrame:
+    """The rows of both sides of each group, side by side: row i of the left beside row i of the right.
+
+    Each side is numbered within its group in the order ``order``, a total order that both have
+    (by chunks where a group is hot), and the sides meet on (group, number): a group is
+    never an array or a task.  Either side may be shorter or empty: its columns are null.  A
+    null key is a key.  Columns: ``keys``, ``seq`` (from 1), the other columns as
+    ``left_<name>`` and ``right_<name>``.
+    """
+    keys = list(keys)
+    sides = []
+    for df, name in ((left, "left"), (right, "right")):
+        rest = [c for c in df.columns if c not in keys]
+        numbered = sequence_number(df, keys, list(order), "__seq", chunk=chunk)
+        sides.append(numbered.select(*keys, F.col("__seq").alias("seq"), *[F.col(c).alias(f"{name}_{c}") for c in rest]))
+    return join_keys(*sides, [*keys, "seq"], "full")
+
+
 def connect(*sides: tuple[DataFrame, str]) -> DataFrame:
     """Union of differently shaped inputs, tagged with their origin."""
     out = None

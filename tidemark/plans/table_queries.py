@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import cogroup_rows
 from tidemark.operators.sequence import running
 from tidemark.operators.windows import session, sliding
 from tidemark.plans.registry import query
-from tidemark.plans.stream_queries import _events, _replay, _sliced_sql
+from tidemark.plans.stream_queries import SLICES, _events, _replay, _sliced_sql
 from tidemark.plans.tables import ITEM_SQL, events, item_col
 from tidemark.session import scratch_path
 from tidemark.sinks.writers import write_csv
 from tidemark.sources.files import csv_view
 from tidemark.streaming import jobs as S
 from tidemark.streaming.late import RetractStream
-from tidemark.streaming.runner import run_foreach_batch, run_to_parquet
+from tidemark.streaming.runner import event_time, run_foreach_batch, run_to_parquet
 
 _SESSION_SQL = """
 WITH l AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev, event_id FROM events),
@@ -141,6 +142,22 @@ def q_j6b(spark, sf):
         "user_id", F.col("w.start").alias("window_start"), "clicks", "views")
 
 
+@query("J6c_cogroup_zipped", """
+WITH e AS (SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) AS window_start, event_id, event_type,
+             row_number() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL 1 DAY, ts) ORDER BY event_id) AS seq
+           FROM events WHERE event_type IN ('click', 'view'))
+SELECT user_id, window_start, seq, max(event_id) FILTER (event_type = 'click') AS click_id,
+       max(event_id) FILTER (event_type = 'view') AS view_id FROM e GROUP BY ALL
+""")
+def q_j6c(spark, sf):
+    """The rows of both sides of a (user, day) as rows, the i-th click beside the i-th view."""
+    e = events(spark, sf).select("user_id", F.window("ts", "1 day")["start"].alias("window_start"), "event_id", "event_type")
+    sides = [e.where(F.col("event_type") == t).drop("event_type") for t in ("click", "view")]
+    out = cogroup_rows(*sides, ["user_id", "window_start"], ["event_id"])
+    return out.select("user_id", "window_start", "seq", F.col("left_event_id").alias("click_id"),
+                      F.col("right_event_id").alias("view_id"))
+
+
 @query("T9b_reducing_aggregating_state", """
 SELECT event_id, user_id AS sensor_id, min(value) OVER w AS min_temp,
        count(*) OVER w AS n, round(sum(value) OVER w, 2) AS total
@@ -164,6 +181,29 @@ def q_w4(spark, sf):
     return out.groupBy("event_type").agg(F.sum("count").alias("count"))
 
 
+@query("W4b_processing_time_clock", f"""
+WITH {_sliced_sql(0)}
+SELECT time_bucket(INTERVAL 1 HOUR, ts + slice * INTERVAL 90 MINUTE) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts + slice * INTERVAL 90 MINUTE) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS count FROM e GROUP BY ALL
+""")
+def q_w4b(spark, sf):
+    """Processing-time windows with the clock handed in, so starts and counts can be checked: the
+    clock of a row is its time plus 90 minutes for each slice before its own."""
+    lo, width = _slice_width(spark, sf)
+    slices = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - lo) / width)
+    clock = F.col("ts").cast("timestamp") + F.make_dt_interval(mins=(slices * 90).cast("int"))
+    s = S.with_processing_time(_replay(spark, sf, "events", "ts", True), clock=clock).select("event_type", "proc_time")
+    s = event_time(s, "proc_time", "0 seconds", flush=True)
+    return run_to_parquet(S.window_counts(s, "proc_time", "1 hour", keys=["event_type"]), "w4b")
+
+
+def _slice_width(spark, sf):
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events(spark, sf).agg(F.min(us), F.max(us)).first()
+    return lo or 0, ((hi or 0) - (lo or 0)) // SLICES + 1
+
+
 @query("T13b_retract_stream_running", f"""
 WITH {_sliced_sql(0)},
 k AS (SELECT slice, event_type, count(*) AS c FROM e GROUP BY ALL),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import java_string_hash, scaled_hash
-from tidemark.functions.udfs import AvgTemp, register_functions, top2, user_aggregate
+from tidemark.functions.udfs import AvgTemp, AvgTempFrame, SumTempFrame, register_functions, top2, user_aggregate, user_frame
 from tidemark.plans.registry import query
 from tidemark.plans.tables import sensors
 from tidemark.sources.files import read_table
@@ -58,6 +58,27 @@ def q_u3(spark, sf):
     return out.withColumn("avg_temp", F.round("avg_temp", 4))
 
 
+@query("U3b_retracting_aggregate", """
+SELECT event_id, user_id, round(avg(value) OVER w, 4) AS avg_value
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)
+""")
+def q_u3b(spark, sf):
+    """W12's averages by a user aggregate that retracts the rows that leave the frame."""
+    out = user_frame(read_table(spark, sf, "events"), ["user_id"], ["ts", "event_id"], "value", 2, AvgTempFrame, "avg")
+    return out.select("event_id", "user_id", F.round("avg", 4).alias("avg_value"))
+
+
+@query("U3h_retracting_aggregate_hot_key", """
+SELECT event_id, event_type, round(sum(value) OVER w, 2) AS total
+FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 500 PRECEDING AND CURRENT ROW)
+""")
+def q_u3h(spark, sf):
+    """Few, hot keys and long frames: numbered over chunks, aggregated over blocks of 700 rows."""
+    out = user_frame(read_table(spark, sf, "events"), ["event_type"], ["ts", "event_id"], "value", 500, SumTempFrame,
+                     "total", block_rows=700, chunk="auto:1000:400")
+    return out.select("event_id", "event_type", F.round("total", 2).alias("total"))
+
+
 @query("U4_table_aggregate", """
 SELECT sensor_id, temp, rank FROM (
   SELECT user_id AS sensor_id, value AS temp,

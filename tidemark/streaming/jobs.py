@@ -8,7 +8,7 @@ results equal the batch twins in tidemark.plans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timefns import duration_us
@@ -207,10 +207,10 @@ def login_fail_timer(stream: DataFrame, window: str, min_fails: int = 2) -> Data
                      "user_id long, first_fail_time timestamp, last_fail_time timestamp, fails long")
 
 
-def with_processing_time(stream: DataFrame, col: str = "proc_time") -> DataFrame:
-    """Processing time as a column (the micro-batch's clock); windows and
-    watermarks on it give processing-time windows."""
-    return stream.withColumn(col, F.current_timestamp())
+def with_processing_time(stream: DataFrame, col: str = "proc_time", clock: Column | None = None) -> DataFrame:
+    """Processing time as a column; windows and watermarks on it give processing-time
+    windows.  The clock is the micro-batch's, or is handed in for an exact replay."""
+    return stream.withColumn(col, F.current_timestamp() if clock is None else clock)
 
 
 def with_ingestion_time(stream: DataFrame, col: str = "ingest_time") -> DataFrame:

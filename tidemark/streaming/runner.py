@@ -29,12 +29,13 @@ SENTINEL = "__sentinel"
 
 
 def event_time(stream: DataFrame, ts: str = "ts", delay: str = "0 seconds", flush: bool = False,
-               spark: SparkSession | None = None) -> DataFrame:
+               spark: SparkSession | None = None, flush_folder: str | None = None) -> DataFrame:
     """A TIMESTAMP event-time column with a bounded-out-of-orderness
     watermark (``delay``; ``0 seconds`` = ascending timestamps).
 
     NTZ columns are cast to the session (UTC) timestamp, which the watermark
-    operator requires.
+    operator requires.  ``flush_folder`` is where the sentinel's source lies (a fresh folder
+    by default); name it to build the same query again after a lost driver.
     """
     spark = spark or stream.sparkSession
     ensure_utc(spark)
@@ -42,7 +43,7 @@ def event_time(stream: DataFrame, ts: str = "ts", delay: str = "0 seconds", flus
     s = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     if flush:
         s = s.withColumn(SENTINEL, F.lit(False)).unionByName(
-            sentinel_stream(spark, s.drop(SENTINEL), ts), allowMissingColumns=True)
+            sentinel_stream(spark, s.drop(SENTINEL), ts, flush_folder), allowMissingColumns=True)
         # the filter must mention the event-time column, or Catalyst pushes it
         # below the watermark operator and the sentinel never moves the watermark
         s = s.withWatermark(ts, delay).where(~(F.col(SENTINEL) & (F.col(ts) == F.lit(SENTINEL_TS))))
@@ -57,24 +58,37 @@ def ensure_state_store(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB_PROVIDER)
 
 
-#: Sentinel folders of streams that were built but not yet run to their end, with their row.
-_SENTINELS: dict[str, tuple] = {}
+def sentinel_stream(spark: SparkSession, like: DataFrame, ts: str, folder: str | None = None) -> DataFrame:
+    """A file stream with the schema of ``like``, empty until :func:`run_to_end` copies its row there.
 
-
-def sentinel_stream(spark: SparkSession, like: DataFrame, ts: str) -> DataFrame:
-    """A file stream with the schema of ``like``, empty until :func:`run_to_end` writes its row."""
-    path = scratch_path(spark, "sentinel")
+    The row lies in storage, in ``<folder>/row``, from the start, and the source reads ``<folder>/in``:
+    what is still to be flushed can be told from the two folders alone, by any driver."""
+    folder = folder or scratch_path(spark, "sentinel")
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in like.schema.fields])
     full = T.StructType([*schema.fields, T.StructField(SENTINEL, T.BooleanType(), True)])
-    spark.createDataFrame([], full).write.parquet(path)
-    _SENTINELS[path] = (full, tuple(SENTINEL_TS if f.name == ts else None for f in schema.fields) + (True,))
-    return spark.readStream.schema(full).parquet(path)
+    row = tuple(SENTINEL_TS if f.name == ts else None for f in schema.fields) + (True,)
+    spark.createDataFrame([row], full).coalesce(1).write.mode("ignore").parquet(f"{folder}/row")
+    spark.createDataFrame([], full).write.mode("ignore").parquet(f"{folder}/in")
+    return spark.readStream.schema(full).parquet(f"{folder}/in")
+
+
+def _pending(stream: DataFrame) -> list[str]:
+    """The sentinel folders among a stream's sources whose row is not in the source yet."""
+    spark, leaves = stream.sparkSession, stream._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.nodeName() == "StreamingRelation" and leaf.output().mkString(" ").find(SENTINEL) >= 0:
+            found.add(leaf.dataSource().options().apply("path").removesuffix("/in"))
+    return sorted(f for f in found if spark.read.parquet(f"{f}/in").isEmpty())
 
 
 def run_to_end(stream: DataFrame, start: Callable) -> None:
     """Run the query that ``start()`` starts until its input is read, then flush it.
 
-    ``start`` must use the ``availableNow`` trigger and the same checkpoint each time.
+    ``start`` must use the ``availableNow`` trigger and the same checkpoint each time.  A
+    driver lost at any point can build the query again over the same folders and call this
+    again: a flush that is still due is done, one that was done is not repeated.
     """
     ship_package(stream.sparkSession)
 
@@ -84,11 +98,9 @@ def run_to_end(stream: DataFrame, start: Callable) -> None:
         _raise_if_failed(q)
 
     once()
-    plan = stream._jdf.queryExecution().analyzed().toString()
-    pending = [p for p in _SENTINELS if p.rsplit("/", 1)[-1] in plan]
-    for path in pending:
-        schema, row = _SENTINELS.pop(path)
-        stream.sparkSession.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    pending = _pending(stream)
+    for folder in pending:
+        stream.sparkSession.read.parquet(f"{folder}/row").coalesce(1).write.mode("append").parquet(f"{folder}/in")
     if pending:
         once()
 
@@ -108,11 +120,12 @@ def stream_partitions(spark: SparkSession):
 
 
 def run_to_parquet(stream: DataFrame, name: str, mode: str = "append",
-                   spark: SparkSession | None = None) -> DataFrame:
+                   spark: SparkSession | None = None, folder: str | None = None) -> DataFrame:
     """Run ``stream`` over all available input (availableNow) into an
-    exactly-once parquet file sink; return the result as a batch DataFrame."""
+    exactly-once parquet file sink; return the result as a batch DataFrame.
+    ``folder`` (default: a fresh one) lets a later run go on where an earlier one stopped."""
     spark = spark or stream.sparkSession
-    out = scratch_path(spark, f"out-{name}")
+    out = folder or scratch_path(spark, f"out-{name}")
     with stream_partitions(spark):
         run_to_end(stream, lambda: (
             stream.writeStream.format("parquet").outputMode(mode)
