@@ -72,6 +72,83 @@ def test_masks_cover_every_pair_of_flips(spark):
             assert any(not flip & m for m in masks)
 
 
+def correlated(n, seed=0):
+    """Bits that follow a chain: each equals the one before in nine of ten fingerprints."""
+    rng = np.random.default_rng(seed)
+    bits = [rng.random(n) < 0.4]
+    for _ in range(63):
+        bits.append(np.where(rng.random(n) < 0.9, bits[-1], rng.random(n) < 0.5))
+    return np.array(bits).T.astype(np.int64)
+
+
+def pairs_within(bits, group, most):
+    x = bits[:, group].astype(np.float32)
+    apart = np.rint(len(group) - x @ x.T - (1 - x) @ (1 - x).T)[np.triu_indices(len(bits), 1)]
+    return [int((apart <= t).sum()) for t in range(most + 1)]
+
+
+def test_estimates_follow_the_correlation_of_bits():
+    bits = correlated(3000)
+    both = bits.T @ bits
+    model = S.BitModel(len(bits), both)
+    p = bits.mean(axis=0)
+    for group in (list(range(21)), list(range(0, 64, 3)), [1, 2, 3, 40, 41, 63]):
+        want = pairs_within(bits, group, 2)
+        assert np.allclose(model.pairs(0, group, 2), want, rtol=0.25)
+        single = np.prod([p[b] ** 2 + (1 - p[b]) ** 2 for b in group]) * 3000 * 2999 / 2
+        assert single < want[0] / 3  # what single-bit rates would say
+    # of the pairs that agree on some bits: within 1 bit on others
+    held, group = list(range(8)), list(range(8, 16))
+    same = sum(pairs_within(bits[m], group, 1)[1] for m in
+               [np.all(bits[:, held] == v, axis=1) for v in np.unique(bits[:, held], axis=0)])
+    assert np.isclose(model.pairs(S.bits_mask(held), group, 1)[1], same, rtol=0.25)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_estimates_of_constant_bits(n):
+    both = np.full((64, 64), n, np.int64)
+    got = S.BitModel(n, both).pairs(0, [0, 1, 2], 2)
+    assert np.all(np.isfinite(got)) and got == sorted(got)
+
+
+def test_patterns_are_counted_over_all_fingerprints(spark):
+    fps = sorted(clustered(4))
+    df = spark.createDataFrame([(S.signed(f),) for f in fps], "fp long").repartition(5)
+    groups = [list(range(20)), list(range(20, 63)), [63], [5, 63]]
+    want = []
+    for g in groups:
+        seen = [f & S.bits_mask(g) for f in fps]
+        want.append(sum(seen.count(v) > 1 for v in seen))
+    assert S.crowded_patterns(df, groups) == want
+    assert S.crowded_patterns(df.where("false"), groups) == [0] * 4
+
+
+def test_levels_follow_the_count():
+    bits = correlated(2000, 1)
+    share, most = (bits.T @ bits) / 2000, []
+    for n in (10, 10 ** 5, 10 ** 8, 10 ** 11, 10 ** 14):
+        for seen in ([n, 0, n // 2], [0, n, 0], [n] * 3):  # the masks cover all flips, whatever was measured
+            masks = S.masks_of(n, (share * n).astype(np.int64), 2, 3, lambda groups: seen)
+            for i in range(64):
+                for j in range(64):
+                    flip = (1 << i) | (1 << j)
+                    assert any(not flip & m for m in masks)
+        most.append(min(m.bit_count() for m in masks))
+    assert most == sorted(most) and most[0] < 40 < most[-1]
+
+
+def test_unequal_thresholds_from_unequal_counts():
+    """Of two groups the one on which most fingerprints agree gets the smaller threshold."""
+    rng = np.random.default_rng(3)
+    bits = (rng.random((4000, 64)) < 0.5).astype(np.int64)
+    bits[:, :32] = bits[:, :1]
+    weak = S.bits_mask(range(32))
+    masks = S.masks_of(1000, bits.T @ bits // 4, 2, 2, lambda groups: [1000 if 0 in g else 0 for g in groups])
+    strong = [m for m in masks if not m & weak]
+    assert sorted(m.bit_count() for m in strong) == [31] * 32  # threshold 1: each of its bits left out once
+    assert all(m & weak == weak for m in masks if m not in strong)
+
+
 def test_thresholds_by_dynamic_program():
     assert S.allocate_thresholds([[1, 5, 9], [100, 200, 300], [1, 2, 9]], [[0] * 3] * 3, 0) == [0, -1, 1]
     assert sum(S.allocate_thresholds([[1, 1, 1]] * 3, [[0] * 3] * 3, 0)) == 0

@@ -7,10 +7,13 @@
    partitions' thresholds t_i add up to d - m + 1, then some partition i has them differing
    in at most t_i of its bits.  The unequal thresholds (-1: the partition is not probed)
    come from a dynamic program over the estimated candidate counts of each partition and
-   threshold.
+   threshold: the patterns of each partition are counted over all representatives, and a
+   dependence tree over the 64 bits (from the pair counts) carries the counts on to larger
+   thresholds and further levels.
 4. A partition with threshold t is probed with one mask per choice of t of its bits to
-   leave out: fingerprints equal under a mask are candidates of that mask.  The remaining
-   bits of a mask are partitioned and allocated once more in the same way.
+   leave out: fingerprints equal under a mask are candidates of that mask.  While the chance
+   candidates expected under a mask cost more than its probes, its remaining bits are
+   partitioned and allocated in the same way.
 5. Verify without pairs: two fingerprints differ in at most 2r bits exactly if their balls
    of radius r meet, and of candidates of a mask only bits outside it can differ.  Each
    candidate puts its ball (1 + at most 64 keys for d = 2) under hash keys; the at most 65
@@ -24,12 +27,12 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import flat_name, flatten, materialize, restore, take, text_of
@@ -37,6 +40,7 @@ from tidemark.session import ship_package
 
 BITS = 64
 SEED = 42
+FEWEST_FREE = 20  # a mask with fewer bits outside it is not refined (over 2^44 patterns)
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -122,20 +126,61 @@ def group_bits(n: int, both: np.ndarray, bits: list[int], parts: int) -> list[li
     return groups
 
 
-def estimated_candidates(n: int, both: np.ndarray, group: list[int], most: int) -> list[float]:
-    """Expected fingerprint pairs within 0..most bits of each other in a group of bits.
+class BitModel:
+    """Joint distribution of the bits as a dependence tree, from their measured pair counts.
 
-    Two random fingerprints agree on bit b with probability p^2 + (1 - p)^2; the number of
-    differing bits is the sum of these draws.
+    Each bit depends on one other bit, and the tree has the largest total mutual information
+    (a maximum spanning tree).  Pair counts are smoothed by a quarter of a fingerprint a cell.
     """
-    p = np.diag(both) / max(n, 1)
-    dist = np.zeros(most + 1)
-    dist[0] = 1.0
-    for b in group:
-        same = p[b] ** 2 + (1 - p[b]) ** 2
-        moved = np.concatenate(([0.0], dist[:-1]))
-        dist = dist * same + moved * (1 - same)
-    return list(np.cumsum(dist) * n * max(n - 1, 0) / 2)
+
+    def __init__(self, n: int, both: np.ndarray) -> None:
+        self.n = n
+        one = (np.diag(both) + 0.5) / (n + 1)
+        cell = np.empty((2, 2, BITS, BITS))  # cell[x, y, i, j] = P(bit i is x, bit j is y)
+        cell[1, 1] = (both + 0.25) / (n + 1)
+        cell[1, 0] = one[:, None] - cell[1, 1]
+        cell[0, 1] = one[None, :] - cell[1, 1]
+        cell[0, 0] = 1 - cell[1, 1] - cell[1, 0] - cell[0, 1]
+        side = np.stack([1 - one, one])
+        apart = side[:, None, :, None] * side[None, :, None, :]
+        off = ~np.eye(BITS, dtype=bool)
+        info = np.sum(np.where(off, cell * np.log(np.where(off, cell / apart, 1.0)), 0.0), axis=(0, 1))
+        self.order, self.parent = [0], {}
+        gain, via = info[0].copy(), np.zeros(BITS, int)
+        left = set(range(1, BITS))
+        while left:
+            b = max(left, key=lambda i: (gain[i], -i))
+            left.remove(b)
+            self.order.append(b)
+            self.parent[b] = int(via[b])
+            closer = info[b] > gain
+            gain[closer], via[closer] = info[b][closer], b
+        # states are (bit of one fingerprint, bit of the other), numbered 2 x + y
+        self.root = np.kron(side[:, 0], side[:, 0])
+        self.step = {}
+        for b, up in self.parent.items():
+            given = cell[:, :, up, b] / side[:, up][:, None]  # row: value of the bit above
+            self.step[b] = np.kron(given, given)
+
+    def pairs(self, held: int, group: list[int], most: int) -> list[float]:
+        """Expected pairs of fingerprints that agree on the bits of ``held`` and differ in at
+        most 0..``most`` bits of ``group``; the other bits are free."""
+        differ = np.array([False, True, True, False])
+        inside = set(group)
+        up = {b: np.eye(1, most + 1).repeat(4, axis=0) for b in self.order}
+        for b in reversed(self.order):
+            local = up[b]
+            if held >> b & 1:
+                local[differ] = 0.0
+            elif b in inside:
+                local[differ, 1:] = local[differ, :-1]
+                local[differ, 0] = 0.0
+            if b not in self.parent:
+                return list(np.cumsum(self.root @ local) * self.n * max(self.n - 1, 0) / 2)
+            message, old = self.step[b] @ local, up[self.parent[b]]
+            up[self.parent[b]] = np.stack(
+                [sum(old[:, i] * message[:, d - i] for i in range(d + 1)) for d in range(most + 1)], axis=1)
+        raise AssertionError("a tree has a root")
 
 
 def allocate_thresholds(costs: list[list[float]], probes: list[list[float]], budget: int) -> list[int]:
@@ -155,29 +200,77 @@ def allocate_thresholds(costs: list[list[float]], probes: list[list[float]], bud
     return best[budget][1]
 
 
-def plan_masks(fps: DataFrame, distance: int, parts: int, levels: int = 2) -> list[int]:
-    """Bit masks such that fingerprints within ``distance`` bits agree under one of them.
+def bits_mask(bits: list[int]) -> int:
+    return sum(1 << b for b in bits)
+
+
+def masked(masks: list[int], **more: list[int]) -> Column:
+    """One row per mask: its number ``mask``, the fingerprint under it ``key``, and ``more``'s value of it."""
+    return F.explode(F.array(*[
+        F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"),
+                 *[F.lit(signed(v[i])).alias(k) for k, v in more.items()]) for i, m in enumerate(masks)]))
+
+
+def crowded_patterns(fps: DataFrame, groups: list[list[int]]) -> list[int]:
+    """For each group of bits, the fingerprints that agree on it with another one (all are counted)."""
+    patterns = (fps.select(masked([bits_mask(g) for g in groups]).alias("p")).select("p.mask", "p.key")
+                .groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    found = {r["mask"]: r["n"] for r in patterns.groupBy("mask").agg(F.sum("n").alias("n")).collect()}
+    return [found.get(i, 0) for i in range(len(groups))]  # one number per group
 
-    The principle is applied again to the bits outside a mask (fingerprints that agree under
-    it differ only there): with 3 parts and 2 levels a mask has about 35 bits, so chance
-    agreements stay rare up to some 10^10 fingerprints.
-    """
-    n, both = bit_counts(fps)
 
-    def refine(held: int, level: int) -> list[int]:
-        if level == levels:
-            return [held]
-        groups = group_bits(n, both, [b for b in range(BITS) if not held >> b & 1], parts)
-        costs = [estimated_candidates(n, both, g, distance) for g in groups]
+def plan_masks(fps: DataFrame, distance: int, parts: int) -> list[int]:
+    """Bit masks such that fingerprints within ``distance`` bits agree under one of them."""
+    return masks_of(*bit_counts(fps), distance, parts, lambda groups: crowded_patterns(fps, groups))
+
+
+def masks_of(n: int, both: np.ndarray, distance: int, parts: int,
+             measure: Callable[[list[list[int]]], list[int]]) -> list[int]:
+    """The masks for ``n`` fingerprints with the pair counts ``both``.
+
+    ``measure`` counts the fingerprints that agree with another one on each group of the first
+    partition.  Near copies agree on all groups, so the smallest count is due whatever is
+    probed; where the rest exceeds the tree's estimate, the group's estimates are scaled up to
+    it, at larger thresholds and at further levels inside the group too.
+
+    Costs are in probed rows: a probe is one, and a fingerprint that becomes a candidate puts
+    out a ball of at most 65 keys, once, however many pairs or masks it is in.  The principle
+    is applied again to the bits outside a mask (fingerprints that agree under it differ only
+    there) while the tree expects the balls of its chance candidates to cost more than the
+    probes, and while there are no more than 65 masks in all: more would cost more than all
+    balls.  A mask's candidates count at most ``parts`` times its probes: refining it costs that.
+    So the number of levels follows from the measured counts, and the work is linear in the
+    fingerprints at any of them.
+    """
+    model, ball = BitModel(n, both), BITS + 1
+
+    def split(held: int, scale: float | None) -> list[tuple[int, float]]:
+        free = [b for b in range(BITS) if not held >> b & 1]
+        groups = group_bits(n, both, free, parts)
+        pairs = [model.pairs(held, g, distance) for g in groups]
+        scales = [scale] * parts
+        if scale is None:
+            seen = measure(groups)
+            scales = [max(1.0, (s - min(seen)) / max(2 * tree[0], 1.0)) for s, tree in zip(seen, pairs)]
         probes = [[float(n) * math.comb(len(g), t) for t in range(distance + 1)] for g in groups]
+        balls = [[ball * min(float(n), 2 * x * r) for x in tree] for tree, r in zip(pairs, scales)]
+        costs = [[min(b, parts * p) for b, p in zip(*group)] for group in zip(balls, probes)]
         thresholds = allocate_thresholds(costs, probes, distance - parts + 1)
-        out = []
-        for group, t in zip(groups, thresholds):
-            for free in itertools.combinations(group, t) if t >= 0 else ():
-                out += refine(held | sum(1 << b for b in group if b not in free), level + 1)
-        return out
+        return [(held | bits_mask([b for b in group if b not in left_out]), r)
+                for group, t, r in zip(groups, thresholds, scales) if t >= 0
+                for left_out in itertools.combinations(group, t)]
+
+    def settled(held: int) -> bool:
+        return BITS - held.bit_count() < FEWEST_FREE or ball * 2 * model.pairs(held, [], 0)[0] <= n
 
-    return sorted(set(refine(0, 0)))
+    masks, deeper = {}, dict(split(0, None))
+    while len(deeper) <= ball:
+        masks, deeper = deeper, {}
+        for held, scale in masks.items():
+            deeper.update([(held, scale)] if settled(held) else split(held, scale))
+        if deeper == masks:
+            break
+    return sorted(masks or deeper)
 
 
 def signed(x: int) -> int:
@@ -196,10 +289,7 @@ def links(fps: DataFrame, distance: int = 2, parts: int = 3) -> DataFrame:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
     masks = plan_masks(fps, distance, parts)
     full = (1 << 64) - 1
-    probes = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.lit(signed(full ^ m)).alias("free"),
-                                          F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
-                                 for i, m in enumerate(masks)]))
-    probed = fps.select("fp", probes.alias("p")).select("fp", "p.*")
+    probed = fps.select("fp", masked(masks, free=[full ^ m for m in masks]).alias("p")).select("fp", "p.*")
     crowded = (probed.groupBy("mask", "key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
                .where("lo <> hi").select("mask", "key"))
     candidates = (probed.join(crowded, ["mask", "key"], "left_semi")
