@@ -20,6 +20,9 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+#: Rows of one file of a replayed slice.
+SLICE_ROWS = 500_000
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -114,16 +117,18 @@ def stream_table(
 
 
 def stream_slices(spark: SparkSession, sf_dir: str, name: str, ts: str, slices: int, late: str | None = None,
-                  late_rows: Column | None = None, files: int = 1) -> DataFrame:
+                  late_rows: Column | None = None, files: int | None = None) -> DataFrame:
     """S3: a driver table replayed as ``slices`` micro-batches in time order.
 
     The table's time span is cut into equal slices, each written to the scratch folder
-    before the next one; the stream reads one slice (``files`` files) per trigger.  Rows
+    before the next one; the stream reads one slice (``files`` files, by default one per
+    ``SLICE_ROWS`` rows, so many tasks write and read a large one) per trigger.  Rows
     that meet ``late_rows`` arrive as if they were ``late`` later: out of order.
     """
     table = read_table(spark, sf_dir, name)
-    lo, hi = table.agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))),
-                       F.max(F.unix_micros(F.col(ts).cast("timestamp")))).first()
+    lo, hi, rows = table.agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))),
+                             F.max(F.unix_micros(F.col(ts).cast("timestamp"))), F.count(F.lit(1))).first()
+    files = files or max(1, -(-rows // (slices * SLICE_ROWS)))
     width = ((hi or 0) - (lo or 0)) // slices + 1
     us = F.unix_micros(F.col(ts).cast("timestamp")) - F.lit(lo or 0)
     if late:
@@ -131,7 +136,11 @@ def stream_slices(spark: SparkSession, sf_dir: str, name: str, ts: str, slices:
     number = F.least(F.floor(us / F.lit(width)), F.lit(slices - 1))
     root = scratch_path(spark, f"slices-{name}")
     for k in range(slices):
-        table.where(number == k).repartition(files).write.parquet(f"{root}/{k:04d}")
+        folder = f"{root}/{k:04d}"
+        table.where(number == k).repartition(files).write.parquet(folder)
+        # a trigger reads ``files`` files, so a slice with fewer rows than that gets empty ones
+        while files > 1 and len(spark.read.schema(table.schema).parquet(folder).inputFiles()) < files:
+            table.limit(0).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/*")
 
 

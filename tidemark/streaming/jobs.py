@@ -77,9 +77,8 @@ def temperature_jump(stream: DataFrame, threshold: float, max_silence: str | Non
 
 def running_statistics(stream: DataFrame) -> DataFrame:
     """Minimum, count, sum and mean so far per sensor, one row per reading."""
-    return stream.groupBy("sensor_id").transformWithStateInPandas(
-        P.RunningStatistics(), "event_id long, sensor_id long, min_temp double, n long, total double, avg_temp double",
-        "Append", "None")
+    return run_keyed(stream, ["sensor_id"], P.RunningStatistics(),
+                     "event_id long, sensor_id long, min_temp double, n long, total double, avg_temp double")
 
 
 def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_col: str | None = None,
@@ -89,8 +88,8 @@ def click_fraud(stream: DataFrame, max_clicks: int, cols: list[str], event_time_
     can follow (D7 after D8).  ``hold`` orders the clicks behind the watermark."""
     types = {f.name: f.dataType.simpleString() for f in stream.select(*cols).schema.fields}
     schema = stream.select(*cols).schema.add("status", "string")
-    return run_keyed(stream, ["user_id", "ad_id"], P.ClickFraudFilter(max_clicks, types, hold=hold), schema,
-                     event_time_col or "")
+    keys = ["user_id", "ad_id"]
+    return run_keyed(stream, keys, P.ClickFraudFilter(max_clicks, types, keys, hold=hold), schema, event_time_col or "")
 
 
 def login_fail(stream: DataFrame, gap: str) -> DataFrame:
@@ -102,9 +101,8 @@ def login_fail(stream: DataFrame, gap: str) -> DataFrame:
 def order_pay(stream: DataFrame, timeout: str, grace: str | None = None) -> DataFrame:
     """D12 via value state and event-time timers (input: order_id, ts, event_type);
     ``grace`` (default: ``timeout``) is how long a partner may be out of order."""
-    proc = P.PaymentCheck(_ms(timeout), _ms(grace or timeout), order=("ts", "seq"))
-    return stream.groupBy("order_id").transformWithStateInPandas(
-        proc, "order_id long, result_msg string", "Append", "EventTime")
+    return run_keyed(stream, ["order_id"], P.PaymentCheck(_ms(timeout), _ms(grace or timeout)),
+                     "order_id long, result_msg string")
 
 
 def tx_match(stream: DataFrame, bound: str) -> DataFrame:
@@ -175,23 +173,29 @@ def triggered_window(stream: DataFrame, key: str, value: str, size: str, trigger
     ktype = stream.schema[key].dataType.simpleString()
     rows = stream.select(key, F.window("ts", size)["start"].alias("window_start"), "ts", "event_id",
                          F.col(value).cast("double").alias("value"))
-    return run_keyed(rows, [key, "window_start"], P.TriggeredWindow(_us(size), trigger, key),
+    return run_keyed(rows, [key, "window_start"], P.TriggeredWindow(_us(size), trigger),
                      f"{key} {ktype}, window_start timestamp, firing long, count long, sum double")
 
 
 def window_sides(left: DataFrame, right: DataFrame, key: str, size: str, pairs: bool, names=("left_id", "right_id")
                  ) -> DataFrame:
-    """J5/J6 between two streams (each ``key``, ``ts``, ``ident``) that share one watermark:
-    their union is grouped by (key, window)."""
-    ktype = left.schema[key].dataType.simpleString()
+    """J5/J6 between two streams (each ``key``, ``ts``, ``ident``) that share one watermark: their
+    union is aggregated per (key, window), and both sides' ids are handed over once, when the
+    watermark has passed the window's end; either side may be empty.
+
+    ``pairs``: every left with every right row (J5); otherwise one row with both sides (J6)."""
     both = left.select(key, "ts", "ident", F.lit("left").alias("side")).unionByName(
         right.select(key, "ts", "ident", F.lit("right").alias("side")))
-    rows = both.select(key, F.window("ts", size)["start"].alias("window_start"), "ts", "ident", "side")
-    id_type = "long" if pairs else "array<long>"
-    columns = [key, "window_start", "window_end", *names]
-    return run_keyed(rows, [key, "window_start"], P.WindowSides(_us(size), pairs, columns),
-                     f"{key} {ktype}, window_start timestamp, window_end timestamp, "
-                     + ", ".join(f"{n} {id_type}" for n in names))
+    # in a struct, so that a null id is collected too
+    ids = [F.collect_list(F.when(F.col("side") == s, F.struct("ident"))).alias(n)
+           for s, n in zip(("left", "right"), names)]
+    sides = both.groupBy(F.window("ts", size).alias("w"), key).agg(*ids).select(
+        key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+        *[F.array_sort(F.col(n)["ident"]).alias(n) for n in names])
+    if not pairs:
+        return sides
+    one, two = names
+    return sides.withColumn(one, F.explode(one)).withColumn(two, F.explode(two))
 
 
 def tag_late(stream: DataFrame, ts: str, delay: str, out: str, checkpoint: str):

@@ -52,7 +52,8 @@ def event_time(stream: DataFrame, ts: str = "ts", delay: str = "0 seconds", flus
 
 
 def ensure_state_store(spark: SparkSession) -> None:
-    """Keyed state (transformWithState) needs the RocksDB state store provider."""
+    """Keyed state (transformWithState) needs the RocksDB state store provider, which also keeps
+    other state (a complete-mode aggregation) on disk instead of whole in the executors' memory."""
     key = "spark.sql.streaming.stateStore.providerClass"
     if spark.conf.get(key, "") != ROCKSDB_PROVIDER:
         spark.conf.set(key, ROCKSDB_PROVIDER)
@@ -91,6 +92,7 @@ def run_to_end(stream: DataFrame, start: Callable) -> None:
     again: a flush that is still due is done, one that was done is not repeated.
     """
     ship_package(stream.sparkSession)
+    ensure_state_store(stream.sparkSession)
 
     def once() -> None:
         q = start()
