@@ -47,21 +47,24 @@ def register_functions(spark: SparkSession, factor: float = 1.23) -> None:
           SELECT w, length(w) FROM explode(split(s, '\\Q' || sep || '\\E')) AS t(w)""")
 
 
+#: Accumulators that a task merges at once.
+LOCAL_ROWS = 1_000_000
+
+
 class Accumulator:
     """U3 aggregate-function contract.
 
-    ``fields``: accumulator columns; ``accumulate(values)`` -> dict of field
-    values for one key's rows of one Arrow batch; ``merge_local``: pandas
-    aggregation per field merging the batches of one partition; ``merge``:
-    Spark aggregate per field combining the partitions' accumulators;
-    ``result``: final value from the merged fields.
+    ``fields``: accumulator columns; ``accumulate(values)``: what every single row of an Arrow
+    batch adds to each field, as whole columns; ``merge_local``: pandas aggregation per field
+    merging rows, and the batches of one partition; ``merge``: Spark aggregate per field
+    combining the partitions' accumulators; ``result``: final value from the merged fields.
     """
 
     fields: Sequence[tuple[str, str]] = ()
     merge_local: dict = {}
 
     @staticmethod
-    def accumulate(values: pd.Series) -> dict:
+    def accumulate(values: pd.Series) -> dict[str, pd.Series]:
         raise NotImplementedError
 
     @staticmethod
@@ -80,9 +83,8 @@ class AvgTemp(Accumulator):
     merge_local = {"sum": "sum", "count": "sum"}
 
     @staticmethod
-    def accumulate(values: pd.Series) -> dict:
-        v = values.dropna()
-        return {"sum": float(v.sum()), "count": int(v.count())}
+    def accumulate(values: pd.Series) -> dict[str, pd.Series]:
+        return {"sum": values.fillna(0.0).astype("float64"), "count": values.notna().astype("int64")}
 
     @staticmethod
     def merge(field: str) -> Column:
@@ -98,15 +100,22 @@ def user_aggregate(df: DataFrame, key: str, value: str, acc: type[Accumulator],
     key_type = df.schema[key].dataType.simpleString()
     schema = f"`{key}` {key_type}, " + ", ".join(f"`{n}` {t}" for n, t in acc.fields)
 
+    def merged_rows(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.groupby(key, as_index=False, sort=False, dropna=False).agg(acc.merge_local)
+
     def per_partition(batches):
-        parts = []
+        parts, rows = [], 0
         for pdf in batches:
-            for k, g in pdf.groupby(key, sort=False, dropna=False):
-                parts.append({key: k, **acc.accumulate(g[value])})
+            if not len(pdf):
+                continue
+            parts.append(merged_rows(pd.DataFrame({key: pdf[key], **acc.accumulate(pdf[value])})))
+            rows += len(parts[-1])
+            if rows > LOCAL_ROWS:  # many different keys: the rest is merged by Spark
+                yield merged_rows(pd.concat(parts, ignore_index=True))
+                parts, rows = [], 0
         if parts:
             # merge accumulators of the same key across this partition's batches
-            frame = pd.DataFrame(parts)
-            yield frame.groupby(key, as_index=False, dropna=False).agg(acc.merge_local)
+            yield merged_rows(pd.concat(parts, ignore_index=True))
 
     ship_package(df.sparkSession)
     partial = df.select(key, value).mapInPandas(per_partition, schema)
