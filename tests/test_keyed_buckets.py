@@ -117,9 +117,9 @@ def test_user_aggregate_accumulates_whole_batches(spark, monkeypatch):
 
     class Counted(udfs.AvgTemp):
         @staticmethod
-        def accumulate(values):
+        def accumulate(values, group, n):
             seen.add(1)
-            return udfs.AvgTemp.accumulate(values)
+            return udfs.AvgTemp.accumulate(values, group, n)
 
     monkeypatch.setattr(udfs, "LOCAL_ROWS", 100)
     got = {r.k: r.m for r in udfs.user_aggregate(df, "k", "v", Counted, "m").collect()}

@@ -54,17 +54,17 @@ LOCAL_ROWS = 1_000_000
 class Accumulator:
     """U3 aggregate-function contract.
 
-    ``fields``: accumulator columns; ``accumulate(values)``: what every single row of an Arrow
-    batch adds to each field, as whole columns; ``merge_local``: pandas aggregation per field
-    merging rows, and the batches of one partition; ``merge``: Spark aggregate per field
-    combining the partitions' accumulators; ``result``: final value from the merged fields.
+    ``fields``: accumulator columns; ``accumulate(values, group, n)``: each field's values for
+    the ``n`` keys of an Arrow batch, whose rows come group by group; ``merge_local``: pandas
+    aggregation per field merging the batches of one partition; ``merge``: Spark aggregate per
+    field combining the partitions' accumulators; ``result``: final value from the merged fields.
     """
 
     fields: Sequence[tuple[str, str]] = ()
     merge_local: dict = {}
 
     @staticmethod
-    def accumulate(values: pd.Series) -> dict[str, pd.Series]:
+    def accumulate(values: np.ndarray, group: np.ndarray, n: int) -> dict[str, np.ndarray]:
         raise NotImplementedError
 
     @staticmethod
@@ -83,8 +83,14 @@ class AvgTemp(Accumulator):
     merge_local = {"sum": "sum", "count": "sum"}
 
     @staticmethod
-    def accumulate(values: pd.Series) -> dict[str, pd.Series]:
-        return {"sum": values.fillna(0.0).astype("float64"), "count": values.notna().astype("int64")}
+    def accumulate(values: np.ndarray, group: np.ndarray, n: int) -> dict[str, np.ndarray]:
+        there = ~np.isnan(values)
+        values, group = values[there], group[there]
+        count = np.bincount(group, minlength=n)
+        # behind a zero each, so a group is summed as it would be alone and may be empty
+        padded = np.zeros(len(values) + n)
+        padded[np.arange(len(values)) + group + 1] = values
+        return {"sum": np.add.reduceat(padded, np.cumsum(count) - count + np.arange(n)), "count": count}
 
     @staticmethod
     def merge(field: str) -> Column:
@@ -108,7 +114,10 @@ def user_aggregate(df: DataFrame, key: str, value: str, acc: type[Accumulator],
         for pdf in batches:
             if not len(pdf):
                 continue
-            parts.append(merged_rows(pd.DataFrame({key: pdf[key], **acc.accumulate(pdf[value])})))
+            group, found = pd.factorize(pdf[key], use_na_sentinel=False)
+            order = np.argsort(group, kind="stable")
+            values = pdf[value].to_numpy("float64")[order]
+            parts.append(pd.DataFrame({key: found, **acc.accumulate(values, group[order], len(found))}))
             rows += len(parts[-1])
             if rows > LOCAL_ROWS:  # many different keys: the rest is merged by Spark
                 yield merged_rows(pd.concat(parts, ignore_index=True))
