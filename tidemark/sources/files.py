@@ -106,14 +106,14 @@ def stream_table(
 ) -> DataFrame:
     """A driver table as an unbounded source.
 
-    The file source does not accept a single-file path, so the folder is
-    read with a glob filter on the one file.
+    A table is one file or a folder of files.  The file source does not accept the path of a
+    single file, but a pattern that only this file or folder matches.
     """
     schema = read_table(spark, sf_dir, name).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    return r.parquet(os.path.join(sf_dir, f"{name}[.]parquet"))
 
 
 def stream_slices(spark: SparkSession, sf_dir: str, name: str, ts: str, slices: int, late: str | None = None,
