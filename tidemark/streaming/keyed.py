@@ -53,8 +53,13 @@ CHUNK = 1 << 18
 
 
 def from_micros(us) -> pd.Series:
+    """Times of numbers, null where there is none.  Not by ``pd.to_datetime``: its cache of
+    repeated values failed on large buckets with many nulls."""
     us = pd.Series(us, dtype="Int64")
-    return pd.to_datetime(us.mask(us.abs() >= -NO_TIME), unit="us")
+    gone = (us.abs() >= -NO_TIME).fillna(True).to_numpy(bool)
+    times = us.fillna(0).to_numpy("int64").astype("datetime64[us]")
+    times[gone] = np.datetime64("NaT")
+    return pd.Series(times, index=us.index)
 
 
 def firsts(k: np.ndarray) -> np.ndarray:
