@@ -493,7 +493,7 @@ class ContinuousRise(KeyedSequence):
         timers[due] = 0
         out = pd.DataFrame(alerts, columns=["k", "ms"], dtype="int64")
         k = np.fromiter(last.keys(), "int64", len(last))
-        return (pd.DataFrame({"k": out["k"], "alert_time": pd.to_datetime(out["ms"], unit="ms")}),
+        return (pd.DataFrame({"k": out["k"], "alert_time": from_micros(out["ms"] * 1000)}),
                 pd.DataFrame({"k": k, "last": np.fromiter(last.values(), "float64", len(last)), "timer": timers[k]}))
 
     def deadline(self, state):
